@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import DRIFT_FEATURES
 from ..sources.staging import staged
+from ..sources.tables import path_exists
 
 SLICES = 256
 SERIES_TERMS = 100
@@ -104,9 +105,7 @@ def baseline_or_first(spark: SparkSession, path: str, current: DataFrame) -> tup
 
     The flag tells whether the baseline was there before (only then can drift be tested).
     """
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    existed = files.exists(spark._jvm.org.apache.hadoop.fs.Path(location, "_SUCCESS"))
+    existed = path_exists(spark, f"{path}/_SUCCESS")
     if not existed:
         current.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path), existed

@@ -8,8 +8,9 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..sources.tables import partition_columns, publish
+from ..sources.tables import partition_columns, publish, table_location
 
 log = logging.getLogger(__name__)
 
@@ -62,11 +63,6 @@ def tables_in(spark: SparkSession, databases: list[str]) -> list[str]:
     ]
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE EXTENDED {table}").where(F.col("col_name") == "Location")
-    return described.first()["data_type"]
-
-
 def table_health(spark: SparkSession, table: str) -> DataFrame:
     return file_health(data_files(spark, table_location(spark, table)), F.lit(table))
 
@@ -83,17 +79,23 @@ def partition_report(spark: SparkSession, table: str, below: int = 1000) -> Data
 
 
 def compact(spark: SparkSession, table: str, target_bytes: int = SILVER_TARGET_BYTES) -> str:
-    """Rewrite a table into files of about ``target_bytes`` and swap it in."""
+    """Rewrite a table into files of about ``target_bytes`` and swap it in.
+
+    New versions go to a folder beside the original one, never inside it. Meant for
+    tables written by batch jobs, which append to wherever the catalog points.
+    """
     location = table_location(spark, table)
     size = data_files(spark, location).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     files = max(1, math.ceil(size / target_bytes))
-    base = re.sub(r"/v-[0-9a-f]{32}/?$", "", location)
+    versioned = re.search(r"/v-[0-9a-f]{32}/?$", location)
+    base = location[: versioned.start()] if versioned else f"{location.rstrip('/')}-versions"
     return publish(spark.table(table), table, base, partition_columns(spark, table), files)
 
 
 def analyze(spark: SparkSession, table: str) -> None:
-    """Refresh the statistics the optimizer uses."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+    """Refresh the statistics the optimizer uses (it keeps none for struct columns)."""
+    plain = [f"`{f.name}`" for f in spark.table(table).schema.fields if not isinstance(f.dataType, T.StructType)]
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(plain)}")
 
 
 def optimize_tables(spark: SparkSession, tables: list[str], target_bytes: int = SILVER_TARGET_BYTES) -> DataFrame:

@@ -17,12 +17,18 @@ def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything lies at ``path`` on whatever storage it names."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def ensure_table(spark: SparkSession, table: str, schema: T.StructType, path: str, partition_by: Sequence[str] = ()) -> None:
     """Register an external table if the catalog lacks it; files already at ``path`` are kept."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {layout} LOCATION '{path}'")
-    if partition_by:
+    if partition_by and path_exists(spark, path):
         spark.catalog.recoverPartitions(table)
 
 
@@ -38,6 +44,11 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").where(F.col("col_name") == "Location")
+    return described.first()["data_type"]
+
+
 def publish(df: DataFrame, table: str, base_path: str, partition_by: Sequence[str] = (), files: int | None = None) -> str:
     """Write a new version of a table beside the old one, then point the catalog at it.
 
@@ -89,5 +100,12 @@ def merge_table(source: DataFrame, table: str, keys: Sequence[str], order_by: Se
     )
     stored = spark.table(table)
     merged = upsert(stored.where(wanted), source, keys, order_by).select(*stored.columns)
-    merged.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    (
+        merged.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(table_location(spark, table))
+    )
+    spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
