@@ -87,6 +87,12 @@ def composite_key(*parts: Column) -> Column:
     return F.concat_ws("-", *[F.coalesce(p, F.lit("UNKNOWN")) for p in parts])
 
 
+def zero_padded(number: Column, width: int) -> Column:
+    """At least ``width`` digits; a longer number keeps all of its own."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def hash_uniform(salt: str, *parts: Column) -> Column:
     """A number in [0, 1) fixed by the parts: the repeatable stand-in for a random draw."""
     text = F.concat_ws("|", F.lit(salt), *[p.cast("string") for p in parts])

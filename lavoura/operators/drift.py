@@ -29,7 +29,9 @@ def _survival(distance: Column, n: Column, m: Column) -> Column:
     return F.when(lam2 < 0.04, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
-def ks_drift(current: DataFrame, baseline: DataFrame, features: Sequence[str] = DRIFT_FEATURES) -> DataFrame:
+def ks_drift(
+    current: DataFrame, baseline: DataFrame, features: Sequence[str] = DRIFT_FEATURES, slices: int = SLICES
+) -> DataFrame:
     """One row per feature: sample sizes, KS distance, critical value, p-value and drift flag.
 
     Values are first counted per distinct value. A sketch then cuts each feature into
@@ -47,9 +49,9 @@ def ks_drift(current: DataFrame, baseline: DataFrame, features: Sequence[str] =
         .agg(F.sum("is_current").alias("c"), F.sum(1 - F.col("is_current")).alias("b")),
         "ks-counts",
     )
-    cuts = [i / SLICES for i in range(1, SLICES)]
+    cuts = [i / slices for i in range(1, slices)]
     sizes = counts.groupBy("feature").agg(
-        F.sum("c").alias("n_current"), F.sum("b").alias("n_baseline"), F.percentile_approx("value", cuts, 4 * SLICES).alias("cuts")
+        F.sum("c").alias("n_current"), F.sum("b").alias("n_baseline"), F.percentile_approx("value", cuts, 4 * slices).alias("cuts")
     )
     # One line per feature of the list above, whatever the data.
     sliced = counts.join(F.broadcast(sizes), "feature").select(
@@ -70,7 +72,7 @@ def ks_drift(current: DataFrame, baseline: DataFrame, features: Sequence[str] =
     per_slice = local.groupBy("feature", "n_current", "n_baseline", "slice").agg(
         F.max("gap").alias("high"), F.min("gap").alias("low"), F.sum("step").cast("decimal(38,0)").alias("total")
     )
-    # At most SLICES lines per feature from here on.
+    # At most ``slices`` lines per feature from here on.
     before = Window.partitionBy("feature").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.coalesce(F.sum("total").over(before), F.lit(0).cast("decimal(38,0)"))
     reach = per_slice.withColumn("carried", carried).withColumn(

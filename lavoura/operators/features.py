@@ -48,24 +48,25 @@ def asof_join(
     with the greatest ``tie_break`` wins. Result columns: those of the facts, then
     ``feature_time`` and ``values`` (NULL where nothing valid is found).
 
-    Time is cut into slots so that a hot key is worked on in many tasks: rows meet per
-    (key, slot), and each slot is handed the last feature of the slots before it,
-    which comes from one line per (key, slot).
+    The answer depends on key and time alone, so it is worked out once per distinct
+    (key, time) and joined back: copies are reduced in the map tasks. Time is cut into
+    slots, so that a hot key is worked on in many tasks; each slot is handed the last
+    feature of the slots before it, which comes from one line per (key, slot).
     """
     slot = slot or ttl / 24
     width = F.lit(int(slot.total_seconds() * 1_000_000))
     ttl_micros = F.lit(int(ttl.total_seconds() * 1_000_000))
+    micros = F.unix_micros("_at")
+    slot_start = micros - F.pmod(micros, width)
 
-    def slot_of(at: str) -> Column:
-        micros = F.unix_micros(at)
-        return micros - F.pmod(micros, width)
+    def timed(df: DataFrame, at: str) -> DataFrame:
+        return df.where(F.col(key).isNotNull() & F.col(at).isNotNull()).withColumns({"_key": F.col(key), "_at": F.col(at)})
 
-    feature = F.struct(F.col(feature_time).alias("at"), *tie_break, *[c for c in values if c not in tie_break])
-    fact = F.struct(*facts.columns)
-    known = features.where(F.col(key).isNotNull() & F.col(feature_time).isNotNull()).select(
-        F.col(key).alias("_key"), slot_of(feature_time).alias("_slot"), feature.alias("_feature")
+    payload = F.struct("_at", *tie_break, *[c for c in values if c not in tie_break])
+    known = (
+        timed(features, feature_time).groupBy("_key", "_at").agg(F.max(payload).alias("_feature")).withColumn("_slot", slot_start)
     )
-    asked = facts.select(F.col(key).alias("_key"), slot_of(fact_time).alias("_slot"), F.col(fact_time).alias("_at"), fact.alias("_fact"))
+    asked = timed(facts, fact_time).select("_key", "_at").distinct().withColumn("_slot", slot_start)
 
     # Last feature per (key, slot), then carried forward to the later slots in use.
     last_in_slot = known.groupBy("_key", "_slot").agg(F.max("_feature").alias("_last"))
@@ -77,25 +78,22 @@ def asof_join(
         .agg(F.max("_last").alias("_last"))
         .select("_key", "_slot", F.last("_last", ignorenulls=True).over(before).alias("_feature"))
         .where(F.col("_feature").isNotNull())
+        .withColumn("_at", F.col("_feature._at"))
     )
 
     lines = (
         known.unionByName(carried)
-        .withColumns({"_at": F.col("_feature.at"), "_is_fact": F.lit(0)})
-        .unionByName(asked.withColumn("_is_fact", F.lit(1)), allowMissingColumns=True)
+        .withColumn("_asked", F.lit(False))
+        .unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
     )
-    upto = (
-        Window.partitionBy("_key", "_slot")
-        .orderBy("_at", "_is_fact", "_feature")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    matched = lines.withColumn("_found", F.last("_feature", ignorenulls=True).over(upto)).where(F.col("_is_fact") == 1)
-    age = F.unix_micros("_at") - F.unix_micros("_found.at")
-    valid = F.when(age < ttl_micros, F.col("_found"))
-    return matched.withColumn("_valid", valid).select(
-        "_fact.*",
-        F.col("_valid.at").alias(feature_time),
-        *[F.col(f"_valid.{c}").alias(c) for c in values],
+    upto = Window.partitionBy("_key", "_slot").orderBy("_at", "_asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = lines.withColumn("_found", F.last("_feature", ignorenulls=True).over(upto)).where(F.col("_asked"))
+    fresh = micros - F.unix_micros("_found._at") < ttl_micros
+    resolved = found.where(fresh).select("_key", "_at", "_found")
+
+    joined = facts.join(resolved, (F.col(key) == F.col("_key")) & (F.col(fact_time) == F.col("_at")), "left")
+    return joined.select(
+        *facts.columns, F.col("_found._at").alias(feature_time), *[F.col(f"_found.{c}").alias(c) for c in values]
     )
 
 

@@ -28,8 +28,17 @@ from .categories import category_profile
 from .incremental import rows_of_changed_keys, upsert
 from .quantiles import exact_percentiles
 
-# Rank error of the approximate percentiles is one in this many rows.
-PERCENTILE_ACCURACY = 100_000
+# Rank error of the approximate percentiles is one in this many rows. Every map task sends
+# a sketch of about this size for each group, so a hot group's sketches stay mergeable.
+PERCENTILE_ACCURACY = 10_000
+
+# The silver columns the gold tables are built from.
+SILVER_INPUTS = [
+    "proponente_id", "data_solicitacao", "tipo_pessoa", "valor_solicitado_credito", "finalidade_credito", "localizacao_latitude",
+    "localizacao_longitude", "localizacao_municipio", "localizacao_uf", "area_total_hectares", "cultura_principal",
+    "anos_experiencia", "serasa_score", "ibama_autuacoes_ativas", "classificacao_propriedade", "faixa_risco_credito",
+    "registro_valido", "processed_at",
+]
 
 
 def usable_rows(silver: DataFrame, keys: list[str]) -> DataFrame:

@@ -61,6 +61,11 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.build_silver(bronze_applications(spark, sf_dir), AS_OF)
 
 
+def gold_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as several builds read it: written once, with the columns they use."""
+    return staged(silver_table(spark, sf_dir).select(*gold.SILVER_INPUTS), "silver")
+
+
 def at(name: str) -> Column:
     """A zone-free column of the given tables read as an instant (UTC)."""
     return F.col(name).cast("timestamp")
@@ -232,23 +237,23 @@ def recent_rows(spark, sf_dir):
 
 @query
 def gold_proponente(spark, sf_dir):
-    return gold.gold_proponente(staged(silver_table(spark, sf_dir), "silver"), AS_OF)
+    return gold.gold_proponente(silver_table(spark, sf_dir), AS_OF)
 
 
 @query
 def gold_location(spark, sf_dir):
-    return gold.gold_location(staged(silver_table(spark, sf_dir), "silver"), AS_OF)
+    return gold.gold_location(silver_table(spark, sf_dir), AS_OF)
 
 
 @query
 def gold_risk(spark, sf_dir):
-    return gold.gold_risk(staged(silver_table(spark, sf_dir), "silver"), AS_OF)
+    return gold.gold_risk(silver_table(spark, sf_dir), AS_OF)
 
 
 @query
 def gold_risk_exact(spark, sf_dir):
     """Gold by risk class with percentiles that stay exact at any size."""
-    rows = gold.gold_risk(staged(silver_table(spark, sf_dir), "silver"), AS_OF, exact=True)
+    rows = gold.gold_risk(gold_inputs(spark, sf_dir), AS_OF, exact=True)
     return rows.select(*RISK_KEY, "total_solicitacoes", "valor_p25", "valor_mediano", "valor_p75", "valor_p90")
 
 
@@ -257,7 +262,8 @@ def gold_incremental(spark, sf_dir):
     """Gold built at the mark, refreshed with the later rows: equals a full build."""
     rows = silver_table(spark, sf_dir)
     late = F.col("ingestion_timestamp") > instant(MARK)
-    rows = staged(rows.withColumn("processed_at", F.when(late, instant(AS_OF)).otherwise(instant(MARK))), "silver")
+    rows = rows.withColumn("processed_at", F.when(late, instant(AS_OF)).otherwise(instant(MARK)))
+    rows = staged(rows.select(*gold.SILVER_INPUTS), "silver")
     built = gold.gold_proponente(rows.where(F.col("processed_at") <= instant(MARK)), MARK)
     refreshed = gold.refresh("proponente", rows, built, MARK, AS_OF)
     return refreshed.select(
@@ -274,7 +280,7 @@ def gold_incremental(spark, sf_dir):
 
 @query
 def gold_counts(spark, sf_dir):
-    rows = staged(silver_table(spark, sf_dir), "silver")
+    rows = silver_table(spark, sf_dir)
     return gold.table_counts({f"{name}_features": build(rows, AS_OF) for name, (build, _) in gold.MODELS.items()})
 
 
@@ -351,7 +357,7 @@ def dq_report(spark, sf_dir):
 @query
 def dq_report_gold(spark, sf_dir):
     """Every declared check of the table by risk class."""
-    built = gold.gold_risk(staged(silver_table(spark, sf_dir), "silver"), AS_OF)
+    built = gold.gold_risk(silver_table(spark, sf_dir), AS_OF)
     return quality.gold_report("risk", staged(built, "gold-risk"), RISK_KEY, AS_OF)
 
 
@@ -391,7 +397,7 @@ def credit_score_udf(spark, sf_dir):
 @query
 def feature_export(spark, sf_dir):
     """Applicant features without their own stamp, exported under the last update."""
-    built = gold.gold_proponente(staged(silver_table(spark, sf_dir), "silver"), AS_OF).drop("feature_timestamp")
+    built = gold.gold_proponente(silver_table(spark, sf_dir), AS_OF).drop("feature_timestamp")
     exported = features.export_rows(built, AS_OF)
     return exported.select(
         "proponente_id", "total_solicitacoes", "valor_total_solicitado", "perfil_frequencia", "feature_timestamp"
@@ -420,7 +426,7 @@ def asof_features(spark, sf_dir):
 
 
 def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staged(silver_table(spark, sf_dir), "silver")
+    rows = gold_inputs(spark, sf_dir)
     # Staged so that the small tables are joined as such, by their written size.
     tables = [staged(build(rows, AS_OF), f"gold-{name}") for name, (build, _) in gold.MODELS.items()]
     return features.assemble(rows, *tables)
@@ -451,7 +457,7 @@ def request_features(spark, sf_dir):
 @query
 def feature_vector(spark, sf_dir):
     """Model inputs per applicant in their fixed order, gaps as 0."""
-    built = gold.gold_proponente(staged(silver_table(spark, sf_dir), "silver"), AS_OF)
+    built = gold.gold_proponente(silver_table(spark, sf_dir), AS_OF)
     return scoring.feature_vector(built, ["proponente_id"])
 
 
@@ -466,7 +472,7 @@ def request_validation(spark, sf_dir):
 
 @query
 def ml_features(spark, sf_dir):
-    return training.model_features(gold.gold_proponente(staged(silver_table(spark, sf_dir), "silver"), AS_OF))
+    return training.model_features(gold.gold_proponente(silver_table(spark, sf_dir), AS_OF))
 
 
 def _imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -491,7 +497,7 @@ def classification_metrics(spark, sf_dir):
 
 
 def _drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staged(silver_table(spark, sf_dir), "silver")
+    rows = silver_table(spark, sf_dir)
     earlier = F.col("data_solicitacao") < instant(BASELINE_UNTIL)
     return drift.ks_drift(gold.gold_proponente(rows.where(~earlier), AS_OF), gold.gold_proponente(rows.where(earlier), AS_OF))
 

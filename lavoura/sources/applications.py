@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import ladder
+from ..functions.columns import ladder, zero_padded
 from ..schemas import CROPS, MONEY, PURPOSES
 
 DAY_MS = 86_400_000
@@ -40,11 +40,9 @@ def flat_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     requested_ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
     late = F.when(order % 50 == 0, 3 * DAY_MS).otherwise(0)
     return joined.select(
-        F.format_string("PROP_%05d", cust).alias("proponente_id"),
+        F.concat(F.lit("PROP_"), zero_padded(cust, 5)).alias("proponente_id"),
         requested_ms.alias("data_solicitacao"),
-        F.when(order % 53 != 0, F.when(company, F.format_string("%014d", cust)).otherwise(F.format_string("%011d", cust))).alias(
-            "cpf_cnpj"
-        ),
+        F.when(order % 53 != 0, F.when(company, zero_padded(cust, 14)).otherwise(zero_padded(cust, 11))).alias("cpf_cnpj"),
         F.concat(F.lit("Produtor "), "c_name").alias("nome_razao_social"),
         F.when(company, "JURIDICA").otherwise("FISICA").alias("tipo_pessoa"),
         (20000 + (F.col("c_acctbal") + 1000) * 60).cast(MONEY).alias("renda_bruta_anual_declarada"),
@@ -67,7 +65,7 @@ def flat_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
         (order % 41).cast("int").alias("anos_experiencia"),
         F.when(order % 7 != 0, (200 + (cust * 37 + order) % 701).cast("int")).alias("serasa_score"),
         F.when(order % 3 == 0, True).when(order % 3 == 1, False).alias("ibama_autuacoes_ativas"),
-        F.format_string("MAT-%06d", order % 1000000).alias("numero_matricula_imovel"),
+        F.concat(F.lit("MAT-"), zero_padded(order % 1000000, 6)).alias("numero_matricula_imovel"),
         F.lit("1.0.0").alias("versao_schema"),
         F.lit("fixture").alias("origem_dados"),
         requested_ms.alias("timestamp_geracao_evento"),
