@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import staged
+
 EPOCH = "1970-01-01 00:00:00"
 
 
@@ -37,27 +39,34 @@ def newer_than(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
 
 def load_status(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Newest stamp on both sides and whether the source holds anything newer."""
-    source_max = source.agg(F.max(column).alias("source_max"))
-    target_max = target.agg(F.max(column).alias("target_max"))
-    # Both sides are global aggregates of exactly one row.
-    return source_max.crossJoin(target_max).withColumn("has_new_data", F.col("source_max") > F.col("target_max"))
+    stamps = source.select(F.col(column).alias("source_at")).unionByName(
+        target.select(F.col(column).alias("target_at")), allowMissingColumns=True
+    )
+    newest = stamps.agg(F.max("source_at").alias("source_max"), F.max("target_at").alias("target_max"))
+    return newest.withColumn("has_new_data", F.col("source_max") > F.col("target_max"))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Target with every source row inserted, or replacing the row of the same key.
 
-    Copies within the source are reduced first. Keys compare NULL-safely, so loading
-    the same increment again changes nothing. Columns only the source has are
-    appended and read NULL on older rows.
+    Copies within the source are reduced to the newest first.
     """
-    incoming = latest_per_key(source, keys, order_by)
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
-    )
+    return replace_rows(target, staged(latest_per_key(source, keys, order_by), "incoming"), keys)
+
+
+def replace_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target without the rows whose key comes in, plus the incoming rows (one per key).
+
+    Keys compare NULL-safely, so loading the same increment again changes nothing.
+    Columns only the incoming rows have are appended and read NULL on older rows. When
+    the incoming rows are a written table, a small one is broadcast by its known size
+    and the target is not shuffled.
+    """
+    same_key = reduce(lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys])
     kept = target.alias("old").join(incoming.select(*keys).alias("new"), same_key, "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
 def rows_of_changed_keys(rows: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All history of every key that occurs in ``changed``."""
-    return rows.join(changed.select(*keys).distinct(), list(keys), "left_semi")
+    return rows.join(staged(changed.select(*keys).distinct(), "changed"), list(keys), "left_semi")

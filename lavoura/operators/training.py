@@ -34,13 +34,10 @@ def model_features(gold_proponente: DataFrame) -> DataFrame:
 
 def impute(features: DataFrame) -> DataFrame:
     """Fill gaps: medians for four columns, fixed values for two."""
-    medians = exact_medians(features, list(MEDIAN_DEFAULTS)).select(
-        *[F.coalesce(F.col(c), F.lit(d)).alias(f"_m_{c}") for c, d in MEDIAN_DEFAULTS.items()]
-    )
-    # The medians are one row by construction.
-    joined = features.crossJoin(F.broadcast(medians))
-    filled = {c: F.coalesce(F.col(c), F.col(f"_m_{c}")) for c in MEDIAN_DEFAULTS}
-    return joined.withColumns(filled).select(*features.columns).fillna(PLAIN_FILLS)
+    medians = exact_medians(features, list(MEDIAN_DEFAULTS))
+    # One row by construction, so it can be read as a scalar.
+    found = medians.select(F.struct(*[F.coalesce(F.col(c), F.lit(d)).alias(c) for c, d in MEDIAN_DEFAULTS.items()])).scalar()
+    return features.withColumns({c: F.coalesce(F.col(c), found[c]) for c in MEDIAN_DEFAULTS}).fillna(PLAIN_FILLS)
 
 
 def default_probability() -> Column:
@@ -151,15 +148,13 @@ def gate(current: DataFrame, previous: DataFrame, drift: DataFrame) -> DataFrame
     All three inputs are one-row results. Without previous metrics nothing counts as
     degraded.
     """
-    new = current.select(F.col("accuracy").alias("accuracy"), F.col("f1").alias("f1"))
-    old = previous.agg(F.max("accuracy").alias("previous_accuracy"), F.max("f1").alias("previous_f1"))
+    new = current.select("accuracy", "f1")
+    old = previous.select(F.col("accuracy").alias("previous_accuracy"), F.col("f1").alias("previous_f1"))
+    lines = new.unionByName(old, allowMissingColumns=True).unionByName(drift.select("drift_detected"), allowMissingColumns=True)
+    side_by_side = lines.agg(*[F.max(c).alias(c) for c in lines.columns])
     worse = (F.col("accuracy") < F.col("previous_accuracy") - MAX_LOSS) | (F.col("f1") < F.col("previous_f1") - MAX_LOSS)
-    degraded = F.coalesce(worse, F.lit(False))
-    return (
-        new.crossJoin(old)
-        .crossJoin(drift.select("drift_detected"))
-        .withColumn("performance_degraded", degraded)
-        .withColumn("deploy", F.col("drift_detected") | F.col("performance_degraded"))
+    return side_by_side.withColumn("performance_degraded", F.coalesce(worse, F.lit(False))).withColumn(
+        "deploy", F.col("drift_detected") | F.col("performance_degraded")
     )
 
 

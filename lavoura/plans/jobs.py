@@ -63,8 +63,7 @@ def load_silver(lake: Lakehouse, as_of: datetime | str) -> None:
     shape = with_silver_partitions(silver.build_silver(bronze.limit(0), as_of)).schema
     ensure_table(spark, SILVER_TABLE, shape, lake.path("silver", "dados_produtores_agro"), SILVER_PARTITIONS)
     rows = with_silver_partitions(silver.silver_increment(bronze, spark.table(SILVER_TABLE), as_of))
-    # The increment is read for its partitions and its keys, and must not change when silver does.
-    merge_table(staged(rows, "increment"), SILVER_TABLE, SILVER_KEY, ["ingestion_timestamp"])
+    merge_table(rows, SILVER_TABLE, SILVER_KEY, ["ingestion_timestamp"])
 
 
 def build_gold(lake: Lakehouse, as_of: datetime | str, scope: str = "history") -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import instant
 from ..operators import categories, drift, enrichment, features, gold, incremental, maintenance, quality, scoring, silver, stats, training
-from ..schemas import CROPS, LOCATION_KEY, PERSON_TYPES, PROPERTY_CLASSES, PURPOSES, RISK_BANDS, RISK_KEY, SILVER_KEY
+from ..schemas import CROPS, LOCATION_KEY, MONEY, PERSON_TYPES, PROPERTY_CLASSES, PURPOSES, RISK_BANDS, RISK_KEY, SILVER_KEY
 from ..session import prepare
 from ..sources import events
 from ..sources.applications import bronze_applications, table
@@ -168,9 +168,9 @@ def silver_metrics(spark, sf_dir):
     return stats.load_metrics(silver_table(spark, sf_dir), "silver", AS_OF)
 
 
-def _loaded(bronze: DataFrame) -> DataFrame:
-    """Bronze that had arrived by the load mark."""
-    return bronze.where(F.col("ingestion_timestamp") <= instant(MARK))
+def _loaded(rows: DataFrame) -> DataFrame:
+    """Rows that had arrived by the load mark."""
+    return rows.where(F.col("ingestion_timestamp") <= instant(MARK))
 
 
 @query
@@ -192,37 +192,34 @@ def incremental_status(spark, sf_dir):
 def _corrections(rows: DataFrame) -> DataFrame:
     """The last year before the mark delivered again, a day later and with half the area."""
     year_before = F.col("data_solicitacao").between(instant(MARK) - F.expr("INTERVAL 365 DAYS"), instant(MARK))
-    return rows.where(year_before).withColumns(
+    changed = rows.where(year_before).withColumns(
         {
-            "area_total_hectares": (F.col("area_total_hectares") / 2).cast("decimal(18,2)"),
+            "area_total_hectares": (F.col("area_total_hectares") / 2).cast(MONEY),
             "ingestion_timestamp": F.col("ingestion_timestamp") + F.expr("INTERVAL 1 DAY"),
         }
     )
+    return silver.classify_rows(changed).withColumn("row_hash", silver.row_hash())
 
 
 @query
 def upsert_silver(spark, sf_dir):
     """Silver at the mark, merged with later arrivals and with corrections sent twice."""
-    bronze = bronze_applications(spark, sf_dir)
-    loaded = silver.build_silver(_loaded(bronze), MARK)
-    later = bronze.where(F.col("ingestion_timestamp") > instant(MARK))
-    corrected = silver.flatten(bronze)
-    corrected = silver.classify_rows(_corrections(corrected)).withColumns(
-        {"processed_at": instant(AS_OF), "row_hash": silver.row_hash()}
-    )
-    increment = silver.build_silver(later, AS_OF).unionByName(corrected)
+    rows = staged(silver_table(spark, sf_dir), "silver")
+    loaded = _loaded(rows).withColumn("processed_at", instant(MARK))
+    later = rows.where(F.col("ingestion_timestamp") > instant(MARK))
+    corrected = _corrections(rows)
     resent = corrected.withColumn("ingestion_timestamp", F.col("ingestion_timestamp") - F.expr("INTERVAL 1 HOUR"))
-    return incremental.upsert(loaded, increment.unionByName(resent), SILVER_KEY, ["ingestion_timestamp"])
+    increment = later.unionByName(corrected).unionByName(resent)
+    return incremental.upsert(loaded, increment, SILVER_KEY, ["ingestion_timestamp"])
 
 
 @query
 def upsert_new_columns(spark, sf_dir):
     """An increment that brings a column the table did not have."""
-    bronze = bronze_applications(spark, sf_dir)
     keep = [*SILVER_KEY, "ingestion_timestamp"]
-    loaded = silver.flatten(_loaded(bronze)).select(*keep)
-    later = silver.flatten(bronze).where(F.col("data_solicitacao") > instant(MARK) - F.expr("INTERVAL 365 DAYS"))
-    return incremental.upsert(loaded, later.select(*keep, "tipo_pessoa"), SILVER_KEY, ["ingestion_timestamp"])
+    rows = staged(silver.flatten(bronze_applications(spark, sf_dir)).select(*keep, "tipo_pessoa"), "silver")
+    later = rows.where(F.col("data_solicitacao") > instant(MARK) - F.expr("INTERVAL 365 DAYS"))
+    return incremental.upsert(_loaded(rows).select(*keep), later, SILVER_KEY, ["ingestion_timestamp"])
 
 
 @query
@@ -280,7 +277,7 @@ def gold_incremental(spark, sf_dir):
 
 @query
 def gold_counts(spark, sf_dir):
-    rows = silver_table(spark, sf_dir)
+    rows = gold_inputs(spark, sf_dir)
     return gold.table_counts({f"{name}_features": build(rows, AS_OF) for name, (build, _) in gold.MODELS.items()})
 
 
@@ -316,7 +313,7 @@ def dq_not_null(spark, sf_dir):
 @query
 def dq_unique(spark, sf_dir):
     """Duplicated keys: the pair of applicant and state, and the silver key."""
-    rows = silver_table(spark, sf_dir)
+    rows = staged(silver_table(spark, sf_dir).select(*SILVER_KEY, "localizacao_uf"), "silver")
     pairs = quality.unique(rows, ["proponente_id", "localizacao_uf"])
     return pairs.unionByName(quality.unique(rows, SILVER_KEY)).unionByName(quality.unique(rows, ["proponente_id"]))
 

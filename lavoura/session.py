@@ -33,6 +33,8 @@ def local_session(app: str, cores: int | str = "*", checkpoint_dir: str | None =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        # Recording the call site of every column costs more than building a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)

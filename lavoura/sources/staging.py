@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,11 +21,29 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     and pushdown for the readers, and gives the planner the true size, so a small
     table is broadcast because its size is known. Without a shared folder the
     input is returned unchanged and simply computed again where it is used.
+
+    The files stay until the checkpoint folder is cleaned, like Spark's own
+    checkpoints; work that runs again and again uses ``scratch``.
     """
-    spark = df.sparkSession
+    root = checkpoint_root(df.sparkSession)
+    return df if root is None else _written(df, f"{root.rstrip('/')}/lavoura/{label}-{uuid.uuid4().hex}")
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Like ``staged`` for results that are not needed after the block, which removes its files."""
     root = checkpoint_root(spark)
     if root is None:
-        return df
-    path = f"{root.rstrip('/')}/lavoura/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        yield lambda df: df
+        return
+    folder = f"{root.rstrip('/')}/lavoura/{label}-{uuid.uuid4().hex}"
+    try:
+        yield lambda df: _written(df, f"{folder}/{uuid.uuid4().hex}")
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.incremental import upsert
+from ..operators.incremental import latest_per_key, replace_rows
+from .staging import scratch
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -89,23 +90,25 @@ def merge_table(source: DataFrame, table: str, keys: Sequence[str], order_by: Se
     """
     spark = source.sparkSession
     partition_by = partition_columns(spark, table)
-    # Partition values only: as many rows as the increment touches partitions.
-    touched = source.select(*partition_by).distinct().collect()
-    if not touched:
-        return
-    add_new_columns(spark, table, source.schema)
-    wanted = reduce(
-        lambda a, b: a | b,
-        [reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in touched],
-    )
-    stored = spark.table(table)
-    merged = upsert(stored.where(wanted), source, keys, order_by).select(*stored.columns)
-    (
-        merged.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(table_location(spark, table))
-    )
+    with scratch(spark, "merge") as keep:
+        incoming = keep(latest_per_key(source, keys, order_by))
+        # Partition values only: as many rows as the increment touches partitions.
+        touched = incoming.select(*partition_by).distinct().collect()
+        if not touched:
+            return
+        add_new_columns(spark, table, source.schema)
+        wanted = reduce(
+            lambda a, b: a | b,
+            [reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in touched],
+        )
+        stored = spark.table(table)
+        merged = replace_rows(stored.where(wanted), incoming, keys).select(*stored.columns)
+        (
+            merged.hint("rebalance", *partition_by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by)
+            .parquet(table_location(spark, table))
+        )
     spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
