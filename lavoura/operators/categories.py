@@ -1,57 +1,47 @@
-"""Most frequent value and number of distinct values of category columns."""
+"""Most frequent and distinct values per group."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def category_profile(
-    df: DataFrame,
-    keys: Sequence[str],
-    modes: Mapping[str, str],
-    distincts: Mapping[str, str],
-    many_valued: Sequence[str] = (),
-) -> DataFrame:
-    """One row per key with modes and distinct counts.
+def most_common(column: str) -> Column:
+    """The most frequent value, the smallest at a tie; NULL never counts.
+
+    Meant for category columns: the state per group is one counter per distinct value,
+    and map tasks merge theirs before rows are shuffled.
+    """
+    return F.mode(column, deterministic=True)
 
-    ``modes`` and ``distincts`` map output names to source columns. A mode tie goes
-    to the smallest value; NULL is neither counted nor a mode. Columns listed in
-    ``many_valued`` (identifiers) are only counted.
 
-    Rows are first counted per (key, column, value): that spreads a hot key over its
-    values, and map tasks combine before they shuffle. State per group stays a
-    handful of fields whatever the number of distinct values.
+def kinds(column: str) -> Column:
+    """Number of distinct values of a category column.
+
+    A set of the few values costs less than ``count(distinct)``, which repeats every
+    row once per counted column. Identifiers belong to ``count_identifiers``.
     """
-    columns = list(dict.fromkeys([*modes.values(), *distincts.values()]))
-    long = df.select(*keys, *[F.col(c).cast("string").alias(c) for c in columns if c not in keys]).unpivot(
-        list(keys), [c for c in columns if c not in keys], "_column", "_value"
-    )
-    counted = (
-        long.where(F.col("_value").isNotNull())
-        .groupBy(*keys, "_column", "_value")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_values", F.lit(1).cast("long"))
+    return F.size(F.collect_set(column)).cast("long")
+
+
+def count_identifiers(df: DataFrame, keys: Sequence[str], counts: Mapping[str, str]) -> DataFrame:
+    """One row per key with the number of distinct values of many-valued columns.
+
+    ``counts`` maps output names to source columns. Values are made distinct per (key,
+    column, value), which spreads a hot key over its values; no task ever holds the
+    values of a group.
+    """
+    columns = list(dict.fromkeys(counts.values()))
+    long = df.select(*keys, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(list(keys), columns, "_column", "_value")
+    per_column = (
+        long.where(F.col("_value").isNotNull()).distinct().groupBy(*keys, "_column").agg(F.count(F.lit(1)).alias("_n"))
     )
-    if many_valued:
-        # Identifiers shrink to one row per key here, before rows are gathered by key.
-        counted = (
-            counted.withColumn("_value", F.when(~F.col("_column").isin(*many_valued), F.col("_value")))
-            .groupBy(*keys, "_column", "_value")
-            .agg(F.sum("_rows").alias("_rows"), F.sum("_values").alias("_values"))
-        )
-
-    def of(column: str, value):
-        return F.when(F.col("_column") == column, value)
-
-    by_frequency = F.struct(-F.col("_rows"), F.col("_value"))
-    return counted.groupBy(*keys).agg(
-        *[F.min_by("_value", of(column, by_frequency)).alias(name) for name, column in modes.items()],
-        *[F.coalesce(F.sum(of(column, F.col("_values"))), F.lit(0)).alias(name) for name, column in distincts.items()],
+    return per_column.groupBy(*keys).agg(
+        *[F.coalesce(F.sum(F.when(F.col("_column") == c, F.col("_n"))), F.lit(0)).alias(name) for name, c in counts.items()]
     )
 
 
 def mode_by_key(df: DataFrame, keys: Sequence[str], column: str, name: str = "most_common") -> DataFrame:
-    return category_profile(df, keys, {name: column}, {})
+    return df.groupBy(*keys).agg(most_common(column).alias(name))

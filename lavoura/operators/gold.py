@@ -1,7 +1,7 @@
 """Gold feature tables: by applicant, by place, and by risk band and crop.
 
-Every table is two aggregates of valid silver rows joined on the group key: the
-measures, and the category profile (modes and distinct counts).
+Every table is one aggregate of valid silver rows, with map-side partial results. The
+tables that count identifiers per group get those from a second, narrow aggregate.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from ..functions.columns import (
     whole_days,
 )
 from ..schemas import APPLICANT_KEY, LOCATION_KEY, RISK_KEY
-from .categories import category_profile
+from .categories import count_identifiers, kinds, most_common
 from .incremental import rows_of_changed_keys, upsert
 from .quantiles import exact_percentiles
 
@@ -65,9 +65,9 @@ def _request_span() -> list[Column]:
     return [F.max("data_solicitacao").alias("ultima_solicitacao"), F.min("data_solicitacao").alias("primeira_solicitacao")]
 
 
-def _join_profile(measures: DataFrame, profile: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
-    """Measures with the profile attached; a group without any category counts zero."""
-    return measures.join(profile, keys, "left").fillna(0, subset=counts)
+def _with_identifiers(measures: DataFrame, rows: DataFrame, keys: list[str], counts: dict[str, str]) -> DataFrame:
+    """Measures with distinct identifiers counted; a group without any counts zero."""
+    return measures.join(count_identifiers(rows, keys, counts), keys, "left").fillna(0, subset=list(counts))
 
 
 def gold_proponente(silver: DataFrame, as_of: datetime | str | Column) -> DataFrame:
@@ -90,27 +90,17 @@ def gold_proponente(silver: DataFrame, as_of: datetime | str | Column) -> DataFr
         exact_mean(F.col("anos_experiencia")).alias("anos_experiencia_medio"),
         F.max("anos_experiencia").alias("anos_experiencia_maximo"),
         _fine_rate().alias("taxa_autuacoes_ibama"),
+        most_common("finalidade_credito").alias("finalidade_mais_comum"),
+        most_common("cultura_principal").alias("cultura_mais_comum"),
+        most_common("classificacao_propriedade").alias("classificacao_mais_comum"),
+        most_common("faixa_risco_credito").alias("faixa_risco_mais_comum"),
+        kinds("finalidade_credito").alias("diversidade_finalidades"),
+        kinds("cultura_principal").alias("diversidade_culturas"),
+        kinds("localizacao_uf").alias("diversidade_ufs"),
         F.max("processed_at").alias("ultima_atualizacao"),
     )
-    counts = {
-        "diversidade_finalidades": "finalidade_credito",
-        "diversidade_culturas": "cultura_principal",
-        "diversidade_ufs": "localizacao_uf",
-    }
-    profile = category_profile(
-        rows,
-        APPLICANT_KEY,
-        modes={
-            "finalidade_mais_comum": "finalidade_credito",
-            "cultura_mais_comum": "cultura_principal",
-            "classificacao_mais_comum": "classificacao_propriedade",
-            "faixa_risco_mais_comum": "faixa_risco_credito",
-        },
-        distincts=counts,
-    )
-    joined = _join_profile(measures, profile, APPLICANT_KEY, list(counts))
     sd, mean = F.col("valor_desvio_padrao"), F.col("valor_medio_solicitado")
-    return joined.select(
+    return measures.select(
         "proponente_id",
         "total_solicitacoes",
         "valor_total_solicitado",
@@ -125,7 +115,9 @@ def gold_proponente(silver: DataFrame, as_of: datetime | str | Column) -> DataFr
         "latitude_media",
         "longitude_media",
         "area_media_hectares",
-        *counts,
+        "diversidade_finalidades",
+        "diversidade_culturas",
+        "diversidade_ufs",
         "anos_experiencia_medio",
         "anos_experiencia_maximo",
         "taxa_autuacoes_ibama",
@@ -191,27 +183,16 @@ def gold_location(silver: DataFrame, as_of: datetime | str | Column, exact: bool
         _equals_share("faixa_risco_credito", "ALTO").alias("taxa_risco_alto"),
         _equals_share("faixa_risco_credito", "MUITO_ALTO").alias("taxa_risco_muito_alto"),
         _equals_share("tipo_pessoa", "JURIDICA").alias("taxa_pessoa_juridica"),
+        most_common("cultura_principal").alias("cultura_dominante"),
+        most_common("finalidade_credito").alias("finalidade_dominante"),
+        most_common("classificacao_propriedade").alias("classificacao_dominante"),
+        kinds("cultura_principal").alias("diversidade_culturas"),
+        kinds("finalidade_credito").alias("diversidade_finalidades"),
+        kinds("classificacao_propriedade").alias("diversidade_classificacoes"),
         F.max("processed_at").alias("ultima_atualizacao"),
     )
     measures = _with_percentiles(measures, rows, LOCATION_KEY, median, exact)
-    counts = {
-        "proponentes_unicos": "proponente_id",
-        "diversidade_culturas": "cultura_principal",
-        "diversidade_finalidades": "finalidade_credito",
-        "diversidade_classificacoes": "classificacao_propriedade",
-    }
-    profile = category_profile(
-        rows,
-        LOCATION_KEY,
-        modes={
-            "cultura_dominante": "cultura_principal",
-            "finalidade_dominante": "finalidade_credito",
-            "classificacao_dominante": "classificacao_propriedade",
-        },
-        distincts=counts,
-        many_valued=["proponente_id"],
-    )
-    joined = _join_profile(measures, profile, LOCATION_KEY, list(counts))
+    joined = _with_identifiers(measures, rows, LOCATION_KEY, {"proponentes_unicos": "proponente_id"})
     sd, mean = F.col("valor_desvio_padrao"), F.col("valor_medio_solicitado")
     return joined.select(
         *LOCATION_KEY,
@@ -287,16 +268,12 @@ def gold_risk(silver: DataFrame, as_of: datetime | str | Column, exact: bool = F
         _equals_share("finalidade_credito", "AMPLIACAO_AREA").alias("taxa_ampliacao_area"),
         _fine_rate().alias("taxa_autuacoes_ibama"),
         *_request_span(),
+        kinds("localizacao_uf").alias("diversidade_ufs"),
         F.max("processed_at").alias("ultima_atualizacao"),
     )
     measures = _with_percentiles(measures, rows, RISK_KEY, levels, exact)
-    counts = {
-        "proponentes_unicos": "proponente_id",
-        "diversidade_ufs": "localizacao_uf",
-        "diversidade_municipios": "localizacao_municipio",
-    }
-    profile = category_profile(rows, RISK_KEY, modes={}, distincts=counts, many_valued=list(counts.values()))
-    joined = _join_profile(measures, profile, RISK_KEY, list(counts))
+    identifiers = {"proponentes_unicos": "proponente_id", "diversidade_municipios": "localizacao_municipio"}
+    joined = _with_identifiers(measures, rows, RISK_KEY, identifiers)
     sd, mean = F.col("valor_desvio_padrao"), F.col("valor_medio_solicitado")
     band, crop = F.col("faixa_risco_credito"), F.col("cultura_principal")
     return joined.select(

@@ -98,6 +98,19 @@ def analyze(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(plain)}")
 
 
+def optimize_listed(spark: SparkSession, tables: list[str], target_bytes: int = SILVER_TARGET_BYTES) -> dict[str, DataFrame]:
+    """Compact every listed table and give its rows and applicants afterwards."""
+    counts = {}
+    for table in tables:
+        compact(spark, table, target_bytes)
+        counts[table] = spark.table(table).agg(
+            F.lit(table).alias("table_name"),
+            F.count(F.lit(1)).alias("total_records"),
+            F.count_distinct("proponente_id").alias("unique_proponentes"),
+        )
+    return counts
+
+
 def optimize_tables(spark: SparkSession, tables: list[str], target_bytes: int = SILVER_TARGET_BYTES) -> DataFrame:
     """Check every table, compact and analyze the unhealthy ones; one report row each.
 

@@ -16,7 +16,7 @@ from ..session import prepare
 from ..sources import events
 from ..sources.staging import staged
 from ..sources.tables import ensure_database, ensure_table, merge_table, path_exists, publish, register_external, table_location
-from ..streaming.refresh import SILVER_PARTITIONS, with_silver_partitions
+from ..streaming.refresh import SILVER_PARTITIONS
 
 GOLD_TABLES = {name: f"gold.{name}_features_agro" for name in gold.MODELS}
 SILVER_TABLE = "silver.dados_produtores_agro"
@@ -49,6 +49,7 @@ def append_bronze(lake: Lakehouse, bronze: DataFrame) -> None:
     (
         rows.hint("rebalance", *events.BRONZE_PARTITIONS)
         .write.mode("append")
+        .option("compression", "zstd")
         .partitionBy(*events.BRONZE_PARTITIONS)
         .parquet(table_location(spark, BRONZE_TABLE))
     )
@@ -60,9 +61,9 @@ def load_silver(lake: Lakehouse, as_of: datetime | str) -> None:
     """Merge the bronze rows past silver's high-water mark into silver."""
     spark = lake.spark
     bronze = spark.table(BRONZE_TABLE).drop("mes_ingestao")
-    shape = with_silver_partitions(silver.build_silver(bronze.limit(0), as_of)).schema
+    shape = events.with_dated_partitions(silver.build_silver(bronze.limit(0), as_of)).schema
     ensure_table(spark, SILVER_TABLE, shape, lake.path("silver", "dados_produtores_agro"), SILVER_PARTITIONS)
-    rows = with_silver_partitions(silver.silver_increment(bronze, spark.table(SILVER_TABLE), as_of))
+    rows = events.with_dated_partitions(silver.silver_increment(bronze, spark.table(SILVER_TABLE), as_of))
     merge_table(rows, SILVER_TABLE, SILVER_KEY, ["ingestion_timestamp"])
 
 
@@ -166,9 +167,11 @@ def score_requests(lake: Lakehouse, requests: DataFrame, model: PipelineModel |
 
 
 def maintain(lake: Lakehouse) -> DataFrame:
-    """Check and, where needed, compact every bronze, silver and gold table."""
+    """Check and, where needed, compact every bronze, silver and gold table; the report is kept."""
     tables = maintenance.tables_in(lake.spark, ["bronze", "silver", "gold"])
-    return maintenance.optimize_tables(lake.spark, tables)
+    done = maintenance.optimize_tables(lake.spark, tables)
+    done.withColumn("reported_at", F.current_timestamp()).write.mode("append").json(lake.path("maintenance", "reports"))
+    return done
 
 
 def status(lake: Lakehouse) -> DataFrame:

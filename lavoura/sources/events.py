@@ -13,6 +13,7 @@ from ..functions.columns import date_parts, instant, path_safe
 from ..schemas import APPLICATION
 
 BRONZE_PARTITIONS = ["mes_ingestao", "tipo_pessoa"]
+DATED_PARTITIONS = ["ano", "mes", "tipo_pessoa"]
 FLAT_PARTITIONS = ["ano_particao", "mes_particao", "dia_particao"]
 LANDING_PARTITIONS = ["year", "month", "day", "hour"]
 
@@ -107,6 +108,12 @@ def flat_bronze(decoded: DataFrame, ingested_at: Column | str) -> DataFrame:
     )
 
 
+def with_dated_partitions(rows: DataFrame) -> DataFrame:
+    """Append request year and month, which with the person type make up ``DATED_PARTITIONS``."""
+    at = F.col("data_solicitacao")
+    return rows.withColumns({"ano": F.year(at), "mes": F.month(at)})
+
+
 def to_messages(bronze: DataFrame, topic: str, partitions: int = 3) -> DataFrame:
     """Broker-shaped records holding each application as JSON."""
     fields = [f.name for f in APPLICATION.fields]

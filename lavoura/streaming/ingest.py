@@ -86,13 +86,20 @@ def append_files(
     partition_by: list[str] | None = None,
     trigger: dict | None = None,
     name: str | None = None,
+    compression: str = "snappy",
 ) -> StreamingQuery:
     """Append a stream to Parquet files, each row exactly once across restarts.
 
     ``trigger`` is ``{"processingTime": "60 seconds"}`` for a running service or
     ``{"availableNow": True}`` to work off what is there and stop.
     """
-    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).option("path", path)
+    writer = (
+        rows.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .option("path", path)
+        .option("compression", compression)
+    )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if name:
@@ -102,7 +109,7 @@ def append_files(
 
 def ingest_nested(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Messages to nested bronze, by arrival month and person type."""
-    return append_files(nested_rows(messages), path, checkpoint, events.BRONZE_PARTITIONS, trigger, "bronze_nested")
+    return append_files(nested_rows(messages), path, checkpoint, events.BRONZE_PARTITIONS, trigger, "bronze_nested", "zstd")
 
 
 def ingest_flat(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -10,18 +10,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import scoring, silver
 from ..schemas import SILVER_KEY
+from ..sources.events import with_dated_partitions
 from ..sources.tables import merge_table
 from .ingest import for_each_batch
 
+# Functions of the silver key, so that versions of a row stay together. The person type is
+# left out: a corrected application may change it.
 SILVER_PARTITIONS = ["ano", "mes"]
 
 
-def with_silver_partitions(rows: DataFrame) -> DataFrame:
-    """Request year and month: functions of the silver key, so versions of a row stay together."""
-    at = F.col("data_solicitacao")
-    return rows.withColumns({"ano": F.year(at), "mes": F.month(at)})
-
-
 def merge_silver_batch(table: str):
     """A batch function that merges bronze rows into the silver table.
 
@@ -30,7 +27,7 @@ def merge_silver_batch(table: str):
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-        rows = with_silver_partitions(silver.build_silver(batch, now)).persist()
+        rows = with_dated_partitions(silver.build_silver(batch, now)).persist()
         try:
             merge_table(rows, table, SILVER_KEY, ["ingestion_timestamp"])
         finally:

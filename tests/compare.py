@@ -78,7 +78,7 @@ def main() -> int:
         try:
             got = run(spark, sf_dir).toArrow()
             took = time.time() - started
-            problem = differences(got, con.execute(oracle[name]).to_arrow_table()) if name in oracle else "no SQL twin"
+            problem = differences(got, con.sql(oracle[name]).to_arrow_table()) if name in oracle else "no SQL twin"
         except Exception as error:
             took, problem = time.time() - started, f"{type(error).__name__}: {str(error)[:600]}"
             got = ()

@@ -84,6 +84,7 @@ def test_lakehouse_round(spark, folder):
     done = {r["table_name"]: r for r in jobs.maintain(lake).collect()}
     assert set(done) == set(before) and all(r["optimized"] and r["error"] is None for r in done.values())
     assert {t: sorted(map(str, spark.table(t).collect())) for t in before} == before
+    assert spark.read.json(lake.path("maintenance", "reports")).count() == len(before)
     # Loading goes on after compaction.
     jobs.append_bronze(lake, bronze(spark, *changes(200, 210, ingestion_timestamp=NOON + timedelta(days=500))))
     assert spark.table(jobs.BRONZE_TABLE).count() == 212
@@ -156,6 +157,16 @@ def test_partition_report(spark, db, folder):
     assert spark.table(table).count() == 2500
 
 
+def test_listed_tables_are_compacted_and_counted(spark, db, folder):
+    table = f"{db}.l"
+    rows = silver.build_silver(bronze(spark, *changes(0, 50)), "2025-01-01 00:00:00")
+    rows = events.with_dated_partitions(rows)
+    publish(rows, table, f"{folder}/l", events.DATED_PARTITIONS)
+    counts = maintenance.optimize_listed(spark, [table])[table].first()
+    assert tuple(counts) == (table, 50, 40)
+    assert maintenance.partition_columns(spark, table) == events.DATED_PARTITIONS
+
+
 def test_a_broken_table_does_not_stop_the_round(spark, db, folder):
     ensure_table(spark, f"{db}.ok", spark.range(0).schema, f"{folder}/ok")
     spark.range(5).write.mode("append").parquet(f"{folder}/ok")

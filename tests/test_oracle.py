@@ -24,7 +24,7 @@ def test_every_twin_has_a_query():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_result(spark, con, name):
     got = QUERIES[name](spark, SF_DIR).toArrow()
-    assert differences(got, con.execute(ORACLE[name]).to_arrow_table()) is None
+    assert differences(got, con.sql(ORACLE[name]).to_arrow_table()) is None
 
 
 def test_table_health_sees_every_table(spark):
@@ -45,4 +45,4 @@ def test_results_do_not_need_a_shared_folder(spark, con, monkeypatch):
     monkeypatch.setattr(staging, "checkpoint_root", lambda spark: None)
     for name in ("gold_location", "assemble_features", "ml_impute", "ks_drift"):
         got = QUERIES[name](spark, SF_DIR).toArrow()
-        assert differences(got, con.execute(ORACLE[name]).to_arrow_table()) is None
+        assert differences(got, con.sql(ORACLE[name]).to_arrow_table()) is None

@@ -7,7 +7,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from lavoura.operators.categories import category_profile
+from lavoura.operators.categories import count_identifiers, kinds, mode_by_key
 from lavoura.operators.quantiles import exact_medians, exact_percentiles
 
 PROBABILITIES = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
@@ -58,10 +58,11 @@ def test_medians_interpolate(spark, size):
     assert got["c"] is None
 
 
-def test_profile_counts_identifiers_and_breaks_ties(spark):
-    rows = [("k", "x", f"id{i % 40}", "t" if i % 2 else "s") for i in range(100)] + [("k", None, None, None)]
+def test_identifiers_are_counted_and_ties_go_to_the_smallest(spark):
+    rows = [("k", "x", f"id{i % 40}", "t" if i % 2 else "s") for i in range(100)] + [("k", None, None, None), ("n", None, None, None)]
     df = spark.createDataFrame(rows, "key string, cat string, who string, tie string")
-    got = category_profile(
-        df, ["key"], {"m": "tie", "mc": "cat"}, {"n_who": "who", "n_cat": "cat", "n_tie": "tie"}, many_valued=["who"]
-    ).first()
-    assert (got["m"], got["mc"], got["n_who"], got["n_cat"], got["n_tie"]) == ("s", "x", 40, 1, 2)
+    modes = {r["key"]: r["most_common"] for r in mode_by_key(df, ["key"], "tie").collect()}
+    assert modes == {"k": "s", "n": None}
+    got = [tuple(r) for r in count_identifiers(df, ["key"], {"n_who": "who", "n_cat": "cat"}).collect()]
+    assert got == [("k", 40, 1)]
+    assert {r[0]: r[1] for r in df.groupBy("key").agg(kinds("tie")).collect()} == {"k": 2, "n": 0}

@@ -96,6 +96,13 @@ def test_request_features_and_vector(spark):
     assert len(vector) == 12 and vector["serasa_score_medio"] == 0.0 and vector["diversidade_culturas"] == 3.0
 
 
+def test_unknown_requests_fall_back_to_their_own_values(spark):
+    rows = silver.flatten(bronze(spark, {"proponente_id": "KNOWN"}, {"proponente_id": "NEW"}))
+    assembled = rows.withColumn("features_found", F.col("proponente_id") == "KNOWN")
+    got = {r["proponente_id"]: r for r in scoring.fallback_features(assembled, ["proponente_id"]).collect()}
+    assert got["KNOWN"]["r_serasa_score"] is None and got["NEW"]["r_serasa_score"] == 650
+
+
 def test_validation_reasons(spark):
     rows = silver.flatten(
         bronze(

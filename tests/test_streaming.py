@@ -79,7 +79,7 @@ def stream_of(spark, folder, rows):
 def test_silver_refresh_merges_and_replays(spark, folder):
     ensure_database(spark, "stream_test")
     table = "stream_test.silver"
-    shape = refresh.with_silver_partitions(silver.build_silver(bronze(spark, {}).limit(0), "2024-01-01 00:00:00")).schema
+    shape = events.with_dated_partitions(silver.build_silver(bronze(spark, {}).limit(0), "2024-01-01 00:00:00")).schema
     ensure_table(spark, table, shape, f"{folder}/silver", refresh.SILVER_PARTITIONS)
     source = f"{folder}/bronze"
     old = [{"proponente_id": f"P{i}", "data_solicitacao": MS + i * 40 * 86_400_000} for i in range(5)]
