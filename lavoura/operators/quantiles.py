@@ -47,7 +47,14 @@ def _order_statistics(df: DataFrame, keys: Sequence[str], value: str, targets: S
         "upto", F.sum("copies").over(upward.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
     rank = F.coalesce(*[F.when(F.col("target") == i, r) for i, (_, r) in enumerate(targets)])
-    return running.groupBy(*keys, "target", "n").agg(F.min(F.when(F.col("upto") >= rank, F.col("v"))).alias("value"))
+    found = running.groupBy(*keys, "target", "n").agg(
+        F.min(F.when(F.col("upto") >= rank, F.col("v"))).alias("value"),
+        F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("upto"))), F.lit(0)).alias("below"),
+    )
+    # The sketch's error bound rules a missed bracket out; should it happen, fail rather than be wrong.
+    hit = (F.col("below") < rank) & F.col("value").isNotNull()
+    exact = F.when(hit, F.col("value")).otherwise(F.raise_error(F.lit("rank outside its bracket")))
+    return found.select(*keys, "target", "n", exact.alias("value"))
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float]) -> DataFrame:

@@ -338,30 +338,83 @@ EXPRESSION_ROWS = [check_row("expression_is_true", c, f"NOT ({e})") for c, e in
 RATIO_ROW = check_row("ratio_outliers", "razao_credito_renda", f"processed_at >= {AS_OF} - INTERVAL 24 HOURS AND {RATIO} > 10", severity="warn")
 STATUS = "CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status"
 
-RISK_NOT_NULL = [
-    "faixa_risco_credito", "cultura_principal", "total_solicitacoes", "volume_solicitacoes", "volatilidade_credito",
-    "perfil_tipo_pessoa", "perfil_finalidade", "peso_risco_base", "fator_risco_cultura", "score_risco_ajustado", "feature_timestamp",
-]
-RISK_DOMAINS = {
-    "faixa_risco_credito": DOMAINS["faixa_risco_credito"],
-    "cultura_principal": DOMAINS["cultura_principal"],
-    "volume_solicitacoes": "'BAIXO_VOLUME','MEDIO_VOLUME','ALTO_VOLUME','MUITO_ALTO_VOLUME'",
-    "volatilidade_credito": "'HOMOGENEO','ESTAVEL','MODERADO','VOLATIL'",
-    "perfil_tipo_pessoa": "'PREDOMINANTEMENTE_JURIDICA','MISTA','PREDOMINANTEMENTE_FISICA'",
-    "perfil_finalidade": "'FOCO_CUSTEIO','FOCO_INVESTIMENTO','FOCO_EXPANSAO','DIVERSIFICADO'",
-}
-RISK_RANGES = {
-    "total_solicitacoes": "total_solicitacoes >= 1",
-    "peso_risco_base": "peso_risco_base BETWEEN 0 AND 1",
-    "fator_risco_cultura": "fator_risco_cultura BETWEEN 0.5 AND 1.5",
-    "score_risco_ajustado": "score_risco_ajustado BETWEEN 0 AND 1.5",
+GOLD_CHECKS = {
+    "proponente": {
+        "source": "gold",
+        "keys": "proponente_id",
+        "filled": [
+            "proponente_id", "total_solicitacoes", "valor_total_solicitado", "valor_medio_solicitado", "perfil_frequencia",
+            "perfil_volatilidade", "perfil_diversificacao", "indicador_risco_score", "indicador_risco_ambiental", "feature_timestamp",
+        ],
+        "domains": {
+            "perfil_frequencia": "'NOVO','RECORRENTE','FREQUENTE','MUITO_FREQUENTE'",
+            "perfil_volatilidade": "'CONSISTENTE','ESTAVEL','MODERADO','VOLATIL'",
+            "perfil_diversificacao": "'ESPECIALIZADO','FOCADO','DIVERSIFICADO'",
+        },
+        "ranges": {
+            "total_solicitacoes": "total_solicitacoes >= 1",
+            "valor_total_solicitado": "valor_total_solicitado > 0",
+            "valor_medio_solicitado": "valor_medio_solicitado > 0",
+            "serasa_score_medio": "serasa_score_medio BETWEEN 0 AND 1000",
+            "indicador_risco_score": "indicador_risco_score BETWEEN 0 AND 1",
+            "indicador_risco_ambiental": "indicador_risco_ambiental BETWEEN 0 AND 1",
+        },
+    },
+    "location": {
+        "source": "lgold",
+        "keys": "localizacao_uf,localizacao_municipio",
+        "filled": [
+            "localizacao_uf", "localizacao_municipio", "total_proponentes", "densidade_proponentes", "homogeneidade_credito",
+            "perfil_diversificacao_culturas", "regiao_geografica", "taxa_risco_elevado", "feature_timestamp",
+        ],
+        "domains": {
+            "densidade_proponentes": "'BAIXA','MEDIA','ALTA','MUITO_ALTA'",
+            "homogeneidade_credito": "'HOMOGENEA','ESTAVEL','MODERADA','HETEROGENEA'",
+            "perfil_diversificacao_culturas":
+                "'MONOCULTURA','POUCO_DIVERSIFICADA','MODERADAMENTE_DIVERSIFICADA','ALTAMENTE_DIVERSIFICADA'",
+            "regiao_geografica": "'NORTE','NORDESTE','CENTRO_OESTE_SUDESTE','SUL'",
+        },
+        "ranges": {"total_proponentes": "total_proponentes >= 1", "taxa_risco_elevado": "taxa_risco_elevado BETWEEN 0 AND 1"},
+    },
+    "risk": {
+        "source": "rgold",
+        "keys": "faixa_risco_credito,cultura_principal",
+        "filled": [
+            "faixa_risco_credito", "cultura_principal", "total_solicitacoes", "volume_solicitacoes", "volatilidade_credito",
+            "perfil_tipo_pessoa", "perfil_finalidade", "peso_risco_base", "fator_risco_cultura", "score_risco_ajustado",
+            "feature_timestamp",
+        ],
+        "domains": {
+            "faixa_risco_credito": DOMAINS["faixa_risco_credito"],
+            "cultura_principal": DOMAINS["cultura_principal"],
+            "volume_solicitacoes": "'BAIXO_VOLUME','MEDIO_VOLUME','ALTO_VOLUME','MUITO_ALTO_VOLUME'",
+            "volatilidade_credito": "'HOMOGENEO','ESTAVEL','MODERADO','VOLATIL'",
+            "perfil_tipo_pessoa": "'PREDOMINANTEMENTE_JURIDICA','MISTA','PREDOMINANTEMENTE_FISICA'",
+            "perfil_finalidade": "'FOCO_CUSTEIO','FOCO_INVESTIMENTO','FOCO_EXPANSAO','DIVERSIFICADO'",
+        },
+        "ranges": {
+            "total_solicitacoes": "total_solicitacoes >= 1",
+            "peso_risco_base": "peso_risco_base BETWEEN 0 AND 1",
+            "fator_risco_cultura": "fator_risco_cultura BETWEEN 0.5 AND 1.5",
+            "score_risco_ajustado": "score_risco_ajustado BETWEEN 0 AND 1.5",
+        },
+    },
 }
-RISK_CHECKS = union(
-    [check_row("not_null", c, f"{c} IS NULL", "rgold") for c in RISK_NOT_NULL]
-    + [check_row("accepted_values", c, f"{c} NOT IN ({v})", "rgold") for c, v in RISK_DOMAINS.items()]
-    + [check_row("expression_is_true", c, f"NOT ({e})", "rgold") for c, e in RISK_RANGES.items()]
-    + [recency_row("feature_timestamp", "rgold"), duplicates_row("unique_combination_of_columns", RISK.replace(" ", ""), "rgold")]
-)
+
+
+def gold_check_rows(name: str) -> str:
+    """All checks of one gold table as rows."""
+    spec = GOLD_CHECKS[name]
+    source, keys = spec["source"], spec["keys"]
+    kind = "unique_combination_of_columns" if "," in keys else "unique"
+    rows = union(
+        [check_row("not_null", c, f"{c} IS NULL", source) for c in spec["filled"]]
+        + [check_row("accepted_values", c, f"{c} NOT IN ({v})", source) for c, v in spec["domains"].items()]
+        + [check_row("expression_is_true", c, f"NOT ({e})", source) for c, e in spec["ranges"].items()]
+        + [recency_row("feature_timestamp", source), duplicates_row(kind, keys, source)]
+    )
+    return f"SELECT 'gold_{name}' AS table_name, * FROM ({rows})"
+
 
 # ------------------------------------------------------------------- model, drift
 FEATURES = [
@@ -571,7 +624,8 @@ ORACLE_SQL: dict[str, str] = {
     "dq_report": f"""WITH {SILVER}, results AS ({union([*NOT_NULL_ROWS, *ACCEPTED_ROWS, *EXPRESSION_ROWS, recency_row('processed_at'),
         RATIO_ROW, duplicates_row('unique_combination_of_columns', SILVER_KEY)])})
       SELECT 'silver' AS table_name, *, {STATUS} FROM results""",
-    "dq_report_gold": f"WITH {RISK_ALL}, results AS ({RISK_CHECKS}) SELECT 'gold_risk' AS table_name, *, {STATUS} FROM results",
+    "dq_report_gold": f"""WITH {PROPONENTE}, {LOCATION_BODY}, {RISK_BODY},
+      results AS ({union([gold_check_rows(name) for name in GOLD_CHECKS])}) SELECT *, {STATUS} FROM results""",
     "ratio_outliers": f"""WITH {SILVER} SELECT proponente_id, CAST(valor_solicitado_credito AS DOUBLE) AS valor_solicitado_credito,
       CAST(renda_bruta_anual_declarada AS DOUBLE) AS renda_bruta_anual_declarada, {RATIO} AS razao_credito_renda, processed_at
       FROM silver WHERE {RATIO} > 10 AND processed_at >= {AS_OF} - INTERVAL 24 HOURS""",

@@ -353,9 +353,13 @@ def dq_report(spark, sf_dir):
 
 @query
 def dq_report_gold(spark, sf_dir):
-    """Every declared check of the table by risk class."""
-    built = gold.gold_risk(silver_table(spark, sf_dir), AS_OF)
-    return quality.gold_report("risk", staged(built, "gold-risk"), RISK_KEY, AS_OF)
+    """Every declared check of the three gold tables."""
+    rows = gold_inputs(spark, sf_dir)
+    reports = [
+        quality.gold_report(name, staged(build(rows, AS_OF), f"gold-{name}"), keys, AS_OF)
+        for name, (build, keys) in gold.MODELS.items()
+    ]
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
 @query

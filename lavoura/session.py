@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot applicants, places or risk classes are split at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where a grouping by the join key follows, at the price of one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "134217728",
 }
 

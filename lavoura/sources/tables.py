@@ -75,6 +75,11 @@ def publish(df: DataFrame, table: str, base_path: str, partition_by: Sequence[st
     return path
 
 
+def read_evolving(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet files of several schema versions under one schema, absent columns as NULL."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def register_external(spark: SparkSession, table: str, path: str) -> None:
     """Drop the name if taken and register the Parquet files at ``path`` under it."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -85,8 +90,10 @@ def merge_table(source: DataFrame, table: str, keys: Sequence[str], order_by: Se
     """Upsert into a partitioned catalog table, rewriting only the partitions touched.
 
     The partition columns must be functions of ``keys``, so that two versions of a row
-    lie in the same partition. The write is staged and moved in at commit; loading the
-    same source again leaves the same rows. New columns are appended to the table.
+    lie in the same partition. New columns are appended to the table. Rows are written
+    aside and moved in at commit, partition by partition; loading the same source again
+    leaves the same rows. Lost executors are harmless; should the driver die while it
+    moves partitions, the one in hand is still in the staging folder of the write.
     """
     spark = source.sparkSession
     partition_by = partition_columns(spark, table)

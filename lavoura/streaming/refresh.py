@@ -27,11 +27,8 @@ def merge_silver_batch(table: str):
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-        rows = with_dated_partitions(silver.build_silver(batch, now)).persist()
-        try:
-            merge_table(rows, table, SILVER_KEY, ["ingestion_timestamp"])
-        finally:
-            rows.unpersist()
+        rows = with_dated_partitions(silver.build_silver(batch, now))
+        merge_table(rows, table, SILVER_KEY, ["ingestion_timestamp"])
 
     return apply
 

@@ -4,12 +4,13 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lavoura.operators import scoring, silver
 from lavoura.schemas import BRONZE
 from lavoura.sources import events
-from lavoura.sources.tables import ensure_database, ensure_table
+from lavoura.sources.tables import ensure_database, ensure_table, read_evolving
 from lavoura.streaming import ingest, refresh
 from rows import MS, bronze
 
@@ -143,3 +144,19 @@ def test_landing_round_trip(spark, folder):
     assert sorted(map(str, back.select(keep).collect())) == sorted(map(str, rows.select(keep).collect()))
     path = rows.select(events.landing_path(F.lit("José/da Silva#1"), F.col("ingestion_timestamp"))).first()[0]
     assert path == "2024/01/08/12/José_da_Silva_1_20240108120000000000.json"
+
+
+def test_a_column_added_to_the_stream_reads_null_before(spark, folder):
+    run(ingest.append_files(stream_of(spark, f"{folder}/in", bronze(spark, {})), f"{folder}/out", f"{folder}/ck", trigger=NOW))
+    bronze(spark, {"proponente_id": "B"}).write.mode("append").parquet(f"{folder}/in")
+    wider = spark.readStream.schema(BRONZE).parquet(f"{folder}/in").withColumn("canal", F.lower("finalidade_credito"))
+    run(ingest.append_files(wider, f"{folder}/out", f"{folder}/ck", trigger=NOW))
+    got = read_evolving(spark, f"{folder}/out").select("proponente_id", "canal").collect()
+    assert sorted(map(tuple, got)) == [("B", "custeio_safra"), ("PROP_00001", None)]
+
+
+def test_connectors_that_are_not_installed_say_so(spark):
+    with pytest.raises(AnalysisException, match="kafka"):
+        ingest.kafka_source(spark, "localhost:9092", "t", "latest", fail_on_data_loss=False, max_offsets_per_trigger=10)
+    with pytest.raises(AnalysisException, match="(?i)avro"):
+        events.decode_avro(spark.range(1).select(F.lit(b"x").alias("value")), '"string"').collect()
