@@ -31,6 +31,11 @@ def latest_in_window(df: DataFrame, keys: Sequence[str], at: str, start, end, ti
     return latest_per_key(df.where(F.col(at).between(start, end)), keys, [at, *tie_break])
 
 
+def newest_stamp(df: DataFrame, column: str) -> str | None:
+    """The greatest stamp as text in the session zone, to the microsecond; None without rows."""
+    return df.agg(F.date_format(F.max(column), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("stamp")).first()["stamp"]
+
+
 def newer_than(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Source rows past the target's high-water mark; all rows when the target is empty."""
     mark = target.agg(F.coalesce(F.max(column), F.lit(EPOCH).cast("timestamp")).alias("mark"))

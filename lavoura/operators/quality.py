@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -167,17 +166,13 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
 
 
 def unexpected_values(df: DataFrame, accepted: dict[str, Sequence]) -> DataFrame:
-    """Rows per value outside its column's accepted list."""
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in accepted])
-    long = text.unpivot([], list(accepted), "column_name", "value")
-    allowed = reduce(
-        lambda a, b: a | b,
-        [
-            (F.col("column_name") == c) & F.col("value").isin(*[str(v).lower() if isinstance(v, bool) else v for v in values])
-            for c, values in accepted.items()
-        ],
-    )
-    return long.where(F.col("value").isNotNull() & ~allowed).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    """Rows per value outside its column's accepted list; only offending rows are spread out."""
+    offending = [
+        F.when(~F.col(c).isin(*values), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
+        for c, values in accepted.items()
+    ]
+    found = df.select(F.explode(F.filter(F.array(*offending), lambda o: o.isNotNull())).alias("o")).select("o.*")
+    return found.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

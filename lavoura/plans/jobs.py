@@ -58,12 +58,18 @@ def append_bronze(lake: Lakehouse, bronze: DataFrame) -> None:
 
 
 def load_silver(lake: Lakehouse, as_of: datetime | str) -> None:
-    """Merge the bronze rows past silver's high-water mark into silver."""
+    """Merge the bronze rows past silver's high-water mark into silver.
+
+    The mark is read first and used as a literal, so that older arrival months are not
+    even listed and older row groups are skipped.
+    """
     spark = lake.spark
-    bronze = spark.table(BRONZE_TABLE).drop("mes_ingestao")
+    bronze = spark.table(BRONZE_TABLE)
     shape = events.with_dated_partitions(silver.build_silver(bronze.limit(0), as_of)).schema
     ensure_table(spark, SILVER_TABLE, shape, lake.path("silver", "dados_produtores_agro"), SILVER_PARTITIONS)
-    rows = events.with_dated_partitions(silver.silver_increment(bronze, spark.table(SILVER_TABLE), as_of))
+    mark = incremental.newest_stamp(spark.table(SILVER_TABLE), "ingestion_timestamp") or incremental.EPOCH
+    arrived = bronze.where((F.col("mes_ingestao") >= mark[:7]) & (F.col("ingestion_timestamp") > instant(mark)))
+    rows = events.with_dated_partitions(silver.build_silver(arrived, as_of))
     merge_table(rows, SILVER_TABLE, SILVER_KEY, ["ingestion_timestamp"])
 
 
@@ -71,15 +77,12 @@ def build_gold(lake: Lakehouse, as_of: datetime | str, scope: str = "history") -
     """Bring the three gold tables up to date with silver."""
     spark = lake.spark
     rows = spark.table(SILVER_TABLE)
-    for name, (build, keys) in gold.MODELS.items():
+    for name, (build, _) in gold.MODELS.items():
         table, base = GOLD_TABLES[name], lake.path("gold", name)
         if spark.catalog.tableExists(table):
             stored = spark.table(table)
-            since = stored.agg(F.max("feature_timestamp").alias("m")).first()["m"]
-            if since is None:
-                result = build(rows, as_of)
-            else:
-                result = gold.refresh(name, rows, stored, F.lit(since), as_of, scope)
+            since = incremental.newest_stamp(stored, "feature_timestamp") or incremental.EPOCH
+            result = gold.refresh(name, rows, stored, since, as_of, scope)
         else:
             result = build(rows, as_of)
         publish(result, table, base)
