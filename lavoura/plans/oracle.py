@@ -587,6 +587,14 @@ ORACLE_SQL: dict[str, str] = {
           AND i.valor_solicitado_credito = t.valor_solicitado_credito)""",
     "recent_rows": f"""WITH {SILVER} SELECT {KEY_OUT}, ingestion_timestamp FROM silver
       WHERE ingestion_timestamp >= {AS_OF} - INTERVAL 2160 HOURS""",
+    "stream_bronze": f"WITH {APPLICATIONS}, flat AS (SELECT {SILVER_COLUMNS} FROM app) SELECT {SILVER_OUT} FROM flat",
+    "stream_silver": f"""WITH {SILVER} SELECT CAST(year(data_solicitacao) AS INTEGER) AS ano, CAST(month(data_solicitacao) AS INTEGER) AS mes,
+      faixa_risco_credito, registro_valido, count(*) AS n, CAST(sum(valor_solicitado_credito) AS DOUBLE) AS valor,
+      min(row_hash) AS first_hash, max(row_hash) AS last_hash FROM silver GROUP BY ALL""",
+    "stream_scores": f"""WITH {SCORED} SELECT proponente_id, data_solicitacao, 'success' AS status, s AS score,
+      least(CAST(valor AS DOUBLE), CAST(renda AS DOUBLE) * {D(0.3)}) * ({D(0.5)} + s * {D(0.5)}) AS credit_limit,
+      CASE WHEN s > {D(0.7)} THEN 'LOW' WHEN s > {D(0.4)} THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level,
+      CASE WHEN s > {D(0.6)} THEN 'APPROVE' WHEN s > {D(0.3)} THEN 'MANUAL_REVIEW' ELSE 'DENY' END AS recommendation FROM scored""",
     "gold_proponente": f"WITH {PROPONENTE} SELECT * FROM gold",
     "gold_location": f"WITH {LOCATION} SELECT * FROM lgold",
     "gold_risk": f"WITH {RISK_ALL} SELECT * FROM rgold",

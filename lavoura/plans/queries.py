@@ -18,8 +18,10 @@ from ..operators import categories, drift, enrichment, features, gold, increment
 from ..schemas import CROPS, LOCATION_KEY, MONEY, PERSON_TYPES, PROPERTY_CLASSES, PURPOSES, RISK_BANDS, RISK_KEY, SILVER_KEY
 from ..session import prepare
 from ..sources import events
-from ..sources.applications import bronze_applications, table
-from ..sources.staging import staged
+from ..sources.applications import bronze_applications, table, table_stream
+from ..sources.staging import staged, work_folder
+from ..sources.tables import ensure_table
+from ..streaming import ingest, refresh
 
 # After the last order; before it the load mark of the incremental queries.
 AS_OF = "2001-09-01 00:00:00"
@@ -301,6 +303,56 @@ def table_stats(spark, sf_dir):
     return stats.table_stats(silver_table(spark, sf_dir), exact=True)
 
 
+# -- streams -----------------------------------------------------------------
+
+UNTIL_DONE = {"availableNow": True}
+
+
+def _finish(running) -> None:
+    running.awaitTermination()
+
+
+def _application_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze_applications(spark, sf_dir, table_stream(spark, sf_dir, "orders"))
+
+
+@query
+def stream_bronze(spark, sf_dir):
+    """Applications streamed as JSON messages into nested bronze, then read back."""
+    folder = work_folder(spark, "stream-bronze")
+    messages = events.to_messages(_application_stream(spark, sf_dir), "dados_produtores")
+    _finish(ingest.ingest_nested(messages, f"{folder}/bronze", f"{folder}/offsets", UNTIL_DONE))
+    return silver.flatten(spark.read.parquet(f"{folder}/bronze"))
+
+
+@query
+def stream_silver(spark, sf_dir):
+    """Applications streamed twice into a silver table: the merge leaves one row per key."""
+    folder = work_folder(spark, "stream-silver")
+    name = f"lavoura_silver_{folder.rsplit('-', 1)[1]}"
+    bronze = _application_stream(spark, sf_dir)
+    shape = events.with_dated_partitions(silver.build_silver(bronze, AS_OF)).schema
+    ensure_table(spark, name, shape, f"{folder}/silver", refresh.SILVER_PARTITIONS)
+    for round_of in ("first", "again"):
+        _finish(refresh.stream_silver(bronze, name, f"{folder}/offsets-{round_of}", UNTIL_DONE))
+    spark.sql(f"DROP TABLE {name}")
+    stored = spark.read.parquet(f"{folder}/silver")
+    return stored.groupBy("ano", "mes", "faixa_risco_credito", "registro_valido").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("valor_solicitado_credito").cast("double").alias("valor"),
+        F.min("row_hash").alias("first_hash"),
+        F.max("row_hash").alias("last_hash"),
+    )
+
+
+@query
+def stream_scores(spark, sf_dir):
+    """Decisions for a stream of requests."""
+    folder = work_folder(spark, "stream-scores")
+    _finish(refresh.stream_scores(_application_stream(spark, sf_dir), f"{folder}/scores", f"{folder}/offsets", UNTIL_DONE))
+    return spark.read.parquet(f"{folder}/scores").drop("timestamp")
+
+
 # -- quality -----------------------------------------------------------------
 
 
@@ -490,6 +542,15 @@ def ml_target(spark, sf_dir):
     return training.with_target(_imputed(spark, sf_dir)).select("proponente_id", "default_probability", "target_default")
 
 
+@query
+def ml_train(spark, sf_dir):
+    """Split, standardise, train the forest and measure it on the part held back."""
+    labelled = staged(training.with_target(_imputed(spark, sf_dir)), "labelled")
+    fitting, testing = training.split(labelled)
+    model = training.train(fitting)
+    return training.classification_metrics(training.predict(model, testing), "target_default", "prediction")
+
+
 @query
 def classification_metrics(spark, sf_dir):
     """Quality labels against 'not toxic' as the prediction."""

@@ -21,9 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def flat_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applications with every field at the top level (times in epoch ms)."""
-    orders = table(spark, sf_dir, "orders")
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a stream of files.
+
+    A stream takes a plain path for a folder; as a pattern it may also be a single file.
+    """
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
+def flat_applications(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Applications with every field at the top level (times in epoch ms).
+
+    ``orders`` may be a stream; the other tables are then looked up in each micro-batch.
+    """
+    orders = table(spark, sf_dir, "orders") if orders is None else orders
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     quantity = (
@@ -73,10 +84,9 @@ def flat_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_applications(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Applications as nested bronze rows."""
-    flat = flat_applications(spark, sf_dir)
-    return nest(flat)
+    return nest(flat_applications(spark, sf_dir, orders))
 
 
 def nest(flat: DataFrame) -> DataFrame:

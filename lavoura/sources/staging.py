@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -29,6 +30,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df if root is None else _written(df, f"{root.rstrip('/')}/lavoura/{label}-{uuid.uuid4().hex}")
 
 
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A new folder for a job that cannot do without one, such as a stream's output.
+
+    It lies in the shared checkpoint folder. Only a session that runs on this machine
+    alone may lack that setting.
+    """
+    root = checkpoint_root(spark)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="lavoura-")
+    return f"{root.rstrip('/')}/lavoura/{label}-{uuid.uuid4().hex}"
+
+
 def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

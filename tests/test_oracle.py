@@ -18,7 +18,7 @@ def con():
 
 def test_every_twin_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"table_health"}
+    assert set(QUERIES) - set(ORACLE) == {"table_health", "ml_train"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -34,6 +34,11 @@ def test_table_health_sees_every_table(spark):
     assert rows["orders"]["issues"] == "small_files"
 
 
+def test_training_repeats(spark):
+    first, again = (QUERIES["ml_train"](spark, SF_DIR).first() for _ in range(2))
+    assert first == again and first["n"] > 0 and 0 <= first["accuracy"] <= 1
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 50
 

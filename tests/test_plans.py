@@ -30,7 +30,8 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# Streams and training run their plans before they return.
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n != "ml_train" and not n.startswith("stream_")))
 def test_no_cross_join_and_no_python(spark, whole_plans, name):
     plan = physical(QUERIES[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonUDF", "MapInPandas"):
