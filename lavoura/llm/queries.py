@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lavoura.llm.near_text import near_duplicates
+from lavoura.llm.passages import without_repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +19,13 @@ def op5_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` covered by a 20-word window that starts earlier, removed."""
+    return without_repeats(table(spark, sf_dir, "documents"), width=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_text": op5_near_text,
+    "op6_passages": op6_passages,
 }
 ORACLE_SQL: dict[str, str] = {}
