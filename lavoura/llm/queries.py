@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lavoura.llm.near_text import near_duplicates
 from lavoura.llm.passages import without_repeats
+from lavoura.llm.suffixes import without_repeated_bytes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +25,14 @@ def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), width=20)
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of ``documents`` covered by a 400-byte string that also starts elsewhere, removed."""
+    return without_repeated_bytes(table(spark, sf_dir, "documents"), length=400)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_text": op5_near_text,
     "op6_passages": op6_passages,
+    "op8_suffixes": op8_suffixes,
 }
 ORACLE_SQL: dict[str, str] = {}
