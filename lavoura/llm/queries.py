@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lavoura.llm.hnsw import near_vectors
 from lavoura.llm.near_text import near_duplicates
 from lavoura.llm.passages import without_repeats
+from lavoura.llm.projections import nearest
 from lavoura.llm.suffixes import without_repeated_bytes
 
 
@@ -15,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of ``embeddings`` linked at cosine 0.95."""
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op5_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of ``documents`` on 2-word shingles at similarity 0.8."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
@@ -30,9 +37,17 @@ def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_bytes(table(spark, sf_dir, "documents"), length=400)
 
 
+def op10_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest rows of ``embeddings`` for every row whose vec_id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_hnsw": op3_hnsw,
     "op5_near_text": op5_near_text,
     "op6_passages": op6_passages,
     "op8_suffixes": op8_suffixes,
+    "op10_projections": op10_projections,
 }
 ORACLE_SQL: dict[str, str] = {}
