@@ -9,7 +9,8 @@ compared on their full shingle sets, so every link is exact.
 A bucket of a band may hold a third of all sets, so its pairs are never listed. First every set
 is compared with one bucket fellow, the smallest set of the bucket it shares most bands with,
 and linked sets become one component. Only buckets that still hold several components are
-looked at again, and there only pairs across components, in blocks of bounded size.
+looked at again, and there only pairs across components, in blocks of bounded size: each set
+with its likeliest partner, as long as that joins components, and at last with all plausible ones.
 """
 
 from __future__ import annotations
@@ -87,8 +88,8 @@ def least_matches(threshold: float, miss: float) -> dict[int, int]:
     return out
 
 
-def plausible(a: np.ndarray, b: np.ndarray, least: dict[int, int]) -> np.ndarray:
-    """Indices of the row pairs of two signature arrays that no batch rules out."""
+def plausible(a: np.ndarray, b: np.ndarray, least: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of the row pairs of two signature arrays that no batch rules out, and their matches."""
     alive, matches, done = np.arange(len(a)), np.zeros(len(a), np.int64), 0
     for t, m in least.items():
         matches += (a[alive, done:t] == b[alive, done:t]).sum(axis=1)
@@ -96,7 +97,7 @@ def plausible(a: np.ndarray, b: np.ndarray, least: dict[int, int]) -> np.ndarray
         alive, matches, done = alive[keep], matches[keep], t
         if not len(alive):
             break
-    return alive
+    return alive, matches
 
 
 def _described(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -138,7 +139,7 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int, least: dict[int,
             part = batch.slice(at, 512)
             keep = np.arange(part.num_rows)
             if prune:
-                keep = plausible(_signatures(part.column("sig_a")), _signatures(part.column("sig_b")), least)
+                keep = plausible(_signatures(part.column("sig_a")), _signatures(part.column("sig_b")), least)[0]
             part = part.take(pa.array(keep))
             linked = []
             for x, y in zip(part.column("set_a").to_pylist(), part.column("set_b").to_pylist(), strict=True):
@@ -154,8 +155,9 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int, least: dict[int,
             yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _across(table: pa.Table, least: dict[int, int]) -> pa.Table:
-    """Plausible pairs of different components inside each block cell of a bundle."""
+def _across(table: pa.Table, least: dict[int, int], likeliest: bool) -> pa.Table:
+    """Plausible pairs of different components inside each block cell of a bundle: all of them, or
+    for each row the likeliest one."""
     cell = table.column("cell").to_numpy()
     order = np.argsort(cell, kind="stable")
     cell = cell[order]
@@ -170,12 +172,54 @@ def _across(table: pa.Table, least: dict[int, int]) -> pa.Table:
         # Side 1 holds the bucket's largest component only: no pairs inside it.
         for i in rows[side[rows] == 0]:
             others = rows[(comp[rows] != comp[i]) & ((side[rows] == 1) | (rows > i))]
-            if len(others):
-                hits = others[plausible(np.broadcast_to(sig[i], (len(others), HASHES)), sig[others], least)]
-                pairs.update((min(rep[i], rep[j]), max(rep[i], rep[j])) for j in hits)
+            if not len(others):
+                continue
+            hits, matches = plausible(np.broadcast_to(sig[i], (len(others), HASHES)), sig[others], least)
+            if likeliest:
+                hits = hits[matches == matches.max(initial=0)][:1]
+            pairs.update((min(rep[i], rep[j]), max(rep[i], rep[j])) for j in others[hits])
     return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
 
 
+def _searching(least: dict[int, int], likeliest: bool):
+    return lambda table: _across(table, least, likeliest)
+
+
+def _cells(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """(rep, comp, side, cell) of the buckets that hold several components.
+
+    A bucket's rows are cut into blocks, those of its largest component (side 1) apart from the
+    rest. A cell is a block of the largest component with one of the rest, or two of the rest.
+    """
+    placed = members.join(joined, members.rep == joined.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    rows = staged(placed.join(split, "key"), "near-open")
+    per_comp = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    largest = per_comp.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"))
+    sized = largest.select(
+        "key",
+        F.col("top.comp").alias("top_comp"),
+        F.ceil(F.col("top.n") / BLOCK).alias("n_top"),
+        F.ceil((F.col("total") - F.col("top.n")) / BLOCK).alias("n_rest"),
+    )
+    sides = rows.join(staged(sized, "near-sized"), "key").withColumn("side", (F.col("comp") == F.col("top_comp")).cast("int"))
+    own_blocks = F.when(F.col("side") == 1, F.col("n_top")).otherwise(F.col("n_rest"))
+    sides = sides.withColumn("block", F.pmod(F.xxhash64("rep"), own_blocks))
+
+    def numbers(upto):
+        return F.sequence(F.lit(0).cast("long"), F.col(upto) - 1)
+
+    def pair(i, j):
+        return F.struct(i.alias("i"), j.alias("j"))
+
+    block = F.col("block")
+    of_top = F.transform(numbers("n_rest"), lambda i: pair(i, F.col("n_rest") + block))
+    with_rest = F.transform(numbers("n_rest"), lambda j: pair(F.least(block, j), F.greatest(block, j)))
+    with_top = F.transform(numbers("n_top"), lambda j: pair(block, F.col("n_rest") + j))
+    cell = F.explode(F.when(F.col("side") == 1, of_top).otherwise(F.concat(with_rest, with_top))).alias("c")
+    return sides.select("rep", "comp", "side", "key", cell).select("rep", "comp", "side", F.xxhash64("key", "c.i", "c.j").alias("cell"))
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -224,44 +268,31 @@ def near_duplicates(
     best = votes.groupBy("rep").agg(F.max(F.struct("n", (-F.col("pivot")).alias("p"))).alias("best"))
     pairs = best.select(F.col("rep").alias("a"), (-F.col("best.p")).alias("b"))
     first_links = staged(linked(pairs, True), "near-links")
-    first = staged(components(first_links, "near-first"), "near-first")
 
     # What is left: pairs of one bucket in different components.
-    placed = members.join(first, members.rep == first.node, "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("comp")
-    )
-    split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    open_rows = staged(placed.join(split, "key"), "near-open")
-    per_comp = open_rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    largest = per_comp.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("total"))
-    sized = largest.select(
-        "key",
-        F.col("top.comp").alias("top_comp"),
-        F.ceil(F.col("top.n") / BLOCK).alias("n_top"),
-        F.ceil((F.col("total") - F.col("top.n")) / BLOCK).alias("n_rest"),
-    )
-    sides = open_rows.join(staged(sized, "near-sized"), "key").withColumn("side", (F.col("comp") == F.col("top_comp")).cast("int"))
-    sides = sides.withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("side") == 1, F.col("n_top")).otherwise(F.col("n_rest"))))
-    # Cells: a block of the largest component with a block of the rest, or two blocks of the rest.
-    rest = F.transform(F.sequence(F.lit(0), F.col("n_rest").cast("int") - 1), lambda j: F.struct(F.least(F.col("block"), j.cast("long")).alias("i"), F.greatest(F.col("block"), j.cast("long")).alias("j")))
-    tops = F.transform(F.sequence(F.lit(0), F.col("n_top").cast("int") - 1), lambda j: F.struct(F.col("block").alias("i"), (F.col("n_rest") + j).cast("long").alias("j")))
-    own = F.transform(F.sequence(F.lit(0), F.col("n_rest").cast("int") - 1), lambda j: F.struct(j.cast("long").alias("i"), (F.col("n_rest") + F.col("block")).cast("long").alias("j")))
-    cells = sides.select(
-        "rep", "comp", "side", "key",
-        F.explode(F.when(F.col("side") == 1, own).otherwise(F.concat(rest, tops))).alias("c"),
-    ).select("rep", "comp", "side", F.xxhash64("key", "c.i", "c.j").alias("cell"))
-    cells = staged(cells, "near-cells")
-    bundles = max(1, math.ceil(cells.count() / (4 * BLOCK)))
-    more = (
-        cells.join(sets.select("rep", "sig"), "rep")
-        .withColumn("bundle", F.pmod("cell", F.lit(bundles)))
-        .groupBy("bundle")
-        .applyInArrow(lambda t: _across(t, least), "a long, b long")
-    )
-    more_links = staged(linked(more.distinct(), False), "near-more")
+    links, joined = first_links, staged(components(first_links, "near-first"), "near-first")
+    likeliest = True
+    while True:
+        cells = staged(_cells(members, joined), "near-cells")
+        rows = cells.count()
+        if not rows:
+            break
+        pairs = (
+            cells.join(sets.select("rep", "sig"), "rep")
+            .withColumn("bundle", F.pmod("cell", F.lit(math.ceil(rows / (4 * BLOCK)))))
+            .groupBy("bundle")
+            .applyInArrow(_searching(least, likeliest), "a long, b long")
+        )
+        more = staged(linked(pairs.distinct(), False), "near-more")
+        if not more.isEmpty():
+            links = joined.selectExpr("node a", "component b").union(more)
+            joined = staged(components(links, "near-more"), "near-components")
+        elif likeliest:
+            likeliest = False
+            continue
+        if not likeliest:
+            break
 
-    links = first.selectExpr("node a", "component b").union(more_links)
-    joined = staged(components(links, "near-all"), "near-components")
     merged = classes.join(joined, classes.rep == joined.node, "left").select(
         "digest", F.coalesce("component", "rep").alias("class_component")
     )
