@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from lavoura.llm.chunks import Chunk, Questions, answers, each_chunk, packed
 from lavoura.llm.common import mixed, rolling, staged
 
-CHUNK_BYTES, BUCKET_BYTES, RANGE_BYTES = 2 << 20, 32 << 20, 64 << 20
+CHUNK_BYTES, BUCKET_BYTES, RANGE_BYTES = 2 << 20, 32 << 20, 16 << 20
 #: Bytes of the substrings whose hashes choose anchors.
 GRAM = 64
-#: Strings of names below this length are sorted symbol by symbol.
-SMALL = 10_000
+#: Strings of names below this length end the recursion.
+SMALL = 100_000
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
@@ -141,7 +141,7 @@ def suffix_array(s: np.ndarray, sigma: int, most: int | None = None) -> np.ndarr
 
     Suffixes are classified, leftmost-smaller substrings are sorted by induction and named, the
     string of names is sorted by recursion where names repeat, and all suffixes are induced
-    from that. Recursion goes over to plain lists where ``most`` names or more are left.
+    from that. Recursion ends where ``most`` names or more are left.
     """
     n = len(s)
     if n < 2:
@@ -168,8 +168,8 @@ def suffix_array(s: np.ndarray, sigma: int, most: int | None = None) -> np.ndarr
     ranks = np.concatenate(([0], np.cumsum(~same)))
     names[number] = ranks
     if ranks[-1] + 1 < len(lms):
-        deeper = _suffixes_in_lists if most is not None and len(lms) >= most else _suffixes_of_names
-        order = deeper(names, int(ranks[-1]) + 1)
+        shrinks = most is None or len(lms) < most
+        order = _suffixes_of_names(names, int(ranks[-1]) + 1) if shrinks else _suffixes_by_doubling(names)
     else:
         order = np.argsort(names)
     return _induce(s, smaller, lms[order], sigma)
@@ -196,7 +196,7 @@ def _suffixes_of_names(names: np.ndarray, sigma: int) -> np.ndarray:
     """
     n = len(names)
     if n < SMALL:
-        return _suffixes_in_lists(names, sigma)
+        return _suffixes_by_doubling(names)
     if sigma <= 1024:
         return suffix_array(names, sigma)
     base = math.isqrt(sigma - 1) + 1
@@ -204,59 +204,23 @@ def _suffixes_of_names(names: np.ndarray, sigma: int) -> np.ndarray:
     return sa[sa % 2 == 0] // 2
 
 
-def _suffixes_in_lists(names: np.ndarray, sigma: int) -> np.ndarray:
-    """As ``suffix_array``, symbol by symbol, for short strings of many symbols."""
-    n = len(names)
-    if n < 2:
-        return np.arange(n)
-    smaller = _types(names)
-    lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
-    s, small = names.tolist(), smaller.tolist()
-    counts = np.bincount(names, minlength=sigma)
-    ends = np.cumsum(counts)
-    heads = (ends - counts).tolist()
-    ends = ends.tolist()
-
-    def induce(seeds: list[int]) -> list[int]:
-        sa = [-1] * n
-        tail = ends[:]
-        for i in reversed(seeds):
-            tail[s[i]] -= 1
-            sa[tail[s[i]]] = i
-        head = heads[:]
-        sa[head[s[n - 1]]] = n - 1
-        head[s[n - 1]] += 1
-        for j in range(n):
-            i = sa[j] - 1
-            if i >= 0 and not small[i]:
-                c = s[i]
-                sa[head[c]] = i
-                head[c] += 1
-        tail = ends[:]
-        for j in range(n - 1, -1, -1):
-            i = sa[j] - 1
-            if i >= 0 and small[i]:
-                c = s[i]
-                tail[c] -= 1
-                sa[tail[c]] = i
-        return sa
-
-    if len(lms) < 2:
-        return np.array(induce(lms.tolist()))
-    sa = np.array(induce(lms.tolist()))
-    at = np.full(n, -1, np.int64)
-    at[lms] = np.arange(len(lms))
-    ordered = sa[at[sa] >= 0]
-    number = at[ordered]
-    lengths = np.append(lms[1:] + 1, n) - lms
-    la, lb = lengths[number[:-1]], lengths[number[1:]]
-    same = (la == lb) & (number[:-1] != len(lms) - 1) & (number[1:] != len(lms) - 1)
-    same = _equal(names, ordered[:-1], ordered[1:], la, same)
-    ranks = np.concatenate(([0], np.cumsum(~same)))
-    inner = np.empty(len(lms), np.int64)
-    inner[number] = ranks
-    order = _suffixes_in_lists(inner, int(ranks[-1]) + 1) if ranks[-1] + 1 < len(lms) else np.argsort(inner)
-    return np.array(induce(lms[order].tolist()))
+def _suffixes_by_doubling(names: np.ndarray) -> np.ndarray:
+    """Where recursion ends: ranks of runs of 1, 2, 4, ... names until all differ."""
+    n, size = len(names), 1
+    rank = names.astype(np.int64)
+    base = max(n, int(rank.max(initial=0)) + 1) + 1
+    while True:
+        after = np.zeros(n, np.int64)
+        after[: max(0, n - size)] = rank[size:] + 1
+        key = rank * base + after
+        order = np.argsort(key, kind="stable")
+        new = np.ones(n, bool)
+        new[1:] = key[order][1:] != key[order][:-1]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(new) - 1
+        if new.all():
+            return order
+        size *= 2
 
 
 def common_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
@@ -316,7 +280,10 @@ class Anchors:
         #: The starts of all strings, and the number of each one's anchor in ``places``.
         self.starts = starts
         anchor = (low_bits - (key[starts] & low_bits)).astype(np.int64)
-        self.places, self.anchor = np.unique(anchor, return_inverse=True)
+        # Anchors ascend with the strings.
+        new = np.ones(len(anchor), bool)
+        new[1:] = anchor[1:] != anchor[:-1]
+        self.places, self.anchor = anchor[new], np.cumsum(new) - 1
         self.keys = hashes[self.places]
         reach = length - gram
         self.left = np.maximum(self.places - reach, low[self.places]) if n else self.places
@@ -474,27 +441,33 @@ def _open(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterato
             )
 
 
+def _covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
+    """Which of n places lie within ``length`` of one of ``starts`` (all different)."""
+    edges = np.zeros(n + 1, np.int8)
+    edges[starts] += 1
+    edges[starts + length] -= 1
+    return np.cumsum(edges[:-1], dtype=np.int32) > 0
+
+
 def _equal_strings(joined: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct strings at ``starts`` by suffix array: their fingerprints (ascending), the number
     of the one at each start, and which ones stand at several starts."""
     if not len(starts):
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
     # The covered text, its pieces separated by symbol 0.
-    edges = np.zeros(len(joined) + 1, np.int32)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, starts + length, -1)
-    covered = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
+    inside = _covered(starts, length, len(joined))
+    covered, number = np.flatnonzero(inside), np.cumsum(inside) - 1
     piece = np.cumsum(np.concatenate(([0], (np.diff(covered) > 1).astype(np.int64))))
     s = np.zeros(len(covered) + int(piece[-1]), np.uint16)
     at = np.arange(len(covered)) + piece
     s[at] = joined[covered].astype(np.uint16) + 1
-    begin = at[np.searchsorted(covered, starts)]
+    begin = at[number[starts]]
     sa = suffix_array(s, 257)
     shared = common_prefixes(s, sa)
     label = np.empty(len(s), np.int64)
     label[sa] = np.cumsum(shared[sa] < length)
     kinds, first, members, sizes = np.unique(label[begin], return_index=True, return_inverse=True, return_counts=True)
-    codes = rolling(_BYTE[joined[covered]], length)[np.searchsorted(covered, starts[first])]
+    codes = rolling(_BYTE[joined[covered]], length)[number[starts[first]]]
     order = np.argsort(codes, kind="stable")
     place = np.empty(len(kinds), np.int64)
     place[order] = np.arange(len(kinds))
@@ -513,6 +486,7 @@ def _kept(batches: Iterator[pa.RecordBatch], length: int, parts: int, with_text:
         for row in range(batch.num_rows):
             chunk = Chunk(batch, row)
             edges = np.zeros(len(chunk.joined) + 1, np.int64)
+            gone = np.zeros(len(chunk.joined), bool)
             if batch.column("marks")[row].is_valid:
                 marks = np.frombuffer(batch.column("marks")[row].as_py(), np.int64).reshape(-1, 2)
                 np.add.at(edges, marks[:, 0], 1)
@@ -525,10 +499,8 @@ def _kept(batches: Iterator[pa.RecordBatch], length: int, parts: int, with_text:
                     yes = yes[questions.back] | (questions.counts > 1)[questions.back]
                     yes = yes | np.unpackbits(np.frombuffer(batch.column("several")[row].as_py(), np.uint8), count=len(codes)).astype(bool)
                     places, members = _unsqueezed(batch.column("places")[row].as_py()), _unsqueezed(batch.column("members")[row].as_py())
-                    bad = places[yes[members]]
-                    np.add.at(edges, bad, 1)
-                    np.add.at(edges, bad + length, -1)
-            gone = np.cumsum(edges[:-1]) > 0
+                    gone = _covered(places[yes[members]], length, len(gone))
+            gone |= np.cumsum(edges[:-1]) > 0
             removed, spans, digests, texts = [], [], [], []
             joined = np.frombuffer(chunk.joined, np.uint8)
             for end, n in zip(chunk.ends.tolist(), chunk.lengths.tolist(), strict=True):
