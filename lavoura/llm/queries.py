@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lavoura.llm.hnsw import near_vectors
+from lavoura.llm.mixing import mixed
 from lavoura.llm.near_text import near_duplicates
 from lavoura.llm.passages import without_repeats
 from lavoura.llm.projections import nearest
@@ -32,6 +34,17 @@ def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), width=20)
 
 
+def label_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, weight): labelled good documents weigh 2, poor ones a half, toxic ones a tenth."""
+    weight = F.when(F.col("toxic") == 1, 0.1).when(F.col("quality") == 1, 2.0).otherwise(0.5)
+    return table(spark, sf_dir, "labels").select("doc_id", weight.alias("weight"))
+
+
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` mixed to 150% of their size, sources weighing 3, 1, 2 in turn."""
+    return mixed(table(spark, sf_dir, "documents"), label_weights(spark, sf_dir))
+
+
 def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of ``documents`` covered by a 400-byte string that also starts elsewhere, removed."""
     return without_repeated_bytes(table(spark, sf_dir, "documents"), length=400)
@@ -47,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_hnsw": op3_hnsw,
     "op5_near_text": op5_near_text,
     "op6_passages": op6_passages,
+    "op7_mix": op7_mix,
     "op8_suffixes": op8_suffixes,
     "op10_projections": op10_projections,
 }
