@@ -13,12 +13,25 @@ from lavoura.llm.near_text import near_duplicates
 from lavoura.llm.passages import without_repeats
 from lavoura.llm.projections import nearest
 from lavoura.llm.suffixes import without_repeated_bytes
+from lavoura.llm.token_files import encoded
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of ``documents`` written as Re-Pair shards and read back."""
+    return encoded(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op3_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of ``embeddings`` linked at cosine 0.95."""
     return near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
@@ -57,6 +70,7 @@ def op10_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_repair": op2_repair,
     "op3_hnsw": op3_hnsw,
     "op5_near_text": op5_near_text,
     "op6_passages": op6_passages,
