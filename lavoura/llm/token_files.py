@@ -27,7 +27,7 @@ from lavoura.llm.common import CACHE_WORDS, shared_folder, text_bytes
 SHARD_IDS, TASK_BYTES = 1 << 20, 32 << 20
 #: A pair is replaced if it occurs so often; rounds and rules per round at most; a round must
 #: shorten the shard by this share for another one to follow.
-LEAST, ROUNDS, RULES, GAIN = 8, 12, 8192, 0.01
+LEAST, ROUNDS, RULES, GAIN = 8, 12, 8192, 0.02
 #: Symbols of a shard that fit in 16 bits; with a larger alphabet rules are not added.
 SYMBOLS = 1 << 16
 
@@ -57,6 +57,23 @@ class Encoder(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.parts: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _letters(self, strings: list[str]) -> list[bytes]:
+        """As ``_of`` for strings of letters, many at once: each ends with a token that ends a word."""
+        out = []
+        for at in range(0, len(strings), 100):
+            some = strings[at : at + 100]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some):
+                raw, stops = ids.tobytes(), (4 * ends).tolist()
+                out += [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+            else:
+                out += self._of(some)
+        return out
 
     def _of(self, strings: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
@@ -66,7 +83,7 @@ class Encoder(dict):
         if len(self) + len(words) > CACHE_WORDS:
             self.clear()
             self.parts = {"": b""}
-        split, plain, odd = [], set(), []
+        split, letters, marks, odd = [], set(), set(), []
         for word in words:
             text = word.decode()
             # Special tokens are looked for before case is changed.
@@ -76,27 +93,26 @@ class Encoder(dict):
             else:
                 pair = match[1].lower(), match[2]
                 split.append((word, pair))
-                plain.update(pair)
-        new = list(plain - self.parts.keys())
-        self.parts.update(zip(new, self._of(new), strict=True))
-        for word, (letters, marks) in split:
-            self[word] = self.parts[letters] + self.parts[marks]
+                letters.add(pair[0])
+                marks.add(pair[1])
+        for known, encode in ((letters, self._letters), (marks, self._of)):
+            new = list(known - self.parts.keys())
+            self.parts.update(zip(new, encode(new), strict=True))
+        for word, (first, second) in split:
+            self[word] = self.parts[first] + self.parts[second]
         self.update(zip((w for w, _ in odd), self._of([t for _, t in odd]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split(b" ") if b"\n" not in t else t.replace(b"\n", b" ").split(b" ") for t in texts]
-        out = []
-        new = set()
-        for words in split:
-            new.update(words)
-        new -= self.keys()
+        split = [t.replace(b"\n", b" ").split(b" ") for t in texts]
+        found = [list(map(self.get, words)) for words in split]
+        gaps = [[i for i, x in enumerate(f) if x is None] if None in f else [] for f in found]
+        new = {words[i] for words, gap in zip(split, gaps, strict=True) for i in gap}
         if new:
             self.learn(new)
-            if not all(map(self.__contains__, set().union(*split))):
-                self.learn(set().union(*split) - self.keys())
-        for words in split:
-            out.append(np.frombuffer(b"".join(map(self.__getitem__, words)), "<u4"))
-        return out
+        for words, f, gap in zip(split, found, gaps, strict=True):
+            for i in gap:
+                f[i] = self[words[i]]
+        return [np.frombuffer(b"".join(f), "<u4") for f in found]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -119,7 +135,9 @@ def compress(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """
     present = np.unique(ids)
     size = len(present)
-    body = np.searchsorted(present, ids).astype(np.uint32)
+    number = np.zeros(int(present[-1]) + 1 if size else 0, np.uint32)
+    number[present] = np.arange(size)
+    body = number[ids]
     starts = np.zeros(len(ids) + 1, bool)
     starts[cuts] = True
     rules: list[np.ndarray] = []
