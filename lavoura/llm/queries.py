@@ -11,7 +11,9 @@ from lavoura.llm.hnsw import near_vectors
 from lavoura.llm.mixing import mixed
 from lavoura.llm.near_text import near_duplicates
 from lavoura.llm.passages import without_repeats
+from lavoura.llm.private import personal_data
 from lavoura.llm.projections import nearest
+from lavoura.llm.quality import graded
 from lavoura.llm.suffixes import without_repeated_bytes
 from lavoura.llm.token_files import encoded
 
@@ -37,6 +39,17 @@ def op3_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
 
 
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, grade) from the labels: 0 toxic, 1 poor, 2 good."""
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    return table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and chances of the best and worst grade of all ``documents``."""
+    return graded(table(spark, sf_dir, "documents"), ratings(spark, sf_dir))
+
+
 def op5_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of ``documents`` on 2-word shingles at similarity 0.8."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
@@ -63,6 +76,11 @@ def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeated_bytes(table(spark, sf_dir, "documents"), length=400)
 
 
+def op9_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all ``documents``."""
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 nearest rows of ``embeddings`` for every row whose vec_id is divisible by 50."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -72,10 +90,12 @@ def op10_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repair": op2_repair,
     "op3_hnsw": op3_hnsw,
+    "op4_quality": op4_quality,
     "op5_near_text": op5_near_text,
     "op6_passages": op6_passages,
     "op7_mix": op7_mix,
     "op8_suffixes": op8_suffixes,
+    "op9_private": op9_private,
     "op10_projections": op10_projections,
 }
 ORACLE_SQL: dict[str, str] = {}
