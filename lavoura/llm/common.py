@@ -92,13 +92,16 @@ def rolling(h: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
-def components(edges: DataFrame, label: str) -> DataFrame:
+def components(edges: DataFrame, label: str, rounds: int | None = None) -> DataFrame:
     """(node, component): the smallest node reachable over ``edges`` (a, b), for every node in them.
 
     Alternates large-star and small-star steps on tables in the shared folder until nothing
     changes, so neither links nor components ever meet in one place. A star's centre is an
     aggregate with map-side partial results and is joined back from a staged table, a plain
     equi-join that adaptive execution can split when one centre has most of the links.
+
+    With ``rounds``, stops after so many: nodes then have a smaller node of their component, and
+    nodes of one component may still have several.
     """
     now = staged(
         edges.where("a != b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct(),
@@ -109,8 +112,9 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         row = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)")).alias("s")).first()
         return row["n"], row["s"]
 
-    before = state(now)
-    while before[0]:
+    before, done = (1, 0) if rounds else state(now), 0
+    while before[0] and done != rounds:
+        done += 1
         # Large star: every larger neighbour is linked to the smallest neighbour (or the node itself).
         both = now.selectExpr("low u", "high v").union(now.selectExpr("high u", "low v"))
         least = staged(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), f"{label}-large")
@@ -121,9 +125,12 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         joined = now.join(least, "high")
         now = joined.selectExpr("m low", "low high").where("low < high").union(least.selectExpr("m low", "high")).distinct()
         now = staged(now, f"{label}-links")
-        after = state(now)
+        after = () if rounds else state(now)
         if after == before:
             break
-        before = after
-    # Every node now hangs on its component's smallest node.
-    return now.selectExpr("high node", "low component").union(now.selectExpr("low node", "low component").distinct())
+        before = after or before
+    # Every node now hangs on its component's smallest node (or, stopped early, on some smaller ones).
+    hangs = now.selectExpr("high node", "low component")
+    if rounds:
+        return hangs.groupBy("node").agg(F.min("component").alias("component"))
+    return hangs.union(now.selectExpr("low node", "low component").distinct())

@@ -10,7 +10,7 @@ A bucket of a band may hold a third of all sets, so its pairs are never listed.
 is compared with one bucket fellow, the smallest set of the bucket it shares most bands with,
 and linked sets become one component. Only buckets that still hold several components are
 looked at again, and there only pairs across components, in blocks of bounded size: each set
-with its likeliest partner, as long as that joins components, and at last with all plausible ones.
+with its likeliest partner, twice if that joins components, and at last with all plausible ones.
 """
 
 from __future__ import annotations
@@ -269,10 +269,13 @@ def near_duplicates(
     pairs = best.select(F.col("rep").alias("a"), (-F.col("best.p")).alias("b"))
     first_links = staged(linked(pairs, True), "near-links")
 
-    # What is left: pairs of one bucket in different components.
-    links, joined = first_links, staged(components(first_links, "near-first"), "near-first")
-    likeliest = True
-    while True:
+    # What is left: pairs of one bucket in different components. Until the last step components
+    # may be known in parts only; that leaves more pairs to look at, not fewer.
+    links = first_links
+    joined = staged(components(links, "near-first", rounds=1), "near-first")
+    steps = [True, True, False]
+    while steps:
+        likeliest = steps.pop(0)
         cells = staged(_cells(members, joined), "near-cells")
         rows = cells.count()
         if not rows:
@@ -284,15 +287,13 @@ def near_duplicates(
             .applyInArrow(_searching(least, likeliest), "a long, b long")
         )
         more = staged(linked(pairs.distinct(), False), "near-more")
-        if not more.isEmpty():
-            links = joined.selectExpr("node a", "component b").union(more)
-            joined = staged(components(links, "near-more"), "near-components")
-        elif likeliest:
-            likeliest = False
+        if more.isEmpty():
+            steps = [False] if likeliest else []
             continue
-        if not likeliest:
-            break
-
+        links = links.union(more)
+        if steps:
+            joined = staged(components(links, "near-some", rounds=2), "near-some")
+    joined = staged(components(links, "near-all"), "near-components")
     merged = classes.join(joined, classes.rep == joined.node, "left").select(
         "digest", F.coalesce("component", "rep").alias("class_component")
     )
