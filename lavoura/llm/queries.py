@@ -11,6 +11,7 @@ from lavoura.llm.hnsw import near_vectors
 from lavoura.llm.mixing import mixed
 from lavoura.llm.near_text import near_duplicates
 from lavoura.llm.passages import without_repeats
+from lavoura.llm.pieces import segmented
 from lavoura.llm.private import personal_data
 from lavoura.llm.projections import nearest
 from lavoura.llm.quality import graded
@@ -29,6 +30,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 4 best segmentations of every text of ``documents`` into pieces, and the text decoded."""
+    return segmented(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), n=4)
+
+
 def op2_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of ``documents`` written as Re-Pair shards and read back."""
     return encoded(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
@@ -88,6 +94,7 @@ def op10_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pieces": op1_pieces,
     "op2_repair": op2_repair,
     "op3_hnsw": op3_hnsw,
     "op4_quality": op4_quality,

@@ -96,7 +96,7 @@ class Encoder(dict):
                 letters.add(pair[0])
                 marks.add(pair[1])
         for known, encode in ((letters, self._letters), (marks, self._of)):
-            new = list(known - self.parts.keys())
+            new = [x for x in known if x not in self.parts]
             self.parts.update(zip(new, encode(new), strict=True))
         for word, (first, second) in split:
             self[word] = self.parts[first] + self.parts[second]
