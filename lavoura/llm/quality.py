@@ -170,7 +170,7 @@ def fitted_model(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> M
     texts = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     ids = staged(texts.select("doc_id").join(rated, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "quality-ids")
     # The ids are at most ``sample``, so they are sent to where the texts are.
-    chosen = texts.join(F.broadcast(ids.join(rated, "doc_id")), "doc_id").dropDuplicates(["doc_id"])
+    chosen = texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
     rows = staged(chosen.groupBy(F.lit(1).alias("one")).applyInArrow(_fit, FITTED), "quality-model").collect()
     return Model(rows[0].asDict()) if rows else None
 
