@@ -24,8 +24,9 @@ from ..functions.columns import (
     whole_days,
 )
 from ..schemas import APPLICANT_KEY, LOCATION_KEY, RISK_KEY
+from ..sources.staging import staged
 from .categories import count_identifiers, kinds, most_common
-from .incremental import rows_of_changed_keys, upsert
+from .incremental import upsert
 from .quantiles import exact_percentiles
 
 # Rank error of the approximate percentiles is one in this many rows. Every map task sends
@@ -141,13 +142,13 @@ def gold_proponente(silver: DataFrame, as_of: datetime | str | Column) -> DataFr
 
 
 def _percentiles(column: str, probabilities: dict[str, float]) -> list[Column]:
-    """Sketch-based percentiles; exact while a group has fewer rows than the accuracy."""
+    """Percentiles of a sketch: off by one rank in PERCENTILE_ACCURACY at most. Only where asked for."""
     sketch = F.percentile_approx(column, list(probabilities.values()), PERCENTILE_ACCURACY)
     return [sketch[i].cast("double").alias(name) for i, name in enumerate(probabilities)]
 
 
 def _with_percentiles(measures: DataFrame, rows: DataFrame, keys: list[str], probabilities: dict[str, float], exact: bool) -> DataFrame:
-    """Swap the sketched percentiles for exact ones when asked to."""
+    """Swap the sketched percentiles for exact ones, unless the sketch is wanted."""
     if not exact:
         return measures
     found = exact_percentiles(rows, keys, "valor_solicitado_credito", probabilities)
@@ -155,7 +156,7 @@ def _with_percentiles(measures: DataFrame, rows: DataFrame, keys: list[str], pro
     return measures.drop(*probabilities).join(found, keys, "left")
 
 
-def gold_location(silver: DataFrame, as_of: datetime | str | Column, exact: bool = False) -> DataFrame:
+def gold_location(silver: DataFrame, as_of: datetime | str | Column, exact: bool = True) -> DataFrame:
     """Features per state and municipality."""
     rows = usable_rows(silver, LOCATION_KEY)
     median = {"valor_mediano_solicitado": 0.5}
@@ -239,7 +240,7 @@ def gold_location(silver: DataFrame, as_of: datetime | str | Column, exact: bool
     )
 
 
-def gold_risk(silver: DataFrame, as_of: datetime | str | Column, exact: bool = False) -> DataFrame:
+def gold_risk(silver: DataFrame, as_of: datetime | str | Column, exact: bool = True) -> DataFrame:
     """Features per risk band and main crop."""
     rows = usable_rows(silver, RISK_KEY)
     levels = {"valor_p25": 0.25, "valor_mediano": 0.5, "valor_p75": 0.75, "valor_p90": 0.9}
@@ -331,18 +332,25 @@ MODELS = {
 
 
 def refresh(
-    model: str, silver: DataFrame, gold: DataFrame, since: datetime | str | Column, as_of: datetime | str | Column, scope: str = "history"
-) -> DataFrame:
-    """Gold after silver rows processed later than ``since`` came in.
-
-    ``scope="history"`` recomputes every touched key from all its rows, so the result
-    equals a full build. ``scope="increment"`` aggregates the new rows alone and
-    replaces the keys' rows with that.
+    model: str, silver: DataFrame, gold: DataFrame, since: datetime | str | Column, as_of: datetime | str | Column,
+    scope: str = "history", changed: DataFrame | None = None,
+) -> DataFrame:
+    """Gold after silver rows came in.
+
+    ``scope="history"`` recomputes every touched key from all its rows and drops keys that
+    have none left, so the result equals a full build. Touched are the keys of ``changed``,
+    which must hold replaced versions of rows as well as new ones, valid or not; without it,
+    those of the rows processed at ``since`` or later, which is enough where rows only come in.
+    ``scope="increment"`` aggregates the rows processed after ``since`` alone and replaces the
+    keys' rows with that.
     """
     build, keys = MODELS[model]
-    new = silver.where(F.col("processed_at") > instant(since))
-    source = rows_of_changed_keys(silver, usable_rows(new, keys), keys) if scope == "history" else new
-    return upsert(gold, build(source, as_of), keys, ["feature_timestamp"])
+    if scope == "increment":
+        return upsert(gold, build(silver.where(F.col("processed_at") > instant(since)), as_of), keys, ["feature_timestamp"])
+    rows = silver.where(F.col("processed_at") >= instant(since)) if changed is None else changed
+    touched = staged(rows.select(*keys).distinct(), "changed")
+    rebuilt = build(silver.join(touched, keys, "left_semi"), as_of)
+    return gold.join(touched, keys, "left_anti").unionByName(rebuilt)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
@@ -54,21 +54,37 @@ def load_status(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Target with every source row inserted, or replacing the row of the same key.
 
-    Copies within the source are reduced to the newest first.
+    Copies within the source are reduced to the newest first. With ``order_by``, a source row
+    that is older than the target's is left out: an old copy sent again undoes nothing.
     """
-    return replace_rows(target, staged(latest_per_key(source, keys, order_by), "incoming"), keys)
+    return replace_rows(target, staged(latest_per_key(source, keys, order_by), "incoming"), keys, order_by)
 
 
-def replace_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _same_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys])
+
+
+def replaced_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target's rows whose key comes in."""
+    return target.alias("old").join(incoming.select(*keys).alias("new"), _same_key(keys), "left_semi")
+
+
+def replace_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Target without the rows whose key comes in, plus the incoming rows (one per key).
 
     Keys compare NULL-safely, so loading the same increment again changes nothing.
-    Columns only the incoming rows have are appended and read NULL on older rows. When
-    the incoming rows are a written table, a small one is broadcast by its known size
+    Columns only the incoming rows have are appended and read NULL on older rows. Incoming
+    rows that ``order_by`` puts before the target's row are dropped; at a tie they replace it.
+    When the incoming rows are a written table, a small one is broadcast by its known size
     and the target is not shuffled.
     """
-    same_key = reduce(lambda a, b: a & b, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys])
-    kept = target.alias("old").join(incoming.select(*keys).alias("new"), same_key, "left_anti")
+    ranked = [c for c in order_by if c in target.columns and c in incoming.columns]
+    if ranked:
+        order = [F.struct(*[F.col(f"{side}.{c}") for c in ranked]) for side in ("old", "new")]
+        newer = target.select(*{*keys, *ranked}).alias("old").join(incoming.alias("new"), _same_key(keys) & (order[0] > order[1]))
+        newer = staged(newer.select(*[F.col(f"new.{k}").alias(k) for k in keys]).distinct(), "newer")
+        incoming = incoming.alias("old").join(newer.alias("new"), _same_key(keys), "left_anti")
+    kept = target.alias("old").join(incoming.select(*keys).alias("new"), _same_key(keys), "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 

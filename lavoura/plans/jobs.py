@@ -21,6 +21,8 @@ from ..streaming.refresh import SILVER_PARTITIONS
 GOLD_TABLES = {name: f"gold.{name}_features_agro" for name in gold.MODELS}
 SILVER_TABLE = "silver.dados_produtores_agro"
 BRONZE_TABLE = "bronze.dados_produtores_agro"
+# What gold tables are grouped by.
+CHANGE_COLUMNS = sorted({key for _, keys in gold.MODELS.values() for key in keys})
 VIEWS = {"proponente": PROPONENTE_VIEW, "location": LOCATION_VIEW, "risk": RISK_VIEW}
 
 
@@ -58,34 +60,56 @@ def append_bronze(lake: Lakehouse, bronze: DataFrame) -> None:
 
 
 def load_silver(lake: Lakehouse, as_of: datetime | str) -> None:
-    """Merge the bronze rows past silver's high-water mark into silver.
+    """Merge the bronze files that were not loaded yet into silver.
 
-    The mark is read first and used as a literal, so that older arrival months are not
-    even listed and older row groups are skipped.
+    Bronze files never change once written, so a ledger of file names says what is new,
+    whatever the arrival stamps of the rows in them: lagging rows and equal stamps are loaded,
+    and so is what streams have written. Names are entered after the merge; a load that
+    breaks off is repeated, which changes nothing. The driver holds file names, no rows.
     """
     spark = lake.spark
-    bronze = spark.table(BRONZE_TABLE)
+    spark.catalog.recoverPartitions(BRONZE_TABLE)
+    bronze, ledger = spark.table(BRONZE_TABLE), lake.path("silver", "_loaded")
     shape = events.with_dated_partitions(silver.build_silver(bronze.limit(0), as_of)).schema
     ensure_table(spark, SILVER_TABLE, shape, lake.path("silver", "dados_produtores_agro"), SILVER_PARTITIONS)
-    mark = incremental.newest_stamp(spark.table(SILVER_TABLE), "ingestion_timestamp") or incremental.EPOCH
-    arrived = bronze.where((F.col("mes_ingestao") >= mark[:7]) & (F.col("ingestion_timestamp") > instant(mark)))
+    loaded = {r["file"] for r in spark.read.parquet(ledger).collect()} if path_exists(spark, ledger) else set()
+    pending = sorted(set(bronze.inputFiles()) - loaded)
+    if not pending:
+        return
+    arrived = spark.read.schema(bronze.schema).option("basePath", table_location(spark, BRONZE_TABLE)).parquet(*pending)
     rows = events.with_dated_partitions(silver.build_silver(arrived, as_of))
-    merge_table(rows, SILVER_TABLE, SILVER_KEY, ["ingestion_timestamp"])
+    merge_table(rows, SILVER_TABLE, SILVER_KEY, ["ingestion_timestamp"], (lake.path("silver", "_changes"), CHANGE_COLUMNS))
+    spark.createDataFrame([(f,) for f in pending], "file string").coalesce(1).write.mode("append").parquet(ledger)
 
 
 def build_gold(lake: Lakehouse, as_of: datetime | str, scope: str = "history") -> None:
-    """Bring the three gold tables up to date with silver."""
+    """Bring the three gold tables up to date with silver.
+
+    Which keys changed since a table was built is what silver's merges recorded and the table
+    has not read yet, not a matter of time stamps.
+    """
     spark = lake.spark
-    rows = spark.table(SILVER_TABLE)
-    for name, (build, _) in gold.MODELS.items():
+    changes, ledger = lake.path("silver", "_changes"), lake.path("gold", "_read")
+    for name, (build, keys) in gold.MODELS.items():
         table, base = GOLD_TABLES[name], lake.path("gold", name)
-        if spark.catalog.tableExists(table):
+        # What is recorded is listed before silver is read: what comes later is left for the next run.
+        recorded = spark.read.parquet(changes)
+        done = {r["load_id"] for r in spark.read.parquet(ledger).where(F.col("model") == name).collect()} if path_exists(spark, ledger) else set()
+        pending = sorted({r["load_id"] for r in recorded.select("load_id").distinct().collect()} - done)
+        spark.catalog.refreshTable(SILVER_TABLE)
+        rows = spark.table(SILVER_TABLE)
+        if not spark.catalog.tableExists(table):
+            result = build(rows, as_of)
+        elif not pending:
+            continue
+        else:
             stored = spark.table(table)
             since = incremental.newest_stamp(stored, "feature_timestamp") or incremental.EPOCH
-            result = gold.refresh(name, rows, stored, since, as_of, scope)
-        else:
-            result = build(rows, as_of)
+            changed = recorded.where(F.col("load_id").isin(pending))
+            result = gold.refresh(name, rows, stored, since, as_of, scope, changed)
         publish(result, table, base)
+        read = [(name, load) for load in pending]
+        spark.createDataFrame(read, "model string, load_id string").coalesce(1).write.mode("append").parquet(ledger)
 
 
 def check_tables(lake: Lakehouse, as_of: datetime | str) -> DataFrame:

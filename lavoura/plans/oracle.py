@@ -604,6 +604,9 @@ ORACLE_SQL: dict[str, str] = {
       SELECT proponente_id, total_solicitacoes, valor_total_solicitado, valor_medio_solicitado, cultura_mais_comum, perfil_frequencia,
       CASE WHEN late THEN {AS_OF} ELSE {MARK} END AS feature_timestamp,
       CASE WHEN late THEN {AS_OF} ELSE {MARK} END AS ultima_atualizacao FROM gold JOIN touched USING (proponente_id)""",
+    "gold_incremental_proponente": f"WITH {PROPONENTE} SELECT * EXCLUDE (feature_timestamp, ultima_atualizacao) FROM gold",
+    "gold_incremental_location": f"WITH {LOCATION} SELECT * EXCLUDE (feature_timestamp, ultima_atualizacao) FROM lgold",
+    "gold_incremental_risk": f"WITH {RISK_ALL} SELECT * EXCLUDE (feature_timestamp, ultima_atualizacao) FROM rgold",
     "gold_counts": f"""WITH {PROPONENTE}, {LOCATION_BODY}, {RISK_BODY}
       SELECT 'proponente_features' AS table_name, count(*) AS total_features FROM gold
       UNION ALL SELECT 'location_features', count(*) FROM lgold UNION ALL SELECT 'risk_features', count(*) FROM rgold""",
@@ -619,12 +622,14 @@ ORACLE_SQL: dict[str, str] = {
         duplicates_row('unique_combination_of_columns', SILVER_KEY), duplicates_row('unique', 'proponente_id')])}""",
     "dq_accepted": f"""WITH {SILVER},
       long AS (SELECT 'tipo_pessoa' AS column_name, tipo_pessoa AS value FROM silver WHERE tipo_pessoa NOT IN ('FISICA','JURIDICA')
-        UNION ALL SELECT 'finalidade_credito', finalidade_credito FROM silver
-          WHERE finalidade_credito NOT IN ('CUSTEIO_SAFRA','INVESTIMENTO_MAQUINARIO','AMPLIACAO_AREA')
-        UNION ALL SELECT 'cultura_principal', cultura_principal FROM silver WHERE cultura_principal IN ('FEIJAO','EUCALIPTO')
+        UNION ALL SELECT 'finalidade_credito', v FROM (SELECT CASE WHEN anos_experiencia = 7 THEN 'REFORMA' ELSE finalidade_credito END AS v
+          FROM silver) WHERE v NOT IN ('CUSTEIO_SAFRA','INVESTIMENTO_MAQUINARIO','AMPLIACAO_AREA','OUTROS')
+        UNION ALL SELECT 'cultura_principal', v FROM (SELECT CASE WHEN anos_experiencia = 11 THEN 'CACAU' ELSE cultura_principal END AS v
+          FROM silver) WHERE v NOT IN ('SOJA','MILHO','CAFE','CANA_DE_ACUCAR','ALGODAO','FRUTICULTURA','TRIGO','ARROZ','FEIJAO','EUCALIPTO')
         UNION ALL SELECT 'classificacao_propriedade', classificacao_propriedade FROM silver
           WHERE classificacao_propriedade NOT IN ('MINIFUNDIO','PEQUENA','MEDIA','GRANDE')
-        UNION ALL SELECT 'faixa_risco_credito', faixa_risco_credito FROM silver WHERE faixa_risco_credito = 'SEM_SCORE'
+        UNION ALL SELECT 'faixa_risco_credito', v FROM (SELECT CASE WHEN anos_experiencia = 13 THEN 'SEM_FAIXA' ELSE faixa_risco_credito END AS v
+          FROM silver) WHERE v NOT IN ('SEM_SCORE','MUITO_ALTO','ALTO','MEDIO','BAIXO')
         UNION ALL SELECT 'registro_valido', 'false' FROM silver WHERE NOT registro_valido)
       SELECT column_name, value, count(*) AS n FROM long GROUP BY ALL""",
     "dq_expression": f"WITH {SILVER} {union(EXPRESSION_ROWS)}",

@@ -264,7 +264,7 @@ def gold_incremental(spark, sf_dir):
     rows = rows.withColumn("processed_at", F.when(late, instant(AS_OF)).otherwise(instant(MARK)))
     rows = staged(rows.select(*gold.SILVER_INPUTS), "silver")
     built = gold.gold_proponente(rows.where(F.col("processed_at") <= instant(MARK)), MARK)
-    refreshed = gold.refresh("proponente", rows, built, MARK, AS_OF)
+    refreshed = gold.refresh("proponente", rows, built, MARK, AS_OF, changed=rows.where(F.col("processed_at") > instant(MARK)))
     return refreshed.select(
         "proponente_id",
         "total_solicitacoes",
@@ -277,6 +277,40 @@ def gold_incremental(spark, sf_dir):
     )
 
 
+def _refreshed(spark, sf_dir, model: str) -> DataFrame:
+    """A gold table built at the mark from rows of which some are corrected later, others turn
+    invalid, and others only arrive later; then refreshed: equals a full build of the final rows."""
+    final = staged(silver_table(spark, sf_dir).select(*gold.SILVER_INPUTS, "ingestion_timestamp"), "silver")
+    years = F.col("anos_experiencia")
+    corrected, arrives = years.between(3, 8), F.col("ingestion_timestamp") > instant(MARK)
+    early = final.where(~arrives).withColumns(
+        {
+            "cultura_principal": F.when(corrected, "SOJA").otherwise(F.col("cultura_principal")),
+            "localizacao_municipio": F.when(corrected, "SEDE").otherwise(F.col("localizacao_municipio")),
+            "registro_valido": F.col("registro_valido") | F.coalesce(corrected, F.lit(False)),
+        }
+    )
+    build, keys = gold.MODELS[model]
+    changed = early.where(corrected).select(*keys).unionByName(final.where(arrives | corrected).select(*keys))
+    refreshed = gold.refresh(model, final, build(early, MARK), MARK, AS_OF, changed=changed)
+    return refreshed.drop("feature_timestamp", "ultima_atualizacao")
+
+
+@query
+def gold_incremental_proponente(spark, sf_dir):
+    return _refreshed(spark, sf_dir, "proponente")
+
+
+@query
+def gold_incremental_location(spark, sf_dir):
+    return _refreshed(spark, sf_dir, "location")
+
+
+@query
+def gold_incremental_risk(spark, sf_dir):
+    return _refreshed(spark, sf_dir, "risk")
+
+
 @query
 def gold_counts(spark, sf_dir):
     rows = gold_inputs(spark, sf_dir)
@@ -372,16 +406,24 @@ def dq_unique(spark, sf_dir):
 
 @query
 def dq_accepted(spark, sf_dir):
-    """Values outside the declared domains; the crop list is checked without its last entries."""
+    """Values outside the declared domains, among them some that no domain has."""
     accepted = {
         "tipo_pessoa": PERSON_TYPES,
-        "finalidade_credito": PURPOSES[:-1],
-        "cultura_principal": CROPS[:-2],
+        "finalidade_credito": PURPOSES,
+        "cultura_principal": CROPS,
         "classificacao_propriedade": PROPERTY_CLASSES,
-        "faixa_risco_credito": RISK_BANDS[1:],
+        "faixa_risco_credito": RISK_BANDS,
         "registro_valido": [True],
     }
-    return quality.unexpected_values(silver_table(spark, sf_dir), accepted)
+    years = F.col("anos_experiencia")
+    rows = silver_table(spark, sf_dir).withColumns(
+        {
+            "finalidade_credito": F.when(years == 7, "REFORMA").otherwise(F.col("finalidade_credito")),
+            "cultura_principal": F.when(years == 11, "CACAU").otherwise(F.col("cultura_principal")),
+            "faixa_risco_credito": F.when(years == 13, "SEM_FAIXA").otherwise(F.col("faixa_risco_credito")),
+        }
+    )
+    return quality.unexpected_values(rows, accepted)
 
 
 @query

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.incremental import latest_per_key, replace_rows
+from ..operators.incremental import latest_per_key, replace_rows, replaced_rows
 from .staging import scratch
 
 
@@ -86,9 +86,22 @@ def register_external(spark: SparkSession, table: str, path: str) -> None:
     spark.catalog.createTable(table, path=path, source="parquet")
 
 
-def merge_table(source: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = ()) -> None:
+def record_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str], path: str) -> None:
+    """Append the distinct ``columns`` of the rows that go and of those that come, under one load id."""
+    gone = replaced_rows(old, new, keys).select(*columns)
+    touched = gone.unionByName(new.select(*columns)).distinct()
+    touched.withColumn("load_id", F.lit(uuid.uuid4().hex)).write.mode("append").parquet(path)
+
+
+def merge_table(
+    source: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = (), changes: tuple[str, Sequence[str]] | None = None
+) -> None:
     """Upsert into a partitioned catalog table, rewriting only the partitions touched.
 
+    Source rows older by ``order_by`` than the table's are left out. With ``changes`` (a path and
+    columns), these columns of replaced and of incoming rows are recorded there before the merge,
+    for those who keep results grouped by them; a merge that is repeated records them again.
+
     The partition columns must be functions of ``keys``, so that two versions of a row
     lie in the same partition. New columns are appended to the table. Rows are written
     aside and moved in at commit, partition by partition; loading the same source again
@@ -109,7 +122,9 @@ def merge_table(source: DataFrame, table: str, keys: Sequence[str], order_by: Se
             [reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in touched],
         )
         stored = spark.table(table)
-        merged = replace_rows(stored.where(wanted), incoming, keys).select(*stored.columns)
+        if changes:
+            record_changes(stored.where(wanted), incoming, keys, changes[1], changes[0])
+        merged = replace_rows(stored.where(wanted), incoming, keys, order_by).select(*stored.columns)
         (
             merged.hint("rebalance", *partition_by)
             .write.mode("overwrite")
@@ -117,5 +132,19 @@ def merge_table(source: DataFrame, table: str, keys: Sequence[str], order_by: Se
             .partitionBy(*partition_by)
             .parquet(table_location(spark, table))
         )
-    spark.catalog.recoverPartitions(table)
+    add_partitions(spark, table, partition_by, touched)
     spark.catalog.refreshTable(table)
+
+
+def add_partitions(spark: SparkSession, table: str, partition_by: Sequence[str], touched: Sequence) -> None:
+    """Register the touched partitions only; the table's folder is not listed."""
+    kinds = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    if any(row[c] is None for row in touched for c in partition_by):
+        spark.catalog.recoverPartitions(table)
+        return
+
+    def literal(column: str, value) -> str:
+        return f"{column} = " + (f"'{value}'" if isinstance(kinds[column], (T.StringType, T.DateType)) else str(value))
+
+    for row in touched:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({', '.join(literal(c, row[c]) for c in partition_by)})")

@@ -92,6 +92,30 @@ def test_lakehouse_round(spark, folder):
     assert spark.table(jobs.SILVER_TABLE).count() == 211
 
 
+def test_late_and_equal_stamps_are_loaded_and_corrections_reach_gold(spark, folder):
+    for name in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    lake = jobs.Lakehouse(spark, f"{folder}/lake")
+    jobs.append_bronze(lake, bronze(spark, *changes(0, 3)))
+    jobs.load_silver(lake, "2025-01-01 00:00:00")
+    jobs.build_gold(lake, "2025-01-01 00:10:00")
+    newest = NOON + timedelta(days=2)
+    late = changes(10, 11, ingestion_timestamp=newest - timedelta(minutes=1)) + changes(11, 12, ingestion_timestamp=newest)
+    corrected = [{**changes(1, 2)[0], "cultura_principal": "ARROZ", "ingestion_timestamp": newest}]
+    resent = [{**changes(2, 3)[0], "cultura_principal": "FEIJAO", "ingestion_timestamp": newest - timedelta(days=9)}]
+    jobs.append_bronze(lake, bronze(spark, *late, *corrected, *resent))
+    # Stamped before the gold run above, committed after it.
+    jobs.load_silver(lake, "2025-01-01 00:05:00")
+    rows = spark.table(jobs.SILVER_TABLE)
+    assert rows.count() == 5 and rows.where("cultura_principal = 'FEIJAO'").count() == 0
+    jobs.build_gold(lake, "2025-01-01 00:20:00")
+    for name, (build, _) in gold.MODELS.items():
+        plain = lambda df: sorted(
+            map(str, df.withColumns({c: F.round(c, 6) for c in df.columns if "desvio" in c}).drop("feature_timestamp").collect())
+        )
+        assert plain(spark.table(jobs.GOLD_TABLES[name])) == plain(build(rows, "2025-01-01 00:20:00"))
+
+
 def test_enrichment_job(spark, folder):
     lake = jobs.Lakehouse(spark, f"{folder}/lake")
     lake.create_databases()

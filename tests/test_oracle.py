@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from compare import differences, oracle_connection
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry.QUERIES, entry.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")

@@ -163,6 +163,38 @@ def test_incremental_gold_equals_a_full_build(spark, model):
     assert rows(table) == rows(build(whole, stamps[-1]))
 
 
+@pytest.mark.parametrize("model", ["proponente", "location", "risk"])
+def test_corrections_and_invalid_rows_leave_no_old_groups(spark, model):
+    """A corrected group key, a row that turns invalid and a group that empties."""
+    build, keys = gold.MODELS[model]
+    first = silver.build_silver(bronze(spark, {"cultura_principal": "SOJA"}, {"proponente_id": "P2", "cultura_principal": "CAFE"}), "2024-03-01 00:00:00")
+    table = build(first, "2024-03-01 00:00:00")
+    final = silver.build_silver(
+        bronze(spark, {"cultura_principal": "TRIGO"}, {"proponente_id": "P2", "cultura_principal": "CAFE"}), "2024-03-02 00:00:00"
+    ).withColumn("registro_valido", F.col("proponente_id") != "P2")
+    refreshed = gold.refresh(model, final, table, "2024-03-01 00:00:00", "2024-03-02 00:00:00", changed=first.unionByName(final))
+    plain = lambda df: sorted(map(str, df.drop("feature_timestamp").collect()))
+    assert plain(refreshed) == plain(build(final, "2024-03-02 00:00:00")) and refreshed.count() == 1
+
+
+def test_percentiles_of_a_large_group_are_exact(spark):
+    rows = silver.build_silver(bronze(spark, {}), "2024-03-01 00:00:00").select(*gold.SILVER_INPUTS)
+    many = rows.drop("valor_solicitado_credito", "proponente_id").join(
+        spark.range(200_000).select(F.col("id").cast("decimal(18,2)").alias("valor_solicitado_credito"), F.col("id").cast("string").alias("proponente_id"))
+    )
+    found = gold.gold_risk(many, "2024-03-02 00:00:00").first()
+    assert (found["valor_p25"], found["valor_mediano"], found["valor_p90"]) == (49999.0, 99999.0, 179999.0)
+
+
+def test_an_older_copy_undoes_nothing(spark):
+    noon = silver.build_silver(bronze(spark, {"area_total_hectares": 111}), AS_OF)
+    older = silver.build_silver(bronze(spark, {"area_total_hectares": 5}), AS_OF).withColumn(
+        "ingestion_timestamp", F.col("ingestion_timestamp") - F.expr("INTERVAL 3 HOURS")
+    )
+    got = incremental.upsert(noon, older, SILVER_KEY, ["ingestion_timestamp"]).collect()
+    assert [float(r["area_total_hectares"]) for r in got] == [111.0]
+
+
 def test_increment_scope_replaces_with_the_new_rows_alone(spark):
     first = silver.build_silver(bronze(spark, {}, {"data_solicitacao": MS + 1}), "2024-03-01 00:00:00")
     second = silver.build_silver(bronze(spark, {"data_solicitacao": MS + 2}), "2024-03-02 00:00:00")
