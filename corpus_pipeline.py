@@ -22,8 +22,7 @@ from lavoura.llm.queries import label_weights, ratings, tokenizer_file
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose chance of the best grade is a half at least."""
-    scored = graded(docs, ratings(spark, sf_dir), keep=tuple(docs.columns))
-    return scored.where("kept").select(docs.columns)
+    return graded(docs, ratings(spark, sf_dir), with_row=True).where("kept").select("row.*")
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +32,7 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     found = near_duplicates(docs, width=5, percent=80)
     kept = found.where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    one = docs.join(kept, docs.doc_id == kept.kept_id).select(docs.columns).dropDuplicates(["doc_id"])
+    one = docs.join(kept, docs.doc_id == kept.kept_id, "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))
 
 
@@ -44,10 +43,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: sources weigh 3, 1, 2 in turn, 150% in all."""
-    columns = [c for c in docs.columns if c not in ("doc_id", "source")]
-    taken = mixed(docs, label_weights(spark, sf_dir), keep=tuple(columns))
-    copies = taken.where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
-    return copies.select(docs.columns)
+    taken = mixed(docs, label_weights(spark, sf_dir), with_row=True).where("times > 0")
+    copies = taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("copy"))
+    return copies.select("row.*")
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,11 +76,11 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def mixed(
     docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
-    seed: int = 0, keep: tuple[str, ...] = (),
+    seed: int = 0, with_row: bool = False,
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, times[, ``keep``]) for every row of ``docs``.
+    """(doc_id, source, size, source_size, target, taken, times[, row]) for every row of ``docs``.
 
-    ``docs`` has doc_id, text and source; ``quality``, if given, has (doc_id, weight): a document
+    ``docs`` has doc_id, text and source, and maybe others; ``row`` is a struct of all of them. ``quality``, if given, has (doc_id, weight): a document
     of weight w comes early with w times the rate; documents without one weigh 1, weights that
     are not positive count as 1. size is the number of words of the text (none if null), taken
     is ``times`` that: whole documents only. A source's complete epochs are the whole part of
@@ -91,7 +91,9 @@ def mixed(
     rows are sampled one by one; which of several equal rows is taken is not told apart. Keys
     are hashes of id, source and size, so reruns agree.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words("text").alias("size"), *keep)
+    keep = ["row"] if with_row else []
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if with_row else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words("text").alias("size"), *whole)
     if quality is not None:
         own = quality.groupBy(F.col("doc_id").cast("long").alias("quality_id")).agg(F.max("weight").cast("double").alias("weight"))
         rows = rows.join(own, rows.doc_id == own.quality_id, "left").drop("quality_id")

@@ -175,34 +175,39 @@ def fitted_model(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE) -> M
     return Model(rows[0].asDict()) if rows else None
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: Model, place: int) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], model: Model, in_row: int | None) -> Iterator[pa.RecordBatch]:
+    """Chances behind (doc_id, text) or (doc_id, row), where ``in_row`` is the text's place in the row."""
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            chance = model.grades(text_bytes(part.column(place)))
-            expected = chance @ np.arange(GRADES)
+            texts = part.column(1) if in_row is None else part.column(1).flatten()[in_row]
+            chance = model.grades(text_bytes(texts))
+            columns, names = list(part.columns), list(part.schema.names)
+            if in_row is None:
+                columns, names = columns[:1], names[:1]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(expected), pa.array(chance[:, -1]), pa.array(chance[:, 0])],
-                [*part.schema.names, "expected_grade", "p_good", "p_toxic"],
+                [*columns, pa.array(chance @ np.arange(GRADES)), pa.array(chance[:, -1]), pa.array(chance[:, 0])],
+                [*names, "expected_grade", "p_good", "p_toxic"],
             )
 
 
-def graded(docs: DataFrame, ratings: DataFrame, keep: tuple[str, ...] = (), sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, [``keep``,] expected_grade, p_good, p_toxic, kept) for every row of ``docs``.
+def graded(docs: DataFrame, ratings: DataFrame, with_row: bool = False, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, [row,] expected_grade, p_good, p_toxic, kept) for every row of ``docs``.
 
-    A document is kept if the chance of the best grade is at least 1 - ``REJECT``. Null and
-    empty texts are scored as empty. Without ratings nothing is known: expected_grade and the
-    chances are null, and everything is kept. Null and repeated ids are rows like others.
+    ``docs`` has doc_id and text, and maybe other columns; ``row`` is a struct of all of them. A
+    document is kept if the chance of the best grade is at least 1 - ``REJECT``. Null and empty
+    texts are scored as empty. Without ratings nothing is known: expected_grade and the chances
+    are null, and everything is kept. Null and repeated ids are rows like others.
     """
     model = fitted_model(docs, ratings, sample)
-    columns = ["doc_id", *[c for c in keep if c not in ("doc_id", "text")]]
-    rows = docs.select(*columns, "text")
+    second = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if with_row else F.col("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), second)
+    chances = ("expected_grade", "p_good", "p_toxic")
     if model is None:
-        rows = rows.select("*", *[F.lit(None).cast("double").alias(c) for c in ("expected_grade", "p_good", "p_toxic")])
+        rows = rows.select("*", *[F.lit(None).cast("double").alias(c) for c in chances])
     else:
-        place = len(columns)
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", expected_grade double, p_good double, p_toxic double"
-        rows = rows.mapInArrow(lambda it: _scored(it, model, place), schema)
+        in_row = docs.columns.index("text") if with_row else None
+        shape = f"doc_id long, row {rows.schema['row'].dataType.simpleString()}, " if with_row else "doc_id long, "
+        rows = rows.mapInArrow(lambda it: _scored(it, model, in_row), shape + ", ".join(f"{c} double" for c in chances))
     kept = F.coalesce(F.col("p_good") >= 1 - REJECT, F.lit(True))
-    texts = ["text"] if "text" in keep else []
-    return rows.select(*columns, *texts, "expected_grade", "p_good", "p_toxic", kept.alias("kept"))
+    return rows.select("doc_id", *(["row"] if with_row else []), *chances, kept.alias("kept"))
