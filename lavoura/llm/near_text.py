@@ -9,8 +9,8 @@ compared on their full shingle sets, so every link is exact.
 A bucket of a band may hold a third of all sets, so its pairs are never listed. First every set
 is compared with one bucket fellow, the smallest set of the bucket it shares most bands with,
 and linked sets become one component. Only buckets that still hold several components are
-looked at again, and there only pairs across components, in blocks of bounded size: each set
-with its likeliest partner, twice if that joins components, and at last with all plausible ones.
+looked at again, and there only pairs across components, in blocks of bounded size. A block's
+task sends back a spanning forest of the links it found, no pairs that are not links.
 """
 
 from __future__ import annotations
@@ -132,66 +132,71 @@ def _signatures(column) -> np.ndarray:
     return np.frombuffer(joined, np.uint32).reshape(-1, HASHES)
 
 
-def _verified(batches: Iterator[pa.RecordBatch], percent: int, least: dict[int, int], prune: bool) -> Iterator[pa.RecordBatch]:
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * |intersection| >= percent * |union| of two sorted sets."""
+    both = len(x) + len(y)
+    if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
+        return False
+    z = np.concatenate((x, y))
+    z.sort()
+    common = int((z[1:] == z[:-1]).sum())
+    return 100 * common >= percent * (both - common)
+
+
+def _verified(batches: Iterator[pa.RecordBatch], percent: int, least: dict[int, int]) -> Iterator[pa.RecordBatch]:
     """Pairs that pass the signature batches and then the exact comparison of the full sets."""
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            keep = np.arange(part.num_rows)
-            if prune:
-                keep = plausible(_signatures(part.column("sig_a")), _signatures(part.column("sig_b")), least)[0]
-            part = part.take(pa.array(keep))
-            linked = []
-            for x, y in zip(part.column("set_a").to_pylist(), part.column("set_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y)
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
-                    linked.append(False)
-                    continue
-                z = np.concatenate((x, y))
-                z.sort()
-                common = int((z[1:] == z[:-1]).sum())
-                linked.append(100 * common >= percent * (both - common))
+            part = part.take(pa.array(plausible(_signatures(part.column("sig_a")), _signatures(part.column("sig_b")), least)[0]))
+            sets = zip(part.column("set_a").to_pylist(), part.column("set_b").to_pylist(), strict=True)
+            linked = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in sets]
             yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _across(table: pa.Table, least: dict[int, int], likeliest: bool) -> pa.Table:
-    """Plausible pairs of different components inside each block cell of a bundle: all of them, or
-    for each row the likeliest one."""
+def _across(table: pa.Table, percent: int, least: dict[int, int]) -> pa.Table:
+    """Links that join components inside each block cell of a bundle: a spanning forest of them.
+
+    A pair is looked at in the bucket of the first band it shares only. Pairs whose components
+    the cell has joined already are passed over; of the others the likeliest come first.
+    """
     cell = table.column("cell").to_numpy()
     order = np.argsort(cell, kind="stable")
     cell = cell[order]
-    rep = table.column("rep").to_numpy()[order]
-    comp = table.column("comp").to_numpy()[order]
-    side = table.column("side").to_numpy()[order]
+    rep, root, band, group = (table.column(c).to_numpy()[order].copy() for c in ("rep", "comp", "band", "place"))
     sig = _signatures(table.column("sig"))[order]
+    bands = sig.reshape(-1, BANDS, ROWS)
+    raw = table.column("set").combine_chunks().take(pa.array(order))
     starts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-    pairs: set[tuple[int, int]] = set()
-    for low, high in zip(starts, [*starts[1:], len(cell)], strict=True):
+    links: list[tuple[int, int]] = []
+    for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(cell)], strict=True):
         rows = np.arange(low, high)
-        # Side 1 holds the bucket's largest component only: no pairs inside it.
-        for i in rows[side[rows] == 0]:
-            others = rows[(comp[rows] != comp[i]) & ((side[rows] == 1) | (rows > i))]
+        first = group[low]
+        two_blocks = (group[rows] != first).any()
+        for i in rows[group[rows] == first].tolist():
+            others = rows[(root[rows] != root[i]) & ((group[rows] != first) if two_blocks else (rows > i))]
             if not len(others):
                 continue
             hits, matches = plausible(np.broadcast_to(sig[i], (len(others), HASHES)), sig[others], least)
-            if likeliest:
-                hits = hits[matches == matches.max(initial=0)][:1]
-            pairs.update((min(rep[i], rep[j]), max(rep[i], rep[j])) for j in others[hits])
-    return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
-
-
-def _searching(least: dict[int, int], likeliest: bool):
-    return lambda table: _across(table, least, likeliest)
+            others = others[hits]
+            here = (bands[others] == bands[i]).all(axis=2).argmax(axis=1) == band[i]
+            others, matches = others[here], matches[here]
+            mine = np.frombuffer(raw[i].as_py(), np.uint64) if len(others) else None
+            for j in others[np.argsort(-matches, kind="stable")].tolist():
+                if root[j] != root[i] and similar(mine, np.frombuffer(raw[j].as_py(), np.uint64), percent):
+                    links.append((rep[i], rep[j]))
+                    root[low:high][root[low:high] == root[j]] = root[i]
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
 def _cells(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """(rep, comp, side, cell) of the buckets that hold several components.
+    """(rep, comp, band, place, cell) of the buckets that hold several components.
 
     A bucket's rows are cut into blocks, those of its largest component (side 1) apart from the
-    rest. A cell is a block of the largest component with one of the rest, or two of the rest.
+    rest. A cell is a block of the largest component with one of the rest, or two of the rest;
+    ``place`` tells its blocks apart.
     """
-    placed = members.join(joined, members.rep == joined.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+    placed = members.join(joined, members.rep == joined.node, "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
     split = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     rows = staged(placed.join(split, "key"), "near-open")
     per_comp = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
@@ -217,7 +222,12 @@ def _cells(members: DataFrame, joined: DataFrame) -> DataFrame:
     with_rest = F.transform(numbers("n_rest"), lambda j: pair(F.least(block, j), F.greatest(block, j)))
     with_top = F.transform(numbers("n_top"), lambda j: pair(block, F.col("n_rest") + j))
     cell = F.explode(F.when(F.col("side") == 1, of_top).otherwise(F.concat(with_rest, with_top))).alias("c")
-    return sides.select("rep", "comp", "side", "key", cell).select("rep", "comp", "side", F.xxhash64("key", "c.i", "c.j").alias("cell"))
+    cells = sides.select("rep", "comp", "band", (2 * block + F.col("side")).alias("place"), "key", cell)
+    return cells.select("rep", "comp", "band", "place", F.xxhash64("key", "c.i", "c.j").alias("cell"))
+
+
+def _searching(percent: int, least: dict[int, int]):
+    return lambda table: _across(table, percent, least)
 
 
 def near_duplicates(
@@ -245,7 +255,7 @@ def near_duplicates(
 
     keys = staged(
         known.join(classes, "digest").where("doc_id = rep").select("rep", "bands").dropDuplicates(["rep"])
-        .select("rep", F.explode("bands").alias("key")),
+        .select("rep", F.posexplode("bands").alias("band", "key")),
         "near-keys",
     )
     shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("c")).where("c > 1")
@@ -257,42 +267,29 @@ def near_duplicates(
         "near-sets",
     )
 
-    def linked(pairs: DataFrame, prune: bool) -> DataFrame:
-        cols = ["sig", "set"] if prune else ["set"]
-        left = sets.select(F.col("rep").alias("a"), *[F.col(c).alias(f"{c}_a") for c in cols])
-        right = sets.select(F.col("rep").alias("b"), *[F.col(c).alias(f"{c}_b") for c in cols])
-        return pairs.join(left, "a").join(right, "b").mapInArrow(lambda it: _verified(it, percent, least, prune), "a long, b long")
+    left = sets.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a"), F.col("set").alias("set_a"))
+    right = sets.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b"), F.col("set").alias("set_b"))
 
     # Every set against one fellow: linear in the sets, whatever the size of a bucket.
     votes = members.where("rep != pivot").groupBy("rep", "pivot").agg(F.count("*").alias("n"))
     best = votes.groupBy("rep").agg(F.max(F.struct("n", (-F.col("pivot")).alias("p"))).alias("best"))
     pairs = best.select(F.col("rep").alias("a"), (-F.col("best.p")).alias("b"))
-    first_links = staged(linked(pairs, True), "near-links")
+    with_sets = pairs.join(left, "a").join(right, "b")
+    links = staged(with_sets.mapInArrow(lambda it: _verified(it, percent, least), "a long, b long"), "near-links")
 
-    # What is left: pairs of one bucket in different components. Until the last step components
-    # may be known in parts only; that leaves more pairs to look at, not fewer.
-    links = first_links
+    # What is left: pairs of one bucket in different components. These may be known in parts only
+    # by now; that leaves more pairs to look at, not fewer.
     joined = staged(components(links, "near-first", rounds=1), "near-first")
-    steps = [True, True, False]
-    while steps:
-        likeliest = steps.pop(0)
-        cells = staged(_cells(members, joined), "near-cells")
-        rows = cells.count()
-        if not rows:
-            break
-        pairs = (
-            cells.join(sets.select("rep", "sig"), "rep")
-            .withColumn("bundle", F.pmod("cell", F.lit(math.ceil(rows / (4 * BLOCK)))))
+    cells = staged(_cells(members, joined), "near-cells")
+    rows = cells.count()
+    if rows:
+        more = (
+            cells.join(sets, "rep")
+            .withColumn("bundle", F.pmod("cell", F.lit(math.ceil(rows / BLOCK))))
             .groupBy("bundle")
-            .applyInArrow(_searching(least, likeliest), "a long, b long")
+            .applyInArrow(_searching(percent, least), "a long, b long")
         )
-        more = staged(linked(pairs.distinct(), False), "near-more")
-        if more.isEmpty():
-            steps = [False] if likeliest else []
-            continue
-        links = links.union(more)
-        if steps:
-            joined = staged(components(links, "near-some", rounds=2), "near-some")
+        links = links.union(staged(more, "near-more"))
     joined = staged(components(links, "near-all"), "near-components")
     merged = classes.join(joined, classes.rep == joined.node, "left").select(
         "digest", F.coalesce("component", "rep").alias("class_component")

@@ -222,5 +222,5 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     kept = corpus_pipeline.near_duplicate_groups(spark, table(spark, rows[:-1]), "").collect()
     texts = [r.text for r in kept if r.doc_id is not None]
     words = [t for t in texts if t and t.split()]
-    assert len({" ".join(t.lower().split()) for t in words}) == len(words)
+    assert len({b" ".join(t.encode().lower().split()) for t in words}) == len(words)
     assert sum(r.doc_id is None for r in kept) == 2
