@@ -3,8 +3,9 @@
 Every vector, scaled to length one, is projected to ``dims`` random directions with normal
 components, a stable distribution: the squared distance of two projections, over that of the
 vectors, follows a chi-square law with ``dims`` degrees of freedom. A kd-tree over the
-projections yields a query's neighbours there in ascending distance; each is compared on the
-original vectors. The search of a shard ends when a vector nearer than the k-th best would
+projections yields a query's neighbours there leaf by leaf in ascending distance; each is
+compared with the query, and the best ones in double precision on the original vectors. The
+search of a shard ends when a vector nearer than the k-th best would
 already have shown up with the chosen confidence.
 
 Shards hold a bounded number of vectors, queries come in bounded blocks, and every block is
@@ -24,7 +25,9 @@ from lavoura.llm.common import staged
 from lavoura.llm.vectors import as_double, matrix, norms, usable
 
 #: Vectors of a shard, queries of a block, points of a kd-tree leaf, leaves looked at together.
-SHARD, QUERIES, LEAF, STEP = 16384, 2048, 64, 4
+SHARD, QUERIES, LEAF, STEP = 16384, 2048, 64, 8
+#: Candidates beyond the k best that are compared in double precision.
+SPARE = 24
 
 
 def chi_square(x: float, dims: int) -> float:
@@ -61,24 +64,18 @@ class KdTree:
             order[a:b] = order[a:b][np.argpartition(own[:, axis], mid)]
             todo += [(a, a + mid), (a + mid, b)]
         self.order, self.spans = order, sorted(spans)
-        self.points = points[order]
-        self.low = np.array([self.points[a:b].min(axis=0) for a, b in self.spans])
-        self.high = np.array([self.points[a:b].max(axis=0) for a, b in self.spans])
+        ordered = points[order]
+        self.low = np.array([ordered[a:b].min(axis=0) for a, b in self.spans])
+        self.high = np.array([ordered[a:b].max(axis=0) for a, b in self.spans])
 
     def ascending(self, q: np.ndarray):
-        """(places, their squared distances, squared distance from which more may come), by steps."""
+        """(spans of the next leaves, squared distance from which all others are), by steps."""
         gap = np.maximum(np.maximum(self.low - q, q - self.high), 0)
         to_leaf = (gap * gap).sum(axis=1)
         leaves = np.argsort(to_leaf, kind="stable")
-        held, held_at = np.empty(0, np.int64), np.empty(0)
         for i in range(0, len(leaves), STEP):
-            fresh = np.concatenate([np.arange(*self.spans[j]) for j in leaves[i : i + STEP]])
-            diff = self.points[fresh] - q
-            held, held_at = np.concatenate((held, fresh)), np.concatenate((held_at, (diff * diff).sum(axis=1)))
             reach = to_leaf[leaves[i + STEP]] if i + STEP < len(leaves) else math.inf
-            out = held_at <= reach
-            yield self.order[held[out]], reach
-            held, held_at = held[~out], held_at[~out]
+            yield [self.spans[j] for j in leaves[i : i + STEP].tolist()], reach
 
 
 def _search(table: pa.Table, k: int, dims: int, limit: float) -> pa.Table:
@@ -96,24 +93,29 @@ def _search(table: pa.Table, k: int, dims: int, limit: float) -> pa.Table:
         ends = np.cumsum(np.bincount(back))
         starts = np.concatenate(([0], ends[:-1]))
         fellows = [ids[by_point[a : min(b, a + k + 1)]] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        smallest = ids[by_point[starts]]
         v = v[first]
         length = norms(v)
         directions = np.random.default_rng(v.shape[1]).standard_normal((v.shape[1], dims))
-        tree = KdTree((v / length[:, None]) @ directions)
+        unit = v / length[:, None]
+        tree = KdTree(unit @ directions)
+        # Side by side as the leaves are; single precision finds the best, double compares them.
+        coarse = unit[tree.order].astype(np.float32)
+        wide = k + SPARE
         for q, own in zip(wanted, wanted_ids.tolist(), strict=True):
             size = math.sqrt(float((q * q).sum()))
-            best, best_at = np.empty(0, np.int64), np.empty(0)
-            for places, reach in tree.ascending((q / size) @ directions):
-                if len(places):
-                    places = places[[len(f) > 1 or f[0] != own for f in map(fellows.__getitem__, places.tolist())]]
-                    score = (v[places] * q).sum(axis=1) / (length[places] * size)
-                    best, best_at = np.concatenate((best, places)), np.concatenate((best_at, score))
-                    if len(best) > k:
-                        top = np.lexsort((smallest[best], -best_at))[: k + 1]
-                        best, best_at = best[top], best_at[top]
-                if len(best) >= k and reach >= limit * max(0.0, 2 - 2 * best_at[min(k, len(best)) - 1]):
+            coarse_q = (q / size).astype(np.float32)
+            best, best_at = np.empty(0, np.int64), np.empty(0, np.float32)
+            for spans, reach in tree.ascending((q / size) @ directions):
+                best = np.concatenate([best, *[np.arange(a, b) for a, b in spans]])
+                best_at = np.concatenate([best_at, *[coarse[a:b] @ coarse_q for a, b in spans]])
+                if len(best) > wide:
+                    top = np.argpartition(-best_at, wide)[:wide]
+                    best, best_at = best[top], best_at[top]
+                # One more than k, as the query itself may be among them.
+                if len(best) > k and reach >= limit * max(0.0, 2 - 2 * float(np.partition(best_at, -k - 1)[-k - 1])):
                     break
+            best = tree.order[best]
+            best_at = (v[best] * q).sum(axis=1) / (length[best] * size)
             near = [(-s, i, s) for p, s in zip(best.tolist(), best_at.tolist(), strict=True) for i in fellows[p].tolist() if i != own]
             out += [(own, i, s) for _, i, s in sorted(near)[:k]]
     q_out, i_out, s_out = zip(*out, strict=True) if out else ((), (), ())
