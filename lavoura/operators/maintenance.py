@@ -87,9 +87,12 @@ def compact(spark: SparkSession, table: str, target_bytes: int = SILVER_TARGET_B
     location = table_location(spark, table)
     size = data_files(spark, location).agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     files = max(1, math.ceil(size / target_bytes))
+    # A partition's rows are cut into files of the target size by their mean width.
+    rows = spark.table(table).count()
+    file_rows = max(1, rows * target_bytes // size) if size and partition_columns(spark, table) else None
     versioned = re.search(r"/v-[0-9a-f]{32}/?$", location)
     base = location[: versioned.start()] if versioned else f"{location.rstrip('/')}-versions"
-    return publish(spark.table(table), table, base, partition_columns(spark, table), files)
+    return publish(spark.table(table), table, base, partition_columns(spark, table), files, file_rows)
 
 
 def analyze(spark: SparkSession, table: str) -> None:
@@ -111,10 +114,16 @@ def optimize_listed(spark: SparkSession, tables: list[str], target_bytes: int =
     return counts
 
 
-def optimize_tables(spark: SparkSession, tables: list[str], target_bytes: int = SILVER_TARGET_BYTES) -> DataFrame:
+def target_size(table: str) -> int:
+    return GOLD_TARGET_BYTES if table.startswith("gold.") else SILVER_TARGET_BYTES
+
+
+def optimize_tables(spark: SparkSession, tables: list[str], target_bytes: int | None = None) -> DataFrame:
     """Check every table, compact and analyze the unhealthy ones; one report row each.
 
-    A table that fails is reported and the others go on.
+    Files are to have ``target_bytes``, or else what the table's layer asks for. The report has
+    the number of partitions and whether they are too many. A table that fails is reported and
+    the others go on.
     """
     lines = []
     for table in tables:
@@ -122,10 +131,13 @@ def optimize_tables(spark: SparkSession, tables: list[str], target_bytes: int =
             health = table_health(spark, table).first()
             unhealthy = bool(health and health["needs_optimization"])
             if unhealthy:
-                compact(spark, table, target_bytes)
+                compact(spark, table, target_bytes or target_size(table))
                 analyze(spark, table)
-            lines.append((table, unhealthy, health["issues"] if health else "", None))
+            parts = partition_report(spark, table).first() if partition_columns(spark, table) else None
+            counted = (parts["partitions"], parts["too_many"]) if parts else (None, None)
+            lines.append((table, unhealthy, health["issues"] if health else "", None, *counted))
         except Exception as error:  # one broken table must not stop the round
             log.exception("maintenance of %s failed", table)
-            lines.append((table, False, "", str(error).splitlines()[0]))
-    return spark.createDataFrame(lines, "table_name string, optimized boolean, issues string, error string")
+            lines.append((table, False, "", str(error).splitlines()[0], None, None))
+    schema = "table_name string, optimized boolean, issues string, error string, partitions long, too_many_partitions boolean"
+    return spark.createDataFrame(lines, schema)

@@ -50,20 +50,24 @@ def table_location(spark: SparkSession, table: str) -> str:
     return described.first()["data_type"]
 
 
-def publish(df: DataFrame, table: str, base_path: str, partition_by: Sequence[str] = (), files: int | None = None) -> str:
+def publish(
+    df: DataFrame, table: str, base_path: str, partition_by: Sequence[str] = (), files: int | None = None, file_rows: int | None = None
+) -> str:
     """Write a new version of a table beside the old one, then point the catalog at it.
 
     The input may read the table itself, since nothing is overwritten. An
     unpartitioned table changes over in one catalog step; a partitioned one is
-    registered anew because its partitions carry locations of their own. Returns the
-    new version's path; files of older versions stay.
+    registered anew because its partitions carry locations of their own. ``files`` is the
+    number of files of an unpartitioned table, ``file_rows`` the most rows of a file. Returns
+    the new version's path; files of older versions stay.
     """
     spark = df.sparkSession
     path = f"{base_path.rstrip('/')}/v-{uuid.uuid4().hex}"
+    limit = {"maxRecordsPerFile": file_rows} if file_rows else {}
     if partition_by:
-        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+        df.hint("rebalance", *partition_by).write.options(**limit).partitionBy(*partition_by).parquet(path)
     else:
-        (df if files is None else df.repartition(files)).write.parquet(path)
+        (df if files is None else df.repartition(files)).write.options(**limit).parquet(path)
     if spark.catalog.tableExists(table) and not partition_by:
         add_new_columns(spark, table, df.schema)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")

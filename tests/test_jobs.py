@@ -1,6 +1,7 @@
 """The stored-table jobs end to end, table publishing and maintenance."""
 
 import glob
+import os
 from datetime import timedelta
 
 import pytest
@@ -173,6 +174,16 @@ def test_compaction_keeps_rows_and_statistics_follow(spark, db, folder):
     assert "3000 rows" in spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Statistics'").first()["data_type"]
 
 
+def test_compaction_honours_the_target_on_partitioned_tables(spark, db, folder):
+    table = f"{db}.t"
+    rows = spark.range(40_000).selectExpr("uuid() AS u", "id % 2 AS p")
+    publish(rows, table, f"{folder}/t", ["p"])
+    path = maintenance.compact(spark, table, target_bytes=128 * 1024).removeprefix("file:")
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{path}/*/*.parquet")]
+    assert len(sizes) > 6 and max(sizes) < 192 * 1024
+    assert spark.table(table).count() == 40_000
+
+
 def test_partition_report(spark, db, folder):
     table = f"{db}.p"
     rows = spark.range(2500).select("id", F.when(F.col("id") < 2000, 1).otherwise(2).alias("p"))
