@@ -264,7 +264,9 @@ def gold_incremental(spark, sf_dir):
     rows = rows.withColumn("processed_at", F.when(late, instant(AS_OF)).otherwise(instant(MARK)))
     rows = staged(rows.select(*gold.SILVER_INPUTS), "silver")
     built = gold.gold_proponente(rows.where(F.col("processed_at") <= instant(MARK)), MARK)
-    refreshed = gold.refresh("proponente", rows, built, MARK, AS_OF, changed=rows.where(F.col("processed_at") > instant(MARK)))
+    # Rows only come in here, so those that do not count change nothing.
+    changed = gold.usable_rows(rows.where(F.col("processed_at") > instant(MARK)), gold.MODELS["proponente"][1])
+    refreshed = gold.refresh("proponente", rows, built, MARK, AS_OF, changed=changed)
     return refreshed.select(
         "proponente_id",
         "total_solicitacoes",
