@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -14,6 +15,11 @@ from pyspark.sql import functions as F
 CACHE_WORDS = 700_000
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="llm-")
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
 
@@ -23,8 +29,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
