@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -15,6 +17,17 @@ from pyspark.sql import functions as F
 CACHE_WORDS = 700_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the executors, wherever the driver found it."""
+    context = spark.sparkContext
+    if getattr(context, "_lavoura_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='llm-')}/{package.name}", "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    context._lavoura_shipped = True
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="llm-")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lavoura.llm.common import ship
 from lavoura.llm.hnsw import near_vectors
 from lavoura.llm.mixing import mixed
 from lavoura.llm.near_text import near_duplicates
@@ -20,6 +21,7 @@ from lavoura.llm.token_files import encoded
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
