@@ -14,7 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words kept in a worker's cache before it is emptied; bounds its memory.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 400_000
+#: The caches of this worker; one is in use at a time.
+_CACHES: list[dict] = []
+
+
+def in_use(cache: dict) -> None:
+    """Empty the caches of other operators, which worker processes outlive."""
+    if not any(c is cache for c in _CACHES):
+        _CACHES.append(cache)
+    for other in _CACHES:
+        if other is not cache:
+            other.clear()
 
 
 def ship(spark: SparkSession) -> None:
@@ -68,6 +79,7 @@ class WordHashes(dict):
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
+        in_use(self)
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from lavoura.llm.common import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows of a slice, on average.
-SLICE = 50_000
+#: Rows of a slice, on average, without and with whole documents in them.
+SLICE, SLICE_OF_TEXTS = 50_000, 3_000
 
 
 def words(column: str) -> Column:
@@ -102,7 +102,7 @@ def mixed(
         rows = rows.withColumn("weight", F.lit(1.0))
     uniform = (F.xxhash64("doc_id", "source", "size", F.lit(seed)).cast("double") + 2.0**63) / 2.0**64
     rows = rows.withColumn("key", -F.log(F.greatest(uniform, F.lit(1e-18))) / F.col("weight")).drop("weight")
-    slices = max(1, math.ceil(docs.count() / SLICE))
+    slices = max(1, math.ceil(docs.count() / (SLICE_OF_TEXTS if with_row else SLICE)))
     order = ["source", "key", "doc_id"]
     ranged = rows.repartitionByRange(slices, *order).sortWithinPartitions(*order)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema) + ", slice long, before long"

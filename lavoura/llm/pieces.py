@@ -23,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lavoura.llm.common import in_use
+
 SPACE = "▁"
 #: Stretches kept in a worker's cache before it is emptied; longest stretch of the lattice's columns.
-CACHE, COLUMNS = 700_000, 48
+CACHE, COLUMNS = 400_000, 48
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -196,29 +198,36 @@ class Pieces:
                     np.maximum(backward[start], backward[end] + score[start, end], out=backward[start])
         # The best way, backwards; then the best one with an edge that is not on it.
         on_way = np.zeros((length + 1, n), bool)
-        node, rows = np.full(n, length), np.arange(n)
-        steps: list[list[int]] = [[] for _ in range(n)]
         on_way[length] = True
+        ids, count, rows = np.zeros((n, length), "<i4"), np.zeros(n, np.int64), np.arange(n)
         before = np.full((length + 1, n), -1)
         for end in range(length, 0, -1):
             here = on_way[end]
             before[end, here] = came[end, here]
             on_way[came[end, here], rows[here]] = True
-        del node
+            for start in range(max(0, end - self.longest), end):
+                if (start, end) in own and len(some := np.flatnonzero(before[end] == start)):
+                    ids[some, length - 1 - count[some]] = own[start, end][some]
+                    count[some] += 1
         second = np.full(n, -np.inf)
         for (start, end), value in score.items():
             way = forward[start] + value + backward[end]
             np.maximum(second, np.where(before[end] == start, -np.inf, way), out=second)
-        for end in range(length, 0, -1):
-            for r in np.flatnonzero(before[end] >= 0).tolist():
-                start = int(before[end, r])
-                i = int(own[start, end][r])
-                if i >= 0:
-                    steps[r].append(i)
-                else:
-                    steps[r] += [self.bytes[b] for b in reversed(stretches[r][start].encode())]
-        total = forward[length]
-        return [(np.array(s[::-1], "<u4").tobytes(), float(t), float(t - x)) for s, t, x in zip(steps, total, second, strict=True)]
+        unknown = (ids == -2).any(axis=1)
+        total, out = forward[length], []
+        for r, (c, strange, t, x) in enumerate(zip(count.tolist(), unknown.tolist(), total.tolist(), second.tolist(), strict=True)):
+            found = ids[r, length - c :]
+            if strange:
+                found = self._in_bytes(stretches[r], found.tolist(), np.flatnonzero(on_way[:length, r]).tolist())
+            out.append((found.tobytes(), t, t - x))
+        return out
+
+    def _in_bytes(self, stretch: str, ids: list[int], starts: list[int]) -> np.ndarray:
+        """``ids`` of pieces that begin at ``starts``, unknown characters as bytes."""
+        out: list[int] = []
+        for i, start in zip(ids, starts, strict=True):
+            out += [i] if i >= 0 else [self.bytes[b] for b in stretch[start].encode()]
+        return np.array(out, "<i4")
 
     # ---- decoding ------------------------------------------------------------------------------
 
@@ -238,13 +247,17 @@ class Segmenter(dict):
         self.pieces = Pieces(path)
         self.lists: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
 
+    def clear(self) -> None:
+        super().clear()
+        self.lists.clear()
+
     def stretches(self, texts: list[str]) -> list[list[str]]:
+        in_use(self)
         split = [self.pieces.stretch.findall(f" {t}") if t else [] for t in texts]
         used = set().union(*split)
         new = [s for s in used if s not in self]
         if len(self) + len(new) > CACHE:
             self.clear()
-            self.lists.clear()
             new = list(used)
         self.update(zip(new, self.pieces.best(new), strict=True))
         return split
@@ -285,8 +298,8 @@ def segmenter(path: str) -> Segmenter:
 def _segmented(batches: Iterator[pa.RecordBatch], path: str, n: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     own = segmenter(path)
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
             texts = [x or "" for x in part.column(1).to_pylist()]
             columns: list[list] = [[] for _ in range(7)]
             for text, split in zip(texts, own.stretches(texts), strict=True):

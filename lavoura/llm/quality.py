@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavoura.llm.common import CACHE_WORDS, staged, text_bytes
+from lavoura.llm.common import CACHE_WORDS, in_use, staged, text_bytes
 
 #: Labelled documents that the model is fitted on at most.
 SAMPLE = 8192
@@ -50,6 +50,7 @@ SLOTS = WordSlots()
 
 def slots(text: bytes) -> np.ndarray:
     """The distinct slots of a text's words, ascending."""
+    in_use(SLOTS)
     words = set(text.split())
     found = np.unique(np.fromiter(map(SLOTS.__getitem__, words), np.int64, len(words)))
     return found[1:] if len(found) and found[0] < 0 else found

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lavoura.llm.common import CACHE_WORDS, shared_folder, text_bytes
+from lavoura.llm.common import CACHE_WORDS, in_use, shared_folder, text_bytes
 
 #: Ids of a shard (a longer document is a shard of its own), bytes of text per task.
 SHARD_IDS, TASK_BYTES = 1 << 20, 32 << 20
@@ -61,6 +61,10 @@ class Encoder(dict):
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
+    def clear(self) -> None:
+        super().clear()
+        self.parts = {"": b""}
+
     def _letters(self, strings: list[str]) -> list[bytes]:
         """As ``_of`` for strings of letters, many at once: each ends with a token that ends a word."""
         out = []
@@ -82,7 +86,6 @@ class Encoder(dict):
     def learn(self, words: set[bytes]) -> None:
         if len(self) + len(words) > CACHE_WORDS:
             self.clear()
-            self.parts = {"": b""}
         split, letters, marks, odd = [], set(), set(), []
         for word in words:
             text = word.decode()
@@ -103,6 +106,7 @@ class Encoder(dict):
         self.update(zip((w for w, _ in odd), self._of([t for _, t in odd]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        in_use(self)
         split = [t.replace(b"\n", b" ").split(b" ") for t in texts]
         found = [list(map(self.get, words)) for words in split]
         gaps = [[i for i, x in enumerate(f) if x is None] if None in f else [] for f in found]
