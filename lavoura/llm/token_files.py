@@ -27,7 +27,7 @@ from lavoura.llm.common import CACHE_WORDS, in_use, shared_folder, text_bytes
 SHARD_IDS, TASK_BYTES = 1 << 20, 32 << 20
 #: A pair is replaced if it occurs so often; rounds and rules per round at most; a round must
 #: shorten the shard by this share for another one to follow.
-LEAST, ROUNDS, RULES, GAIN = 8, 12, 8192, 0.02
+LEAST, ROUNDS, RULES, GAIN = 8, 12, 8192, 0.05
 #: Symbols of a shard that fit in 16 bits; with a larger alphabet rules are not added.
 SYMBOLS = 1 << 16
 
@@ -39,9 +39,11 @@ SHARD = (
 
 # ---- words to ids ----------------------------------------------------------------------------
 
-#: Words of letters without case marks or accents that combine, and trailing marks: their parts
-#: are encoded alone. The ranges are ASCII and Latin-1 letters.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: One word a line: letters (ASCII and Latin-1, which do not combine) and marks after them, which
+#: are encoded alone, or anything else. A word with a "<" is not cut, as it may be a special token.
+_WORDS = re.compile(r"^(?:([a-zà-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)|.*)$", re.MULTILINE)
+#: Parts of words kept in a worker before they are dropped.
+CACHE_PARTS = 500_000
 
 
 class Encoder(dict):
@@ -83,36 +85,35 @@ class Encoder(dict):
         found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> None:
         if len(self) + len(words) > CACHE_WORDS:
-            self.clear()
-        split, letters, marks, odd = [], set(), set(), []
-        for word in words:
-            text = word.decode()
-            # Special tokens are looked for before case is changed.
-            match = _PLAIN.fullmatch(text) if "<" not in text else None
-            if match is None:
-                odd.append((word, text))
-            else:
-                pair = match[1].lower(), match[2]
-                split.append((word, pair))
-                letters.add(pair[0])
-                marks.add(pair[1])
-        for known, encode in ((letters, self._letters), (marks, self._of)):
-            new = [x for x in known if x not in self.parts]
+            super().clear()
+        if len(self.parts) > CACHE_PARTS:
+            self.parts = {"": b""}
+        # One pass over all words: letters and marks of plain ones, the others whole.
+        split = _WORDS.findall(b"\n".join(words).decode().lower())
+        plain, odd = [], []
+        for word, (letters, marks) in zip(words, split, strict=True):
+            (plain if letters else odd).append((word, letters, marks))
+        for encode, column in ((self._letters, 1), (self._of, 2)):
+            new = list({x[column] for x in plain} - {""})
+            new = [x for x in new if x not in self.parts]
             self.parts.update(zip(new, encode(new), strict=True))
-        for word, (first, second) in split:
-            self[word] = self.parts[first] + self.parts[second]
-        self.update(zip((w for w, _ in odd), self._of([t for _, t in odd]), strict=True))
+        parts = self.parts
+        self.update((word, parts[letters] + parts[marks]) for word, letters, marks in plain)
+        # As they are: special tokens are looked for before case is changed.
+        self.update(zip((x[0] for x in odd), self._of([x[0].decode() for x in odd]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         in_use(self)
+        # Lower case makes fewer words; the tokenizer does the same, after looking for special tokens.
+        texts = [t if b"<|" in t else t.lower() for t in texts]
         split = [t.replace(b"\n", b" ").split(b" ") for t in texts]
         found = [list(map(self.get, words)) for words in split]
         gaps = [[i for i, x in enumerate(f) if x is None] if None in f else [] for f in found]
         new = {words[i] for words, gap in zip(split, gaps, strict=True) for i in gap}
         if new:
-            self.learn(new)
+            self.learn(list(new))
         for words, f, gap in zip(split, found, gaps, strict=True):
             for i in gap:
                 f[i] = self[words[i]]
