@@ -172,6 +172,27 @@ def test_graph_finds_neighbours_across_groups():
     assert len(row) == ((x[:10] @ x.T) >= 0.95).sum()
 
 
+def test_audit_sees_links_outside_a_large_group(spark, monkeypatch):
+    """A narrow beam misses pairs; the links of a third of all vectors must not outweigh them."""
+    monkeypatch.setattr(hnsw, "BEAM", 1)
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(1500, 24))
+    x = np.concatenate((base, base[:700] + 0.15 * rng.normal(size=(700, 24)), base[:1] + 0.02 * rng.normal(size=(1100, 24))))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = dict(enumerate(((unit @ unit.T >= 0.95).sum(axis=1) - 1).tolist()))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in near_vectors(df).collect()}
+    assert [i for i in want if got[i] != want[i]] == []
+
+
+def test_audit_judges_each_vector_once(spark):
+    truth = [(i, 17_000) for i in range(170)] + [(1000 + i, 2) for i in range(300)]
+    found = spark.createDataFrame([(i, n) for i, n in truth if n > 2], "a long, n long")
+    truth = spark.createDataFrame(truth, "a long, truth long")
+    assert not hnsw._passes(truth, found)
+    assert hnsw._passes(truth, found.union(truth.where("truth = 2")))
+
+
 def test_nearest(spark):
     rows = vectors()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit(1) for c in ("query", "shard", "v")})
