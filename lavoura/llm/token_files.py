@@ -25,9 +25,9 @@ from lavoura.llm.common import CACHE_WORDS, in_use, shared_folder, text_bytes
 
 #: Ids of a shard (a longer document is a shard of its own), bytes of text per task.
 SHARD_IDS, TASK_BYTES = 1 << 20, 32 << 20
-#: A pair is replaced if it occurs so often; rounds and rules per round at most; a round must
-#: shorten the shard by this share for another one to follow.
-LEAST, ROUNDS, RULES, GAIN = 8, 12, 8192, 0.05
+#: A pair is replaced if it occurs so often; rules per round at most. Rounds go on while there is
+#: such a pair and a symbol for it.
+LEAST, RULES = 8, 8192
 #: Symbols of a shard that fit in 16 bits; with a larger alphabet rules are not added.
 SYMBOLS = 1 << 16
 
@@ -147,11 +147,17 @@ def compress(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     starts[cuts] = True
     rules: list[np.ndarray] = []
     symbols = size
-    for _ in range(ROUNDS):
+    while True:
         room = min(RULES, SYMBOLS - symbols)
         if room <= 0 or len(body) < 2:
             break
         inner = ~starts[1 : len(body)]
+        # In a run of one symbol, pairs from left to right: every other place.
+        same = np.flatnonzero(inner & (body[:-1] == body[1:]))
+        if len(same):
+            first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
+            since = np.arange(len(same)) - np.repeat(first, np.diff(first, append=len(same)))
+            inner[same[since % 2 == 1]] = False
         keys = (body[:-1] << np.uint32(16)) | body[1:]
         ordered = np.sort(keys[inner])
         edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True]))) if len(ordered) else np.zeros(1, np.int64)
@@ -159,10 +165,11 @@ def compress(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         often = np.flatnonzero(counts >= LEAST)
         often = often[np.argsort(-counts[often], kind="stable")[: 2 * room]]
         # Pairs of one round share no symbol as left of one and right of another: no overlaps.
+        # A pair of equal symbols shares its symbol with itself only.
         lefts, rights, chosen = set(), set(), []
         for key in ordered[edge[often]].tolist():
             x, y = key >> 16, key & 0xFFFF
-            if x == y or x in rights or y in lefts:
+            if x in rights or y in lefts:
                 continue
             lefts.add(x)
             rights.add(y)
@@ -186,8 +193,6 @@ def compress(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         starts = np.append(starts[:-1][keep], True)
         rules.append(np.stack((pairs >> 16, pairs & 0xFFFF), axis=1))
         symbols += len(pairs)
-        if len(at) < GAIN * len(body):
-            break
     table = np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
     lengths = np.ones(symbols, np.int64)
     done = size
