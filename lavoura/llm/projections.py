@@ -4,8 +4,8 @@ Every vector, scaled to length one, is projected to ``dims`` random directions w
 components, a stable distribution: the squared distance of two projections, over that of the
 vectors, follows a chi-square law with ``dims`` degrees of freedom. A kd-tree over the
 projections yields a query's neighbours there leaf by leaf in ascending distance; each is
-compared with the query, and the best ones in double precision on the original vectors. The
-search of a shard ends when a vector nearer than the k-th best would
+compared with the query in single precision, and all that rounding may have put below the k-th
+best in double precision on the original vectors. The search of a shard ends when a vector nearer than the k-th best would
 already have shown up with the chosen confidence.
 
 Shards hold a bounded number of vectors, queries come in bounded blocks, and every block is
@@ -26,8 +26,8 @@ from lavoura.llm.vectors import as_double, matrix, norms, usable
 
 #: Vectors of a shard, queries of a block, points of a kd-tree leaf, leaves looked at together.
 SHARD, QUERIES, LEAF, STEP = 16384, 2048, 64, 8
-#: Candidates beyond the k best that are compared in double precision.
-SPARE = 24
+#: Candidates compared in double precision at once.
+EXACT = 1024
 
 
 def chi_square(x: float, dims: int) -> float:
@@ -92,15 +92,18 @@ def _search(table: pa.Table, k: int, dims: int, limit: float) -> pa.Table:
         by_point = np.lexsort((ids, back))
         ends = np.cumsum(np.bincount(back))
         starts = np.concatenate(([0], ends[:-1]))
-        fellows = [ids[by_point[a : min(b, a + k + 1)]] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        v = v[first]
+        # More than k, as the query itself may be among them, as often as its id occurs.
+        wide = k + int(np.unique(ids, return_counts=True)[1].max())
+        fellows = [ids[by_point[a : min(b, a + wide)]] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        v, least_id = v[first], ids[by_point[starts]]
         length = norms(v)
         directions = np.random.default_rng(v.shape[1]).standard_normal((v.shape[1], dims))
         unit = v / length[:, None]
         tree = KdTree(unit @ directions)
         # Side by side as the leaves are; single precision finds the best, double compares them.
         coarse = unit[tree.order].astype(np.float32)
-        wide = k + SPARE
+        # By how much rounding may change the difference of two cosines in single precision.
+        error = 2 * (v.shape[1] + 4) * 2.0**-24
         for q, own in zip(wanted, wanted_ids.tolist(), strict=True):
             size = math.sqrt(float((q * q).sum()))
             coarse_q = (q / size).astype(np.float32)
@@ -108,14 +111,19 @@ def _search(table: pa.Table, k: int, dims: int, limit: float) -> pa.Table:
             for spans, reach in tree.ascending((q / size) @ directions):
                 best = np.concatenate([best, *[np.arange(a, b) for a, b in spans]])
                 best_at = np.concatenate([best_at, *[coarse[a:b] @ coarse_q for a, b in spans]])
-                if len(best) > wide:
-                    top = np.argpartition(-best_at, wide)[:wide]
-                    best, best_at = best[top], best_at[top]
-                # One more than k, as the query itself may be among them.
-                if len(best) > k and reach >= limit * max(0.0, 2 - 2 * float(np.partition(best_at, -k - 1)[-k - 1])):
+                if len(best) < wide:
+                    continue
+                worst = float(np.partition(best_at, -wide)[-wide]) - error
+                keep = best_at >= worst
+                best, best_at = best[keep], best_at[keep]
+                if reach >= limit * max(0.0, 2 - 2 * worst):
                     break
             best = tree.order[best]
-            best_at = (v[best] * q).sum(axis=1) / (length[best] * size)
+            parts = [best[i : i + EXACT] for i in range(0, len(best), EXACT)]
+            best_at = np.concatenate([(v[p] * q).sum(axis=1) / (length[p] * size) for p in parts])
+            # Of the points, as many suffice; at a tie those of the smaller ids.
+            first_ones = np.lexsort((least_id[best], -best_at))[:wide]
+            best, best_at = best[first_ones], best_at[first_ones]
             near = [(-s, i, s) for p, s in zip(best.tolist(), best_at.tolist(), strict=True) for i in fellows[p].tolist() if i != own]
             out += [(own, i, s) for _, i, s in sorted(near)[:k]]
     q_out, i_out, s_out = zip(*out, strict=True) if out else ((), (), ())
