@@ -49,8 +49,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The 4 best segmentations of each text, and the text decoded from the best."""
-    return segmented(docs, tokenizer_file("piece_bpe_32k.model"), n=4)
+    """The 4 best segmentations of each text, and the text decoded from each."""
+    return segmented(docs, tokenizer_file("piece_bpe_32k.model"), n=4, with_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -301,7 +301,8 @@ def _segmented(batches: Iterator[pa.RecordBatch], path: str, n: int, with_ids: b
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
             texts = [x or "" for x in part.column(1).to_pylist()]
-            columns: list[list] = [[] for _ in range(7)]
+            columns: list[list] = [[] for _ in range(6)]
+            told = _Told()
             for text, split in zip(texts, own.stretches(texts), strict=True):
                 found = [own[s] for s in split]
                 raw = b"".join([f[0] for f in found])
@@ -309,38 +310,62 @@ def _segmented(batches: Iterator[pa.RecordBatch], path: str, n: int, with_ids: b
                 best = float(sum([f[1] for f in found]))
                 ways = own.n_best(split, n)
                 spelled = own.pieces.decode(ids) if len(ids) else b""
-                row = (len(ids), zlib.crc32(raw), best, [best - loss for loss, _ in ways], zlib.crc32(spelled), spelled == text.encode(), _spelled_out(found, ways) if with_ids else None)
+                row = (len(ids), zlib.crc32(raw), best, [best - loss for loss, _ in ways], zlib.crc32(spelled), spelled == text.encode())
                 for column, value in zip(columns, row, strict=True):
                     column.append(value)
+                if with_ids:
+                    told.add(own.pieces, found, ways, raw, spelled)
             arrays = [part.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64()),
                       pa.array(columns[3], pa.list_(pa.float64())), pa.array(columns[4], pa.int64()), pa.array(columns[5], pa.bool_())]
             names = ["doc_id", "n_pieces", "ids_crc32", "score", "scores", "decoded_crc32", "round_trip"]
             if with_ids:
-                arrays.append(pa.array(columns[6], pa.list_(pa.list_(pa.int32()))))
-                names.append("segmentations")
+                arrays += told.arrays()
+                names += ["segmentations", "decoded"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _spelled_out(found: list[tuple[bytes, float, float]], ways: list[tuple[float, dict[int, tuple[int, ...]]]]) -> list[list[int]]:
-    out = []
-    for _, way in ways:
-        ids: list[int] = []
-        for i, f in enumerate(found):
-            ids += way[i] if i in way else np.frombuffer(f[0], "<u4").tolist()
-        out.append(ids)
-    return out
+class _Told:
+    """Ids of all segmentations of each text, and the texts decoded from them."""
+
+    def __init__(self):
+        self.raw: list[bytes] = []
+        self.ways: list[int] = []
+        self.decoded: list[list[bytes]] = []
+
+    def add(self, pieces: Pieces, found: list[tuple[bytes, float, float]], ways: list[tuple[float, dict[int, tuple[int, ...]]]], raw: bytes, spelled: bytes) -> None:
+        """``raw`` and ``spelled`` are the best segmentation's ids and text."""
+        decoded, parts = [], [f[0] for f in found]
+        for _, way in ways:
+            if way:
+                other = parts.copy()
+                for i, ids in way.items():
+                    other[i] = np.array(ids, "<u4").tobytes()
+                self.raw.append(b"".join(other))
+                decoded.append(pieces.decode(np.frombuffer(self.raw[-1], "<u4")))
+            else:
+                self.raw.append(raw)
+                decoded.append(spelled)
+        self.ways.append(len(ways))
+        self.decoded.append(decoded)
+
+    def arrays(self) -> list[pa.Array]:
+        ends = np.cumsum([0, *[len(x) // 4 for x in self.raw]])
+        each = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(self.raw), "<i4")))
+        of_text = pa.array(np.cumsum([0, *self.ways]), pa.int32())
+        return [pa.ListArray.from_arrays(of_text, each), pa.array(self.decoded, pa.list_(pa.string()))]
 
 
 def segmented(docs: DataFrame, model: str, n: int = 4, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """(doc_id, n_pieces, ids_crc32, score, scores, decoded_crc32, round_trip[, segmentations]).
+    """(doc_id, n_pieces, ids_crc32, score, scores, decoded_crc32, round_trip[, segmentations, decoded]).
 
     For every row of ``docs`` the whole text's best segmentation (number of ids, crc32 of the ids
     as little-endian 32-bit integers, score), the scores of its ``n`` best ones (fewer if there
     are fewer), and the text decoded from the best one's ids: its crc32, and whether it equals
-    the text. ``segmentations`` are the ids of the n best. A blank is put before the text and
+    the text. ``segmentations`` are the ids of the n best, ``decoded`` the text decoded from each of
+    them. A blank is put before the text and
     taken off again. Null and empty texts have no pieces and one empty segmentation. Null and
     repeated ids are rows like others; other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, n_pieces long, ids_crc32 long, score double, scores array<double>, decoded_crc32 long, round_trip boolean"
-    return docs.mapInArrow(lambda it: _segmented(it, model, n, with_ids), schema + ", segmentations array<array<int>>" * with_ids)
+    return docs.mapInArrow(lambda it: _segmented(it, model, n, with_ids), schema + ", segmentations array<array<int>>, decoded array<string>" * with_ids)

@@ -33,8 +33,8 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 4 best segmentations of every text of ``documents`` into pieces, and the text decoded."""
-    return segmented(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), n=4)
+    """The 4 best segmentations of every text of ``documents`` into pieces, and the text decoded from each."""
+    return segmented(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), n=4, with_ids=True)
 
 
 def op2_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
