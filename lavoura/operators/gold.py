@@ -342,7 +342,8 @@ def refresh(
     which must hold replaced versions of rows as well as new ones, valid or not; without it,
     those of the rows processed at ``since`` or later, which is enough where rows only come in.
     ``scope="increment"`` aggregates the rows processed after ``since`` alone and replaces the
-    keys' rows with that.
+    keys' rows with that. It goes by time stamps and ignores ``changed``: rows stamped before
+    ``since`` and committed after the last refresh are lost to it.
     """
     build, keys = MODELS[model]
     if scope == "increment":

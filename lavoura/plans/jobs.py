@@ -86,7 +86,8 @@ def build_gold(lake: Lakehouse, as_of: datetime | str, scope: str = "history") -
     """Bring the three gold tables up to date with silver.
 
     Which keys changed since a table was built is what silver's merges recorded and the table
-    has not read yet, not a matter of time stamps.
+    has not read yet, not a matter of time stamps. Only ``scope="increment"`` goes by time stamps:
+    rows stamped before a table was built and committed later are never aggregated by it.
     """
     spark = lake.spark
     changes, ledger = lake.path("silver", "_changes"), lake.path("gold", "_read")
