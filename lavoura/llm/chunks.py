@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavoura.llm.common import shared_folder, staged, text_bytes
@@ -64,13 +64,26 @@ def packed(docs: DataFrame, chunk_bytes: int, bucket_bytes: int) -> tuple[DataFr
             yield row()
 
     chunks = docs.select("doc_id", "text").mapInArrow(pack, "chunk long, ids array<long>, lengths array<long>, texts binary")
+    name = bucketed(chunks, max(1, math.ceil(total / bucket_bytes)))
+    return spark.table(name), total
+
+
+def bucketed(chunks: DataFrame, buckets: int) -> str:
+    """The name of a table of ``chunks``, bucketed by their number, in the shared folder."""
     name = f"llm_chunks_{uuid.uuid4().hex}"
-    buckets = max(1, math.ceil(total / bucket_bytes))
     (
-        chunks.write.bucketBy(buckets, "chunk").option("path", shared_folder(spark, "chunks"))
+        chunks.write.bucketBy(buckets, "chunk").option("path", shared_folder(chunks.sparkSession, "chunks"))
         .option("compression", "none").saveAsTable(name)
     )
-    return spark.table(name), total
+    return name
+
+
+def forget(spark: SparkSession, name: str) -> None:
+    """Drop a table of ``bucketed`` and its files, once nothing reads it any more."""
+    place = spark.sql(f"describe formatted {name}").where("col_name = 'Location'").first()["data_type"]
+    spark.sql(f"drop table {name}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class Chunk:

@@ -7,17 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lavoura.llm.collocations import collocations
 from lavoura.llm.common import ship
 from lavoura.llm.hnsw import near_vectors
 from lavoura.llm.mixing import mixed
 from lavoura.llm.near_text import near_duplicates
+from lavoura.llm.oracle import ORACLE_SQL  # noqa: F401
 from lavoura.llm.passages import without_repeats
 from lavoura.llm.pieces import segmented
 from lavoura.llm.private import personal_data
 from lavoura.llm.projections import nearest
 from lavoura.llm.quality import graded
+from lavoura.llm.spelling import variants
 from lavoura.llm.suffixes import without_repeated_bytes
 from lavoura.llm.token_files import encoded
+from lavoura.llm.winnowing import contaminated
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +99,21 @@ def op10_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` in windows of 10 words that ``benchmark`` has, too."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents``, their near words and the forms they vary."""
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of 2 and 3 words of each language of ``documents``."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pieces": op1_pieces,
     "op2_repair": op2_repair,
@@ -106,5 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffixes": op8_suffixes,
     "op9_private": op9_private,
     "op10_projections": op10_projections,
+    "op11_winnowing": op11_winnowing,
+    "op12_spelling": op12_spelling,
+    "op13_phrases": op13_phrases,
 }
-ORACLE_SQL: dict[str, str] = {}
