@@ -21,14 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lavoura.llm.common import CACHE_WORDS, in_use, shared_folder, text_bytes
+from lavoura.llm.common import in_use, shared_folder, text_bytes
 
 #: Ids of a shard (a longer document is a shard of its own), bytes of text per task.
 SHARD_IDS, TASK_BYTES = 1 << 20, 32 << 20
 #: A pair is replaced if it occurs so often; rules per round at most. Rounds go on while there is
 #: such a pair and a symbol for it.
 LEAST, RULES = 8, 8192
-#: Symbols of a shard that fit in 16 bits; with a larger alphabet rules are not added.
+#: Symbols of a shard that fit in 16 bits; with more of them they take 32.
 SYMBOLS = 1 << 16
 
 SHARD = (
@@ -42,8 +42,8 @@ SHARD = (
 #: One word a line: letters (ASCII and Latin-1, which do not combine) and marks after them, which
 #: are encoded alone, or anything else. A word with a "<" is not cut, as it may be a special token.
 _WORDS = re.compile(r"^(?:([a-zà-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)|.*)$", re.MULTILINE)
-#: Parts of words kept in a worker before they are dropped.
-CACHE_PARTS = 500_000
+#: Words, and parts of words, kept in a worker before they are dropped.
+CACHE_WORDS, CACHE_PARTS = 400_000, 500_000
 
 
 class Encoder(dict):
@@ -148,9 +148,10 @@ def compress(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     rules: list[np.ndarray] = []
     symbols = size
     while True:
-        room = min(RULES, SYMBOLS - symbols)
-        if room <= 0 or len(body) < 2:
+        if len(body) < 2:
             break
+        # Pairs are one number; half of it for each symbol.
+        half, kind = (16, np.uint32) if symbols <= SYMBOLS else (32, np.uint64)
         inner = ~starts[1 : len(body)]
         # In a run of one symbol, pairs from left to right: every other place.
         same = np.flatnonzero(inner & (body[:-1] == body[1:]))
@@ -158,29 +159,30 @@ def compress(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
             first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
             since = np.arange(len(same)) - np.repeat(first, np.diff(first, append=len(same)))
             inner[same[since % 2 == 1]] = False
-        keys = (body[:-1] << np.uint32(16)) | body[1:]
+        keys = (body[:-1].astype(kind) << kind(half)) | body[1:].astype(kind)
         ordered = np.sort(keys[inner])
         edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True]))) if len(ordered) else np.zeros(1, np.int64)
         counts = np.diff(edge)
         often = np.flatnonzero(counts >= LEAST)
-        often = often[np.argsort(-counts[often], kind="stable")[: 2 * room]]
+        often = often[np.argsort(-counts[often], kind="stable")[: 2 * RULES]]
         # Pairs of one round share no symbol as left of one and right of another: no overlaps.
         # A pair of equal symbols shares its symbol with itself only.
         lefts, rights, chosen = set(), set(), []
         for key in ordered[edge[often]].tolist():
-            x, y = key >> 16, key & 0xFFFF
+            x, y = key >> half, key & ((1 << half) - 1)
             if x in rights or y in lefts:
                 continue
             lefts.add(x)
             rights.add(y)
             chosen.append(key)
-            if len(chosen) == room:
+            if len(chosen) == RULES:
                 break
         if not chosen:
             break
-        pairs = np.sort(np.array(chosen, np.uint32))
+        pairs = np.sort(np.array(chosen, kind))
+        rule = np.stack((pairs >> kind(half), pairs & kind((1 << half) - 1)), axis=1).astype(np.uint32)
         is_left, is_right = np.zeros(symbols, bool), np.zeros(symbols, bool)
-        is_left[pairs >> 16], is_right[pairs & 0xFFFF] = True, True
+        is_left[rule[:, 0]], is_right[rule[:, 1]] = True, True
         at = np.flatnonzero(inner & is_left[body[:-1]] & is_right[body[1:]])
         found = np.searchsorted(pairs, keys[at])
         found[found == len(pairs)] = 0
@@ -191,7 +193,7 @@ def compress(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         keep[at + 1] = False
         body = body[keep]
         starts = np.append(starts[:-1][keep], True)
-        rules.append(np.stack((pairs >> 16, pairs & 0xFFFF), axis=1))
+        rules.append(rule)
         symbols += len(pairs)
     table = np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
     lengths = np.ones(symbols, np.int64)

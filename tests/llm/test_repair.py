@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from lavoura.llm import token_files
 from lavoura.llm.token_files import LEAST, SYMBOLS, Shard, compress
 
 
@@ -39,3 +40,17 @@ def test_no_frequent_pair_is_left(name):
     shard = Shard(alphabet.astype("<u4").tobytes(), rules.astype("<u2").tobytes(), lengths.astype("<u4").tobytes(), body.astype("<u2").tobytes(), places.tolist())
     got, before = shard.all_ids()
     assert (got == ids).all() and before.tolist() == cuts.tolist()
+
+
+def test_more_symbols_than_16_bits_hold(monkeypatch):
+    """Rounds go on with wider pairs until no pair is frequent; the ids come back."""
+    monkeypatch.setattr(token_files, "SYMBOLS", 500)
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 400, (900, 3))
+    ids = words[rng.integers(0, 900, 30_000)].ravel().astype(np.uint32)
+    cuts = np.arange(0, len(ids), 1000)
+    present, rules, lengths, body, starts = token_files.compress(ids, cuts)
+    assert len(present) + len(rules) > 500
+    flat, start, length = token_files.expansions(len(present), rules.astype(np.int64), lengths)
+    assert np.array_equal(present[flat[token_files._runs(start[body], length[body])]], ids)
+    assert most_frequent(body, starts) < LEAST
