@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import DRIFT_FEATURES
-from ..sources.staging import staged
-from ..sources.tables import path_exists
+from ..sources.staging import path_exists, staged
 
 SLICES = 256
 SERIES_TERMS = 100

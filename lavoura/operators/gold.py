@@ -100,6 +100,11 @@ def gold_proponente(silver: DataFrame, as_of: datetime | str | Column) -> DataFr
         kinds("localizacao_uf").alias("diversidade_ufs"),
         F.max("processed_at").alias("ultima_atualizacao"),
     )
+    return proponente_features(measures, as_of)
+
+
+def proponente_features(measures: DataFrame, as_of: datetime | str | Column) -> DataFrame:
+    """The table by applicant from its measures."""
     sd, mean = F.col("valor_desvio_padrao"), F.col("valor_medio_solicitado")
     return measures.select(
         "proponente_id",
@@ -193,9 +198,13 @@ def gold_location(silver: DataFrame, as_of: datetime | str | Column, exact: bool
         F.max("processed_at").alias("ultima_atualizacao"),
     )
     measures = _with_percentiles(measures, rows, LOCATION_KEY, median, exact)
-    joined = _with_identifiers(measures, rows, LOCATION_KEY, {"proponentes_unicos": "proponente_id"})
+    return location_features(_with_identifiers(measures, rows, LOCATION_KEY, {"proponentes_unicos": "proponente_id"}), as_of)
+
+
+def location_features(measures: DataFrame, as_of: datetime | str | Column) -> DataFrame:
+    """The table by place from its measures."""
     sd, mean = F.col("valor_desvio_padrao"), F.col("valor_medio_solicitado")
-    return joined.select(
+    return measures.select(
         *LOCATION_KEY,
         composite_key(*[F.col(k) for k in LOCATION_KEY]).alias("localizacao_key"),
         "total_proponentes",
@@ -274,10 +283,15 @@ def gold_risk(silver: DataFrame, as_of: datetime | str | Column, exact: bool = T
     )
     measures = _with_percentiles(measures, rows, RISK_KEY, levels, exact)
     identifiers = {"proponentes_unicos": "proponente_id", "diversidade_municipios": "localizacao_municipio"}
-    joined = _with_identifiers(measures, rows, RISK_KEY, identifiers)
+    return risk_features(_with_identifiers(measures, rows, RISK_KEY, identifiers), as_of)
+
+
+def risk_features(measures: DataFrame, as_of: datetime | str | Column) -> DataFrame:
+    """The table by risk band and crop from its measures."""
+    levels = ["valor_p25", "valor_mediano", "valor_p75", "valor_p90"]
     sd, mean = F.col("valor_desvio_padrao"), F.col("valor_medio_solicitado")
     band, crop = F.col("faixa_risco_credito"), F.col("cultura_principal")
-    return joined.select(
+    return measures.select(
         *RISK_KEY,
         composite_key(band, crop).alias("risco_cultura_key"),
         "total_solicitacoes",
@@ -329,6 +343,7 @@ MODELS = {
     "location": (gold_location, LOCATION_KEY),
     "risk": (gold_risk, RISK_KEY),
 }
+FINISH = {"proponente": proponente_features, "location": location_features, "risk": risk_features}
 
 
 def refresh(

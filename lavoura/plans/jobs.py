@@ -2,61 +2,87 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import instant
 from ..operators import drift, enrichment, features, gold, incremental, maintenance, quality, scoring, silver, training
-from ..schemas import LOCATION_VIEW, PROPONENTE_VIEW, RISK_VIEW, SILVER_KEY
+from ..operators.partial import GoldStates
+from ..schemas import LOCATION_VIEW, PROPONENTE_VIEW, RISK_VIEW, SILVER_KEY, SILVER_PARTITIONS
 from ..session import prepare
 from ..sources import events
-from ..sources.staging import staged
-from ..sources.tables import ensure_database, ensure_table, merge_table, path_exists, publish, register_external, table_location
-from ..streaming.refresh import SILVER_PARTITIONS
+from ..sources.changes import ChangeLog
+from ..sources.staging import path_exists, staged
+from ..sources.tables import ensure_database, ensure_table, merge_table, publish, register_external, table_location
+from ..streaming import refresh
 
 GOLD_TABLES = {name: f"gold.{name}_features_agro" for name in gold.MODELS}
 SILVER_TABLE = "silver.dados_produtores_agro"
 BRONZE_TABLE = "bronze.dados_produtores_agro"
-# What gold tables are grouped by.
-CHANGE_COLUMNS = sorted({key for _, keys in gold.MODELS.values() for key in keys})
+# What gold tables are grouped by, and the silver partitions their states are kept by.
+CHANGE_COLUMNS = [*sorted({key for _, keys in gold.MODELS.values() for key in keys}), *SILVER_PARTITIONS]
 VIEWS = {"proponente": PROPONENTE_VIEW, "location": LOCATION_VIEW, "risk": RISK_VIEW}
 
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """Where the tables live: one folder on storage every executor can reach."""
+    """Where the tables live: one folder on storage every executor can reach.
+
+    ``prefix`` goes before the names of the databases, so that several can share a catalog.
+    """
 
     spark: SparkSession
     root: str
+    prefix: str = ""
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
+    def table(self, name: str) -> str:
+        return self.prefix + name
+
+    def databases(self) -> list[str]:
+        return [self.table(name) for name in ("bronze", "silver", "gold")]
+
     def create_databases(self) -> None:
         prepare(self.spark)
-        for name in ("bronze", "silver", "gold"):
+        for name in self.databases():
             ensure_database(self.spark, name)
 
+    def changes(self) -> ChangeLog:
+        """What merges into silver touched, in the columns gold tables are grouped by."""
+        return ChangeLog(self.spark, self.path("silver", "_changes"), tuple(CHANGE_COLUMNS))
+
 
 def append_bronze(lake: Lakehouse, bronze: DataFrame) -> None:
     """Append nested bronze rows by arrival month and person type."""
     lake.create_databases()
     rows = bronze.withColumn("mes_ingestao", F.date_format("ingestion_timestamp", "yyyy-MM"))
     spark = lake.spark
-    ensure_table(spark, BRONZE_TABLE, rows.schema, lake.path("bronze", "dados_produtores_agro"), events.BRONZE_PARTITIONS)
+    ensure_table(spark, lake.table(BRONZE_TABLE), rows.schema, lake.path("bronze", "dados_produtores_agro"), events.BRONZE_PARTITIONS)
     (
         rows.hint("rebalance", *events.BRONZE_PARTITIONS)
         .write.mode("append")
         .option("compression", "zstd")
         .partitionBy(*events.BRONZE_PARTITIONS)
-        .parquet(table_location(spark, BRONZE_TABLE))
+        .parquet(table_location(spark, lake.table(BRONZE_TABLE)))
     )
-    spark.catalog.recoverPartitions(BRONZE_TABLE)
-    spark.catalog.refreshTable(BRONZE_TABLE)
+    spark.catalog.recoverPartitions(lake.table(BRONZE_TABLE))
+    spark.catalog.refreshTable(lake.table(BRONZE_TABLE))
+
+
+def _silver_ready(lake: Lakehouse, as_of: datetime | str) -> str:
+    """The silver table's name; the table is there, if empty."""
+    bronze = lake.spark.table(lake.table(BRONZE_TABLE))
+    shape = events.with_dated_partitions(silver.build_silver(bronze.limit(0), as_of)).schema
+    ensure_table(lake.spark, lake.table(SILVER_TABLE), shape, lake.path("silver", "dados_produtores_agro"), SILVER_PARTITIONS)
+    return lake.table(SILVER_TABLE)
 
 
 def load_silver(lake: Lakehouse, as_of: datetime | str) -> None:
@@ -68,65 +94,75 @@ def load_silver(lake: Lakehouse, as_of: datetime | str) -> None:
     breaks off is repeated, which changes nothing. The driver holds file names, no rows.
     """
     spark = lake.spark
-    spark.catalog.recoverPartitions(BRONZE_TABLE)
-    bronze, ledger = spark.table(BRONZE_TABLE), lake.path("silver", "_loaded")
-    shape = events.with_dated_partitions(silver.build_silver(bronze.limit(0), as_of)).schema
-    ensure_table(spark, SILVER_TABLE, shape, lake.path("silver", "dados_produtores_agro"), SILVER_PARTITIONS)
+    spark.catalog.recoverPartitions(lake.table(BRONZE_TABLE))
+    bronze, ledger = spark.table(lake.table(BRONZE_TABLE)), lake.path("silver", "_loaded")
+    table = _silver_ready(lake, as_of)
     loaded = {r["file"] for r in spark.read.parquet(ledger).collect()} if path_exists(spark, ledger) else set()
     pending = sorted(set(bronze.inputFiles()) - loaded)
     if not pending:
         return
-    arrived = spark.read.schema(bronze.schema).option("basePath", table_location(spark, BRONZE_TABLE)).parquet(*pending)
+    arrived = spark.read.schema(bronze.schema).option("basePath", table_location(spark, lake.table(BRONZE_TABLE))).parquet(*pending)
     rows = events.with_dated_partitions(silver.build_silver(arrived, as_of))
-    merge_table(rows, SILVER_TABLE, SILVER_KEY, ["ingestion_timestamp"], (lake.path("silver", "_changes"), CHANGE_COLUMNS))
+    merge_table(rows, table, SILVER_KEY, ["ingestion_timestamp"], lake.changes())
     spark.createDataFrame([(f,) for f in pending], "file string").coalesce(1).write.mode("append").parquet(ledger)
 
 
-def build_gold(lake: Lakehouse, as_of: datetime | str, scope: str = "history") -> None:
-    """Bring the three gold tables up to date with silver.
+def follow_bronze(lake: Lakehouse, bronze: DataFrame, checkpoint: str, as_of: datetime | str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep silver up to date with a stream of nested bronze rows; gold learns what it touched."""
+    return refresh.stream_silver(bronze, _silver_ready(lake, as_of), checkpoint, trigger, lake.changes())
+
+
+def build_gold(lake: Lakehouse, as_of: datetime | str, scope: str = "history", models: Sequence[str] = tuple(gold.MODELS)) -> None:
+    """Bring the gold tables up to date with silver.
 
-    Which keys changed since a table was built is what silver's merges recorded and the table
-    has not read yet, not a matter of time stamps. Only ``scope="increment"`` goes by time stamps:
-    rows stamped before a table was built and committed later are never aggregated by it.
+    Which keys changed since a table was built is what silver's merges, by batch or stream, have
+    confirmed and the table has not read yet, not a matter of time stamps. A merge that is under
+    way meanwhile is read by the next run. Of silver only the partitions are read that those merges
+    touched; the rest comes from stored states. Only ``scope="increment"`` goes by time stamps: rows
+    stamped before a table was built and committed later are never aggregated by it.
     """
-    spark = lake.spark
-    changes, ledger = lake.path("silver", "_changes"), lake.path("gold", "_read")
-    for name, (build, keys) in gold.MODELS.items():
-        table, base = GOLD_TABLES[name], lake.path("gold", name)
-        # What is recorded is listed before silver is read: what comes later is left for the next run.
-        recorded = spark.read.parquet(changes)
-        done = {r["load_id"] for r in spark.read.parquet(ledger).where(F.col("model") == name).collect()} if path_exists(spark, ledger) else set()
-        pending = sorted({r["load_id"] for r in recorded.select("load_id").distinct().collect()} - done)
-        spark.catalog.refreshTable(SILVER_TABLE)
-        rows = spark.table(SILVER_TABLE)
-        if not spark.catalog.tableExists(table):
-            result = build(rows, as_of)
-        elif not pending:
+    spark, changes = lake.spark, lake.changes()
+    for name in models:
+        _, keys = gold.MODELS[name]
+        table, base = lake.table(GOLD_TABLES[name]), lake.path("gold", name)
+        states = GoldStates(spark, lake.path("gold", "_states", name), name)
+        # What is confirmed is listed before silver is read: what comes later is left for the next run.
+        unread = changes.unread(name)
+        spark.catalog.refreshTable(lake.table(SILVER_TABLE))
+        rows = spark.table(lake.table(SILVER_TABLE))
+        if not spark.catalog.tableExists(table) or not states.exist():
+            states.update(rows)
+            result = states.features(as_of)
+        elif unread.isEmpty():
             continue
-        else:
+        elif scope == "increment":
             stored = spark.table(table)
             since = incremental.newest_stamp(stored, "feature_timestamp") or incremental.EPOCH
-            changed = recorded.where(F.col("load_id").isin(pending))
-            result = gold.refresh(name, rows, stored, since, as_of, scope, changed)
+            result = gold.refresh(name, rows, stored, since, as_of, scope)
+        else:
+            touched = staged(changes.keys_of(unread).distinct(), "touched")
+            # Partition values only: as many rows as the merges touched partitions.
+            states.update(rows, touched.select(*SILVER_PARTITIONS).distinct().collect())
+            groups = staged(touched.select(*keys).distinct(), "groups")
+            result = spark.table(table).join(groups, keys, "left_anti").unionByName(states.features(as_of, groups))
         publish(result, table, base)
-        read = [(name, load) for load in pending]
-        spark.createDataFrame(read, "model string, load_id string").coalesce(1).write.mode("append").parquet(ledger)
+        changes.mark_read(name, unread)
 
 
 def check_tables(lake: Lakehouse, as_of: datetime | str) -> DataFrame:
     """Results of every declared check on silver and gold."""
-    report = quality.silver_report(lake.spark.table(SILVER_TABLE), as_of)
+    report = quality.silver_report(lake.spark.table(lake.table(SILVER_TABLE)), as_of)
     for name, (_, keys) in gold.MODELS.items():
-        report = report.unionByName(quality.gold_report(name, lake.spark.table(GOLD_TABLES[name]), keys, as_of))
+        report = report.unionByName(quality.gold_report(name, lake.spark.table(lake.table(GOLD_TABLES[name])), keys, as_of))
     return report
 
 
 def export_features(lake: Lakehouse, as_of: datetime | str) -> dict[str, str]:
     """Write each gold table for the feature store; returns the paths."""
     paths = {}
-    for name, table in GOLD_TABLES.items():
+    for name in GOLD_TABLES:
         path = lake.path("features", f"gold_{name}_features")
-        features.export_rows(lake.spark.table(table), as_of).write.mode("overwrite").parquet(path)
+        features.export_rows(lake.spark.table(lake.table(GOLD_TABLES[name])), as_of).write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
 
@@ -147,7 +183,7 @@ def enrich_events(lake: Lakehouse, raw_path: str, as_of: datetime | str) -> None
     whole, by_day = lake.path("gold", "event_features"), lake.path("gold", "event_features_by_day")
     enrichment.write_features(rows, whole)
     enrichment.write_features_by_day(rows, by_day)
-    register_external(lake.spark, "gold.event_features", whole)
+    register_external(lake.spark, lake.table("gold.event_features"), whole)
 
 
 def train_and_gate(lake: Lakehouse, as_of: datetime | str, trees: int = 100) -> tuple[PipelineModel, DataFrame]:
@@ -157,8 +193,8 @@ def train_and_gate(lake: Lakehouse, as_of: datetime | str, trees: int = 100) ->
     alone. Metrics are appended to a table the next run compares with.
     """
     spark = lake.spark
-    rows = training.model_features(spark.table(GOLD_TABLES["proponente"]))
-    training.require_rows(rows, GOLD_TABLES["proponente"])
+    rows = training.model_features(spark.table(lake.table(GOLD_TABLES["proponente"])))
+    training.require_rows(rows, lake.table(GOLD_TABLES["proponente"]))
 
     baseline, existed = drift.baseline_or_first(spark, lake.path("ml", "baseline"), rows)
     tested = drift.drift_summary(drift.ks_drift(rows, baseline))
@@ -188,7 +224,7 @@ def score_requests(lake: Lakehouse, requests: DataFrame, model: PipelineModel |
     """Decisions for flat requests: by the model where features are known, else by rules."""
     if model is None:
         return scoring.decide(requests)
-    known = training.model_features(lake.spark.table(GOLD_TABLES["proponente"]))
+    known = training.model_features(lake.spark.table(lake.table(GOLD_TABLES["proponente"])))
     predicted = training.predict(model, known).select("proponente_id", "probability_default")
     joined = requests.join(predicted, "proponente_id", "left")
     return scoring.decide(joined, scoring.model_or_rules(F.col("probability_default"))).drop("probability_default")
@@ -196,7 +232,7 @@ def score_requests(lake: Lakehouse, requests: DataFrame, model: PipelineModel |
 
 def maintain(lake: Lakehouse) -> DataFrame:
     """Check and, where needed, compact every bronze, silver and gold table; the report is kept."""
-    tables = maintenance.tables_in(lake.spark, ["bronze", "silver", "gold"])
+    tables = maintenance.tables_in(lake.spark, lake.databases())
     done = maintenance.optimize_tables(lake.spark, tables)
     done.withColumn("reported_at", F.current_timestamp()).write.mode("append").json(lake.path("maintenance", "reports"))
     return done
@@ -204,7 +240,7 @@ def maintain(lake: Lakehouse) -> DataFrame:
 
 def status(lake: Lakehouse) -> DataFrame:
     """Newest arrival in bronze and silver, and whether bronze holds more."""
-    return incremental.load_status(lake.spark.table(BRONZE_TABLE), lake.spark.table(SILVER_TABLE), "ingestion_timestamp")
+    return incremental.load_status(lake.spark.table(lake.table(BRONZE_TABLE)), lake.spark.table(lake.table(SILVER_TABLE)), "ingestion_timestamp")
 
 
 def known_at(lake: Lakehouse, name: str, facts: DataFrame, fact_time: str, slot: timedelta | None = None) -> DataFrame:

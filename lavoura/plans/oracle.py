@@ -606,6 +606,9 @@ ORACLE_SQL: dict[str, str] = {
       CASE WHEN late THEN {AS_OF} ELSE {MARK} END AS ultima_atualizacao FROM gold JOIN touched USING (proponente_id)""",
     "gold_incremental_proponente": f"WITH {PROPONENTE} SELECT * EXCLUDE (feature_timestamp, ultima_atualizacao) FROM gold",
     "gold_incremental_location": f"WITH {LOCATION} SELECT * EXCLUDE (feature_timestamp, ultima_atualizacao) FROM lgold",
+    "gold_after_stream": f"WITH {PROPONENTE} SELECT * EXCLUDE (feature_timestamp, ultima_atualizacao) FROM gold",
+    "gold_after_load": f"WITH {RISK_ALL} SELECT * EXCLUDE (feature_timestamp, ultima_atualizacao) FROM rgold",
+    "gold_between": f"WITH {LOCATION} SELECT * EXCLUDE (feature_timestamp, ultima_atualizacao) FROM lgold",
     "gold_incremental_risk": f"WITH {RISK_ALL} SELECT * EXCLUDE (feature_timestamp, ultima_atualizacao) FROM rgold",
     "gold_counts": f"""WITH {PROPONENTE}, {LOCATION_BODY}, {RISK_BODY}
       SELECT 'proponente_features' AS table_name, count(*) AS total_features FROM gold

@@ -7,6 +7,7 @@ deviations are rounded to four decimals, so that two engines can be compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +16,16 @@ from pyspark.sql import types as T
 
 from ..functions.columns import instant
 from ..operators import categories, drift, enrichment, features, gold, incremental, maintenance, quality, scoring, silver, stats, training
-from ..schemas import CROPS, LOCATION_KEY, MONEY, PERSON_TYPES, PROPERTY_CLASSES, PURPOSES, RISK_BANDS, RISK_KEY, SILVER_KEY
+from ..schemas import CROPS, LOCATION_KEY, MONEY, PERSON_TYPES, PROPERTY_CLASSES, PURPOSES, RISK_BANDS, RISK_KEY, SILVER_KEY, SILVER_PARTITIONS
 from ..session import prepare
 from ..sources import events
 from ..sources.applications import bronze_applications, table, table_stream
+from ..sources.changes import ChangeLog
 from ..sources.staging import staged, work_folder
-from ..sources.tables import ensure_table
+from ..sources.tables import ensure_table, merge_table
 from ..streaming import ingest, refresh
+from . import jobs
+from .jobs import Lakehouse
 
 # After the last order; before it the load mark of the incremental queries.
 AS_OF = "2001-09-01 00:00:00"
@@ -313,10 +317,92 @@ def gold_incremental_risk(spark, sf_dir):
     return _refreshed(spark, sf_dir, "risk")
 
 
+def _jobs_at_mark(spark, sf_dir, model: str) -> tuple[Lakehouse, DataFrame]:
+    """Stored tables built at the mark from first versions of the applications that had arrived, and
+    the bronze rows to come: corrections of some of them and later arrivals."""
+    folder = work_folder(spark, "lake")
+    lake = Lakehouse(spark, folder, f"lavoura_{folder.rsplit('-', 1)[1]}_")
+    final = staged(bronze_applications(spark, sf_dir), "bronze")
+    corrected, arrives = F.coalesce(F.col("anos_experiencia").between(3, 8), F.lit(False)), F.col("ingestion_timestamp") > instant(MARK)
+    place = F.col("localizacao_propriedade").withField("municipio", F.lit("SEDE"))
+    first = final.where(~arrives).withColumns(
+        {
+            "cultura_principal": F.when(corrected, "SOJA").otherwise(F.col("cultura_principal")),
+            "localizacao_propriedade": F.when(corrected, place).otherwise(F.col("localizacao_propriedade")),
+            "valor_solicitado_credito": F.when(~corrected, F.col("valor_solicitado_credito")),
+        }
+    )
+    jobs.append_bronze(lake, first)
+    jobs.load_silver(lake, MARK)
+    jobs.build_gold(lake, MARK, models=[model])
+    return lake, final.where(arrives | corrected)
+
+
+def _stored_gold(lake: Lakehouse, model: str) -> DataFrame:
+    rows = lake.spark.table(lake.table(jobs.GOLD_TABLES[model])).drop("feature_timestamp", "ultima_atualizacao")
+    rows = staged(rows, "gold")
+    for name in lake.databases():
+        lake.spark.sql(f"DROP DATABASE {name} CASCADE")
+    return rows
+
+
+@query
+def gold_after_stream(spark, sf_dir):
+    """Gold by applicant from stored tables after a stream brought corrections and new rows: equals a full build."""
+    lake, rows = _jobs_at_mark(spark, sf_dir, "proponente")
+    rows.write.parquet(lake.path("arriving"))
+    arriving = spark.readStream.schema(rows.schema).parquet(lake.path("arriving"))
+    _finish(jobs.follow_bronze(lake, arriving, lake.path("offsets"), AS_OF, UNTIL_DONE))
+    jobs.build_gold(lake, AS_OF, models=["proponente"])
+    return _stored_gold(lake, "proponente")
+
+
+@query
+def gold_after_load(spark, sf_dir):
+    """Gold by risk class from stored tables after a load of corrections and new rows: equals a full build."""
+    lake, rows = _jobs_at_mark(spark, sf_dir, "risk")
+    jobs.append_bronze(lake, rows)
+    jobs.load_silver(lake, AS_OF)
+    jobs.build_gold(lake, AS_OF, models=["risk"])
+    return _stored_gold(lake, "risk")
+
+
+@dataclass(frozen=True)
+class _GoldMeanwhile(ChangeLog):
+    """The log of a merge during which gold is built, and which breaks off before it is confirmed."""
+
+    lake: Lakehouse
+
+    def prepare(self, stored, incoming, keys):
+        load_id = super().prepare(stored, incoming, keys)
+        jobs.build_gold(self.lake, AS_OF, models=["location"])
+        return load_id
+
+    def confirm(self, load_id):
+        raise InterruptedError(load_id)
+
+
+@query
+def gold_between(spark, sf_dir):
+    """Gold by place after a gold run between a merge's notes and its rows, after that merge broke
+    off unconfirmed, and after its repetition: equals a full build."""
+    lake, rows = _jobs_at_mark(spark, sf_dir, "location")
+    silver_rows = events.with_dated_partitions(silver.build_silver(rows, AS_OF))
+    log, table = lake.changes(), lake.table(jobs.SILVER_TABLE)
+    try:
+        merge_table(silver_rows, table, SILVER_KEY, ["ingestion_timestamp"], _GoldMeanwhile(spark, log.path, log.columns, lake))
+    except InterruptedError:
+        merge_table(silver_rows, table, SILVER_KEY, ["ingestion_timestamp"], log)
+    jobs.build_gold(lake, AS_OF, models=["location"])
+    return _stored_gold(lake, "location")
+
+
 @query
 def gold_counts(spark, sf_dir):
+    """Rows of each gold table: one for each of its keys."""
     rows = gold_inputs(spark, sf_dir)
-    return gold.table_counts({f"{name}_features": build(rows, AS_OF) for name, (build, _) in gold.MODELS.items()})
+    groups = {name: gold.usable_rows(rows, keys).select(*keys).distinct() for name, (_, keys) in gold.MODELS.items()}
+    return gold.table_counts({f"{name}_features": keys for name, keys in groups.items()})
 
 
 @query
@@ -368,7 +454,7 @@ def stream_silver(spark, sf_dir):
     name = f"lavoura_silver_{folder.rsplit('-', 1)[1]}"
     bronze = _application_stream(spark, sf_dir)
     shape = events.with_dated_partitions(silver.build_silver(bronze, AS_OF)).schema
-    ensure_table(spark, name, shape, f"{folder}/silver", refresh.SILVER_PARTITIONS)
+    ensure_table(spark, name, shape, f"{folder}/silver", SILVER_PARTITIONS)
     for round_of in ("first", "again"):
         _finish(refresh.stream_silver(bronze, name, f"{folder}/offsets-{round_of}", UNTIL_DONE))
     spark.sql(f"DROP TABLE {name}")

@@ -10,20 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.incremental import latest_per_key, replace_rows, replaced_rows
-from .staging import scratch
+from ..operators.incremental import latest_per_key, replace_rows
+from .changes import ChangeLog
+from .staging import path_exists, scratch
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether anything lies at ``path`` on whatever storage it names."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
-
-
 def ensure_table(spark: SparkSession, table: str, schema: T.StructType, path: str, partition_by: Sequence[str] = ()) -> None:
     """Register an external table if the catalog lacks it; files already at ``path`` are kept."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -90,21 +85,14 @@ def register_external(spark: SparkSession, table: str, path: str) -> None:
     spark.catalog.createTable(table, path=path, source="parquet")
 
 
-def record_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str], path: str) -> None:
-    """Append the distinct ``columns`` of the rows that go and of those that come, under one load id."""
-    gone = replaced_rows(old, new, keys).select(*columns)
-    touched = gone.unionByName(new.select(*columns)).distinct()
-    touched.withColumn("load_id", F.lit(uuid.uuid4().hex)).write.mode("append").parquet(path)
-
-
 def merge_table(
-    source: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = (), changes: tuple[str, Sequence[str]] | None = None
+    source: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = (), changes: ChangeLog | None = None
 ) -> None:
     """Upsert into a partitioned catalog table, rewriting only the partitions touched.
 
-    Source rows older by ``order_by`` than the table's are left out. With ``changes`` (a path and
-    columns), these columns of replaced and of incoming rows are recorded there before the merge,
-    for those who keep results grouped by them; a merge that is repeated records them again.
+    Source rows older by ``order_by`` than the table's are left out. In ``changes`` the merge notes
+    what it will touch before it writes, and confirms that once its rows are in. Merges into one
+    table run one after the other.
 
     The partition columns must be functions of ``keys``, so that two versions of a row
     lie in the same partition. New columns are appended to the table. Rows are written
@@ -126,8 +114,7 @@ def merge_table(
             [reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in touched],
         )
         stored = spark.table(table)
-        if changes:
-            record_changes(stored.where(wanted), incoming, keys, changes[1], changes[0])
+        load_id = changes.prepare(stored.where(wanted), incoming, keys) if changes else None
         merged = replace_rows(stored.where(wanted), incoming, keys, order_by).select(*stored.columns)
         (
             merged.hint("rebalance", *partition_by)
@@ -138,6 +125,8 @@ def merge_table(
         )
     add_partitions(spark, table, partition_by, touched)
     spark.catalog.refreshTable(table)
+    if changes:
+        changes.confirm(load_id)
 
 
 def add_partitions(spark: SparkSession, table: str, partition_by: Sequence[str], touched: Sequence) -> None:

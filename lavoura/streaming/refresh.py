@@ -10,17 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import scoring, silver
 from ..schemas import SILVER_KEY
+from ..sources.changes import ChangeLog
 from ..sources.events import with_dated_partitions
 from ..sources.tables import merge_table
 from .ingest import for_each_batch
 
-# Functions of the silver key, so that versions of a row stay together. The person type is
-# left out: a corrected application may change it.
-SILVER_PARTITIONS = ["ano", "mes"]
-
-
-def merge_silver_batch(table: str):
-    """A batch function that merges bronze rows into the silver table.
+def merge_silver_batch(table: str, changes: ChangeLog | None = None):
+    """A batch function that merges bronze rows into the silver table and notes what it touches.
 
     A replayed batch merges the same rows again, which leaves the table as it was.
     """
@@ -28,18 +24,22 @@ def merge_silver_batch(table: str):
     def apply(batch: DataFrame, batch_id: int) -> None:
         now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         rows = with_dated_partitions(silver.build_silver(batch, now))
-        merge_table(rows, table, SILVER_KEY, ["ingestion_timestamp"])
+        merge_table(rows, table, SILVER_KEY, ["ingestion_timestamp"], changes)
 
     return apply
 
 
-def stream_silver(bronze: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def stream_silver(
+    bronze: DataFrame, table: str, checkpoint: str, trigger: dict | None = None, changes: ChangeLog | None = None
+) -> StreamingQuery:
     """Keep the silver table up to date with a stream of nested bronze rows.
 
+    With ``changes``, gold tables learn from there what to refresh.
+
     Another session that has read the table before sees new files after
     ``REFRESH TABLE``, as with any files-based table.
     """
-    return for_each_batch(bronze, merge_silver_batch(table), checkpoint, trigger, "silver_refresh")
+    return for_each_batch(bronze, merge_silver_batch(table, changes), checkpoint, trigger, "silver_refresh")
 
 
 def stream_scores(bronze: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

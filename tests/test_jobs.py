@@ -217,3 +217,105 @@ def test_appending_columns_twice_is_harmless(spark, db, folder):
     for _ in range(2):
         add_new_columns(spark, table, wider.schema)
     assert spark.table(table).columns == ["id", "x"]
+
+
+def rounded(df):
+    return sorted(map(str, df.withColumns({c: F.round(c, 6) for c in df.columns if "desvio" in c}).drop("feature_timestamp").collect()))
+
+
+def gold_equals_a_full_build(lake, as_of):
+    rows = lake.spark.table(lake.table(jobs.SILVER_TABLE))
+    for name, (build, _) in gold.MODELS.items():
+        assert rounded(lake.spark.table(lake.table(jobs.GOLD_TABLES[name]))) == rounded(build(rows, as_of)), name
+
+
+@pytest.fixture()
+def lake(spark, folder):
+    made = jobs.Lakehouse(spark, f"{folder}/lake", f"t{abs(hash(folder))}_")
+    yield made
+    for name in made.databases():
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_gold_follows_streams_and_merges_around_it(spark, lake, folder):
+    jobs.append_bronze(lake, bronze(spark, *changes(0, 6)))
+    jobs.load_silver(lake, "2025-01-01 00:00:00")
+    jobs.build_gold(lake, "2025-01-01 00:10:00")
+    newest = NOON + timedelta(days=30)
+
+    # A stream brings a correction that moves a row to another crop, and a new row.
+    moved = {**changes(1, 2)[0], "cultura_principal": "ARROZ", "ingestion_timestamp": newest}
+    bronze(spark, moved, *changes(20, 21)).write.parquet(f"{folder}/arriving")
+    arriving = spark.readStream.schema(bronze(spark).schema).parquet(f"{folder}/arriving")
+    query = jobs.follow_bronze(lake, arriving, f"{folder}/offsets", "2025-01-02 00:00:00", {"availableNow": True})
+    query.awaitTermination(120)
+    assert query.exception() is None
+    jobs.build_gold(lake, "2025-01-02 00:10:00")
+    assert spark.table(lake.table(jobs.GOLD_TABLES["risk"])).where("cultura_principal = 'ARROZ'").count() == 1
+    gold_equals_a_full_build(lake, "2025-01-02 00:10:00")
+
+    # A merge that breaks off after its rows are in and before it is confirmed, with a gold run during it.
+    log = lake.changes()
+
+    class BreaksOff(type(log)):
+        def prepare(self, stored, incoming, keys):
+            load_id = super().prepare(stored, incoming, keys)
+            jobs.build_gold(lake, "2025-01-02 01:00:00")
+            return load_id
+
+        def confirm(self, load_id):
+            raise InterruptedError
+
+    back = bronze(spark, {**moved, "cultura_principal": "FEIJAO", "ingestion_timestamp": newest + timedelta(days=1)})
+    rows = events.with_dated_partitions(silver.build_silver(back, "2025-01-02 02:00:00"))
+    table = lake.table(jobs.SILVER_TABLE)
+    with pytest.raises(InterruptedError):
+        merge_table(rows, table, ["proponente_id", "data_solicitacao"], ["ingestion_timestamp"], BreaksOff(spark, log.path, log.columns))
+    jobs.build_gold(lake, "2025-01-02 03:00:00")
+    # Its repetition sees the new row only; the row that went is known from the first attempt.
+    merge_table(rows, table, ["proponente_id", "data_solicitacao"], ["ingestion_timestamp"], log)
+    jobs.build_gold(lake, "2025-01-02 04:00:00")
+    gold_equals_a_full_build(lake, "2025-01-02 04:00:00")
+    assert spark.table(lake.table(jobs.GOLD_TABLES["risk"])).where("cultura_principal = 'ARROZ'").count() == 0
+
+    # What all gold tables have read is removed, and nothing is read twice.
+    assert log.unread("risk").isEmpty() and log.tidy(list(gold.MODELS)) == 4 and log.tidy(list(gold.MODELS)) == 0
+    before = spark.table(lake.table(jobs.GOLD_TABLES["risk"])).inputFiles()
+    jobs.build_gold(lake, "2025-01-03 00:00:00")
+    assert spark.table(lake.table(jobs.GOLD_TABLES["risk"])).inputFiles() == before
+
+
+def test_a_refresh_reads_the_touched_partitions_only(spark, lake, folder):
+    """Silver files of other months may even be unreadable."""
+    jobs.append_bronze(lake, bronze(spark, *changes(0, 120)))
+    jobs.load_silver(lake, "2025-01-01 00:00:00")
+    jobs.build_gold(lake, "2025-01-01 00:10:00")
+    gold_equals_a_full_build(lake, "2025-01-01 00:10:00")
+    # One row moves to another place and crop, another turns invalid and leaves its month without usable rows.
+    late = {"ingestion_timestamp": NOON + timedelta(days=500)}
+    jobs.append_bronze(lake, bronze(spark, {**changes(1, 2)[0], **late, "cultura_principal": "ARROZ", "municipio": "Outro"}))
+    jobs.load_silver(lake, "2025-01-02 00:00:00")
+    files = [f for f in glob.glob(f"{folder}/lake/silver/dados_produtores_agro/*/*/*.parquet") if "/ano=2024/mes=1/" not in f]
+    kept = {f: open(f, "rb").read() for f in files}
+    for f in files:
+        os.remove(f.replace("/part-", "/.part-") + ".crc")
+        with open(f, "wb") as broken:
+            broken.write(b"not parquet")
+    jobs.build_gold(lake, "2025-01-02 00:10:00")
+    for f, content in kept.items():
+        with open(f, "wb") as whole:
+            whole.write(content)
+    gold_equals_a_full_build(lake, "2025-01-02 00:10:00")
+    assert spark.table(lake.table(jobs.GOLD_TABLES["risk"])).where("cultura_principal = 'ARROZ'").count() == 1
+
+
+def test_states_of_a_month_whose_last_group_went_are_overwritten(spark, lake):
+    jobs.append_bronze(lake, bronze(spark, *changes(0, 3), *changes(40, 41)))
+    jobs.load_silver(lake, "2025-01-01 00:00:00")
+    jobs.build_gold(lake, "2025-01-01 00:10:00")
+    gone = {**changes(40, 41)[0], "ingestion_timestamp": NOON + timedelta(days=500), "area_total_hectares": None, "cultura_principal": " "}
+    jobs.append_bronze(lake, bronze(spark, gone))
+    jobs.load_silver(lake, "2025-01-02 00:00:00")
+    jobs.build_gold(lake, "2025-01-02 00:10:00")
+    gold_equals_a_full_build(lake, "2025-01-02 00:10:00")
+    assert spark.table(lake.table(jobs.GOLD_TABLES["risk"])).count() == 3

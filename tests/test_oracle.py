@@ -44,7 +44,7 @@ def test_entry(spark):
 
 
 def test_results_do_not_need_a_shared_folder(spark, con, monkeypatch):
-    """Without a checkpoint folder the plans are computed in one go, with the same result."""
+    """A session on one machine without a checkpoint folder keeps its intermediate tables in a folder of its own."""
     from lavoura.sources import staging
 
     monkeypatch.setattr(staging, "checkpoint_root", lambda spark: None)

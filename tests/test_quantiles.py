@@ -3,10 +3,12 @@
 import math
 import random
 import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from lavoura.operators import quantiles
 from lavoura.operators.categories import count_identifiers, kinds, mode_by_key
 from lavoura.operators.quantiles import exact_medians, exact_percentiles
 
@@ -66,3 +68,44 @@ def test_identifiers_are_counted_and_ties_go_to_the_smallest(spark):
     got = [tuple(r) for r in count_identifiers(df, ["key"], {"n_who": "who", "n_cat": "cat"}).collect()]
     assert got == [("k", 40, 1)]
     assert {r[0]: r[1] for r in df.groupBy("key").agg(kinds("tie")).collect()} == {"k": 2, "n": 0}
+
+
+@pytest.mark.parametrize("ordered, steps", [(1, 2), (3, 4), (8, 16)])
+def test_narrowing_in_small_steps(spark, monkeypatch, ordered, steps):
+    """Every round of narrowing at work, on values of very different size and with copies."""
+    monkeypatch.setattr(quantiles, "ORDERED", ordered)
+    monkeypatch.setattr(quantiles, "STEPS", steps)
+    rng = random.Random(ordered)
+    rows = [(k, float(rng.choice([rng.randint(-9, 9), 10.0 ** rng.randint(-12, 12), 7])), rng.randint(1, 4)) for k in ("a", "b", "c") for _ in range(150)]
+    rows += [("same", 5.0, 3)] * 40 + [("one", -1.0, 1)]
+    df = spark.createDataFrame(rows, "k string, v double, copies int")
+    got = {r["k"]: r for r in exact_percentiles(df, ["k"], "v", PROBABILITIES, "copies").collect()}
+    assert set(got) == {r[0] for r in rows}
+    for key, row in got.items():
+        values = [v for k, v, n in rows if k == key for _ in range(n)]
+        assert [row[n] for n in PROBABILITIES] == [expected(values, p) for p in PROBABILITIES.values()], key
+
+
+def test_ten_million_distinct_values_of_one_group(spark, monkeypatch):
+    """No task orders more than ORDERED values: what reaches the ordering is that few."""
+    seen = []
+    within = quantiles._distinct_inside
+
+    def watched(*args):
+        inside, ranges = within(*args)
+        seen.append(ranges.agg(F.max("size")).first()[0])
+        return inside, ranges
+
+    monkeypatch.setattr(quantiles, "_distinct_inside", watched)
+    n = 10_000_000
+    # A permutation of 0 .. n - 1, squared: dense below, sparse above.
+    rows = spark.range(n).select(F.lit("k").alias("k"), F.pow((F.col("id") * 7919) % n, F.lit(2.0)).alias("v"))
+    got = exact_percentiles(rows, ["k"], "v", PROBABILITIES).first()
+    assert [got[p] for p in PROBABILITIES] == [float(math.ceil(q * n) - 1) ** 2 for q in PROBABILITIES.values()]
+    assert seen[-1] <= quantiles.ORDERED < seen[0] < n // 50
+
+
+def test_decimals_that_are_one_double(spark):
+    rows = [("k", Decimal(10**17) + Decimal(i) / 100) for i in range(9)]
+    got = exact_percentiles(spark.createDataFrame(rows, "k string, v decimal(20,2)"), ["k"], "v", PROBABILITIES).first()
+    assert [got[p] for p in PROBABILITIES] == [expected([v for _, v in rows], q) for q in PROBABILITIES.values()]

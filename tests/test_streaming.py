@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lavoura.operators import scoring, silver
-from lavoura.schemas import BRONZE
+from lavoura.schemas import BRONZE, SILVER_PARTITIONS
 from lavoura.sources import events
 from lavoura.sources.tables import ensure_database, ensure_table, read_evolving
 from lavoura.streaming import ingest, refresh
@@ -81,7 +81,7 @@ def test_silver_refresh_merges_and_replays(spark, folder):
     ensure_database(spark, "stream_test")
     table = "stream_test.silver"
     shape = events.with_dated_partitions(silver.build_silver(bronze(spark, {}).limit(0), "2024-01-01 00:00:00")).schema
-    ensure_table(spark, table, shape, f"{folder}/silver", refresh.SILVER_PARTITIONS)
+    ensure_table(spark, table, shape, f"{folder}/silver", SILVER_PARTITIONS)
     source = f"{folder}/bronze"
     old = [{"proponente_id": f"P{i}", "data_solicitacao": MS + i * 40 * 86_400_000} for i in range(5)]
     def load(rows, checkpoint):
