@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -160,11 +161,6 @@ def count_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counted.select(F.explode(F.array(*described)).alias("r")).select("r.*")
 
 
-def failing_rows(df: DataFrame, check: Check) -> DataFrame:
-    """The stored failures of one check."""
-    return df.where(check.failing)
-
-
 def unexpected_values(df: DataFrame, accepted: dict[str, Sequence]) -> DataFrame:
     """Rows per value outside its column's accepted list; only offending rows are spread out."""
     offending = [
@@ -246,6 +242,76 @@ def load_gaps(df: DataFrame, at: str, minutes: int = 5) -> DataFrame:
     )
 
 
+def recent_gaps(silver: DataFrame, as_of: datetime | str | Column, minutes: int = 5, hours: int = 1) -> DataFrame:
+    """Gaps between the arrivals of the rows processed in the last ``hours``."""
+    return load_gaps(recent_rows(silver, "processed_at", as_of, hours), "ingestion_timestamp", minutes)
+
+
+def gap_check(silver: DataFrame, as_of: datetime | str | Column) -> DataFrame:
+    """The number of ``recent_gaps`` as a check of the table."""
+    return count_failures(recent_gaps(silver, as_of), [Check("load_gap", "ingestion_timestamp", measure=F.count(F.lit(1)))])
+
+
+def _detail(check: Check, columns: Sequence[str]) -> Column:
+    return F.struct(
+        F.lit(check.kind).alias("check_name"),
+        F.lit(check.column).alias("column_name"),
+        F.lit(check.severity).alias("severity"),
+        F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("detail"),
+    )
+
+
+def audit_rows(df: DataFrame, checks: Sequence[Check], keys: Sequence[str]) -> DataFrame:
+    """(check_name, column_name, severity, detail) for each row and check that it fails, in one scan.
+
+    ``detail`` is a JSON object of the row's ``keys`` and the columns that have row checks. Checks
+    on the whole table are left to ``audit_tables``.
+    """
+    by_row = [c for c in checks if c.measure is None]
+    shown = list(dict.fromkeys([*keys, *[c.column for c in by_row if c.column in df.columns]]))
+    # Only failing rows are spread out.
+    failed = F.filter(F.array(*[F.when(c.failing, _detail(c, shown)) for c in by_row]), lambda x: x.isNotNull())
+    return df.select(F.explode(failed).alias("f")).select("f.*")
+
+
+def audit_table(found: DataFrame, kind: str, column: str, severity: str = "error") -> DataFrame:
+    """The failures of a whole-table check, one line each, in the shape of ``audit_rows``."""
+    return found.select(_detail(Check(kind, column, severity=severity), found.columns).alias("f")).select("f.*")
+
+
+def _stale(df: DataFrame, column: str, as_of: datetime | str | Column, hours: int) -> DataFrame:
+    """The newest stamp, if it is older than the limit or missing."""
+    fresh = F.col("newest") >= instant(as_of) - F.expr(f"INTERVAL {int(hours)} HOURS")
+    return df.agg(F.max(column).alias("newest")).where(~F.coalesce(fresh, F.lit(False)))
+
+
+def silver_failures(silver: DataFrame, as_of: datetime | str | Column) -> DataFrame:
+    """What ``silver_report`` counts, line by line."""
+    rows = audit_rows(silver, [*silver_checks(), ratio_check(as_of)], [*SILVER_KEY, "processed_at"])
+    lines = [
+        rows,
+        audit_table(_stale(silver, "processed_at", as_of, 24), "recency", "processed_at"),
+        audit_table(duplicate_keys(silver, SILVER_KEY), "unique_combination_of_columns", ",".join(SILVER_KEY)),
+        audit_table(recent_gaps(silver, as_of), "load_gap", "ingestion_timestamp"),
+    ]
+    return reduce(DataFrame.unionByName, lines).select(F.lit("silver").alias("table_name"), "*")
+
+
+def gold_failures(model: str, gold: DataFrame, keys: Sequence[str], as_of: datetime | str | Column) -> DataFrame:
+    """What ``gold_report`` counts, line by line."""
+    lines = [
+        audit_rows(gold, gold_checks(model), keys),
+        audit_table(_stale(gold, "feature_timestamp", as_of, 24), "recency", "feature_timestamp"),
+        audit_table(duplicate_keys(gold, keys), "unique" if len(keys) == 1 else "unique_combination_of_columns", ",".join(keys)),
+    ]
+    return reduce(DataFrame.unionByName, lines).select(F.lit(f"gold_{model}").alias("table_name"), "*")
+
+
+def bronze_report(bronze: DataFrame) -> DataFrame:
+    """The check declared for bronze as a source."""
+    return report("bronze", [count_failures(bronze, [not_null("proponente_id")])])
+
+
 def report(table: str, results: Sequence[DataFrame]) -> DataFrame:
     """All results of one table with a pass, warn or error status."""
     combined = results[0]
@@ -256,9 +322,9 @@ def report(table: str, results: Sequence[DataFrame]) -> DataFrame:
 
 
 def silver_report(silver: DataFrame, as_of: datetime | str | Column) -> DataFrame:
-    """Every check declared for silver: one pass, plus one grouping for the key check."""
+    """Every check declared for silver: one pass, plus one grouping each for the key and the gap check."""
     checks = [*silver_checks(), recency("processed_at", as_of, 24), ratio_check(as_of)]
-    return report("silver", [count_failures(silver, checks), unique(silver, SILVER_KEY)])
+    return report("silver", [count_failures(silver, checks), unique(silver, SILVER_KEY), gap_check(silver, as_of)])
 
 
 def gold_report(model: str, gold: DataFrame, keys: Sequence[str], as_of: datetime | str | Column) -> DataFrame:

@@ -87,14 +87,6 @@ def with_request_features(requests: DataFrame, keep: list[str]) -> DataFrame:
     return requests.select(*keep, *[value.alias(name) for name, value in request_features().items()])
 
 
-def fallback_features(assembled: DataFrame, keep: list[str]) -> DataFrame:
-    """Request features for the requests no feature view knows, NULL for the others."""
-    missing = ~F.col("features_found")
-    return assembled.select(
-        *keep, "features_found", *[F.when(missing, value).alias(f"r_{name}") for name, value in request_features().items()]
-    )
-
-
 def feature_vector(features: DataFrame, keep: list[str]) -> DataFrame:
     """The model inputs in their fixed order, 0 where missing."""
     present = set(features.columns)

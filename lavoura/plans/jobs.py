@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import instant
-from ..operators import drift, enrichment, features, gold, incremental, maintenance, quality, scoring, silver, training
+from ..operators import drift, enrichment, features, gold, incremental, maintenance, quality, serving, silver, training
 from ..operators.partial import GoldStates
 from ..schemas import LOCATION_VIEW, PROPONENTE_VIEW, RISK_VIEW, SILVER_KEY, SILVER_PARTITIONS
 from ..session import prepare
@@ -157,6 +157,23 @@ def check_tables(lake: Lakehouse, as_of: datetime | str) -> DataFrame:
     return report
 
 
+def store_failures(lake: Lakehouse, as_of: datetime | str) -> str:
+    """Every row that fails a declared check, kept under the run's time by table and check; returns the path.
+
+    A run that is repeated replaces its own files.
+    """
+    found = quality.silver_failures(lake.spark.table(lake.table(SILVER_TABLE)), as_of)
+    for name, (_, keys) in gold.MODELS.items():
+        found = found.unionByName(quality.gold_failures(name, lake.spark.table(lake.table(GOLD_TABLES[name])), keys, as_of))
+    path = lake.path("quality", "failures", _stamp(as_of))
+    found.write.mode("overwrite").partitionBy("table_name", "check_name").parquet(path)
+    return path
+
+
+def _stamp(as_of: datetime | str) -> str:
+    return str(as_of).replace(" ", "T").replace(":", "")
+
+
 def export_features(lake: Lakehouse, as_of: datetime | str) -> dict[str, str]:
     """Write each gold table for the feature store; returns the paths."""
     paths = {}
@@ -214,20 +231,28 @@ def train_and_gate(lake: Lakehouse, as_of: datetime | str, trees: int = 100) ->
     decision = staged(training.gate(current, previous, found), "decision")
     decision.write.mode("append").parquet(lake.path("ml", "decisions"))
 
-    stamp = str(as_of).replace(" ", "T").replace(":", "")
-    model.write().overwrite().save(lake.path("ml", "models", stamp))
+    model.write().overwrite().save(lake.path("ml", "models", _stamp(as_of)))
     current.write.mode("append").parquet(history_path)
     return model, decision
 
 
 def score_requests(lake: Lakehouse, requests: DataFrame, model: PipelineModel | None = None) -> DataFrame:
-    """Decisions for flat requests: by the model where features are known, else by rules."""
-    if model is None:
-        return scoring.decide(requests)
-    known = training.model_features(lake.spark.table(lake.table(GOLD_TABLES["proponente"])))
-    predicted = training.predict(model, known).select("proponente_id", "probability_default")
-    joined = requests.join(predicted, "proponente_id", "left")
-    return scoring.decide(joined, scoring.model_or_rules(F.col("probability_default"))).drop("probability_default")
+    """Decisions for flat requests: features of the served views, else the request's own; by the
+    model where it gives a usable probability, else by rules."""
+    return serving.decisions(requests, served_views(lake), model and (lambda rows: training.predict(model, rows)))
+
+
+def served_views(lake: Lakehouse) -> dict[str, DataFrame]:
+    """The newest row per entity of each view: here the gold tables, which hold one row per entity."""
+    return {name: lake.spark.table(lake.table(table)) for name, table in GOLD_TABLES.items()}
+
+
+def follow_requests(
+    lake: Lakehouse, requests: DataFrame, path: str, checkpoint: str, model: PipelineModel | None = None, trigger: dict | None = None
+) -> StreamingQuery:
+    """Decisions for a stream of flat requests, kept at ``path``, each batch with the views as they are then."""
+    predict = model and (lambda rows: training.predict(model, rows))
+    return refresh.stream_decisions(requests, lambda: served_views(lake), path, checkpoint, predict, trigger)
 
 
 def maintain(lake: Lakehouse) -> DataFrame:

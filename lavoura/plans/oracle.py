@@ -336,6 +336,9 @@ NOT_NULL_ROWS = [check_row("not_null", c, f"{c} IS NULL") for c in NOT_NULL]
 ACCEPTED_ROWS = [check_row("accepted_values", c, f"{c} NOT IN ({v})") for c, v in DOMAINS.items()]
 EXPRESSION_ROWS = [check_row("expression_is_true", c, f"NOT ({e})") for c, e in EXPRESSIONS.items()]
 RATIO_ROW = check_row("ratio_outliers", "razao_credito_renda", f"processed_at >= {AS_OF} - INTERVAL 24 HOURS AND {RATIO} > 10", severity="warn")
+GAP_ROW = f"""SELECT 'load_gap' AS check_name, 'ingestion_timestamp' AS column_name, 'error' AS severity, count(*) AS failures
+  FROM (SELECT ingestion_timestamp AS t, lag(ingestion_timestamp) OVER (ORDER BY ingestion_timestamp) AS p FROM silver
+    WHERE processed_at >= {AS_OF} - INTERVAL 1 HOUR) WHERE date_sub('minute', p, t) > 5"""
 STATUS = "CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status"
 
 GOLD_CHECKS = {
@@ -496,7 +499,7 @@ def metrics(name: str, source: str) -> str:
 
 
 # ------------------------------------------------------------------------ scoring
-SCORED = f"""{APPLICATIONS},
+SCORED_BODY = f"""
 points AS (SELECT *, CAST(renda AS DOUBLE) / nullif(CAST(valor AS DOUBLE), 0) AS r FROM app),
 scored AS (SELECT *, greatest({D(0.0)}, least({D(1.0)},
     {D(0.5)} + CAST(CASE WHEN r > 5 THEN 0.2 WHEN r > 3 THEN 0.1 WHEN r < 1 THEN -0.3 ELSE 0 END AS DOUBLE)
@@ -505,6 +508,7 @@ scored AS (SELECT *, greatest({D(0.0)}, least({D(1.0)},
     + CAST(CASE WHEN score IS NULL OR score = 0 THEN 0 WHEN score > 700 THEN 0.2 WHEN score > 500 THEN 0.1 ELSE -0.1 END AS DOUBLE)
     - CAST(CASE WHEN multa THEN 0.15 ELSE 0 END AS DOUBLE))) AS s FROM points)
 """
+SCORED = f"{APPLICATIONS}, {SCORED_BODY}"
 
 # ---------------------------------------------------------------------- increments
 CHANGED = f"""{SILVER},
@@ -546,18 +550,45 @@ def assembled(name: str) -> str:
 
 HAS_POSITION = "latitude <> 0 AND longitude <> 0"
 
-ORACLE_SQL: dict[str, str] = {
-    "bronze_from_json": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
-    "kafka_envelope": """SELECT CAST(user_id AS VARCHAR) AS kafka_key, props AS kafka_value, 'dados_produtores' AS topic,
-      event_type AS partition, event_id AS "offset", ts AS kafka_timestamp FROM events""",
-    "bronze_flat": f"""WITH {APPLICATIONS} SELECT proponente_id, data_solicitacao, cpf_cnpj, nome_razao_social, tipo_pessoa,
+# Requests of all applications against views that know some of them. The stand-in model says nothing on
+# applicants with 3 to 6 applications; rules decide there.
+SERVED = "served AS (SELECT * FROM silver WHERE CAST(right(proponente_id, 1) AS INTEGER) % 2 = 0 AND cultura_principal <> 'SOJA')"
+SCORE_PIPELINE = f"""WITH {SILVER}, {SERVED}, {', '.join(b.replace('FROM silver', 'FROM served') for b in (PROPONENTE_BODY, LOCATION_BODY, RISK_BODY))},
+{SCORED_BODY}, looked AS (
+  SELECT s.proponente_id, s.data_solicitacao, s.valor_solicitado_credito, s.renda_bruta_anual_declarada,
+    ({' OR '.join(FOUND.values())}) AS features_found, {assembled('total_solicitacoes')}, {assembled('valor_medio_solicitado')}
+  FROM silver s LEFT JOIN gold p ON s.proponente_id = p.proponente_id
+  LEFT JOIN lgold l ON coalesce(s.localizacao_uf, 'UNKNOWN') || '-' || coalesce(s.localizacao_municipio, 'UNKNOWN') = l.localizacao_key
+  LEFT JOIN rgold r ON s.faixa_risco_credito || '-' || coalesce(s.cultura_principal, 'UNKNOWN') = r.risco_cultura_key
+), predicted AS (
+  SELECT *, CASE WHEN coalesce(f_total_solicitacoes, 0) BETWEEN 3 AND 6 THEN NULL
+    ELSE coalesce(f_valor_medio_solicitado, 0) / (coalesce(f_valor_medio_solicitado, 0) + 200000) END AS chance FROM looked
+), decided AS (
+  SELECT p.*, CASE WHEN chance IS NULL THEN c.s ELSE 1 - chance END AS score FROM predicted p
+  JOIN scored c ON p.proponente_id = c.proponente_id AND p.data_solicitacao = c.data_solicitacao AND p.valor_solicitado_credito = c.valor
+)
+SELECT proponente_id, data_solicitacao, CAST(valor_solicitado_credito AS DOUBLE) AS valor_solicitado_credito, features_found,
+  CASE WHEN chance IS NULL THEN 'rules' ELSE 'model' END AS decided_by, round(score, 6) AS score,
+  CASE WHEN score > {D(0.7)} THEN 'LOW' WHEN score > {D(0.4)} THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level,
+  round(least(CAST(valor_solicitado_credito AS DOUBLE), CAST(renda_bruta_anual_declarada AS DOUBLE) * {D(0.3)}) * ({D(0.5)} + score * {D(0.5)}), 6)
+    AS credit_limit,
+  CASE WHEN score > {D(0.6)} THEN 'APPROVE' WHEN score > {D(0.3)} THEN 'MANUAL_REVIEW' ELSE 'DENY' END AS recommendation FROM decided"""
+
+BRONZE_FLAT = f"""WITH {APPLICATIONS} SELECT proponente_id, data_solicitacao, cpf_cnpj, nome_razao_social, tipo_pessoa,
       CAST(renda AS DOUBLE) AS renda_bruta_anual_declarada, CAST(valor AS DOUBLE) AS valor_solicitado_credito, finalidade_credito,
       latitude AS localizacao_latitude, longitude AS localizacao_longitude, municipio AS localizacao_municipio, uf AS localizacao_uf,
       CAST(area AS DOUBLE) AS area_total_hectares, cultura_principal, possui_experiencia_atividade, anos AS anos_experiencia,
       score AS serasa_score, multa AS ibama_autuacoes_ativas, numero_matricula_imovel, '1.0.0' AS versao_schema,
       'fixture' AS origem_dados, data_solicitacao AS timestamp_geracao_evento, {AS_OF} AS data_ingestao,
       CAST(year(data_solicitacao) AS INTEGER) AS ano_particao, CAST(month(data_solicitacao) AS INTEGER) AS mes_particao,
-      CAST(day(data_solicitacao) AS INTEGER) AS dia_particao FROM app""",
+      CAST(day(data_solicitacao) AS INTEGER) AS dia_particao FROM app"""
+
+ORACLE_SQL: dict[str, str] = {
+    "bronze_from_json": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+    "kafka_envelope": """SELECT CAST(user_id AS VARCHAR) AS kafka_key, props AS kafka_value, 'dados_produtores' AS topic,
+      event_type AS partition, event_id AS "offset", ts AS kafka_timestamp FROM events""",
+    "bronze_flat": BRONZE_FLAT,
+    "stream_bronze_flat": BRONZE_FLAT,
     "struct_withfield": f"""WITH {APPLICATIONS} SELECT proponente_id, req_ms AS data_solicitacao,
       CAST(valor AS DOUBLE) AS valor_solicitado_credito, '1.0.0' AS versao_schema, 'fixture' AS origem_dados,
       req_ms AS timestamp_geracao_evento FROM app""",
@@ -638,13 +669,30 @@ ORACLE_SQL: dict[str, str] = {
     "dq_expression": f"WITH {SILVER} {union(EXPRESSION_ROWS)}",
     "dq_recency": f"WITH {SILVER} {recency_row('processed_at')} UNION ALL {recency_row('ingestion_timestamp')}",
     "dq_report": f"""WITH {SILVER}, results AS ({union([*NOT_NULL_ROWS, *ACCEPTED_ROWS, *EXPRESSION_ROWS, recency_row('processed_at'),
-        RATIO_ROW, duplicates_row('unique_combination_of_columns', SILVER_KEY)])})
+        RATIO_ROW, duplicates_row('unique_combination_of_columns', SILVER_KEY), GAP_ROW])})
       SELECT 'silver' AS table_name, *, {STATUS} FROM results""",
+    "dq_failures": f"""WITH {SILVER}, results AS ({union([*NOT_NULL_ROWS, *ACCEPTED_ROWS, *EXPRESSION_ROWS, recency_row('processed_at'),
+        RATIO_ROW, duplicates_row('unique_combination_of_columns', SILVER_KEY), GAP_ROW])})
+      SELECT 'silver' AS table_name, check_name, column_name, severity, failures AS n FROM results WHERE failures > 0""",
     "dq_report_gold": f"""WITH {PROPONENTE}, {LOCATION_BODY}, {RISK_BODY},
       results AS ({union([gold_check_rows(name) for name in GOLD_CHECKS])}) SELECT *, {STATUS} FROM results""",
     "ratio_outliers": f"""WITH {SILVER} SELECT proponente_id, CAST(valor_solicitado_credito AS DOUBLE) AS valor_solicitado_credito,
       CAST(renda_bruta_anual_declarada AS DOUBLE) AS renda_bruta_anual_declarada, {RATIO} AS razao_credito_renda, processed_at
       FROM silver WHERE {RATIO} > 10 AND processed_at >= {AS_OF} - INTERVAL 24 HOURS""",
+    "stream_gaps": """WITH steps AS (SELECT event_type, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY ts) AS before FROM events),
+      numbered AS (SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL 5 MINUTES THEN 1 ELSE 0 END)
+        OVER (PARTITION BY event_type ORDER BY ts) AS spell FROM steps),
+      spells AS (SELECT event_type, min(ts) AS first_at, max(ts) AS silent_since FROM numbered GROUP BY event_type, spell),
+      told AS (SELECT * FROM spells WHERE epoch_ms(silent_since) + 300000 <= (SELECT epoch_ms(max(ts)) FROM events)),
+      ended AS (SELECT *, lead(first_at) OVER (PARTITION BY event_type ORDER BY first_at) AS next_at FROM told)
+      SELECT *, date_sub('minute', silent_since, next_at) AS minutes_diff, next_at IS NULL AS lasts FROM ended
+      WHERE next_at IS NULL OR date_sub('minute', silent_since, next_at) > 5""",
+    "distinct_sketches": f"""WITH {SILVER} SELECT localizacao_uf, count(*) AS n, count(DISTINCT proponente_id) AS proponente_id,
+      count(DISTINCT localizacao_municipio) AS localizacao_municipio, TRUE AS proponente_id_within, TRUE AS localizacao_municipio_within,
+      TRUE AS proponente_id_as_once, TRUE AS localizacao_municipio_as_once FROM silver
+      WHERE year(data_solicitacao) = 1995 AND localizacao_uf IS NOT NULL GROUP BY localizacao_uf""",
+    "score_pipeline": SCORE_PIPELINE,
+    "stream_score_pipeline": SCORE_PIPELINE,
     "ingest_gaps": """WITH steps AS (SELECT ts AS ingestion_timestamp, lag(ts) OVER (ORDER BY ts) AS prev_timestamp FROM events)
       SELECT *, date_sub('minute', prev_timestamp, ingestion_timestamp) AS minutes_diff FROM steps
       WHERE date_sub('minute', prev_timestamp, ingestion_timestamp) > 5""",
@@ -703,6 +751,10 @@ ORACLE_SQL: dict[str, str] = {
     "ml_impute": f"WITH {IMPUTED} SELECT * FROM imputed",
     "ml_target": f"""WITH {TARGET} SELECT proponente_id, default_probability,
       CAST({uniform('target-42', 'proponente_id')} < default_probability AS INTEGER) AS target_default FROM chance""",
+    "ml_default_rate": f"""WITH {TARGET}, drawn AS (SELECT default_probability,
+      CAST({uniform('target-42', 'proponente_id')} < default_probability AS INTEGER) AS t FROM chance)
+      SELECT count(*) AS n, CAST(sum(t) AS BIGINT) AS defaults, round(avg(t), 6) AS default_rate, round(avg(default_probability), 6) AS mean_chance
+      FROM drawn""",
     "classification_metrics": f"""WITH pred AS (SELECT quality, 1 - toxic AS predicted FROM labels), {metrics('m', 'pred')} SELECT * FROM m""",
     "ks_drift": f"""WITH {DRIFT} SELECT feature, n_current, n_baseline, round(d, 9) AS ks_statistic, round(crit, 9) AS critical_value,
       round(p, 9) AS p_value, (n_current > 30 AND n_baseline > 30 AND p < 0.05) AS drift_detected FROM tested""",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import instant
-from ..operators import categories, drift, enrichment, features, gold, incremental, maintenance, quality, scoring, silver, stats, training
+from ..operators import categories, drift, enrichment, features, gold, incremental, maintenance, quality, scoring, serving, silver, stats, training
 from ..schemas import CROPS, LOCATION_KEY, MONEY, PERSON_TYPES, PROPERTY_CLASSES, PURPOSES, RISK_BANDS, RISK_KEY, SILVER_KEY, SILVER_PARTITIONS
 from ..session import prepare
 from ..sources import events
@@ -23,7 +23,7 @@ from ..sources.applications import bronze_applications, table, table_stream
 from ..sources.changes import ChangeLog
 from ..sources.staging import staged, work_folder
 from ..sources.tables import ensure_table, merge_table
-from ..streaming import ingest, refresh
+from ..streaming import ingest, refresh, silences
 from . import jobs
 from .jobs import Lakehouse
 
@@ -425,6 +425,30 @@ def table_stats(spark, sf_dir):
     return stats.table_stats(silver_table(spark, sf_dir), exact=True)
 
 
+@query
+def distinct_sketches(spark, sf_dir):
+    """Applicants and places per state in a year, from stored daily sketches: within three standard
+    errors of the exact numbers, and equal to the sketch of one pass."""
+    columns, start, end = ["proponente_id", "localizacao_municipio"], "1995-01-01", "1996-01-01"
+    rows = silver_table(spark, sf_dir).select("data_solicitacao", "localizacao_uf", *columns)
+    folder = work_folder(spark, "sketches")
+    stats.daily_sketches(rows, columns).write.partitionBy("ano", "mes").parquet(folder)
+    united = stats.distinct_between(spark.read.parquet(folder), ["localizacao_uf"], start, end)
+    year = rows.where((F.col("data_solicitacao") >= start) & (F.col("data_solicitacao") < end))
+    once = stats.daily_sketches(year.withColumn("data_solicitacao", F.lit(start).cast("timestamp")), columns)
+    once = once.select("localizacao_uf", *[F.hll_sketch_estimate(f"{c}__sketch").alias(f"{c}__once") for c in columns])
+    exact = categories.count_identifiers(year.where("localizacao_uf is not null"), ["localizacao_uf"], {f"{c}__exact": c for c in columns})
+    both = united.join(once, "localizacao_uf").join(exact, "localizacao_uf")
+    limit = F.lit(3 * stats.SKETCH_ERROR)
+    return both.select(
+        "localizacao_uf",
+        "n",
+        *[F.col(f"{c}__exact").alias(c) for c in columns],
+        *[(F.abs(F.col(f"{c}__distinct") - F.col(f"{c}__exact")) <= F.ceil(limit * F.col(f"{c}__exact"))).alias(f"{c}_within") for c in columns],
+        *[(F.abs(F.col(f"{c}__distinct") - F.col(f"{c}__once")) <= F.ceil(limit * F.col(f"{c}__exact"))).alias(f"{c}_as_once") for c in columns],
+    )
+
+
 # -- streams -----------------------------------------------------------------
 
 UNTIL_DONE = {"availableNow": True}
@@ -475,6 +499,25 @@ def stream_scores(spark, sf_dir):
     return spark.read.parquet(f"{folder}/scores").drop("timestamp")
 
 
+@query
+def stream_gaps(spark, sf_dir):
+    """Silences of five minutes and more per kind of event, told by a stream while they last."""
+    folder = work_folder(spark, "stream-gaps")
+    rows = table_stream(spark, sf_dir, "events").select("event_type", at("ts").alias("ts"))
+    told = silences.spells(rows, "event_type", "ts", 5)
+    _finish(ingest.append_files(told, f"{folder}/spells", f"{folder}/offsets", trigger=UNTIL_DONE))
+    return silences.silences(spark.read.parquet(f"{folder}/spells"), "event_type", 5)
+
+
+@query
+def stream_bronze_flat(spark, sf_dir):
+    """Applications streamed as JSON messages into flat bronze by request date, then read back whole."""
+    folder = work_folder(spark, "stream-flat")
+    messages = events.to_messages(_application_stream(spark, sf_dir), "dados_produtores")
+    _finish(ingest.ingest_flat(messages, f"{folder}/bronze", f"{folder}/offsets", UNTIL_DONE))
+    return spark.read.parquet(f"{folder}/bronze").withColumn("data_ingestao", instant(AS_OF))
+
+
 # -- quality -----------------------------------------------------------------
 
 
@@ -533,6 +576,16 @@ def dq_report(spark, sf_dir):
     return quality.silver_report(silver_table(spark, sf_dir), AS_OF)
 
 
+@query
+def dq_failures(spark, sf_dir):
+    """Every row that fails a declared check of silver, stored by check in one scan, and counted again."""
+    folder = work_folder(spark, "failures")
+    found = quality.silver_failures(silver_table(spark, sf_dir), AS_OF)
+    found.write.partitionBy("table_name", "check_name").parquet(folder)
+    stored = spark.read.parquet(folder)
+    return stored.groupBy("table_name", "check_name", "column_name", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def dq_report_gold(spark, sf_dir):
     """Every declared check of the three gold tables."""
@@ -622,6 +675,50 @@ def assemble_features(spark, sf_dir):
     return joined.select(*SILVER_KEY, "features_found", *[c for c in joined.columns if c.startswith("f_")])
 
 
+def _served(spark, sf_dir) -> dict[str, DataFrame]:
+    """Views that know half of the applicants and places, and all risk classes but those of one crop."""
+    even = (F.substring("proponente_id", -1, 1).cast("int") % 2 == 0) & (F.col("cultura_principal") != "SOJA")
+    rows = staged(gold_inputs(spark, sf_dir).where(even), "served")
+    return {name: staged(build(rows, AS_OF), f"gold-{name}") for name, (build, _) in gold.MODELS.items()}
+
+
+def _chance(rows: DataFrame) -> DataFrame:
+    """A model in one line: the chance of default grows with the mean amount; nothing to say on some."""
+    mean = F.col("valor_medio_solicitado")
+    chance = F.when(F.col("total_solicitacoes").between(3, 6), F.lit(None)).otherwise(mean / (mean + 200000))
+    return rows.withColumn("probability_default", chance.cast("double"))
+
+
+def _decided(rows: DataFrame) -> DataFrame:
+    named = rows.select(*SILVER_KEY, "features_found", "decided_by", "score", "risk_level", "credit_limit", "recommendation")
+    return named.withColumns({c: F.round(c, 6) for c in ("score", "credit_limit")})
+
+
+@query
+def score_pipeline(spark, sf_dir):
+    """Decisions on all applications: served features or the request's own, the model or rules."""
+    requests = silver.classify_rows(silver.flatten(bronze_applications(spark, sf_dir)))
+    return _decided(serving.decisions(requests, _served(spark, sf_dir), _chance))
+
+
+@query
+def stream_score_pipeline(spark, sf_dir):
+    """The same decisions on a stream of applications."""
+    folder, served = work_folder(spark, "stream-decisions"), _served(spark, sf_dir)
+    requests = silver.flatten(_application_stream(spark, sf_dir))
+    _finish(refresh.stream_decisions(requests, lambda: served, f"{folder}/decided", f"{folder}/offsets", _chance, UNTIL_DONE))
+    return _decided(spark.read.parquet(f"{folder}/decided"))
+
+
+@query
+def ml_default_rate(spark, sf_dir):
+    """Share of drawn defaults and mean chance among all applicants with features."""
+    return training.with_target(_imputed(spark, sf_dir)).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("target_default").alias("defaults"), F.round(F.avg("target_default"), 6).alias("default_rate"),
+        F.round(F.avg("default_probability"), 6).alias("mean_chance"),
+    )
+
+
 # -- scoring -----------------------------------------------------------------
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import scoring, silver
+from ..operators import scoring, serving, silver
 from ..schemas import SILVER_KEY
 from ..sources.changes import ChangeLog
 from ..sources.events import with_dated_partitions
@@ -42,6 +43,26 @@ def stream_silver(
     return for_each_batch(bronze, merge_silver_batch(table, changes), checkpoint, trigger, "silver_refresh")
 
 
+def stream_decisions(
+    requests: DataFrame,
+    served: Callable[[], Mapping[str, DataFrame]],
+    path: str,
+    checkpoint: str,
+    predict: serving.Predict | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Decisions for a stream of flat requests, looked up in the views as each batch finds them.
+
+    A batch is a folder of its own, so a batch that is replayed replaces its rows.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        rows = serving.decisions(batch, served(), predict).withColumn("timestamp", F.current_timestamp())
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return for_each_batch(requests, apply, checkpoint, trigger, "decisions")
+
+
 def stream_scores(bronze: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Rule decisions for a stream of requests."""
     scored = scoring.decide(silver.flatten(bronze)).select(

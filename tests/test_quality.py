@@ -1,5 +1,8 @@
 """The declared checks on our own outputs and on broken rows."""
 
+import json
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from lavoura.operators import gold, quality, silver, stats
@@ -47,8 +50,12 @@ def test_every_broken_row_is_reported(spark):
     assert got["unique_combination_of_columns", "proponente_id,data_solicitacao,valor_solicitado_credito"] == (1, "error")
     unexpected = quality.unexpected_values(rows, {"cultura_principal": ["SOJA"], "registro_valido": [True]})
     assert {tuple(r) for r in unexpected.collect()} == {("cultura_principal", "PECUARIA", 1), ("registro_valido", "false", 1)}
-    broken = next(c for c in quality.silver_checks() if c.kind == "accepted_values" and c.column == "tipo_pessoa")
-    assert [r["tipo_pessoa"] for r in quality.failing_rows(rows, broken).collect()] == ["OUTRA"]
+    # The stored failures are what the report counts, line by line.
+    lines = quality.silver_failures(rows, AS_OF).collect()
+    counted = Counter((r["check_name"], r["column_name"]) for r in lines)
+    assert counted == {key: n for key, (n, _) in got.items() if n}
+    broken = [json.loads(r["detail"]) for r in lines if (r["check_name"], r["column_name"]) == ("accepted_values", "tipo_pessoa")]
+    assert [(d["tipo_pessoa"], "proponente_id" in d) for d in broken] == [("OUTRA", True)]
 
 
 def test_recency_limit_and_empty_table(spark):

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lavoura.operators import enrichment, scoring, silver
+from lavoura.operators import enrichment, gold, scoring, serving, silver
 from rows import bronze
 
 # name, income, requested, years, area, bureau, fine, score, level, limit, decision
@@ -96,11 +96,33 @@ def test_request_features_and_vector(spark):
     assert len(vector) == 12 and vector["serasa_score_medio"] == 0.0 and vector["diversidade_culturas"] == 3.0
 
 
-def test_unknown_requests_fall_back_to_their_own_values(spark):
-    rows = silver.flatten(bronze(spark, {"proponente_id": "KNOWN"}, {"proponente_id": "NEW"}))
-    assembled = rows.withColumn("features_found", F.col("proponente_id") == "KNOWN")
-    got = {r["proponente_id"]: r for r in scoring.fallback_features(assembled, ["proponente_id"]).collect()}
-    assert got["KNOWN"]["r_serasa_score"] is None and got["NEW"]["r_serasa_score"] == 650
+def test_requests_are_looked_up_then_predicted_then_decided(spark):
+    """A known applicant, a known place only, nothing known; a model that has nothing to say on some."""
+    rows = silver.build_silver(bronze(spark, {"proponente_id": "KNOWN"}), "2024-02-01 00:00:00")
+    served = {name: build(rows, "2024-02-01 00:00:00") for name, (build, _) in gold.MODELS.items()}
+    asked = [
+        {"proponente_id": "KNOWN", "municipio": "Longe", "cultura_principal": "CAFE"},
+        {"proponente_id": "PLACE", "cultura_principal": "CAFE"},
+        {"proponente_id": "NEW", "municipio": "Longe", "cultura_principal": "CAFE"},
+        {"proponente_id": "NONE", "municipio": None, "uf": None, "cultura_principal": None, "serasa_score": None},
+    ]
+    requests = silver.flatten(bronze(spark, *asked))
+    inputs = {r["proponente_id"]: r for r in serving.model_inputs(requests, served).collect()}
+    assert {k: r["features_found"] for k, r in inputs.items()} == {"KNOWN": True, "PLACE": True, "NEW": False, "NONE": False}
+    assert inputs["KNOWN"]["total_solicitacoes"] == 1.0 and inputs["NEW"]["total_solicitacoes"] == 0.0
+    assert inputs["PLACE"]["valor_medio_solicitado"] == 50000.0 and inputs["PLACE"]["total_solicitacoes"] == 0.0
+
+    def predict(seen):
+        assert seen.count() == 4  # the requests alone
+        mean = F.col("valor_medio_solicitado")
+        return seen.withColumn("probability_default", F.when(mean == 0, F.lit(float("nan"))).otherwise(mean / 200000))
+
+    got = {r["proponente_id"]: r for r in serving.decisions(requests, served, predict).collect()}
+    rules = {r["proponente_id"]: r["score"] for r in scoring.decide(requests).collect()}
+    assert {k: r["decided_by"] for k, r in got.items()} == {"KNOWN": "model", "PLACE": "model", "NEW": "rules", "NONE": "rules"}
+    assert got["KNOWN"]["score"] == 0.75 and got["NEW"]["score"] == rules["NEW"] and got["NONE"]["score"] == rules["NONE"]
+    without = {r["proponente_id"]: (r["decided_by"], r["score"]) for r in serving.decisions(requests, served).collect()}
+    assert without == {k: ("rules", v) for k, v in rules.items()}
 
 
 def test_validation_reasons(spark):

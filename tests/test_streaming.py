@@ -11,7 +11,7 @@ from lavoura.operators import scoring, silver
 from lavoura.schemas import BRONZE, SILVER_PARTITIONS
 from lavoura.sources import events
 from lavoura.sources.tables import ensure_database, ensure_table, read_evolving
-from lavoura.streaming import ingest, refresh
+from lavoura.streaming import ingest, refresh, silences
 from rows import MS, bronze
 
 NOW = {"availableNow": True}
@@ -160,3 +160,27 @@ def test_connectors_that_are_not_installed_say_so(spark):
         ingest.kafka_source(spark, "localhost:9092", "t", "latest", fail_on_data_loss=False, max_offsets_per_trigger=10)
     with pytest.raises(AnalysisException, match="(?i)avro"):
         events.decode_avro(spark.range(1).select(F.lit(b"x").alias("value")), '"string"').collect()
+
+
+def test_a_silence_is_told_while_it_lasts(spark, folder):
+    """Rows of other keys move time on; rows out of order within the delay join their spell."""
+
+    def arrive(name, rows):
+        stamped = spark.createDataFrame(rows, "key string, at string").withColumn("at", F.col("at").cast("timestamp"))
+        stamped.coalesce(1).write.parquet(f"{folder}/in/{name}")
+
+    def told():
+        stream = spark.readStream.schema("key string, at timestamp").option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+        run(ingest.append_files(silences.spells(stream, "key", "at", 5, "1 minute"), f"{folder}/out", f"{folder}/ck", trigger=NOW))
+        rows = silences.silences(spark.read.parquet(f"{folder}/out"), "key", 5)
+        return sorted((r["key"], r["silent_since"].strftime("%H:%M"), r["minutes_diff"], r["lasts"]) for r in rows.collect())
+
+    day = "2024-01-08 "
+    arrive("a", [("a", day + "10:00:00"), ("b", day + "10:01:00"), ("a", day + "10:04:00"), ("b", day + "10:05:30")])
+    assert told() == []
+    # b goes on and a is silent: told when 10:04 is 5 minutes and the delay ago, though no row of a has come.
+    arrive("b", [("b", day + "10:09:00"), ("b", day + "10:08:30"), ("b", day + "10:13:30")])
+    assert told() == [("a", "10:04", None, True)]
+    # a comes back and falls silent again; its first silence has an end now.
+    arrive("c", [("a", day + "10:14:00"), ("b", day + "10:18:00"), ("b", day + "10:22:00"), ("b", day + "10:25:00")])
+    assert told() == [("a", "10:04", 10, False), ("a", "10:14", None, True)]
