@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from ..schemas import DRIFT_FEATURES
 from ..sources.staging import path_exists, staged
 
-SLICES = 256
+# Distinct values in a slice, about.
+SLICE_VALUES = 50_000
 SERIES_TERMS = 100
 MIN_ROWS = 30
 SIGNIFICANCE = 0.05
@@ -29,12 +31,12 @@ def _survival(distance: Column, n: Column, m: Column) -> Column:
 
 
 def ks_drift(
-    current: DataFrame, baseline: DataFrame, features: Sequence[str] = DRIFT_FEATURES, slices: int = SLICES
+    current: DataFrame, baseline: DataFrame, features: Sequence[str] = DRIFT_FEATURES, slice_values: int = SLICE_VALUES
 ) -> DataFrame:
     """One row per feature: sample sizes, KS distance, critical value, p-value and drift flag.
 
-    Values are first counted per distinct value. A sketch then cuts each feature into
-    slices of similar size; running counts are formed inside a slice, and a slice
+    Values are first counted per distinct value, and these dealt out by ranges of feature and
+    value, as many as their number asks for. Running counts are formed inside a range, and a range
     passes on only its totals and its greatest and smallest local difference.
     """
     both = current.select(F.lit(1).alias("is_current"), *features).unionByName(
@@ -48,20 +50,12 @@ def ks_drift(
         .agg(F.sum("is_current").alias("c"), F.sum(1 - F.col("is_current")).alias("b")),
         "ks-counts",
     )
-    cuts = [i / slices for i in range(1, slices)]
-    sizes = counts.groupBy("feature").agg(
-        F.sum("c").alias("n_current"), F.sum("b").alias("n_baseline"), F.percentile_approx("value", cuts, 4 * slices).alias("cuts")
-    )
+    sizes = counts.groupBy("feature").agg(F.sum("c").alias("n_current"), F.sum("b").alias("n_baseline"))
+    ranges = max(1, math.ceil(counts.count() / slice_values))
+    # Written at once, so that a range keeps its number.
+    ranged = staged(counts.repartitionByRange(ranges, "feature", "value").withColumn("slice", F.spark_partition_id()), "ks-ranges")
     # One line per feature of the list above, whatever the data.
-    sliced = counts.join(F.broadcast(sizes), "feature").select(
-        "feature",
-        "value",
-        "c",
-        "b",
-        "n_current",
-        "n_baseline",
-        F.size(F.filter("cuts", lambda cut: cut < F.col("value"))).alias("slice"),
-    )
+    sliced = ranged.join(F.broadcast(sizes), "feature")
     upward = Window.partitionBy("feature", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     # c*m - b*n compares the two running shares without rounding.
     step = (F.col("c").cast("decimal(38,0)") * F.col("n_baseline") - F.col("b").cast("decimal(38,0)") * F.col("n_current")).cast(
@@ -71,7 +65,7 @@ def ks_drift(
     per_slice = local.groupBy("feature", "n_current", "n_baseline", "slice").agg(
         F.max("gap").alias("high"), F.min("gap").alias("low"), F.sum("step").cast("decimal(38,0)").alias("total")
     )
-    # At most ``slices`` lines per feature from here on.
+    # One line per range and feature from here on.
     before = Window.partitionBy("feature").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.coalesce(F.sum("total").over(before), F.lit(0).cast("decimal(38,0)"))
     reach = per_slice.withColumn("carried", carried).withColumn(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import composite_key, instant
 from ..schemas import LOCATION_KEY, LOCATION_VIEW, PROPONENTE_VIEW, RISK_KEY, RISK_VIEW, FeatureView
-from .incremental import latest_in_window
+from .incremental import latest_in_window, latest_per_key
 
 
 def export_rows(gold: DataFrame, now: datetime | str | Column) -> DataFrame:
@@ -31,6 +31,19 @@ def materialize(view: FeatureView, exported: DataFrame, start, end) -> DataFrame
     return latest_in_window(view_rows(view, exported), [view.key], view.timestamp, instant(start), instant(end))
 
 
+def refresh_latest(view: FeatureView, latest: DataFrame | None, arrived: DataFrame, as_of: datetime | str | Column) -> DataFrame:
+    """The newest served row per entity after newly exported rows came in, without those that expired.
+
+    ``latest`` is what earlier exports left, None before the first. Rows stamped after ``as_of`` wait
+    for their time; at equal stamps the greater row wins, so merging an export again changes nothing.
+    """
+    rows = view_rows(view, arrived)
+    rows = rows if latest is None else latest.unionByName(rows)
+    end = instant(as_of)
+    alive = F.col(view.timestamp).between(end - F.make_dt_interval(secs=F.lit(view.ttl.total_seconds())), end)
+    return latest_per_key(rows.where(F.col(view.key).isNotNull() & alive), [view.key], [view.timestamp])
+
+
 def asof_join(
     facts: DataFrame,
     features: DataFrame,

@@ -18,11 +18,12 @@ from ..schemas import LOCATION_VIEW, PROPONENTE_VIEW, RISK_VIEW, SILVER_KEY, SIL
 from ..session import prepare
 from ..sources import events
 from ..sources.changes import ChangeLog
-from ..sources.staging import path_exists, staged
+from ..sources.staging import folder_names, path_exists, staged
 from ..sources.tables import ensure_database, ensure_table, merge_table, publish, register_external, table_location
 from ..streaming import refresh
 
 GOLD_TABLES = {name: f"gold.{name}_features_agro" for name in gold.MODELS}
+SERVED_TABLES = {name: f"gold.{name}_served" for name in gold.MODELS}
 SILVER_TABLE = "silver.dados_produtores_agro"
 BRONZE_TABLE = "bronze.dados_produtores_agro"
 # What gold tables are grouped by, and the silver partitions their states are kept by.
@@ -175,23 +176,44 @@ def _stamp(as_of: datetime | str) -> str:
 
 
 def export_features(lake: Lakehouse, as_of: datetime | str) -> dict[str, str]:
-    """Write each gold table for the feature store; returns the paths."""
+    """Add what changed in each gold table to the feature store's history; returns the paths.
+
+    Rows stamped after the newest exported one are written, as a run of their own. A run that is
+    repeated replaces itself.
+    """
     paths = {}
     for name in GOLD_TABLES:
-        path = lake.path("features", f"gold_{name}_features")
-        features.export_rows(lake.spark.table(lake.table(GOLD_TABLES[name])), as_of).write.mode("overwrite").parquet(path)
+        path, run = lake.path("features", f"gold_{name}_features"), f"run={_stamp(as_of)}"
+        rows = features.export_rows(lake.spark.table(lake.table(GOLD_TABLES[name])), as_of)
+        if any(x.startswith("run=") and x != run for x in folder_names(lake.spark, path)):
+            earlier = lake.spark.read.parquet(path).where(F.col("run") != run.removeprefix("run="))
+            since = incremental.newest_stamp(earlier, "feature_timestamp") or incremental.EPOCH
+            rows = rows.where(F.col("feature_timestamp") > instant(since))
+        rows.write.mode("overwrite").parquet(f"{path}/{run}")
         paths[name] = path
     return paths
 
 
-def materialize_features(lake: Lakehouse, as_of: datetime | str, days: int = 1) -> dict[str, DataFrame]:
-    """Newest served row per entity stamped within the last ``days``."""
-    end = instant(as_of)
-    start = end - F.expr(f"INTERVAL {int(days)} DAYS")
-    return {
-        name: features.materialize(view, lake.spark.read.parquet(lake.path("features", f"gold_{name}_features")), start, end)
-        for name, view in VIEWS.items()
-    }
+def materialize_features(lake: Lakehouse, as_of: datetime | str) -> dict[str, DataFrame]:
+    """Bring each view's table of newest rows up to date with the runs exported since; expired rows go.
+
+    Runs are entered as merged after the table has changed; merging one again changes nothing.
+    """
+    spark, served = lake.spark, {}
+    for name, view in VIEWS.items():
+        history, table = lake.path("features", f"gold_{name}_features"), lake.table(SERVED_TABLES[name])
+        ledger = lake.path("features", "_merged", name)
+        merged = {r["run"] for r in spark.read.parquet(ledger).collect()} if path_exists(spark, ledger) else set()
+        runs = {x.removeprefix("run=") for x in folder_names(spark, history) if x.startswith("run=")}
+        arrived = spark.read.option("basePath", history).parquet(*[f"{history}/run={r}" for r in sorted(runs - merged or runs)])
+        arrived = arrived if runs - merged else arrived.limit(0)
+        latest = spark.table(table) if spark.catalog.tableExists(table) else None
+        publish(features.refresh_latest(view, latest, arrived, as_of), table, lake.path("features", f"served_{name}"))
+        if runs - merged:
+            new = [(r,) for r in sorted(runs - merged)]
+            spark.createDataFrame(new, "run string").coalesce(1).write.mode("append").parquet(ledger)
+        served[name] = spark.table(table)
+    return served
 
 
 def enrich_events(lake: Lakehouse, raw_path: str, as_of: datetime | str) -> None:
@@ -243,8 +265,12 @@ def score_requests(lake: Lakehouse, requests: DataFrame, model: PipelineModel |
 
 
 def served_views(lake: Lakehouse) -> dict[str, DataFrame]:
-    """The newest row per entity of each view: here the gold tables, which hold one row per entity."""
-    return {name: lake.spark.table(lake.table(table)) for name, table in GOLD_TABLES.items()}
+    """The newest row per entity of each view: as materialised, else the gold table's."""
+    found = {}
+    for name, table in GOLD_TABLES.items():
+        served = lake.table(SERVED_TABLES[name])
+        found[name] = lake.spark.table(served if lake.spark.catalog.tableExists(served) else lake.table(table))
+    return found
 
 
 def follow_requests(

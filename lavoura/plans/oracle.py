@@ -550,6 +550,14 @@ def assembled(name: str) -> str:
 
 HAS_POSITION = "latitude <> 0 AND longitude <> 0"
 
+EXPORTS = f"""{PROPONENTE}, {LOCATION_BODY}, {RISK_BODY}, entities AS (
+  SELECT 'proponente' AS view, proponente_id AS key, 30 AS ttl, total_solicitacoes AS total, valor_total_solicitado AS valor FROM gold
+  UNION ALL SELECT 'location', localizacao_key, 7, total_proponentes, valor_total_solicitado FROM lgold
+  UNION ALL SELECT 'risk', risco_cultura_key, 14, total_solicitacoes, valor_total_solicitado FROM rgold
+), exports AS (
+  SELECT e.*, x.every, x.days FROM entities e, (SELECT unnest([1, 2, 3]) AS every, unnest([40, 10, 1]) AS days) x WHERE e.total % x.every = 0
+)"""
+
 # Requests of all applications against views that know some of them. The stand-in model says nothing on
 # applicants with 3 to 6 applications; rules decide there.
 SERVED = "served AS (SELECT * FROM silver WHERE CAST(right(proponente_id, 1) AS INTEGER) % 2 = 0 AND cultura_principal <> 'SOJA')"
@@ -679,6 +687,13 @@ ORACLE_SQL: dict[str, str] = {
     "ratio_outliers": f"""WITH {SILVER} SELECT proponente_id, CAST(valor_solicitado_credito AS DOUBLE) AS valor_solicitado_credito,
       CAST(renda_bruta_anual_declarada AS DOUBLE) AS renda_bruta_anual_declarada, {RATIO} AS razao_credito_renda, processed_at
       FROM silver WHERE {RATIO} > 10 AND processed_at >= {AS_OF} - INTERVAL 24 HOURS""",
+    "materialize_views": f"""WITH {EXPORTS} SELECT view, key, valor * every AS valor_total_solicitado, {AS_OF} - to_days(days) AS feature_timestamp
+      FROM exports WHERE days <= ttl QUALIFY row_number() OVER (PARTITION BY view, key ORDER BY days) = 1""",
+    "point_in_time_views": f"""WITH {EXPORTS}, facts AS (SELECT e.view, e.key, d.days FROM exports e, (SELECT unnest([45, 20, 9, 0]) AS days) d
+        WHERE e.every = 1)
+      SELECT f.view, f.key, e.valor * e.every AS valor_total_solicitado, {AS_OF} - to_days(e.days) AS feature_timestamp, f.days
+      FROM facts f LEFT JOIN exports e ON e.view = f.view AND e.key = f.key AND e.days >= f.days AND e.days - f.days < e.ttl
+      QUALIFY row_number() OVER (PARTITION BY f.view, f.key, f.days ORDER BY e.days) = 1""",
     "stream_gaps": """WITH steps AS (SELECT event_type, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY ts) AS before FROM events),
       numbered AS (SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL 5 MINUTES THEN 1 ELSE 0 END)
         OVER (PARTITION BY event_type ORDER BY ts) AS spell FROM steps),

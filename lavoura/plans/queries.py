@@ -648,6 +648,56 @@ def materialize_latest(spark, sf_dir):
     return incremental.latest_in_window(rows, ["user_id"], "ts", end - F.expr("INTERVAL 1 DAY"), end, ["event_id"])
 
 
+def _exports(spark, sf_dir) -> dict[str, list[DataFrame]]:
+    """Three exports of each gold table: of all rows 40 days ago, of every second 10 days ago, of every
+    third a day ago; the amount tells them apart."""
+    rows = gold_inputs(spark, sf_dir)
+    found = {}
+    for name, (build, _) in gold.MODELS.items():
+        built = staged(build(rows, AS_OF), f"gold-{name}")
+        total = F.col("total_proponentes" if name == "location" else "total_solicitacoes")
+        found[name] = [
+            built.where(total % every == 0).withColumns(
+                {
+                    "valor_total_solicitado": F.col("valor_total_solicitado") * every,
+                    "feature_timestamp": instant(AS_OF) - F.expr(f"INTERVAL {days} DAYS"),
+                }
+            )
+            for every, days in ((1, 40), (2, 10), (3, 1))
+        ]
+    return found
+
+
+def _of_view(name: str, rows: DataFrame, *more: str) -> DataFrame:
+    key = jobs.VIEWS[name].key
+    return rows.select(F.lit(name).alias("view"), F.col(key).alias("key"), "valor_total_solicitado", "feature_timestamp", *more)
+
+
+@query
+def materialize_views(spark, sf_dir):
+    """Newest rows of the three served views, kept by merging export after export; expired rows are gone."""
+    parts = []
+    for name, exports in _exports(spark, sf_dir).items():
+        latest = None
+        for rows, days in zip(exports, (39, 9, 0), strict=True):
+            now = instant(AS_OF) - F.expr(f"INTERVAL {days} DAYS")
+            latest = staged(features.refresh_latest(jobs.VIEWS[name], latest, rows, now), "latest")
+        parts.append(_of_view(name, latest))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def point_in_time_views(spark, sf_dir):
+    """The three served views as they were known 45, 20, 9 and 0 days ago."""
+    parts = []
+    for name, exports in _exports(spark, sf_dir).items():
+        view, known = jobs.VIEWS[name], exports[0].unionByName(exports[1]).unionByName(exports[2])
+        days = F.explode(F.array(*[F.lit(d) for d in (45, 20, 9, 0)])).alias("days")
+        facts = exports[0].select(view.key, days).withColumn("at", instant(AS_OF) - F.make_dt_interval(days="days"))
+        parts.append(_of_view(name, features.point_in_time(view, facts, known, "at"), "days"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def asof_features(spark, sf_dir):
     """Purchases with the user's last view of the two days before."""
