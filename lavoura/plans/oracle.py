@@ -694,6 +694,8 @@ ORACLE_SQL: dict[str, str] = {
       SELECT f.view, f.key, e.valor * e.every AS valor_total_solicitado, {AS_OF} - to_days(e.days) AS feature_timestamp, f.days
       FROM facts f LEFT JOIN exports e ON e.view = f.view AND e.key = f.key AND e.days >= f.days AND e.days - f.days < e.ttl
       QUALIFY row_number() OVER (PARTITION BY f.view, f.key, f.days ORDER BY e.days) = 1""",
+    "stream_repeats": f"""WITH {APPLICATIONS} SELECT count(*) + count(*) FILTER (anos = 5 AND ingestion_timestamp <= {MARK} - INTERVAL 40 DAYS) AS kept,
+      count(*) AS applications, count(*) FILTER (anos = 5 AND ingestion_timestamp <= {MARK}) AS late FROM app""",
     "stream_gaps": """WITH steps AS (SELECT event_type, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY ts) AS before FROM events),
       numbered AS (SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL 5 MINUTES THEN 1 ELSE 0 END)
         OVER (PARTITION BY event_type ORDER BY ts) AS spell FROM steps),

@@ -6,6 +6,7 @@ deviations are rounded to four decimals, so that two engines can be compared.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import timedelta
@@ -21,7 +22,7 @@ from ..session import prepare
 from ..sources import events
 from ..sources.applications import bronze_applications, table, table_stream
 from ..sources.changes import ChangeLog
-from ..sources.staging import staged, work_folder
+from ..sources.staging import folder_names, staged, work_folder
 from ..sources.tables import ensure_table, merge_table
 from ..streaming import ingest, refresh, silences
 from . import jobs
@@ -509,6 +510,42 @@ def stream_gaps(spark, sf_dir):
     return silences.silences(spark.read.parquet(f"{folder}/spells"), "event_type", 5)
 
 
+@query
+def stream_repeats(spark, sf_dir):
+    """Messages sent again within a day, sent again much later, and arriving too late: what bronze keeps
+    and what the side output counts."""
+    folder = work_folder(spark, "stream-repeats")
+    rows = staged(bronze_applications(spark, sf_dir), "bronze")
+    early = F.col("ingestion_timestamp") <= instant(MARK)
+    some, much_earlier = F.col("anos_experiencia") == 5, F.col("ingestion_timestamp") <= instant(MARK) - F.expr("INTERVAL 40 DAYS")
+    soon = rows.where(early & some).withColumn("ingestion_timestamp", F.col("ingestion_timestamp") + F.expr("INTERVAL 1 HOUR"))
+    again = rows.where(some & much_earlier).withColumn("ingestion_timestamp", instant(AS_OF))
+    late = rows.where(early & some).withColumn("proponente_id", F.concat("proponente_id", F.lit("L")))
+    for part in (rows.where(early).unionByName(soon), rows.where(~early), again.unionByName(late)):
+        events.to_messages(part, "dados_produtores").coalesce(1).write.mode("append").parquet(f"{folder}/sent")
+    sent = spark.read.parquet(f"{folder}/sent")
+    messages = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/sent")
+    counter = ingest.LateRows(spark, f"{folder}/late")
+    spark.streams.addListener(counter)
+    try:
+        _finish(ingest.ingest_nested(messages, f"{folder}/bronze", f"{folder}/offsets", UNTIL_DONE, "1 day"))
+        _told(f"{folder}/late", spark, 3)
+    finally:
+        spark.streams.removeListener(counter)
+    kept = spark.read.parquet(f"{folder}/bronze")
+    counted = kept.agg(F.count(F.lit(1)).alias("kept"), F.count_distinct("proponente_id", "data_solicitacao", "valor_solicitado_credito").alias("applications"))
+    return counted.join(spark.read.schema(ingest.LateRows.SHAPE).parquet(f"{folder}/late").agg(F.sum("rows_late").alias("late")))
+
+
+def _told(path: str, spark: SparkSession, batches: int) -> None:
+    """Wait until the listener, which runs beside the stream, has written its lines."""
+    for _ in range(300):
+        if sum(len(folder_names(spark, f"{path}/{q}")) for q in folder_names(spark, path)) >= batches:
+            return
+        time.sleep(0.1)
+    raise TimeoutError(path)
+
+
 @query
 def stream_bronze_flat(spark, sf_dir):
     """Applications streamed as JSON messages into flat bronze by request date, then read back whole."""

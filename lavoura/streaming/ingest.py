@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..sources import events
 
@@ -73,7 +73,7 @@ def without_repeats(rows: DataFrame, within: str = "1 day") -> DataFrame:
 
     Optional: the keyed merge into silver removes copies at any distance. The watermark
     follows the arrival stamp, not the request time, so a late request passes; rows whose
-    arrival stamp itself runs behind the watermark do not.
+    arrival stamp itself runs behind the watermark do not, and ``LateRows`` counts them.
     """
     keys = ["proponente_id", "data_solicitacao", "valor_solicitado_credito"]
     return rows.withWatermark("ingestion_timestamp", within).dropDuplicatesWithinWatermark(keys)
@@ -107,9 +107,47 @@ def append_files(
     return writer.trigger(**(trigger or {"processingTime": NESTED_TRIGGER})).start()
 
 
-def ingest_nested(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Messages to nested bronze, by arrival month and person type."""
-    return append_files(nested_rows(messages), path, checkpoint, events.BRONZE_PARTITIONS, trigger, "bronze_nested", "zstd")
+class LateRows(StreamingQueryListener):
+    """Keeps, per query and batch, how many rows a stream read and how many it dropped as too late.
+
+    A batch is a folder of its own under ``path``, so one that is told again replaces itself.
+    """
+
+    SHAPE = "batch_id long, watermark string, rows_read long, rows_late long"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        told = event.progress
+        late = sum(operator.numRowsDroppedByWatermark for operator in told.stateOperators)
+        if told.numInputRows or late:
+            line = (told.batchId, told.eventTime.get("watermark"), told.numInputRows, late)
+            place = f"{self.path}/query={told.name or told.id}/batch={told.batchId}"
+            self.spark.createDataFrame([line], self.SHAPE).coalesce(1).write.mode("overwrite").parquet(place)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def ingest_nested(
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, no_repeats_within: str | None = None
+) -> StreamingQuery:
+    """Messages to nested bronze, by arrival month and person type.
+
+    With ``no_repeats_within`` (such as ``1 day``) re-sent applications that arrive so close
+    together are written once.
+    """
+    rows = nested_rows(messages)
+    if no_repeats_within:
+        rows = without_repeats(rows, no_repeats_within)
+    return append_files(rows, path, checkpoint, events.BRONZE_PARTITIONS, trigger, "bronze_nested", "zstd")
 
 
 def ingest_flat(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
