@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import shutil
 import tempfile
@@ -9,23 +11,28 @@ import uuid
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words kept in a worker's cache before it is emptied; bounds its memory.
-CACHE_WORDS = 400_000
-#: The caches of this worker; one is in use at a time.
+#: Bytes that a worker's cache holds, about, before it is emptied, and bytes of an entry besides its texts.
+CACHE_BYTES, ENTRY_BYTES = 48 << 20, 200
+#: The cache of this worker that is in use.
 _CACHES: list[dict] = []
 
 
 def in_use(cache: dict) -> None:
-    """Empty the caches of other operators, which worker processes outlive."""
-    if not any(c is cache for c in _CACHES):
-        _CACHES.append(cache)
+    """Empty the caches of other operators, which worker processes outlive, and give the memory back."""
+    if _CACHES and _CACHES[-1] is cache:
+        return
     for other in _CACHES:
-        if other is not cache:
-            other.clear()
+        other.clear()
+    _CACHES[:] = [cache]
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        # What the C library has freed stays with the process until it is told so.
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def ship(spark: SparkSession) -> None:
@@ -69,15 +76,31 @@ def text_bytes(column) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast("binary").to_pylist()]
 
 
-class WordHashes(dict):
-    """64-bit hash of each word (bytes), computed once per worker."""
+class WordCache(dict):
+    """What is known of words (bytes), emptied when it holds too many bytes."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
+    def __init__(self):
+        super().__init__()
+        self.held = 0
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
+
+    def put(self, word: bytes, value):
+        self.held += ENTRY_BYTES + len(word)
+        if self.held > CACHE_BYTES:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        self[word] = value
         return value
 
+
+class WordHashes(WordCache):
+    """64-bit hash of each word (bytes), computed once per worker."""
+
+    def __missing__(self, word: bytes) -> int:
+        return self.put(word, xxhash.xxh3_64_intdigest(word))
+
     def of(self, words: list[bytes]) -> np.ndarray:
         in_use(self)
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))

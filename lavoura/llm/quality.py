@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavoura.llm.common import CACHE_WORDS, in_use, staged, text_bytes
+from lavoura.llm.common import WordCache, in_use, staged, text_bytes
 
 #: Labelled documents that the model is fitted on at most.
 SAMPLE = 8192
@@ -34,15 +34,12 @@ _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _UPPER, _SIGNS, _DIGITS = (bytes(range(65, 91)), _MARKS, b"0123456789")
 
 
-class WordSlots(dict):
+class WordSlots(WordCache):
     """Slot of each word (bytes), without marks around it and without case; -1 for none."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
         bare = word.strip(_MARKS).lower()
-        slot = self[word] = xxhash.xxh3_64_intdigest(bare) & ((1 << BITS) - 1) if bare else -1
-        return slot
+        return self.put(word, xxhash.xxh3_64_intdigest(bare) & ((1 << BITS) - 1) if bare else -1)
 
 
 SLOTS = WordSlots()
