@@ -13,7 +13,6 @@ A-star runs on the few stretches whose alternatives can be among a text's ``n``
 
 from __future__ import annotations
 
-import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavoura.llm.common import in_use
+from lavoura.llm.common import CACHE_BYTES, ENTRY_BYTES, in_use
 
 SPACE = "▁"
-#: Stretches kept in a worker's cache before it is emptied; longest stretch of the lattice's columns.
-CACHE, COLUMNS = 400_000, 48
+#: Longest stretch whose lattice is worked on side by side with others; longer ones, one by one, come out the same.
+COLUMNS = 48
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -107,43 +106,81 @@ class Pieces:
 
     # ---- one stretch -----------------------------------------------------------------------
 
-    def edges(self, text: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For each end: (start, score, ids) of the pieces that end there, longest first."""
-        out: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(len(text) + 1)]
-        for end in range(1, len(text) + 1):
-            for start in range(max(0, end - self.longest), end):
-                if (i := self.ids.get(text[start:end])) is not None:
-                    out[end].append((start, self.score[i], (i,)))
-            c = text[end - 1]
-            if c not in self.ids:
-                out[end].append((end - 1, self.unknown, tuple(self.bytes[b] for b in c.encode())))
-        return out
+    def edges_to(self, text: str, end: int) -> list[tuple[int, float]]:
+        """(start, score) of the pieces that end at a place, longest first."""
+        found = []
+        for start in range(max(0, end - self.longest), end):
+            if (i := self.ids.get(text[start:end])) is not None:
+                found.append((start, self.score[i]))
+        if text[end - 1] not in self.ids:
+            found.append((end - 1, self.unknown))
+        return found
+
+    def ids_of(self, piece: str) -> list[int]:
+        """The piece's id; a character without one is spelled in bytes."""
+        return [self.ids[piece]] if piece in self.ids else [self.bytes[b] for b in piece.encode()]
 
     def n_best(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` best segmentations of a stretch: (score, ids), best first, ties by ids.
+        """The ``n`` best segmentations of a stretch: (score, ids), best first.
+
+        At equal scores the one with the longer last piece comes first, then that with the longer
+        piece before it, and so on.
 
         Forward Viterbi, then A-star from the end: a partial segmentation is valued by its own
-        score and the forward score of the node it has reached, which is exactly what the rest
-        will add at best.
+        score and the forward score of the place it has reached, which is exactly what the rest
+        will add at best. So the best partial one always leads to a whole one of that value. Partial
+        segmentations are nodes of a tree with links towards the end; the open ones are its missing
+        children, in the order of the tree, which is the order at equal scores.
         """
-        edges = self.edges(text)
-        forward = [0.0] + [-np.inf] * len(text)
+        forward = np.full(len(text) + 1, -np.inf)
+        forward[0] = 0.0
         for end in range(1, len(text) + 1):
-            forward[end] = max(forward[start] + score for start, score, _ in edges[end])
-        heap = [(-forward[-1], (), 0.0, len(text))]
-        found: list[tuple[float, tuple[int, ...]]] = []
-        while heap:
-            estimate, ids, score, node = heapq.heappop(heap)
-            if len(found) >= n and -estimate < found[n - 1][0]:
-                break
-            if not node:
-                found.append((score, ids))
-                continue
-            for start, more, own in edges[node]:
-                heapq.heappush(heap, (-(forward[start] + score + more), own + ids, score + more, start))
-            if len(found) >= n + 64:  # further ties cannot all be listed
+            forward[end] = max(forward[start] + score for start, score in self.edges_to(text, end))
+        place, score, parent = [len(text)], [0.0], [-1]
+        child: dict[tuple[int, int], int] = {}
+
+        def added(node: int, start: int, more: float) -> int:
+            child[node, start] = len(place)
+            place.append(start)
+            score.append(score[node] + more)
+            parent.append(node)
+            return len(place) - 1
+
+        def leaf(node: int) -> int:
+            while place[node]:
+                values = [(forward[start] + more, -start, more) for start, more in self.edges_to(text, place[node])]
+                _, start, more = max(values)
+                node = added(node, -start, more)
+            return node
+
+        found, best = [leaf(0)], None
+        while len(found) < n:
+            best = None  # value, node, start, score of the piece
+            walk = [(0, iter(self.edges_to(text, len(text))))]
+            while walk:
+                node, edges = walk[-1]
+                for start, more in edges:
+                    if (below := child.get((node, start))) is not None:
+                        if start:
+                            walk.append((below, iter(self.edges_to(text, start))))
+                        break
+                    value = forward[start] + (score[node] + more)
+                    if best is None or value > best[0]:
+                        best = (value, node, start, more)
+                else:
+                    walk.pop()
+            if best is None or best[0] == -np.inf:
                 break
-        return sorted(found, key=lambda x: (-x[0], x[1]))[:n]
+            found.append(leaf(added(*best[1:])))
+        out = []
+        for node in found:
+            ids: list[int] = []
+            total = score[node]
+            while parent[node] >= 0:
+                ids += self.ids_of(text[place[node] : place[parent[node]]])
+                node = parent[node]
+            out.append((float(total), tuple(ids)))
+        return out
 
     # ---- many stretches ---------------------------------------------------------------------
 
@@ -246,25 +283,29 @@ class Segmenter(dict):
     def __init__(self, path: str):
         self.pieces = Pieces(path)
         self.lists: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
+        self.held = 0
 
     def clear(self) -> None:
         super().clear()
         self.lists.clear()
+        self.held = 0
 
     def stretches(self, texts: list[str]) -> list[list[str]]:
         in_use(self)
         split = [self.pieces.stretch.findall(f" {t}") if t else [] for t in texts]
         used = set().union(*split)
         new = [s for s in used if s not in self]
-        if len(self) + len(new) > CACHE:
+        if self.held > CACHE_BYTES:
             self.clear()
             new = list(used)
         self.update(zip(new, self.pieces.best(new), strict=True))
+        self.held += sum(ENTRY_BYTES + len(s) + len(self[s][0]) for s in new)
         return split
 
     def alternatives(self, stretch: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         if (stretch, n) not in self.lists:
-            self.lists[stretch, n] = self.pieces.n_best(stretch, n)
+            found = self.lists[stretch, n] = self.pieces.n_best(stretch, n)
+            self.held += sum(ENTRY_BYTES + 8 * len(ids) for _, ids in found)
         return self.lists[stretch, n]
 
     def n_best(self, split: list[str], n: int) -> list[tuple[float, dict[int, tuple[int, ...]]]]:
@@ -362,8 +403,9 @@ def segmented(docs: DataFrame, model: str, n: int = 4, id_col: str = "doc_id", t
     as little-endian 32-bit integers, score), the scores of its ``n`` best ones (fewer if there
     are fewer), and the text decoded from the best one's ids: its crc32, and whether it equals
     the text. ``segmentations`` are the ids of the n best, ``decoded`` the text decoded from each of
-    them. A blank is put before the text and
-    taken off again. Null and empty texts have no pieces and one empty segmentation. Null and
+    them. At equal scores those of a text come first that depart from the best one in fewer
+    stretches, and inside a stretch that with the longer last piece, then the longer one before it,
+    and so on. A blank is put before the text and taken off again. Null and empty texts have no pieces and one empty segmentation. Null and
     repeated ids are rows like others; other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

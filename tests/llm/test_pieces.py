@@ -1,5 +1,7 @@
 """The queries give the pieces themselves, not only digests of them."""
 
+import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -8,7 +10,7 @@ import pytest
 import corpus_pipeline
 from cases import documents, table
 from lavoura.llm import queries
-from lavoura.llm.pieces import segmenter
+from lavoura.llm.pieces import Pieces, segmenter
 
 
 @pytest.mark.parametrize("name", ["op1_pieces", "pipeline"])
@@ -27,3 +29,37 @@ def test_ids_and_texts_of_all_segmentations(spark, folder, name):
         assert set(r.decoded) == {texts[r.doc_id]}
         assert [pieces.decode(np.array(x, np.int64)).decode() for x in r.segmentations] == r.decoded
         assert len(r.segmentations[0]) == r.n_pieces and zlib.crc32(np.array(r.segmentations[0], "<u4").tobytes()) == r.ids_crc32
+
+
+def every_segmentation(pieces, text):
+    """All segmentations of a text in order: best score first, then the longer last piece, and so on."""
+    if not text:
+        return [(0.0, (), ())]
+    out = []
+    for start, score in pieces.edges_to(text, len(text)):
+        own = tuple(pieces.ids_of(text[start:]))
+        out += [(s + score, (start, *starts), ids + own) for s, starts, ids in every_segmentation(pieces, text[:start])]
+    return sorted(out, key=lambda x: (-x[0], x[1]))
+
+
+def test_n_best_with_ties_is_in_the_stated_order():
+    pieces = Pieces(queries.tokenizer_file("piece_bpe_32k.model"))
+    for text in ("aaaaaaaaaaaa", " banana", "mississippi", "☃☃a", "--------", "ananananan", "\n"):
+        want = [(score, ids) for score, _, ids in every_segmentation(pieces, text)]
+        for n in (1, 2, 5, 40):
+            assert pieces.n_best(text, n) == want[:n]
+        assert np.frombuffer(pieces.best([text])[0][0], "<u4").tolist() == list(want[0][1])
+
+
+def test_long_stretches_take_bounded_memory():
+    """Stretches without blanks: random letters, and one letter over and over."""
+    pieces = Pieces(queries.tokenizer_file("piece_bpe_32k.model"))
+    rng = random.Random(2)
+    for text in ("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000)), "a" * 50_000):
+        tracemalloc.start()
+        found = pieces.n_best(text, 4)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200 << 20
+        assert len({ids for _, ids in found}) == 4 and [s for s, _ in found] == sorted((s for s, _ in found), reverse=True)
+        assert all(b"".join(pieces.spelled[i] for i in ids) == text.encode() for _, ids in found)
