@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,6 +87,12 @@ def model_pipeline(trees: int = 100) -> Pipeline:
     )
 
 
+def fitted_scaler(rows: DataFrame) -> StandardScalerModel:
+    """The standardisation alone, as the pipeline fits it on training rows."""
+    assembler, scaler, _ = model_pipeline().getStages()
+    return scaler.fit(assembler.transform(_zero_filled(rows)))
+
+
 def _zero_filled(rows: DataFrame) -> DataFrame:
     return rows.fillna(0, subset=MODEL_FEATURES)
 

@@ -550,6 +550,11 @@ def assembled(name: str) -> str:
 
 HAS_POSITION = "latitude <> 0 AND longitude <> 0"
 
+SPLIT = f"""{TARGET},
+drawn AS (SELECT *, CAST({uniform('target-42', 'proponente_id')} < default_probability AS INTEGER) AS t, {uniform('split-42', 'proponente_id')} AS u FROM chance JOIN imputed USING (proponente_id)),
+parted AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY t ORDER BY u) <= ceil({D(0.8)} * count(*) OVER (PARTITION BY t)) THEN 'train'
+  ELSE 'test' END AS part FROM drawn)"""
+
 EXPORTS = f"""{PROPONENTE}, {LOCATION_BODY}, {RISK_BODY}, entities AS (
   SELECT 'proponente' AS view, proponente_id AS key, 30 AS ttl, total_solicitacoes AS total, valor_total_solicitado AS valor FROM gold
   UNION ALL SELECT 'location', localizacao_key, 7, total_proponentes, valor_total_solicitado FROM lgold
@@ -594,7 +599,7 @@ BRONZE_FLAT = f"""WITH {APPLICATIONS} SELECT proponente_id, data_solicitacao, cp
 ORACLE_SQL: dict[str, str] = {
     "bronze_from_json": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "kafka_envelope": """SELECT CAST(user_id AS VARCHAR) AS kafka_key, props AS kafka_value, 'dados_produtores' AS topic,
-      event_type AS partition, event_id AS "offset", ts AS kafka_timestamp FROM events""",
+      CAST(user_id % 3 AS INTEGER) AS partition, event_id AS "offset", ts AS kafka_timestamp FROM events""",
     "bronze_flat": BRONZE_FLAT,
     "stream_bronze_flat": BRONZE_FLAT,
     "struct_withfield": f"""WITH {APPLICATIONS} SELECT proponente_id, req_ms AS data_solicitacao,
@@ -603,7 +608,11 @@ ORACLE_SQL: dict[str, str] = {
     "partition_columns": f"""WITH {APPLICATIONS} SELECT CAST(year(data_solicitacao) AS INTEGER) AS ano_particao,
       CAST(month(data_solicitacao) AS INTEGER) AS mes_particao, CAST(day(data_solicitacao) AS INTEGER) AS dia_particao, count(*) AS n
       FROM app GROUP BY ALL""",
+    "dated_partitions": f"""WITH {APPLICATIONS} SELECT CAST(year(data_solicitacao) AS INTEGER) AS ano, CAST(month(data_solicitacao) AS INTEGER) AS mes,
+      tipo_pessoa, count(*) AS n FROM app GROUP BY ALL""",
     "raw_landing_path": f"""WITH {APPLICATIONS} SELECT proponente_id, CAST(valor AS DOUBLE) AS valor_solicitado_credito,
+      strftime(ingestion_timestamp, '%Y/%m/%d/%H') || '/' || proponente_id || '_' || strftime(ingestion_timestamp, '%Y%m%d%H%M%S%f') || '.json'
+        AS object_by_applicant,
       strftime(ingestion_timestamp, '%Y/%m/%d/%H') || '/' || regexp_replace(nome_razao_social, '[^\\p{{L}}\\p{{N}}_-]', '_', 'g') || '_'
       || strftime(ingestion_timestamp, '%Y%m%d%H%M%S%f') || '.json' AS object_name FROM app""",
     "silver_flatten": f"WITH {APPLICATIONS}, flat AS (SELECT {SILVER_COLUMNS} FROM app) SELECT {SILVER_OUT} FROM flat",
@@ -728,8 +737,7 @@ ORACLE_SQL: dict[str, str] = {
       SELECT c_custkey, CAST(trunc(greatest(300, least(850, CAST(600 AS DOUBLE) + CASE WHEN c_acctbal > 0 THEN c_acctbal * 200 / 10000 ELSE 0 END
         - coalesce(payments, 0) * 20 - coalesce(queries, 0) * 10))) AS INTEGER) AS credit_score
       FROM customer LEFT JOIN counted ON c_custkey = o_custkey""",
-    "feature_export": f"""WITH {PROPONENTE} SELECT proponente_id, total_solicitacoes, valor_total_solicitado, perfil_frequencia,
-      ultima_atualizacao AS feature_timestamp FROM gold""",
+    "feature_export": f"WITH {PROPONENTE} SELECT * EXCLUDE (feature_timestamp), ultima_atualizacao AS feature_timestamp FROM gold",
     "materialize_latest": """SELECT user_id, event_id, event_type, value, ts FROM events
       WHERE ts BETWEEN TIMESTAMP '2024-01-30' AND TIMESTAMP '2024-01-31'
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
@@ -768,6 +776,9 @@ ORACLE_SQL: dict[str, str] = {
     "ml_impute": f"WITH {IMPUTED} SELECT * FROM imputed",
     "ml_target": f"""WITH {TARGET} SELECT proponente_id, default_probability,
       CAST({uniform('target-42', 'proponente_id')} < default_probability AS INTEGER) AS target_default FROM chance""",
+    "ml_split": f"""WITH {SPLIT} SELECT t AS target_default, part, count(*) AS n, round(sum(valor_total_solicitado), 2) AS valor FROM parted GROUP BY ALL""",
+    "ml_scaling": f"""WITH {SPLIT} {union([f"SELECT '{c}' AS feature, round(avg(coalesce(CAST({c} AS DOUBLE), 0)), 4) AS mean, "
+        f"round(stddev_samp(coalesce(CAST({c} AS DOUBLE), 0)), 4) AS spread FROM parted WHERE part = 'train'" for c in FEATURES])}""",
     "ml_default_rate": f"""WITH {TARGET}, drawn AS (SELECT default_probability,
       CAST({uniform('target-42', 'proponente_id')} < default_probability AS INTEGER) AS t FROM chance)
       SELECT count(*) AS n, CAST(sum(t) AS BIGINT) AS defaults, round(avg(t), 6) AS default_rate, round(avg(default_probability), 6) AS mean_chance

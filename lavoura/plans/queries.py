@@ -17,13 +17,13 @@ from pyspark.sql import types as T
 
 from ..functions.columns import instant
 from ..operators import categories, drift, enrichment, features, gold, incremental, maintenance, quality, scoring, serving, silver, stats, training
-from ..schemas import CROPS, LOCATION_KEY, MONEY, PERSON_TYPES, PROPERTY_CLASSES, PURPOSES, RISK_BANDS, RISK_KEY, SILVER_KEY, SILVER_PARTITIONS
+from ..schemas import CROPS, LOCATION_KEY, MODEL_FEATURES, MONEY, PERSON_TYPES, PROPERTY_CLASSES, PURPOSES, RISK_BANDS, RISK_KEY, SILVER_KEY, SILVER_PARTITIONS
 from ..session import prepare
 from ..sources import events
 from ..sources.applications import bronze_applications, table, table_stream
 from ..sources.changes import ChangeLog
 from ..sources.staging import folder_names, staged, work_folder
-from ..sources.tables import ensure_table, merge_table
+from ..sources.tables import ensure_table, merge_table, publish
 from ..streaming import ingest, refresh, silences
 from . import jobs
 from .jobs import Lakehouse
@@ -95,7 +95,7 @@ def kafka_envelope(spark, sf_dir):
         F.col("user_id").cast("string").cast("binary").alias("key"),
         F.col("props").cast("binary").alias("value"),
         F.lit("dados_produtores").alias("topic"),
-        F.col("event_type").alias("partition"),
+        F.pmod(F.col("user_id"), F.lit(3)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         at("ts").alias("timestamp"),
     )
@@ -134,15 +134,31 @@ def partition_columns(spark, sf_dir):
 
 @query
 def raw_landing_path(spark, sf_dir):
-    """Object name every raw event is landed under; names with unsafe characters are cleaned."""
+    """Object name every raw event is landed under, by applicant and by a name with unsafe characters to clean."""
     arrived = silver.flatten(bronze_applications(spark, sf_dir))
     return arrived.select(
+        events.landing_path(F.col("proponente_id"), F.col("ingestion_timestamp")).alias("object_by_applicant"),
         "proponente_id",
         "valor_solicitado_credito",
         events.landing_path(F.col("nome_razao_social"), F.col("ingestion_timestamp")).alias("object_name"),
     )
 
 
+@query
+def dated_partitions(spark, sf_dir):
+    """Silver published by year, month and person type: the partitions the catalog knows, and their rows."""
+    folder = work_folder(spark, "dated")
+    name = f"lavoura_dated_{folder.rsplit('-', 1)[1]}"
+    publish(events.with_dated_partitions(silver_table(spark, sf_dir)), name, folder, events.DATED_PARTITIONS)
+    known = spark.sql(f"SHOW PARTITIONS {name}")
+    known = known.select(*[F.regexp_extract("partition", f"{c}=([^/]*)", 1).alias(c) for c in events.DATED_PARTITIONS])
+    known = staged(known.select(F.col("ano").cast("int"), F.col("mes").cast("int"), "tipo_pessoa"), "known")
+    counts = spark.table(name).groupBy(*events.DATED_PARTITIONS).agg(F.count(F.lit(1)).alias("n"))
+    counts = staged(known.join(counts, events.DATED_PARTITIONS, "left"), "dated")
+    spark.sql(f"DROP TABLE {name}")
+    return counts
+
+
 # -- silver ------------------------------------------------------------------
 
 
@@ -669,12 +685,9 @@ def credit_score_udf(spark, sf_dir):
 
 @query
 def feature_export(spark, sf_dir):
-    """Applicant features without their own stamp, exported under the last update."""
+    """Applicant features without their own stamp, exported whole under the last update."""
     built = gold.gold_proponente(silver_table(spark, sf_dir), AS_OF).drop("feature_timestamp")
-    exported = features.export_rows(built, AS_OF)
-    return exported.select(
-        "proponente_id", "total_solicitacoes", "valor_total_solicitado", "perfil_frequencia", "feature_timestamp"
-    )
+    return features.export_rows(built, AS_OF)
 
 
 @query
@@ -856,6 +869,30 @@ def ml_target(spark, sf_dir):
     return training.with_target(_imputed(spark, sf_dir)).select("proponente_id", "default_probability", "target_default")
 
 
+@query
+def ml_split(spark, sf_dir):
+    """Rows for training and testing per class, and sums of an input over them."""
+    parts = zip(("train", "test"), training.split(training.with_target(_imputed(spark, sf_dir))), strict=True)
+    sums = [
+        rows.groupBy("target_default").agg(
+            F.lit(part).alias("part"), F.count(F.lit(1)).alias("n"), F.round(F.sum("valor_total_solicitado"), 2).alias("valor")
+        )
+        for part, rows in parts
+    ]
+    return sums[0].unionByName(sums[1])
+
+
+@query
+def ml_scaling(spark, sf_dir):
+    """Mean and spread by which each model input is standardised, as fitted on the training rows."""
+    fitting, _ = training.split(training.with_target(_imputed(spark, sf_dir)))
+    scaler = training.fitted_scaler(fitting)
+    # One line per model input.
+    lines = [(c, float(m), float(s)) for c, m, s in zip(MODEL_FEATURES, scaler.mean, scaler.std, strict=True)]
+    rows = spark.createDataFrame(lines, "feature string, mean double, spread double")
+    return rows.select("feature", F.round("mean", 4).alias("mean"), F.round("spread", 4).alias("spread"))
+
+
 @query
 def ml_train(spark, sf_dir):
     """Split, standardise, train the forest and measure it on the part held back."""
