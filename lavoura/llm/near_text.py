@@ -111,8 +111,8 @@ def _described(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Rec
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 bands.append(band_keys(signature(s)) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "bands"],
+                [part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "text_hash", "n_shingles", "digest", "bands"],
             )
 
 
@@ -120,9 +120,16 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            sets = [shingles(text, width) for text in text_bytes(part.column(1))]
+            sets = [shingles(text, width) for text in text_bytes(part.column(2))]
+            # Of rows that share an id, the one whose set is meant.
+            meant = [i for i, (s, d) in enumerate(zip(sets, part.column(1).to_pylist(), strict=True)) if xxhash.xxh3_128_digest(s.tobytes()) == d]
+            sets = [sets[i] for i in meant]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([signature(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                [
+                    part.column(0).take(pa.array(meant, pa.int64())),
+                    pa.array([signature(s).tobytes() for s in sets], pa.binary()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ],
                 ["rep", "sig", "set"],
             )
 
@@ -231,38 +238,48 @@ def _searching(percent: int, least: dict[int, int]):
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 80,
+    miss: float = MISS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_hash: bool = False,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+    """(doc_id, n_shingles, component_id, kept[, text_hash]) for every row of ``docs``.
 
     Documents are linked when 100 * |intersection| >= ``percent`` * |union| of their sets of
     distinct ``width``-word shingles (A-Z lower-cased, words split at ASCII white space).
     A text with fewer words is one shingle; null and wordless texts have none and link with
     nothing. component_id is the smallest id reachable over links, kept marks that document.
     A row without id is linked with nothing: component_id null, kept true. Rows that repeat
-    an id with the same text are one document. Other columns of ``docs`` are ignored.
+    an id with the same text are one document; with different texts they are documents of their own,
+    and a group's kept ones are all those that bear its smallest id. ``text_hash`` is Spark's
+    xxhash64 of the text. Other columns of ``docs`` are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     least = least_matches(percent / 100, miss)
     described = staged(
-        docs.mapInArrow(
-            lambda it: _described(it, width), "doc_id long, n_shingles long, digest binary, bands array<long>"
+        docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+            lambda it: _described(it, width), "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>"
         ),
         "near-described",
     )
     known = described.where("doc_id is not null and digest is not null")
-    classes = staged(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "near-classes")
+    # A class is a distinct set; its number is fixed by writing it.
+    classes = known.groupBy("digest").agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.monotonically_increasing_id())
+    classes = staged(classes, "near-classes")
 
     keys = staged(
-        known.join(classes, "digest").where("doc_id = rep").select("rep", "bands").dropDuplicates(["rep"])
+        known.join(classes, "digest").where("doc_id = first_id").select("rep", "bands").dropDuplicates(["rep"])
         .select("rep", F.posexplode("bands").alias("band", "key")),
         "near-keys",
     )
     shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("c")).where("c > 1")
     members = staged(keys.join(shared, "key"), "near-members")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    wanted = classes.join(members.select("rep").distinct(), "rep").select("rep", "digest", F.col("first_id").alias("doc_id"))
     sets = staged(
-        docs.join(wanted, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text")
+        docs.join(wanted, "doc_id").select("rep", "digest", "text").dropDuplicates(["rep", "text"])
         .mapInArrow(lambda it: _sets(it, width), "rep long, sig binary, set binary"),
         "near-sets",
     )
@@ -291,11 +308,15 @@ def near_duplicates(
         )
         links = links.union(staged(more, "near-more"))
     joined = staged(components(links, "near-all"), "near-components")
-    merged = classes.join(joined, classes.rep == joined.node, "left").select(
-        "digest", F.coalesce("component", "rep").alias("class_component")
-    )
+    grouped = classes.join(joined, classes.rep == joined.node, "left").select("digest", "first_id", F.coalesce("component", "rep").alias("group"))
+    labels = grouped.groupBy("group").agg(F.min("first_id").alias("class_component"))
+    merged = grouped.join(labels, "group").select("digest", "class_component")
     own_id = F.col("doc_id")
     component = F.when(own_id.isNotNull(), F.coalesce("class_component", own_id))
     return described.join(merged, "digest", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == own_id, F.lit(True)).alias("kept")
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(component == own_id, F.lit(True)).alias("kept"),
+        *["text_hash"] * with_hash,
     )

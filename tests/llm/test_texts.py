@@ -53,6 +53,16 @@ def test_near_duplicates_without_ids_or_rows(spark):
     assert near_duplicates(table(spark, []), 2).collect() == []
 
 
+def test_near_duplicates_of_repeated_ids_with_different_texts(spark):
+    """Both texts of id 1 have their own near copies; no link is lost and none is made up."""
+    one, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, one, "en", "s", 0), (1, other, "en", "s", 0), (1, one, "en", "s", 0), (2, one + " x", "en", "s", 0), (3, other + " y", "en", "s", 0)]
+    rows += [(7, other.upper(), "en", "s", 0), (9, "far away", "en", "s", 0), (9, one.replace("a3 ", "c3 "), "en", "s", 0)]
+    got = sorted(map(tuple, near_duplicates(table(spark, rows), 2, with_hash=True).drop("text_hash").collect()))
+    want = [(1, 59, 1, True)] * 3 + [(2, 60, 1, False), (3, 60, 1, False), (7, 59, 1, False), (9, 1, 9, True), (9, 59, 1, False)]
+    assert got == want
+
+
 def passages_by_hand(rows, width):
     seen, out = set(), {}
     for d, t, *_ in sorted(rows, key=lambda r: r[0]):
