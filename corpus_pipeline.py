@@ -28,11 +28,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 80% of their 5-word shingles: that of smallest id.
 
-    Rows that repeat an id are one document and leave one row; rows without id all stay.
+    Rows that repeat id and text are one document and leave one row; rows that share an id only are
+    documents of their own. Rows without id all stay.
     """
-    found = near_duplicates(docs, width=5, percent=80)
-    kept = found.where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    one = docs.join(kept, docs.doc_id == kept.kept_id, "left_semi").dropDuplicates(["doc_id"])
+    found = near_duplicates(docs, width=5, percent=80, with_hash=True).where("kept and doc_id is not null")
+    kept = found.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct()
+    same = (docs.doc_id == kept.kept_id) & (F.xxhash64(docs.text) == kept.kept_hash)
+    one = docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return one.unionByName(docs.where("doc_id is null"))
 
 
