@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import partition_columns, publish, table_location
+from .packing import pack_small_files
 
 log = logging.getLogger(__name__)
 
@@ -118,6 +119,14 @@ def target_size(table: str) -> int:
     return GOLD_TARGET_BYTES if table.startswith("gold.") else SILVER_TARGET_BYTES
 
 
+def _compacted(spark: SparkSession, table: str, target_bytes: int) -> None:
+    """Pack the small files of a partitioned table in place; swap in a rewritten version of another."""
+    if partition_columns(spark, table):
+        pack_small_files(spark, table, data_files(spark, table_location(spark, table)), target_bytes)
+    else:
+        compact(spark, table, target_bytes)
+
+
 def optimize_tables(spark: SparkSession, tables: list[str], target_bytes: int | None = None) -> DataFrame:
     """Check every table, compact and analyze the unhealthy ones; one report row each.
 
@@ -131,7 +140,7 @@ def optimize_tables(spark: SparkSession, tables: list[str], target_bytes: int |
             health = table_health(spark, table).first()
             unhealthy = bool(health and health["needs_optimization"])
             if unhealthy:
-                compact(spark, table, target_bytes or target_size(table))
+                _compacted(spark, table, target_bytes or target_size(table))
                 analyze(spark, table)
             parts = partition_report(spark, table).first() if partition_columns(spark, table) else None
             counted = (parts["partitions"], parts["too_many"]) if parts else (None, None)

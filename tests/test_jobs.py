@@ -7,7 +7,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from lavoura.operators import gold, maintenance, silver
+from lavoura.operators import gold, maintenance, packing, silver
 from lavoura.plans import jobs
 from lavoura.sources import events
 from lavoura.sources.tables import add_new_columns, ensure_database, ensure_table, merge_table, publish
@@ -331,3 +331,65 @@ def test_states_of_a_month_whose_last_group_went_are_overwritten(spark, lake):
     jobs.build_gold(lake, "2025-01-02 00:10:00")
     gold_equals_a_full_build(lake, "2025-01-02 00:10:00")
     assert spark.table(lake.table(jobs.GOLD_TABLES["risk"])).count() == 3
+
+
+def test_packing_leaves_large_files_and_new_ones_alone(spark, db, folder):
+    table, place = f"{db}.k", f"{folder}/k"
+    ensure_table(spark, table, spark.createDataFrame([], "id long, p int").schema, place, ["p"])
+
+    def put(first, last, p, files=1):
+        spark.range(first, last).repartition(files).write.mode("append").parquet(f"{place}/p={p}")
+
+    put(0, 200_000, 1)
+    put(200_000, 200_040, 1, 8)
+    put(300_000, 300_030, 2, 6)
+    put(400_000, 400_001, 3)
+    spark.catalog.recoverPartitions(table)
+    large = [f for f in glob.glob(f"{place}/p=1/*.parquet") if os.path.getsize(f) > 100_000]
+    alone = glob.glob(f"{place}/p=3/*.parquet")
+    files = maintenance.data_files(spark, place)
+    assert len(large) == 1 and files.count() == 16
+    planned = {r["folder"].rsplit("/", 1)[1]: len(r["paths"]) for r in packing.bins(files, 100_000).collect()}
+    assert planned == {"p=1": 8, "p=2": 6}
+
+    # While it runs, a file is appended to one folder, and one of another folder's files vanishes.
+    swap, seen = packing._swap, []
+
+    def meanwhile(session, hidden, line):
+        if not seen:
+            seen.append(1)
+            put(500_000, 500_005, 1)
+            gone = glob.glob(f"{place}/p=2/*.parquet")[0]
+            os.remove(gone)
+        return swap(session, hidden, line)
+
+    packing._swap = meanwhile
+    try:
+        assert packing.pack_small_files(spark, table, files, 100_000) == 1
+    finally:
+        packing._swap = swap
+    assert set(large) < set(glob.glob(f"{place}/p=1/*.parquet")) and len(glob.glob(f"{place}/p=1/*.parquet")) == 3
+    assert len(glob.glob(f"{place}/p=2/*.parquet")) == 5 and glob.glob(f"{place}/p=3/*.parquet") == alone
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    assert spark.table(table).where("p = 1").selectExpr("count(*)", "count(distinct id)").first() == (200_045, 200_045)
+    assert not [n for n in os.listdir(place) if n.startswith("_packing")]
+
+
+def test_packing_that_breaks_off_is_finished(spark, db, folder):
+    table, place = f"{db}.f", f"{folder}/f"
+    spark.range(60).repartition(6).write.parquet(place)
+    ensure_table(spark, table, spark.range(0).schema, place)
+    files, delete = maintenance.data_files(spark, place), packing.remove
+
+    def broken(session, path):
+        raise InterruptedError(path)
+
+    packing.remove = broken
+    with pytest.raises(InterruptedError):
+        packing.pack_small_files(spark, table, files, 100_000)
+    packing.remove = delete
+    packing.finish_packing(spark, place)
+    spark.catalog.refreshTable(table)
+    assert len(glob.glob(f"{place}/*.parquet")) == 1
+    assert spark.table(table).selectExpr("count(*)", "sum(id)").first() == (60, 1770)
