@@ -31,7 +31,7 @@ def physical(df) -> str:
 
 
 # Streams, training and whole jobs run their plans before they return.
-RUN_AT_ONCE = {"ml_train", "gold_after_load", "gold_after_stream", "gold_between"}
+RUN_AT_ONCE = {"ml_train", "dated_partitions", "gold_after_load", "gold_after_stream", "gold_between"}
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in RUN_AT_ONCE and not n.startswith("stream_")))
@@ -39,8 +39,8 @@ def test_no_cross_join_and_no_python(spark, whole_plans, name):
     plan = physical(QUERIES[name](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "PythonUDF", "MapInPandas"):
         assert unwanted not in plan, unwanted
-    # Only the drift test broadcasts: its side has one line per watched feature.
-    assert ("BroadcastHashJoin" in plan) == (name in ("ks_drift", "model_gate"))
+    # Only the drift test and the split broadcast: one line per watched feature, one per class.
+    assert ("BroadcastHashJoin" in plan) == (name in ("ks_drift", "ml_split", "model_gate"))
 
 
 def test_scan_reads_only_what_a_load_needs(spark, folder):
