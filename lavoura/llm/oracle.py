@@ -98,4 +98,72 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
 """
 
-ORACLE_SQL: dict[str, str] = {"op11_winnowing": OP11, "op12_spelling": OP12, "op13_phrases": OP13}
+# Components: the smallest id reachable, spread along the links until nothing changes.
+_ROOTS = """
+reached(id, root) AS (
+  SELECT id, id FROM nodes
+  UNION SELECT l.b, r.root FROM reached r JOIN links l ON r.id = l.a WHERE r.root < l.b
+), rooted AS (SELECT id, min(root) AS component_id FROM reached GROUP BY id)
+"""
+
+OP3 = f"""
+WITH RECURSIVE given AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS (
+  SELECT vec_id, v FROM given WHERE v IS NOT NULL AND list_bool_and(list_transform(v, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(v, lambda x: x <> 0))
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON len(x.v) = len(y.v) AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.95
+), nodes AS (SELECT vec_id AS id FROM given),
+{_ROOTS}, counts AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept FROM rooted LEFT JOIN counts USING (id)
+"""
+
+# Sets that are alike share one of their rarest shingles; only such pairs are compared in full.
+OP5 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS s
+  FROM words
+), sized AS (
+  SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id) AS size, count(*) OVER (PARTITION BY s) AS docs FROM shingles
+), ranked AS (
+  SELECT doc_id, s, size, row_number() OVER (PARTITION BY doc_id ORDER BY docs, s) AS place FROM sized
+), rare AS (SELECT doc_id, s, size FROM ranked WHERE place <= size - (80 * size + 99) // 100 + 1),
+pairs AS (
+  SELECT DISTINCT x.doc_id AS a, y.doc_id AS b, x.size AS m, y.size AS n FROM rare x JOIN rare y ON x.s = y.s AND x.doc_id < y.doc_id
+  WHERE 100 * least(x.size, y.size) >= 80 * greatest(x.size, y.size)
+), compared AS (
+  SELECT a, b, m, n, count(*) AS common FROM pairs JOIN shingles x ON x.doc_id = a JOIN shingles y ON y.doc_id = b AND x.s = y.s GROUP BY ALL
+), alike AS (SELECT a, b FROM compared WHERE 100 * common >= 80 * (m + n - common)),
+links AS (SELECT a, b FROM alike UNION ALL SELECT b, a FROM alike),
+nodes AS (SELECT doc_id AS id FROM documents),
+{_ROOTS}, sizes AS (SELECT doc_id AS id, count(*) AS n FROM shingles GROUP BY doc_id)
+SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_id AS kept FROM rooted LEFT JOIN sizes USING (id)
+"""
+
+OP6 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), starts AS (
+  SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS pos FROM words WHERE len(ws) >= 20
+), windows AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY array_to_string(ws[pos : pos + 19], ' ') ORDER BY doc_id, pos) AS nth FROM starts
+), gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM windows WHERE nth > 1),
+single AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM words),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n FROM single ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_hnsw": OP3,
+    "op5_near_text": OP5,
+    "op6_passages": OP6,
+    "op11_winnowing": OP11,
+    "op12_spelling": OP12,
+    "op13_phrases": OP13,
+}
