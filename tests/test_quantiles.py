@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from lavoura.operators import quantiles
+from lavoura.operators import quantiles, stats
 from lavoura.operators.categories import count_identifiers, kinds, mode_by_key
 from lavoura.operators.quantiles import exact_medians, exact_percentiles
 
@@ -109,3 +109,20 @@ def test_decimals_that_are_one_double(spark):
     rows = [("k", Decimal(10**17) + Decimal(i) / 100) for i in range(9)]
     got = exact_percentiles(spark.createDataFrame(rows, "k string, v decimal(20,2)"), ["k"], "v", PROBABILITIES).first()
     assert [got[p] for p in PROBABILITIES] == [expected([v for _, v in rows], q) for q in PROBABILITIES.values()]
+
+
+def test_daily_sketches_unite_to_the_sketch_of_all_days(spark):
+    """Thirty days of 40,000 identifiers each, most of them seen on several days."""
+    rows = spark.range(1_200_000).select(
+        F.expr("timestamp'2024-01-01' + make_dt_interval(id % 30)").alias("data_solicitacao"),
+        F.when(F.col("id") % 7 == 0, "MS").otherwise("SP").alias("localizacao_uf"),
+        F.concat(F.lit("P"), F.pmod(F.xxhash64("id"), F.lit(90_000))).alias("proponente_id"),
+    )
+    daily = stats.daily_sketches(rows, ["proponente_id"])
+    assert daily.count() == 60
+    for by, start, end in ((["localizacao_uf"], "2024-01-01", "2024-02-01"), (["localizacao_uf"], "2024-01-10", "2024-01-13")):
+        got = {r[0]: (r["n"], r["proponente_id__distinct"]) for r in stats.distinct_between(daily, by, start, end).collect()}
+        part = rows.where(F.col("data_solicitacao").between(start, F.expr(f"timestamp'{end}' - interval 1 second")))
+        want = {r[0]: (r[1], r[2]) for r in part.groupBy(*by).agg(F.count("*"), F.count_distinct("proponente_id")).collect()}
+        assert {k: n for k, (n, _) in got.items()} == {k: n for k, (n, _) in want.items()}
+        assert all(abs(got[k][1] - d) <= 3 * stats.SKETCH_ERROR * d for k, (_, d) in want.items())
