@@ -139,5 +139,5 @@ def add_partitions(spark: SparkSession, table: str, partition_by: Sequence[str],
     def literal(column: str, value) -> str:
         return f"{column} = " + (f"'{value}'" if isinstance(kinds[column], (T.StringType, T.DateType)) else str(value))
 
-    for row in touched:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({', '.join(literal(c, row[c]) for c in partition_by)})")
+    specs = " ".join(f"PARTITION ({', '.join(literal(c, row[c]) for c in partition_by)})" for row in touched)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
