@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
 
 EPOCH = "1970-01-01 00:00:00"
+#: Hashes that are broadcast whenever they are needed.
+FEW = 100_000
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -26,6 +28,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
+def unique_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``latest_per_key``, written by ``keep``, for rows whose keys hardly ever repeat.
+
+    Of every row only a hash of its key is shuffled; the aggregate gets the rows whose hash repeats.
+    """
+    rows, hashed = keep(df), F.xxhash64(*keys)
+    counted = rows.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = keep(counted.where(F.col("_n") > 1).select("_hash"))
+    n = repeated.count()
+    if not n:
+        return rows
+    marked = rows.withColumn("_hash", hashed)
+    alone = marked.join(repeated, "_hash", "left_anti").select(*df.columns)
+    again = latest_per_key(marked.join(repeated, "_hash", "left_semi").select(*df.columns), keys, order_by)
+    # A few hashes are looked up anew at every reading; many would shuffle the rows each time.
+    return alone.unionByName(keep(again)) if n <= FEW else keep(alone.unionByName(again))
+
+
 def latest_in_window(df: DataFrame, keys: Sequence[str], at: str, start, end, tie_break: Sequence[str] = ()) -> DataFrame:
     """Newest row per entity among those stamped within ``[start, end]``."""
     return latest_per_key(df.where(F.col(at).between(start, end)), keys, [at, *tie_break])
@@ -88,6 +108,34 @@ def replace_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str], or
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
+def merged_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str], by: Sequence[str], parts: int) -> DataFrame:
+    """``replace_rows`` in one shuffle, whose tasks hold whole ``by`` values, or ``parts``-th parts of them.
+
+    ``by`` are functions of ``keys``. For targets that are rewritten by ``by`` anyway and incoming
+    rows too many to broadcast; rows of one key, an incoming one and the target's, meet in one task.
+    """
+    return _chosen(target, incoming, keys, order_by, by, parts).drop("_new")
+
+
+def surviving(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str], by: Sequence[str], parts: int) -> DataFrame:
+    """The ``by`` values of which ``merged_rows`` keeps target rows, from the columns that decide; of others
+    the incoming rows are all there is."""
+    needed = [c for c in target.columns if c in {*keys, *order_by, *by} and c in incoming.columns]
+    chosen = _chosen(target.select(*needed), incoming.select(*needed), keys, order_by, by, parts)
+    return chosen.where(~F.col("_new")).select(*by).distinct()
+
+
+def _chosen(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str], by: Sequence[str], parts: int) -> DataFrame:
+    ranked = [c for c in order_by if c in target.columns and c in incoming.columns]
+    order, new = F.struct(*[F.col(c) for c in ranked] or [F.lit(0)]), F.col("_new")
+    rows = target.withColumn("_new", F.lit(False)).unionByName(incoming.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64(*keys), F.lit(parts))).repartition(*by, "_part")
+    same = Window.partitionBy(*by, "_part", *keys)
+    at = {"_old_at": F.max(F.when(~new, order)).over(same), "_new_at": F.max(F.when(new, order)).over(same)}
+    old_stays = F.coalesce(F.col("_old_at") > F.col("_new_at"), F.col("_new_at").isNull())
+    return rows.withColumns(at).where(new != old_stays).drop("_part", *at)
+
+
 def rows_of_changed_keys(rows: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All history of every key that occurs in ``changed``."""
     return rows.join(staged(changed.select(*keys).distinct(), "changed"), list(keys), "left_semi")

@@ -44,11 +44,14 @@ class ChangeLog:
         rows.coalesce(1).write.parquet(f"{self.path}/{name}/{uuid.uuid4().hex}")
 
     def prepare(self, stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> str:
-        """Write down what a merge of ``incoming`` will touch, before it does; returns its load id."""
+        """Write down what a merge of ``incoming`` will touch, before it does; returns its load id.
+
+        Lines may repeat: nearly every row has a line of its own, so they are not shuffled to find out.
+        """
         load_id = f"merge-{uuid.uuid4().hex}"
         gone = replaced_rows(stored, incoming, keys).select(*self.columns)
-        touched = gone.unionByName(incoming.select(*self.columns)).distinct()
-        touched.write.parquet(f"{self.path}/keys/load_id={load_id}")
+        touched = gone.unionByName(incoming.select(*self.columns))
+        touched.write.option("compression", "zstd").parquet(f"{self.path}/keys/load_id={load_id}")
         self._append("begun", self.spark.createDataFrame([(load_id,)], _BEGUN))
         return load_id
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -10,11 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.incremental import latest_per_key, replace_rows
+from ..operators.incremental import merged_rows, surviving, unique_rows
 from .changes import ChangeLog
 from .staging import path_exists, scratch
 
 
+#: Rows of one partition that a task of a merge takes.
+TASK_ROWS = 500_000
+#: Files per partition that a write may leave rather than shuffle its rows.
+FILES = 6
+
+
 def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
@@ -103,23 +110,32 @@ def merge_table(
     spark = source.sparkSession
     partition_by = partition_columns(spark, table)
     with scratch(spark, "merge") as keep:
-        incoming = keep(latest_per_key(source, keys, order_by))
+        incoming = unique_rows(source, keys, order_by, keep)
         # Partition values only: as many rows as the increment touches partitions.
-        touched = incoming.select(*partition_by).distinct().collect()
+        touched = incoming.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows")).collect()
         if not touched:
             return
         add_new_columns(spark, table, source.schema)
-        wanted = reduce(
-            lambda a, b: a | b,
-            [reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in touched],
-        )
         stored = spark.table(table)
-        load_id = changes.prepare(stored.where(wanted), incoming, keys) if changes else None
-        merged = replace_rows(stored.where(wanted), incoming, keys, order_by).select(*stored.columns)
+        there = _of_partitions(stored, partition_by, touched)
+        counts = there.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("n")).first()
+        # Nothing to be looked up in partitions that are new.
+        there = there if counts["n"] else stored.where(F.lit(False))
+        load_id = changes.prepare(there, incoming, keys) if changes else None
+        held, parts = bool(counts["n"]), math.ceil(((counts["most"] or 0) + max(row["_rows"] for row in touched)) / TASK_ROWS)
+        if held and sum(row["_rows"] for row in touched) >= counts["n"]:
+            # As in a load that is repeated: partitions of which no stored row stays are not read.
+            alive = surviving(there, incoming, keys, order_by, partition_by, parts).collect()
+            held, there = bool(alive), _of_partitions(stored, partition_by, alive)
+        if held:
+            merged = merged_rows(there, incoming, keys, order_by, partition_by, parts)
+        else:
+            merged = gathered(there.unionByName(incoming, allowMissingColumns=True), partition_by, len(touched))
         (
-            merged.hint("rebalance", *partition_by)
+            merged.select(*stored.columns)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
             .partitionBy(*partition_by)
             .parquet(table_location(spark, table))
         )
@@ -129,6 +145,17 @@ def merge_table(
         changes.confirm(load_id)
 
 
+def _of_partitions(stored: DataFrame, partition_by: Sequence[str], partitions: Sequence) -> DataFrame:
+    tests = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in partitions]
+    return stored.where(reduce(lambda a, b: a | b, tests, F.lit(False)))
+
+
+def gathered(rows: DataFrame, partition_by: Sequence[str], partitions: int) -> DataFrame:
+    """Stored rows for a write by partition: shuffled unless the files they are read from hold few partitions each."""
+    pieces = rows.select(F.spark_partition_id().alias("_task"), *partition_by).distinct().count()
+    return rows if pieces <= FILES * partitions else rows.hint("rebalance", *partition_by)
+
+
 def add_partitions(spark: SparkSession, table: str, partition_by: Sequence[str], touched: Sequence) -> None:
     """Register the touched partitions only; the table's folder is not listed."""
     kinds = {f.name: f.dataType for f in spark.table(table).schema.fields}
