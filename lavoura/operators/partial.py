@@ -1,7 +1,8 @@
 """Gold tables from mergeable partial states, one per silver partition and group.
 
 What a gold row needs of its rows is kept per partition: counts, exact sums, extremes and second
-moments in one table, and in another how often each value of a category, identifier or amount occurs.
+moments in one table, and in another how often each combination of categories, identifiers and amounts
+occurs; a group may have several lines in a partition.
 States of any partitions can be merged, so a refresh computes anew only those of the partitions that
 merges touched, and merges the states of the groups that changed. The rows of other partitions are
 not read.
@@ -12,22 +13,27 @@ overwritten, too.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import COORDINATE, ratio
 from ..schemas import SILVER_PARTITIONS as PARTITIONS
-from ..sources.staging import path_exists, staged
+from ..sources.staging import path_exists
 from .gold import FINISH, MODELS, usable_rows
 from .quantiles import exact_percentiles
 
 AMOUNT = "valor_solicitado_credito"
+#: Rows of one partition that a task takes, and the column that deals them.
+TASK_ROWS, DEAL = 500_000, "_deal"
+#: Tables whose groups hardly repeat inside a partition: combining rows before a shuffle saves nothing.
+SCATTERED = ("proponente",)
 
 
 @dataclass(frozen=True)
@@ -168,39 +174,46 @@ def partial_sums(rows: DataFrame, model: str) -> DataFrame:
     states += [F.max(c).alias(f"{c}__max") for c in _columns(model, "max")]
     states += [F.min(c).alias(f"{c}__min") for c in _columns(model, "min")]
     states += [F.count_if(test).alias(f"{name}__k") for name, test in _conditions(model)]
-    return rows.groupBy(*PARTITIONS, *keys).agg(*states)
+    return rows.groupBy(*_within(rows), *keys).agg(*states).drop(DEAL)
 
 
 def partial_counters(rows: DataFrame, model: str) -> DataFrame:
-    """(partition, group, column, value, n): how often each value occurs among usable rows."""
+    """(partition, group, values of columns, n): how often each combination occurs among usable rows."""
     _, keys = MODELS[model]
-    columns = _columns(model, *_VALUED)
-    # A key column may be counted, too; values are text.
-    named = rows.select(*PARTITIONS, *keys, *[F.col(c).cast("string").alias(f"{c}__v") for c in columns])
-    long = named.unpivot([*PARTITIONS, *keys], [f"{c}__v" for c in columns], "column", "value")
-    long = long.where(F.col("value").isNotNull()).withColumn("column", F.regexp_replace("column", "__v$", ""))
-    return long.groupBy(*PARTITIONS, *keys, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # A key column may be counted, too.
+    values = [F.col(c).alias(f"{c}__v") for c in _columns(model, *_VALUED)]
+    return rows.groupBy(*_within(rows), *keys, *values).agg(F.count(F.lit(1)).alias("n")).drop(DEAL)
+
+
+def _within(rows: DataFrame) -> list[str]:
+    return [*PARTITIONS, *[c for c in rows.columns if c == DEAL]]
+
+
+def dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows by partition and ``parts``-th parts of it, whatever their group, so that a state written
+    by partition takes one shuffle and a hot group many tasks."""
+    deal = F.pmod(F.xxhash64("data_solicitacao", AMOUNT), F.lit(parts))
+    return rows.withColumn(DEAL, deal).repartition(*PARTITIONS, DEAL)
 
 
 def _merged_sums(states: DataFrame, model: str) -> DataFrame:
     """The measures that come from sums and extremes, for all groups in ``states``."""
     _, keys = MODELS[model]
+    spreads, group = _columns(model, "spread"), Window.partitionBy(*keys)
+    # Moments about the group's mean, from those about each line's mean and the distance between.
+    # A group has few lines, at most those of a task for each partition.
+    means = {f"{c}__mean": ratio(F.sum(f"{c}__sum").over(group), F.sum(f"{c}__n").over(group)) for c in spreads}
+    states = states.withColumns(means)
     totals = [F.sum("n").alias("n")]
+    for c in spreads:
+        own = ratio(F.col(f"{c}__sum"), F.col(f"{c}__n"))
+        totals.append(F.sum(F.col(f"{c}__m2") + F.col(f"{c}__n") * F.pow(own - F.col(f"{c}__mean"), F.lit(2))).alias(f"{c}__m2"))
     for c in _columns(model, *_SUMMED):
         totals += [F.sum(f"{c}__sum").alias(f"{c}__sum"), F.sum(f"{c}__n").alias(f"{c}__n")]
     totals += [F.max(f"{c}__max").alias(f"{c}__max") for c in _columns(model, "max")]
     totals += [F.min(f"{c}__min").alias(f"{c}__min") for c in _columns(model, "min")]
     totals += [F.sum(f"{name}__k").alias(f"{name}__k") for name, _ in _conditions(model)]
-    merged = staged(states.groupBy(*keys).agg(*totals), "merged")
-    # Moments about the group's mean, from those about each partition's mean and the distance between.
-    spreads = _columns(model, "spread")
-    means = merged.select(*keys, *[ratio(F.col(f"{c}__sum"), F.col(f"{c}__n")).alias(f"{c}__mean") for c in spreads])
-    moments = []
-    for c in spreads:
-        own = ratio(F.col(f"{c}__sum"), F.col(f"{c}__n"))
-        moments.append(F.sum(F.col(f"{c}__m2") + F.col(f"{c}__n") * F.pow(own - F.col(f"{c}__mean"), F.lit(2))).alias(f"{c}__m2"))
-    if spreads:
-        merged = merged.join(states.join(means, keys).groupBy(*keys).agg(*moments), keys)
+    merged = states.groupBy(*keys).agg(*totals)
 
     def measure(m: Measure) -> Column:
         total, count = F.col(f"{m.column}__sum"), F.col(f"{m.column}__n")
@@ -226,7 +239,14 @@ def _merged_sums(states: DataFrame, model: str) -> DataFrame:
 def _merged_counters(counters: DataFrame, model: str) -> DataFrame:
     """The measures that come from values, for all groups in ``counters``."""
     _, keys = MODELS[model]
-    values = staged(counters.groupBy(*keys, "column", "value").agg(F.sum("n").alias("n")), "values")
+    columns = _columns(model, "mode", "kinds")
+    if model in SCATTERED:
+        # Few lines a group, as its values are categories: they meet once.
+        counters = counters.repartition(*keys)
+    # Values are text. An array, as rows stay where they are when it is exploded.
+    each = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__v").cast("string").alias("value")) for c in columns]))
+    long = counters.select(*keys, "n", each).where(F.col("value").isNotNull())
+    values = long.groupBy(*keys, "column", "value").agg(F.sum("n").alias("n"))
     top = F.min(F.struct((-F.col("n")).alias("less"), "value"))["value"]
     per_column = values.groupBy(*keys, "column").agg(F.count(F.lit(1)).alias("kinds"), top.alias("mode"))
     wanted = [m for m in MEASURES[model] if m.kind in ("mode", "kinds")]
@@ -234,7 +254,7 @@ def _merged_counters(counters: DataFrame, model: str) -> DataFrame:
     out = per_column.groupBy(*keys).agg(*picked)
     levels = {m.name: m.of for m in MEASURES[model] if m.kind == "percentile"}
     if levels:
-        amounts = values.where(F.col("column") == AMOUNT).withColumn("value", F.col("value").cast("decimal(18,2)"))
+        amounts = counters.groupBy(*keys, F.col(f"{AMOUNT}__v").alias("value")).agg(F.sum("n").alias("n"))
         found = exact_percentiles(amounts, keys, "value", levels, "n")
         out = out.join(found.select(*keys, *[F.col(n).cast("double").alias(n) for n in levels]), keys, "left")
     return out
@@ -272,18 +292,23 @@ class GoldStates:
         _, keys = MODELS[self.model]
         inputs = list(dict.fromkeys([*PARTITIONS, *keys, "registro_valido", *[m.column for m in MEASURES[self.model] if m.column]]))
         rows = (silver if partitions is None else in_partitions(silver, partitions)).select(*inputs)
+        largest = rows.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
         if partitions is None:
             touched = rows.select(*PARTITIONS).distinct()
         else:
             kinds = ", ".join(f"{c} {silver.schema[c].dataType.simpleString()}" for c in PARTITIONS)
             touched = self.spark.createDataFrame([tuple(p) for p in partitions], kinds)
-        usable = staged(usable_rows(rows, keys), "usable")
-        for name, states in (("sums", partial_sums(usable, self.model)), ("counters", partial_counters(usable, self.model))):
-            lines = states.unionByName(touched, allowMissingColumns=True)
+        usable = usable_rows(rows, keys)
+        spread = dealt(usable.unionByName(touched, allowMissingColumns=True), max(1, math.ceil(largest / TASK_ROWS)))
+        if self.model in SCATTERED:
+            sums = partial_sums(spread, self.model)
+        else:
+            sums = partial_sums(usable, self.model).unionByName(touched, allowMissingColumns=True).hint("rebalance", *PARTITIONS)
+        for name, lines in (("sums", sums), ("counters", partial_counters(spread, self.model))):
             (
-                lines.hint("rebalance", *PARTITIONS)
-                .write.mode("overwrite")
+                lines.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
+                .option("compression", "zstd")
                 .partitionBy(*PARTITIONS)
                 .parquet(f"{self.path}/{name}")
             )

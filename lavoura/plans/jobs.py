@@ -141,7 +141,7 @@ def build_gold(lake: Lakehouse, as_of: datetime | str, scope: str = "history", m
             since = incremental.newest_stamp(stored, "feature_timestamp") or incremental.EPOCH
             result = gold.refresh(name, rows, stored, since, as_of, scope)
         else:
-            touched = staged(changes.keys_of(unread).distinct(), "touched")
+            touched = changes.keys_of(unread)
             # Partition values only: as many rows as the merges touched partitions.
             states.update(rows, touched.select(*SILVER_PARTITIONS).distinct().collect())
             groups = staged(touched.select(*keys).distinct(), "groups")
