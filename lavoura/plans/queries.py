@@ -704,8 +704,9 @@ def _exports(spark, sf_dir) -> dict[str, list[DataFrame]]:
     rows = gold_inputs(spark, sf_dir)
     found = {}
     for name, (build, _) in gold.MODELS.items():
-        built = staged(build(rows, AS_OF), f"gold-{name}")
         total = F.col("total_proponentes" if name == "location" else "total_solicitacoes")
+        # Only what the views serve: the other measures are not worked out.
+        built = staged(features.view_rows(jobs.VIEWS[name], build(rows, AS_OF)), f"gold-{name}")
         found[name] = [
             built.where(total % every == 0).withColumns(
                 {

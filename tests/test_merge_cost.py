@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from lavoura.operators import gold, incremental, partial, silver
+from lavoura.plans import jobs, queries
 from lavoura.sources import events
 from lavoura.sources.tables import ensure_table, merge_table
 from rows import MS, bronze
@@ -97,3 +98,9 @@ def test_states_take_one_shuffle_each_and_merge_in_one(spark, folder, monkeypatc
     assert exchanges(partial._merged_sums(sums, "proponente")) == 1
     assert exchanges(partial._merged_counters(counters, "proponente")) == 1
     assert exchanges(partial.partial_sums(partial.dealt(rows, 3), "proponente")) == 1
+
+
+def test_exports_of_views_work_out_what_is_served(spark):
+    exports = queries._exports(spark, "/root/testdata/sf0.001")
+    for name, view in jobs.VIEWS.items():
+        assert exports[name][0].columns == [view.key, *view.fields, view.timestamp]
