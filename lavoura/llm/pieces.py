@@ -27,6 +27,8 @@ from lavoura.llm.common import CACHE_BYTES, ENTRY_BYTES, in_use
 SPACE = "▁"
 #: Longest stretch whose lattice is worked on side by side with others; longer ones, one by one, come out the same.
 COLUMNS = 48
+#: Texts segmented together, and told together with the ids and texts of all their segmentations.
+TEXTS, TOLD_TEXTS = 1024, 128
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -339,30 +341,37 @@ def segmenter(path: str) -> Segmenter:
 def _segmented(batches: Iterator[pa.RecordBatch], path: str, n: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     own = segmenter(path)
     for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            part = batch.slice(at, 1024)
+        for at in range(0, batch.num_rows, TEXTS):
+            part = batch.slice(at, TEXTS)
             texts = [x or "" for x in part.column(1).to_pylist()]
-            columns: list[list] = [[] for _ in range(6)]
-            told = _Told()
-            for text, split in zip(texts, own.stretches(texts), strict=True):
-                found = [own[s] for s in split]
-                raw = b"".join([f[0] for f in found])
-                ids = np.frombuffer(raw, "<u4")
-                best = float(sum([f[1] for f in found]))
-                ways = own.n_best(split, n)
-                spelled = own.pieces.decode(ids) if len(ids) else b""
-                row = (len(ids), zlib.crc32(raw), best, [best - loss for loss, _ in ways], zlib.crc32(spelled), spelled == text.encode())
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
-                if with_ids:
-                    told.add(own.pieces, found, ways, raw, spelled)
-            arrays = [part.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64()),
-                      pa.array(columns[3], pa.list_(pa.float64())), pa.array(columns[4], pa.int64()), pa.array(columns[5], pa.bool_())]
-            names = ["doc_id", "n_pieces", "ids_crc32", "score", "scores", "decoded_crc32", "round_trip"]
-            if with_ids:
-                arrays += told.arrays()
-                names += ["segmentations", "decoded"]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            splits, step = own.stretches(texts), TOLD_TEXTS if with_ids else TEXTS
+            for low in range(0, len(texts), step):
+                some = slice(low, low + step)
+                yield _batch(own, part.column(0).slice(low, step), texts[some], splits[some], n, with_ids)
+
+
+def _batch(own: Segmenter, doc_ids: pa.Array, texts: list[str], splits: list[list[str]], n: int, with_ids: bool) -> pa.RecordBatch:
+    columns: list[list] = [[] for _ in range(6)]
+    told = _Told()
+    for text, split in zip(texts, splits, strict=True):
+        found = [own[s] for s in split]
+        raw = b"".join([f[0] for f in found])
+        ids = np.frombuffer(raw, "<u4")
+        best = float(sum([f[1] for f in found]))
+        ways = own.n_best(split, n)
+        spelled = own.pieces.decode(ids) if len(ids) else b""
+        row = (len(ids), zlib.crc32(raw), best, [best - loss for loss, _ in ways], zlib.crc32(spelled), spelled == text.encode())
+        for column, value in zip(columns, row, strict=True):
+            column.append(value)
+        if with_ids:
+            told.add(own.pieces, found, ways, raw, spelled)
+    arrays = [doc_ids, pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64()),
+              pa.array(columns[3], pa.list_(pa.float64())), pa.array(columns[4], pa.int64()), pa.array(columns[5], pa.bool_())]
+    names = ["doc_id", "n_pieces", "ids_crc32", "score", "scores", "decoded_crc32", "round_trip"]
+    if with_ids:
+        arrays += told.arrays()
+        names += ["segmentations", "decoded"]
+    return pa.RecordBatch.from_arrays(arrays, names)
 
 
 class _Told:
