@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import math
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from lavoura.llm.common import in_use, shared_folder, text_bytes
 
 #: Ids of a shard (a longer document is a shard of its own), bytes of text per task.
 SHARD_IDS, TASK_BYTES = 1 << 20, 32 << 20
+#: Bytes of text encoded together, about.
+BLOCK_BYTES = 4 << 20
 #: A pair is replaced if it occurs so often; rules per round at most. Rounds go on while there is
 #: such a pair and a symbol for it.
 LEAST, RULES = 8, 8192
@@ -39,85 +42,107 @@ SHARD = (
 
 # ---- words to ids ----------------------------------------------------------------------------
 
-#: One word a line: letters (ASCII and Latin-1, which do not combine) and marks after them, which
-#: are encoded alone, or anything else. A word with a "<" is not cut, as it may be a special token.
-_WORDS = re.compile(r"^(?:([a-zà-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)|.*)$", re.MULTILINE)
-#: Words, and parts of words, kept in a worker before they are dropped.
-CACHE_WORDS, CACHE_PARTS = 400_000, 500_000
+#: A word and its blank: letters (ASCII and Latin-1, which do not combine) and marks after them, which
+#: are encoded alone. Other words are not cut, such as one with a "<", which may be a special token.
+_WORD = "^(?P<letters>[a-zà-öø-ÿ]+)(?P<marks>[!-&(-/:;=-@\\[-`{-~]*) $"
+#: Words and parts of words kept in a worker before they are dropped.
+CACHE_PARTS = 800_000
 
 
 class Encoder(dict):
-    """Ids of each word (bytes between ASCII blanks) as little-endian 32-bit integers.
+    """Ids of words, or of their letters and marks, as little-endian 32-bit integers.
 
     The tokenizer turns white space into one blank and never joins across it, so a text's ids
-    are those of its words.
+    are those of its words (between ASCII blanks).
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[str, bytes] = {"": b""}
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # How the model's pieces spell letters beyond ASCII.
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelled = {ord(c): "".join(x for x, _ in cut(c)) for c in map(chr, range(0xE0, 0x100)) if c.isalpha()}
 
     def clear(self) -> None:
         super().clear()
-        self.parts = {"": b""}
+        self[""] = b""
 
     def _letters(self, strings: list[str]) -> list[bytes]:
-        """As ``_of`` for strings of letters, many at once: each ends with a token that ends a word."""
-        out = []
-        for at in range(0, len(strings), 100):
-            some = strings[at : at + 100]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some):
-                raw, stops = ids.tobytes(), (4 * ends).tolist()
-                out += [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
-            else:
-                out += self._of(some)
-        return out
+        """As ``_of`` for strings of letters: each is one word to the tokenizer, so it goes to the model directly."""
+        tokenize, spelled = self.tokenizer.model.tokenize, self.spelled
+        return [array("I", [x.id for x in tokenize(s if s.isascii() else s.translate(spelled))]).tobytes() for s in strings]
 
     def _of(self, strings: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self) + len(words) > CACHE_WORDS:
-            super().clear()
-        if len(self.parts) > CACHE_PARTS:
-            self.parts = {"": b""}
-        # One pass over all words: letters and marks of plain ones, the others whole.
-        split = _WORDS.findall(b"\n".join(words).decode().lower())
-        plain, odd = [], []
-        for word, (letters, marks) in zip(words, split, strict=True):
-            (plain if letters else odd).append((word, letters, marks))
-        for encode, column in ((self._letters, 1), (self._of, 2)):
-            new = list({x[column] for x in plain} - {""})
-            new = [x for x in new if x not in self.parts]
-            self.parts.update(zip(new, encode(new), strict=True))
-        parts = self.parts
-        self.update((word, parts[letters] + parts[marks]) for word, letters, marks in plain)
-        # As they are: special tokens are looked for before case is changed.
-        self.update(zip((x[0] for x in odd), self._of([x[0].decode() for x in odd]), strict=True))
+    def _looked_up(self, strings: pa.Array, encode) -> tuple[np.ndarray, list[bytes]]:
+        """Distinct strings by number, and the ids of each."""
+        told = strings.dictionary_encode()
+        names = _listed(told.dictionary)
+        found = list(map(self.get, names))
+        gaps = [i for i, x in enumerate(found) if x is None]
+        if len(self) + len(gaps) > CACHE_PARTS:
+            self.clear()
+        new = [names[i] for i in gaps]
+        for i, name, ids in zip(gaps, new, encode(new), strict=True):
+            found[i] = self[name] = ids
+        return told.indices.to_numpy(), found
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         in_use(self)
+        if not texts:
+            return []
         # Lower case makes fewer words; the tokenizer does the same, after looking for special tokens.
-        texts = [t if b"<|" in t else t.lower() for t in texts]
-        split = [t.replace(b"\n", b" ").split(b" ") for t in texts]
-        found = [list(map(self.get, words)) for words in split]
-        gaps = [[i for i, x in enumerate(f) if x is None] if None in f else [] for f in found]
-        new = {words[i] for words, gap in zip(split, gaps, strict=True) for i in gap}
-        if new:
-            self.learn(list(new))
-        for words, f, gap in zip(split, found, gaps, strict=True):
-            for i in gap:
-                f[i] = self[words[i]]
-        return [np.frombuffer(b"".join(f), "<u4") for f in found]
+        texts = [(t if b"<|" in t else t.lower()).replace(b"\n", b" ") for t in texts]
+        told = _words(texts).dictionary_encode()
+        words = told.dictionary
+        cut = pc.extract_regex(words, _WORD)
+        plain = cut.is_valid().to_numpy(zero_copy_only=False)
+        letters, marks = (pc.struct_field(cut, [i]).drop_null() for i in range(2))
+        odd = pc.binary_slice(words.filter(pa.array(~plain)).cast(pa.binary()), 0, -1).cast(pa.string())
+        # Each word is its first and its second part; an odd one has no second part.
+        first, second, known = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [b""]
+        # Odd ones as they are: special tokens are looked for before case is changed.
+        for strings, encode, to, rows in (
+            (letters, self._letters, first, plain), (marks, self._of, second, plain), (odd, self._of, first, ~plain)
+        ):
+            numbers, found = self._looked_up(strings, encode)
+            to[rows] = len(known) + numbers
+            known += found
+        flat, start, length = np.frombuffer(b"".join(known), "<u4"), *_laid([len(x) >> 2 for x in known])
+        parts = np.stack((first, second), axis=1).ravel()
+        flat = flat[_runs(start[parts], length[parts])]
+        start, length = _laid(length[first] + length[second])
+        places = told.indices.to_numpy()
+        ids = flat[_runs(start[places], length[places])]
+        last = np.cumsum([t.count(b" ") + 1 for t in texts])[:-1]
+        return np.split(ids, np.concatenate(([0], np.cumsum(length[places])))[last])
+
+
+def _laid(lengths) -> tuple[np.ndarray, np.ndarray]:
+    """(start, length) of runs that lie one after the other."""
+    length = np.array(lengths, np.int64)
+    return np.cumsum(length) - length, length
+
+
+def _words(texts: list[bytes]) -> pa.Array:
+    """The words of ``texts``, each with its blank, one text after the other."""
+    whole = b" ".join([*texts, b""])
+    ends = np.append(0, np.flatnonzero(np.frombuffer(whole, np.uint8) == 32) + 1)
+    if len(whole) >> 31:
+        return pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(whole)])
+    return pa.Array.from_buffers(pa.string(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(whole)])
+
+
+def _listed(strings: pa.Array) -> list[str]:
+    """Strings without line breaks as a list; quicker than ``to_pylist``."""
+    if not len(strings):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings), "\n")[0].as_py().split("\n")
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -285,8 +310,7 @@ def _shards(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
 
     end = np.array([end_id], np.uint32)
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
+        for part in _blocks(batch):
             for doc, found in zip(part.column(0).to_pylist(), own.encode(text_bytes(part.column(1))), strict=True):
                 ids.append(doc)
                 parts.append(np.concatenate((found, end)))
@@ -298,6 +322,14 @@ def _shards(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
         yield row()
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of (id, text) in turn, some megabytes of text at a time."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(sizes // BLOCK_BYTES)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text of ``docs`` and write token files to ``folder``.
 

@@ -54,3 +54,38 @@ def test_more_symbols_than_16_bits_hold(monkeypatch):
     flat, start, length = token_files.expansions(len(present), rules.astype(np.int64), lengths)
     assert np.array_equal(present[flat[token_files._runs(start[body], length[body])]], ids)
     assert most_frequent(body, starts) < LEAST
+
+
+def words_path():
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_words_share_their_letters():
+    """Words that differ by marks alone are held once by their letters, not word by word."""
+    rng = np.random.default_rng(5)
+    letters = ["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(200)]
+    marks = [a + b for a in ".,;:!?)" for b in ".,;:!?)-"] + ["."]
+    encoder = token_files.Encoder(words_path())
+    texts = [" ".join(x + m for x in letters).encode() for m in marks]
+    found = encoder.encode(texts)
+    assert len(encoder) <= len(letters) + len(marks) + 1
+    for text, ids in zip(texts, found, strict=True):
+        assert ids.tolist() == encoder.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+
+
+def test_odd_words_have_the_tokenizers_ids(monkeypatch):
+    """Letters beyond ASCII, marks, special tokens, blanks of all kinds, also when the cache is emptied all the time."""
+    encoder = token_files.Encoder(words_path())
+    special = next(iter(encoder.tokenizer.get_added_tokens_decoder().values()), None)
+    texts = [
+        "", " ", "  a  b ", "\n\n", "ÀÉ Straße façade naïve, ÿ÷ß×", "it's they'll 'S", "é ä.", "x<y <b> a<", "日本 語。 ok", "1234 a1b2", "tab\there\r\nnbsp x",
+        "ABC Def-ghi (jk) [l] {m} ~n~ o|p \\q `r` _s_", "İstanbul ſ K", "\x00 a\x00b", "a" * 3000, f"pre{special} {special}post {special}" if special else "x", "<|x|> <| y |>", "  a b \u0085",
+    ]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == want
+    monkeypatch.setattr(token_files, "CACHE_PARTS", 2)
+    assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == want
+    assert [encoder.encode([t.encode()])[0].tolist() for t in texts] == want
+    assert encoder.encode([]) == []
