@@ -22,7 +22,7 @@ from ..session import prepare
 from ..sources import events
 from ..sources.applications import bronze_applications, table, table_stream
 from ..sources.changes import ChangeLog
-from ..sources.staging import folder_names, staged, work_folder
+from ..sources.staging import folder_names, path_exists, staged, work_folder
 from ..sources.tables import ensure_table, merge_table, publish
 from ..streaming import ingest, refresh, silences
 from . import jobs
@@ -554,9 +554,13 @@ def stream_repeats(spark, sf_dir):
 
 
 def _told(path: str, spark: SparkSession, batches: int) -> None:
-    """Wait until the listener, which runs beside the stream, has written its lines."""
+    """Wait until the listener, which runs beside the stream, has written its lines.
+
+    A batch's folder is there before its line is; the mark of success comes last.
+    """
     for _ in range(300):
-        if sum(len(folder_names(spark, f"{path}/{q}")) for q in folder_names(spark, path)) >= batches:
+        told = [f"{path}/{q}/{b}" for q in folder_names(spark, path) for b in folder_names(spark, f"{path}/{q}")]
+        if sum(path_exists(spark, f"{place}/_SUCCESS") for place in told) >= batches:
             return
         time.sleep(0.1)
     raise TimeoutError(path)

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lavoura.operators import scoring, silver
+from lavoura.plans import queries
 from lavoura.schemas import BRONZE, SILVER_PARTITIONS
 from lavoura.sources import events
 from lavoura.sources.tables import ensure_database, ensure_table, read_evolving
@@ -184,3 +185,17 @@ def test_a_silence_is_told_while_it_lasts(spark, folder):
     # a comes back and falls silent again; its first silence has an end now.
     arrive("c", [("a", day + "10:14:00"), ("b", day + "10:18:00"), ("b", day + "10:22:00"), ("b", day + "10:25:00")])
     assert told() == [("a", "10:04", 10, False), ("a", "10:14", None, True)]
+
+
+def test_late_rows_are_waited_for_until_written(spark, folder, monkeypatch):
+    """A batch's folder without the mark of success holds no line yet."""
+    for batch in range(2):
+        os.makedirs(f"{folder}/late/query=q/batch={batch}/_temporary")
+    waits = []
+
+    def wait(_):
+        waits.append(open(f"{folder}/late/query=q/batch={len(waits)}/_SUCCESS", "w").close())
+
+    monkeypatch.setattr(queries.time, "sleep", wait)
+    queries._told(f"{folder}/late", spark, 2)
+    assert len(waits) == 2
