@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lavoura.llm.common import in_use, shared_folder, text_bytes
+from lavoura.llm.common import blank_words, in_use, shared_folder, text_bytes
 
 #: Ids of a shard (a longer document is a shard of its own), bytes of text per task.
 SHARD_IDS, TASK_BYTES = 1 << 20, 32 << 20
@@ -98,7 +98,7 @@ class Encoder(dict):
             return []
         # Lower case makes fewer words; the tokenizer does the same, after looking for special tokens.
         texts = [(t if b"<|" in t else t.lower()).replace(b"\n", b" ") for t in texts]
-        told = _words(texts).dictionary_encode()
+        told = blank_words(b" ".join([*texts, b""]), utf8=True).dictionary_encode()
         words = told.dictionary
         cut = pc.extract_regex(words, _WORD)
         plain = cut.is_valid().to_numpy(zero_copy_only=False)
@@ -129,15 +129,6 @@ def _laid(lengths) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(length) - length, length
 
 
-def _words(texts: list[bytes]) -> pa.Array:
-    """The words of ``texts``, each with its blank, one text after the other."""
-    whole = b" ".join([*texts, b""])
-    ends = np.append(0, np.flatnonzero(np.frombuffer(whole, np.uint8) == 32) + 1)
-    if len(whole) >> 31:
-        return pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(whole)])
-    return pa.Array.from_buffers(pa.string(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(whole)])
-
-
 def _listed(strings: pa.Array) -> list[str]:
     """Strings without line breaks as a list; quicker than ``to_pylist``."""
     if not len(strings):
