@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +64,7 @@ class Pieces:
         # Marks that no piece has after a letter: the lattice falls apart before them, too.
         joined = {b for x in self.ids for a, b in zip(x, x[1:], strict=False) if a.isalpha()}
         marks = "".join(re.escape(c) for c in "!\"#$%&()*+,-./:;<=>?@[]_{|}~" if c not in joined)
-        plain = f" *[^\\W\\d_]+(?=[{marks}])|" if marks else ""
+        plain = f" *+[^\\W\\d_]++(?=[{marks}])|" if marks else ""
         self.stretch = re.compile(plain + " +[^ \\n]*|\\n|[^ \\n]+")
         self.unknown = min(self.score) - 10
         self.longest = max(map(len, self.ids))
@@ -76,8 +77,10 @@ class Pieces:
             slot = self._slot(keys, len(self.tables))
             key, number = np.zeros(1 << 17, np.uint64), np.full(1 << 17, -1, np.int32)
             key[slot], number[slot] = keys, numbers
-            self.tables.append((key, number))
             left = number[slot] != numbers
+            more = np.zeros(1 << 17, bool)  # slots of which the next table has more
+            more[slot[left]] = True
+            self.tables.append((key, number, more))
             keys, numbers = keys[left], numbers[left]
         self.score_of = np.append(np.array(self.score), -np.inf)  # the last for "no piece"
         self.spelled_flat = np.frombuffer(b"".join(self.spelled), np.uint8)
@@ -100,10 +103,14 @@ class Pieces:
     def _lookup(self, keys: np.ndarray) -> np.ndarray:
         """Ids of hashed strings, -1 for no piece."""
         out = np.full(len(keys), -1, np.int32)
-        for t, (key, number) in enumerate(self.tables):
-            slot = self._slot(keys, t)
-            hit = (key[slot] == keys) & (out < 0)
-            out[hit] = number[slot[hit]]
+        rest = np.arange(len(keys))
+        for t, (key, number, more) in enumerate(self.tables):
+            slot = self._slot(keys[rest], t)
+            hit = key[slot] == keys[rest]
+            out[rest[hit]] = number[slot[hit]]
+            rest = rest[~hit & more[slot]]
+            if not len(rest):
+                break
         return out
 
     # ---- one stretch -----------------------------------------------------------------------
@@ -134,10 +141,18 @@ class Pieces:
         segmentations are nodes of a tree with links towards the end; the open ones are its missing
         children, in the order of the tree, which is the order at equal scores.
         """
-        forward = np.full(len(text) + 1, -np.inf)
-        forward[0] = 0.0
+        known: dict[int, list[tuple[int, float]]] = {}
+
+        def edges_to(end: int) -> list[tuple[int, float]]:
+            if len(text) > COLUMNS:  # those of a long stretch are not held
+                return self.edges_to(text, end)
+            if end not in known:
+                known[end] = self.edges_to(text, end)
+            return known[end]
+
+        forward = [0.0]
         for end in range(1, len(text) + 1):
-            forward[end] = max(forward[start] + score for start, score in self.edges_to(text, end))
+            forward.append(max([forward[start] + score for start, score in edges_to(end)]))
         place, score, parent = [len(text)], [0.0], [-1]
         child: dict[tuple[int, int], int] = {}
 
@@ -150,7 +165,7 @@ class Pieces:
 
         def leaf(node: int) -> int:
             while place[node]:
-                values = [(forward[start] + more, -start, more) for start, more in self.edges_to(text, place[node])]
+                values = [(forward[start] + more, -start, more) for start, more in edges_to(place[node])]
                 _, start, more = max(values)
                 node = added(node, -start, more)
             return node
@@ -158,13 +173,13 @@ class Pieces:
         found, best = [leaf(0)], None
         while len(found) < n:
             best = None  # value, node, start, score of the piece
-            walk = [(0, iter(self.edges_to(text, len(text))))]
+            walk = [(0, iter(edges_to(len(text))))]
             while walk:
                 node, edges = walk[-1]
                 for start, more in edges:
                     if (below := child.get((node, start))) is not None:
                         if start:
-                            walk.append((below, iter(self.edges_to(text, start))))
+                            walk.append((below, iter(edges_to(start))))
                         break
                     value = forward[start] + (score[node] + more)
                     if best is None or value > best[0]:
@@ -188,24 +203,36 @@ class Pieces:
 
     def best(self, stretches: list[str]) -> list[tuple[bytes, float, float]]:
         """(ids as little-endian 32-bit integers, score, loss to the second best) of each."""
-        out: list[tuple[bytes, float, float]] = [(b"", 0.0, np.inf)] * len(stretches)
+        ids, count, score, loss = self.best_columns(stretches)
+        ends = np.cumsum(count)
+        return [(ids[e - c : e].tobytes(), t, x) for e, c, t, x in zip(ends, count, score.tolist(), loss.tolist(), strict=True)]
+
+    def best_columns(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of the best segmentations, one after the other, and of each its number of ids,
+        its score and its loss to the second best."""
         by_length: dict[int, list[int]] = {}
         for i, s in enumerate(stretches):
             by_length.setdefault(len(s), []).append(i)
+        found, order = [], []
         for length, rows in by_length.items():
+            order += rows
             if length > COLUMNS:
                 for i in rows:
                     two = self.n_best(stretches[i], 2)
                     loss = two[0][0] - two[1][0] if len(two) > 1 else np.inf
-                    out[i] = (np.array(two[0][1], "<u4").tobytes(), two[0][0], loss)
+                    found.append(tuple(np.array(x) for x in (two[0][1], [len(two[0][1])], [two[0][0]], [loss])))
                 continue
             for at in range(0, len(rows), 4096):
-                some = rows[at : at + 4096]
-                for i, found in zip(some, self._side_by_side([stretches[i] for i in some], length), strict=True):
-                    out[i] = found
-        return out
-
-    def _side_by_side(self, stretches: list[str], length: int) -> list[tuple[bytes, float, float]]:
+                found.append(self._side_by_side([stretches[i] for i in rows[at : at + 4096]], length))
+        if not found:
+            return np.zeros(0, "<i4"), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        ids, count, score, loss = (np.concatenate(x) for x in zip(*found, strict=True))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        starts = np.cumsum(count) - count
+        return _spans(ids.astype("<i4"), starts[back], count[back]), count[back], score[back], loss[back]
+
+    def _side_by_side(self, stretches: list[str], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         n = len(stretches)
         chars = np.frombuffer("".join(stretches).encode("utf-32-le"), "<u4").reshape(n, length).astype(np.uint64)
         own = {}  # (start, end) -> ids, -1 for none, -2 for an unknown character
@@ -252,14 +279,14 @@ class Pieces:
         for (start, end), value in score.items():
             way = forward[start] + value + backward[end]
             np.maximum(second, np.where(before[end] == start, -np.inf, way), out=second)
-        unknown = (ids == -2).any(axis=1)
-        total, out = forward[length], []
-        for r, (c, strange, t, x) in enumerate(zip(count.tolist(), unknown.tolist(), total.tolist(), second.tolist(), strict=True)):
-            found = ids[r, length - c :]
-            if strange:
-                found = self._in_bytes(stretches[r], found.tolist(), np.flatnonzero(on_way[:length, r]).tolist())
-            out.append((found.tobytes(), t, t - x))
-        return out
+        total, spelled = forward[length], np.arange(length) >= length - count[:, None]
+        strange = np.flatnonzero((ids == -2).any(axis=1))
+        if not len(strange):
+            return ids[spelled], count, total, total - second
+        each = np.split(ids[spelled], np.cumsum(count)[:-1])
+        for r in strange.tolist():
+            each[r] = self._in_bytes(stretches[r], each[r].tolist(), np.flatnonzero(on_way[:length, r]).tolist())
+        return np.concatenate(each), np.array([len(x) for x in each]), total, total - second
 
     def _in_bytes(self, stretch: str, ids: list[int], starts: list[int]) -> np.ndarray:
         """``ids`` of pieces that begin at ``starts``, unknown characters as bytes."""
@@ -270,61 +297,107 @@ class Pieces:
 
     # ---- decoding ------------------------------------------------------------------------------
 
+    def spell(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes that ids spell, and where those of each begin; the last place is their end."""
+        length = self.spelled_length[ids]
+        return _spans(self.spelled_flat, self.spelled_start[ids], length), np.concatenate([[0], np.cumsum(length)])
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The text that ids spell, without the blank that encoding puts before it."""
-        length = self.spelled_length[ids]
-        ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        whole = self.spelled_flat[np.repeat(self.spelled_start[ids] - (ends - length), length) + np.arange(total)].tobytes()
-        return whole[1:]
+        return self.spell(ids)[0].tobytes()[1:]
+
+
+def _spans(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """``length`` values from each ``start`` on, one after the other."""
+    ends = np.cumsum(length)
+    return values[np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class Segmenter(dict):
-    """Cached best segmentations of stretches, and ``n`` best ones of whole texts."""
+    """Cached best segmentations of stretches, and ``n`` best ones of whole texts.
+
+    It numbers the stretches; columns hold their segmentations under these numbers. When it is full,
+    the half that was used more often stays.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         self.pieces = Pieces(path)
-        self.lists: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
-        self.held = 0
+        self.lists: dict[tuple[str, int], list[tuple[float, bytes, bytes]]] = {}
+        self.clear()
 
     def clear(self) -> None:
         super().clear()
         self.lists.clear()
-        self.held = 0
-
-    def stretches(self, texts: list[str]) -> list[list[str]]:
+        self.names: list[str] = []
+        self.ids = np.zeros(0, "<i4")
+        self.start, self.count, self.uses = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.score, self.loss = np.zeros(0), np.zeros(0)
+        self.held = self.listed = 0
+
+    def _add(self, names: list[str], ids: np.ndarray, count: np.ndarray, score: np.ndarray, loss: np.ndarray, uses: np.ndarray) -> None:
+        self.update(zip(names, range(len(self), len(self) + len(names)), strict=True))
+        self.names += names
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(count) - count])
+        self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
+        self.score, self.loss = np.concatenate([self.score, score]), np.concatenate([self.loss, loss])
+        self.uses = np.concatenate([self.uses, uses])
+        self.held += ENTRY_BYTES * len(names) + sum(map(len, names)) + 4 * len(ids)
+
+    def _halve(self) -> None:
+        stay = np.argsort(-self.uses, kind="stable")[: len(self) // 2]
+        names, ids = [self.names[i] for i in stay.tolist()], _spans(self.ids, self.start[stay], self.count[stay])
+        columns = [x[stay] for x in (self.count, self.score, self.loss)]
+        uses = self.uses[stay] // 2
+        self.clear()
+        self._add(names, ids, *columns, uses)
+
+    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the stretches of all texts, and where those of each text begin; the last place is their end."""
         in_use(self)
         split = [self.pieces.stretch.findall(f" {t}") if t else [] for t in texts]
-        used = set().union(*split)
-        new = [s for s in used if s not in self]
-        if self.held > CACHE_BYTES:
-            self.clear()
-            new = list(used)
-        self.update(zip(new, self.pieces.best(new), strict=True))
-        self.held += sum(ENTRY_BYTES + len(s) + len(self[s][0]) for s in new)
-        return split
-
-    def alternatives(self, stretch: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        while self.held > CACHE_BYTES and len(self):
+            self._halve()
+        at, flat = np.cumsum([0, *map(len, split)]), list(chain.from_iterable(split))
+        found = np.fromiter(map(self.get, flat, repeat(-1)), np.int64, len(flat))
+        unknown = np.flatnonzero(found < 0)
+        missing = [flat[i] for i in unknown.tolist()]
+        new = list(dict.fromkeys(missing))
+        self._add(new, *self.pieces.best_columns(new), np.zeros(len(new), np.int64))
+        found[unknown] = [self[s] for s in missing]
+        self.uses += np.bincount(found, minlength=len(self))
+        return found, at
+
+    def alternatives(self, number: int, n: int) -> list[tuple[float, bytes, bytes]]:
+        """(loss to the best, ids as little-endian 32-bit integers, what they spell) of other segmentations, best first."""
+        stretch = self.names[number]
         if (stretch, n) not in self.lists:
-            found = self.lists[stretch, n] = self.pieces.n_best(stretch, n)
-            self.held += sum(ENTRY_BYTES + 8 * len(ids) for _, ids in found)
+            if self.listed > CACHE_BYTES // 4:
+                self.lists.clear()
+                self.listed = 0
+            chosen = tuple(self.ids[self.start[number] :][: self.count[number]].tolist())
+            others = [(float(self.score[number]) - s, np.array(ids, "<i4")) for s, ids in self.pieces.n_best(stretch, n) if ids != chosen]
+            found = [(loss, ids.tobytes(), self.pieces.spell(ids)[0].tobytes()) for loss, ids in others[: n - 1]]
+            self.lists[stretch, n] = found
+            self.listed += sum(ENTRY_BYTES + len(ids) + len(spelled) for _, ids, spelled in found)
         return self.lists[stretch, n]
 
-    def n_best(self, split: list[str], n: int) -> list[tuple[float, dict[int, tuple[int, ...]]]]:
-        """The ``n`` best of a text: (loss to the best, {stretch: other ids}), best first.
+    def n_best(self, numbers: np.ndarray, losses: np.ndarray, n: int) -> list[tuple[float, dict[int, tuple[bytes, bytes]]]]:
+        """The ``n`` best of a text: (loss to the best, {stretch: other ids and what they spell}), best first.
 
         A segmentation among the n best departs from the best one only in stretches whose own
         second best is among the n - 1 smallest losses: otherwise that many better ones exist.
+        ``losses`` are those of the stretches; they are used up.
         """
-        losses = np.fromiter((self[s][2] for s in split), float, len(split))
-        take = np.argsort(losses, kind="stable")[: max(0, n - 1)]
-        ways: list[tuple[float, dict[int, tuple[int, ...]]]] = [(0.0, {})]
-        for i in take[np.isfinite(losses[take])].tolist():
-            options = self.alternatives(split[i], n)
-            best, chosen = self[split[i]][1], tuple(np.frombuffer(self[split[i]][0], "<u4").tolist())
-            others = [(best - s, ids) for s, ids in options if ids != chosen][: n - 1]
+        ways: list[tuple[float, dict[int, tuple[bytes, bytes]]]] = [(0.0, {})]
+        for _ in range(min(n - 1, len(losses))):
+            i = int(losses.argmin())
+            if losses[i] == np.inf:
+                break
+            losses[i] = np.inf
+            others = self.alternatives(int(numbers[i]), n)
             ways = sorted(
-                [*ways, *[(loss + more, {**way, i: ids}) for loss, way in ways for more, ids in others]], key=lambda x: (x[0], len(x[1]))
+                [*ways, *[(loss + more, {**way, i: other}) for loss, way in ways for more, *other in others]], key=lambda x: (x[0], len(x[1]))
             )[:n]
         return ways
 
@@ -344,27 +417,38 @@ def _segmented(batches: Iterator[pa.RecordBatch], path: str, n: int, with_ids: b
         for at in range(0, batch.num_rows, TEXTS):
             part = batch.slice(at, TEXTS)
             texts = [x or "" for x in part.column(1).to_pylist()]
-            splits, step = own.stretches(texts), TOLD_TEXTS if with_ids else TEXTS
+            numbers, places = own.numbers(texts)
+            step = TOLD_TEXTS if with_ids else TEXTS
             for low in range(0, len(texts), step):
-                some = slice(low, low + step)
-                yield _batch(own, part.column(0).slice(low, step), texts[some], splits[some], n, with_ids)
+                some = places[low : low + step + 1]
+                yield _batch(own, part.column(0).slice(low, step), texts[low : low + step], numbers[some[0] : some[-1]], some - some[0], n, with_ids)
 
 
-def _batch(own: Segmenter, doc_ids: pa.Array, texts: list[str], splits: list[list[str]], n: int, with_ids: bool) -> pa.RecordBatch:
+def _batch(
+    own: Segmenter, doc_ids: pa.Array, texts: list[str], numbers: np.ndarray, places: np.ndarray, n: int, with_ids: bool
+) -> pa.RecordBatch:
+    """``numbers`` are those of the texts' stretches, ``places`` where those of each text begin."""
     columns: list[list] = [[] for _ in range(6)]
     told = _Told()
-    for text, split in zip(texts, splits, strict=True):
-        found = [own[s] for s in split]
-        raw = b"".join([f[0] for f in found])
-        ids = np.frombuffer(raw, "<u4")
-        best = float(sum([f[1] for f in found]))
-        ways = own.n_best(split, n)
-        spelled = own.pieces.decode(ids) if len(ids) else b""
-        row = (len(ids), zlib.crc32(raw), best, [best - loss for loss, _ in ways], zlib.crc32(spelled), spelled == text.encode())
+    count, score, loss = own.count[numbers], own.score[numbers], own.loss[numbers]
+    ids, id_at = _spans(own.ids, own.start[numbers], count), np.concatenate([[0], np.cumsum(count)])
+    spelled, at = own.pieces.spell(ids)
+    id_at, byte_at = (4 * id_at).tolist(), at[id_at].tolist()
+    raw, spelled = ids.tobytes(), spelled.tobytes()
+    for t, text in enumerate(texts):
+        low, high = int(places[t]), int(places[t + 1])
+        own_raw, own_spelled = raw[id_at[low] : id_at[high]], spelled[byte_at[low] + 1 : byte_at[high]]
+        best = float(sum(score[low:high].tolist()))
+        ways = own.n_best(numbers[low:high], loss[low:high], n)
+        row = (len(own_raw) // 4, zlib.crc32(own_raw), best, [best - x for x, _ in ways], zlib.crc32(own_spelled), own_spelled == text.encode())
         for column, value in zip(columns, row, strict=True):
             column.append(value)
         if with_ids:
-            told.add(own.pieces, found, ways, raw, spelled)
+            told.ways.append(len(ways))
+            for _, way in ways:
+                other = {low + i: x for i, x in way.items()}
+                told.raw.append(_changed(raw, id_at, low, high, {i: x for i, (x, _) in other.items()}) if way else own_raw)
+                told.decoded.append(_changed(spelled, byte_at, low, high, {i: x for i, (_, x) in other.items()})[1:] if way else own_spelled)
     arrays = [doc_ids, pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64()),
               pa.array(columns[3], pa.list_(pa.float64())), pa.array(columns[4], pa.int64()), pa.array(columns[5], pa.bool_())]
     names = ["doc_id", "n_pieces", "ids_crc32", "score", "scores", "decoded_crc32", "round_trip"]
@@ -374,35 +458,28 @@ def _batch(own: Segmenter, doc_ids: pa.Array, texts: list[str], splits: list[lis
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
+def _changed(whole: bytes, at: list[int], low: int, high: int, other: dict[int, bytes]) -> bytes:
+    """Stretches ``low`` to ``high`` of ``whole``, some of them others; ``at`` is where each begins."""
+    parts, done = [], low
+    for i in sorted(other):
+        parts += [whole[at[done] : at[i]], other[i]]
+        done = i + 1
+    return b"".join([*parts, whole[at[done] : at[high]]])
+
+
 class _Told:
     """Ids of all segmentations of each text, and the texts decoded from them."""
 
     def __init__(self):
         self.raw: list[bytes] = []
         self.ways: list[int] = []
-        self.decoded: list[list[bytes]] = []
-
-    def add(self, pieces: Pieces, found: list[tuple[bytes, float, float]], ways: list[tuple[float, dict[int, tuple[int, ...]]]], raw: bytes, spelled: bytes) -> None:
-        """``raw`` and ``spelled`` are the best segmentation's ids and text."""
-        decoded, parts = [], [f[0] for f in found]
-        for _, way in ways:
-            if way:
-                other = parts.copy()
-                for i, ids in way.items():
-                    other[i] = np.array(ids, "<u4").tobytes()
-                self.raw.append(b"".join(other))
-                decoded.append(pieces.decode(np.frombuffer(self.raw[-1], "<u4")))
-            else:
-                self.raw.append(raw)
-                decoded.append(spelled)
-        self.ways.append(len(ways))
-        self.decoded.append(decoded)
+        self.decoded: list[bytes] = []
 
     def arrays(self) -> list[pa.Array]:
         ends = np.cumsum([0, *[len(x) // 4 for x in self.raw]])
         each = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(self.raw), "<i4")))
         of_text = pa.array(np.cumsum([0, *self.ways]), pa.int32())
-        return [pa.ListArray.from_arrays(of_text, each), pa.array(self.decoded, pa.list_(pa.string()))]
+        return [pa.ListArray.from_arrays(of_text, each), pa.ListArray.from_arrays(of_text, pa.array(self.decoded, pa.string()))]
 
 
 def segmented(docs: DataFrame, model: str, n: int = 4, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
