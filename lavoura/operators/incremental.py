@@ -28,12 +28,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
-def unique_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def unique_rows(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: Callable[[DataFrame], DataFrame], from_files: bool = False
+) -> DataFrame:
     """``latest_per_key``, written by ``keep``, for rows whose keys hardly ever repeat.
 
     Of every row only a hash of its key is shuffled; the aggregate gets the rows whose hash repeats.
+    Rows ``from_files`` are only written where that takes a shuffle.
     """
-    rows, hashed = keep(df), F.xxhash64(*keys)
+    rows, hashed = df if from_files else keep(df), F.xxhash64(*keys)
     counted = rows.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
     repeated = keep(counted.where(F.col("_n") > 1).select("_hash"))
     n = repeated.count()

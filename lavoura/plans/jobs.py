@@ -104,7 +104,7 @@ def load_silver(lake: Lakehouse, as_of: datetime | str) -> None:
         return
     arrived = spark.read.schema(bronze.schema).option("basePath", table_location(spark, lake.table(BRONZE_TABLE))).parquet(*pending)
     rows = events.with_dated_partitions(silver.build_silver(arrived, as_of))
-    merge_table(rows, table, SILVER_KEY, ["ingestion_timestamp"], lake.changes())
+    merge_table(rows, table, SILVER_KEY, ["ingestion_timestamp"], lake.changes(), from_files=True)
     spark.createDataFrame([(f,) for f in pending], "file string").coalesce(1).write.mode("append").parquet(ledger)
 
 

@@ -407,9 +407,9 @@ def gold_between(spark, sf_dir):
     silver_rows = events.with_dated_partitions(silver.build_silver(rows, AS_OF))
     log, table = lake.changes(), lake.table(jobs.SILVER_TABLE)
     try:
-        merge_table(silver_rows, table, SILVER_KEY, ["ingestion_timestamp"], _GoldMeanwhile(spark, log.path, log.columns, lake))
+        merge_table(silver_rows, table, SILVER_KEY, ["ingestion_timestamp"], _GoldMeanwhile(spark, log.path, log.columns, lake), from_files=True)
     except InterruptedError:
-        merge_table(silver_rows, table, SILVER_KEY, ["ingestion_timestamp"], log)
+        merge_table(silver_rows, table, SILVER_KEY, ["ingestion_timestamp"], log, from_files=True)
     jobs.build_gold(lake, AS_OF, models=["location"])
     return _stored_gold(lake, "location")
 

@@ -93,7 +93,12 @@ def register_external(spark: SparkSession, table: str, path: str) -> None:
 
 
 def merge_table(
-    source: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[str] = (), changes: ChangeLog | None = None
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    changes: ChangeLog | None = None,
+    from_files: bool = False,
 ) -> None:
     """Upsert into a partitioned catalog table, rewriting only the partitions touched.
 
@@ -101,6 +106,9 @@ def merge_table(
     what it will touch before it writes, and confirms that once its rows are in. Merges into one
     table run one after the other.
 
+    A source ``from_files`` is made row by row from files that stay as they are meanwhile: every step
+    reads the columns it needs from them. Any other source is written aside first.
+
     The partition columns must be functions of ``keys``, so that two versions of a row
     lie in the same partition. New columns are appended to the table. Rows are written
     aside and moved in at commit, partition by partition; loading the same source again
@@ -110,7 +118,7 @@ def merge_table(
     spark = source.sparkSession
     partition_by = partition_columns(spark, table)
     with scratch(spark, "merge") as keep:
-        incoming = unique_rows(source, keys, order_by, keep)
+        incoming = unique_rows(source, keys, order_by, keep, from_files)
         # Partition values only: as many rows as the increment touches partitions.
         touched = incoming.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows")).collect()
         if not touched:

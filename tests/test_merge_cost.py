@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lavoura.operators import gold, incremental, partial, silver
 from lavoura.plans import jobs, queries
-from lavoura.sources import events
+from lavoura.sources import events, staging
 from lavoura.sources.tables import ensure_table, merge_table
 from rows import MS, bronze
 
@@ -78,6 +78,25 @@ def test_a_repeated_load_reads_no_stored_rows(spark, folder, monkeypatch):
     spark.sql("DROP TABLE repeated_load")
 
 
+def test_a_load_writes_its_rows_once(spark, folder, monkeypatch):
+    """Also with applications that come twice: those alone are written aside."""
+    lake = jobs.Lakehouse(spark, folder, "written_once_")
+    aside, plain_write = [], staging._written
+    monkeypatch.setattr(staging, "_written", lambda df, path: aside.append((df.columns, df.count())) or plain_write(df, path))
+    lines = [{"proponente_id": f"P{i}", "data_solicitacao": MS + i * DAY, "cultura_principal": ["SOJA", None][i % 2]} for i in range(50)]
+    for as_of, new in (("2025-01-01 00:00:00", lines[:40]), ("2025-01-02 00:00:00", lines[30:] + lines[48:])):
+        jobs.append_bronze(lake, bronze(spark, *new))
+        jobs.load_silver(lake, as_of)
+    stored = spark.table(lake.table(jobs.SILVER_TABLE))
+    assert [n for columns, n in aside if "row_hash" in columns] == [2]
+    every = events.with_dated_partitions(silver.build_silver(bronze(spark, *lines), "2025-01-01 00:00:00"))
+    columns = [c for c in every.columns if c not in ("processed_at", "ingestion_timestamp")]
+    assert plain(stored.select(*columns)) == plain(every.select(*columns))
+    assert stored.where("processed_at < '2025-01-02'").count() == 30
+    for name in lake.databases():
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 def test_states_take_one_shuffle_each_and_merge_in_one(spark, folder, monkeypatch):
     monkeypatch.setattr(partial, "TASK_ROWS", 7)
     changes = [
